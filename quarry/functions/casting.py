@@ -26,8 +26,8 @@ OVERFLOW_MARK = "#######"
 # Output layouts of formatted dates.
 DATE_OUT = "yyyy/MM/dd"
 DATETIME_OUT = "yyyy/MM/dd HH:mm:ss"
-# Accepted input layouts, tried in this order.
-INPUT_LAYOUTS = ("yyyy-MM-dd HH:mm:ss", "yyyy/MM/dd HH:mm:ss", "yyyy-MM-dd", "yyyy/MM/dd")
+# Accepted slash layouts (ISO text goes through Spark's cast).
+SLASH_DATE, SLASH_DATETIME = "yyyy/MM/dd", "yyyy/MM/dd HH:mm:ss"
 # Sheet column headers of a type dictionary.
 TYPE_SHEET_COLUMN, TYPE_SHEET_TYPE = "DB項目", "DATA_TYPE"
 
@@ -91,9 +91,16 @@ def parse_datetime(c: Column, dtype: T.DataType) -> Column:
         return c.cast("timestamp_ntz")
     if isinstance(dtype, T.DateType):
         return c.cast("timestamp_ntz")
+    # One parse per value, chosen by the text's shape: trying layouts in
+    # turn costs a thrown exception per failed layout and row. ISO text
+    # (``-`` separators, optional time and fraction) goes through Spark's
+    # exception-free cast; slash layouts through one fixed formatter each.
     text = blank_to_null(c)
-    tries = [F.try_to_timestamp(text, F.lit(layout)) for layout in INPUT_LAYOUTS]
-    return F.coalesce(*tries).cast("timestamp_ntz")
+    slash = F.substring(text, 5, 1) == "/"
+    return F.when(slash & (F.length(text) == 10), F.try_to_timestamp(text, F.lit(SLASH_DATE))) \
+        .when(slash & (F.length(text) == 19), F.try_to_timestamp(text, F.lit(SLASH_DATETIME))) \
+        .when(slash, F.lit(None)) \
+        .otherwise(text.try_cast("timestamp_ntz")).cast("timestamp_ntz")
 
 
 def strict_datetime(c: Column, dtype: T.DataType, name: str = "") -> Column:
@@ -101,9 +108,10 @@ def strict_datetime(c: Column, dtype: T.DataType, name: str = "") -> Column:
     if not _is_text(dtype):
         return parsed
     src = blank_to_null(c)
-    return F.when(src.isNotNull() & parsed.isNull(),
-                  F.raise_error(F.concat(F.lit(f"cannot convert column '{name}' to datetime: "), src))
-                  ).otherwise(parsed)
+    # coalesce evaluates the parse once; the error branch only runs for a
+    # value that did not parse
+    return F.coalesce(parsed, F.when(src.isNotNull(), F.raise_error(
+        F.concat(F.lit(f"cannot convert column '{name}' to datetime: "), src))).cast("timestamp_ntz"))
 
 
 # --- T1-T4 ------------------------------------------------------------------

@@ -45,8 +45,9 @@ def parse_log(lines: DataFrame, text: str = "value") -> DataFrame:
     a timestamp) and ``is_error``."""
     line = F.col(text)
     head = F.substring(line, 1, LOG_TS_WIDTH)
+    # the shape test makes the cast exact (and exception-free)
     ts = F.when(head.rlike("^\\d{4}-\\d{2}-\\d{2} \\d{2}:\\d{2}:\\d{2}$"),
-                F.try_to_timestamp(head, F.lit(LOG_TS_LAYOUT))).cast("timestamp_ntz")
+                head.try_cast("timestamp_ntz")).cast("timestamp_ntz")
     is_error = line.contains(ERROR_WORDS[0])
     for word in ERROR_WORDS[1:]:
         is_error = is_error | line.contains(word)

@@ -57,7 +57,7 @@ def register(slug: str, sql: str | None = None):
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     prepare(spark)
-    return spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
+    return A_files.spread(spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet"))
 
 
 def read_back_csv(spark: SparkSession, path: str, like: T.StructType, encoding: str = A_files.UTF8,

@@ -22,6 +22,7 @@ SESSION_DEFAULTS = {
     "spark.sql.legacy.javaCharsets": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 # Settings the operators rely on at run time; applied to sessions we did not

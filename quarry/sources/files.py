@@ -63,3 +63,36 @@ def scan_csv(spark: SparkSession, path: str, encoding: str = UTF8, header: bool
     if schema:
         reader = reader.schema(schema)
     return reader.csv(path)
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Bytes of the files behind a file-backed frame (a driver-side listing
+    of the files Spark already resolved)."""
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for name in df.inputFiles():
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        total += path.getFileSystem(conf).getFileStatus(path).getLen()
+    return total
+
+
+def spread(df: DataFrame, bytes_per_task: int = 1 << 20) -> DataFrame:
+    """Give an under-split scan enough tasks.
+
+    A file written as one row group cannot be split, so a 600k-row table
+    can arrive as a single task and everything up to the first shuffle runs
+    on one core. When the scan has fewer partitions than the cluster has
+    cores and holds more than ``bytes_per_task`` per partition, rows are
+    dealt round-robin to ``min(cores, bytes / bytes_per_task)`` tasks.
+    Filters and column pruning still reach the scan (they are pushed
+    through the repartition). A large dataset already has more splits than
+    cores, and this is a no-op that does not even list its files.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    parts = df.rdd.getNumPartitions()
+    if parts >= cores:
+        return df
+    wanted = min(cores, input_bytes(df) // bytes_per_task)
+    return df.repartition(int(wanted)) if wanted > parts else df

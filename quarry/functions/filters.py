@@ -18,6 +18,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from quarry.functions.casting import parse_datetime
 from quarry.functions.literals import (
     FRACTIONAL, INTEGRAL, day_start, parse_day, parse_timestamp, round_trips,
     to_python, typed_lit,
@@ -49,7 +50,7 @@ def as_timestamp(c: str | Column, dtype: T.DataType) -> Column:
     col = _col(c)
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         return col
-    return F.try_to_timestamp(col.cast("string")).cast("timestamp_ntz")
+    return parse_datetime(col, dtype)
 
 
 def _comparable_type(dtype: T.DataType) -> T.DataType:

@@ -86,12 +86,30 @@ def validation_errors(report: DataFrame) -> list[str]:
             for r in report.where(~F.col("passed")).collect()]
 
 
-def duplicate_rows(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
-    """Q3: rows equal to an earlier row (nulls equal). A partial aggregate
-    runs before the shuffle, so a hot duplicated row costs one record per
-    map task, not one per copy."""
+BROADCAST_CANDIDATES = 2_000_000   # 64-bit hashes: at most ~16 MB to broadcast
+
+
+def duplicate_rows(df: DataFrame, subset: Sequence[str] | None = None,
+                   broadcast_limit: int = BROADCAST_CANDIDATES) -> DataFrame:
+    """Q3: rows equal to an earlier row (nulls equal), exactly.
+
+    Grouping on every column shuffles every distinct row in full. Instead:
+    (1) group on a 64-bit hash of the row, which shuffles 8 bytes per row
+    and map-side combines a hot duplicated row to one record per task;
+    (2) only rows whose hash occurs more than once are grouped exactly on
+    their columns, so hash collisions cannot miscount. The candidate hashes
+    are broadcast only when their counted number is under
+    ``broadcast_limit``; otherwise every row goes to the exact group-by.
+    """
     cols = list(subset or df.columns)
-    groups = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("__n"))
+    hashed = df.select(*[F.col(c) for c in cols], F.xxhash64(*[F.col(c) for c in cols]).alias("__h"))
+    candidates = hashed.groupBy("__h").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > 1).select("__h")
+    n_candidates = candidates.count()
+    if n_candidates == 0:
+        return hashed.limit(0).agg(F.lit(0).cast("bigint").alias("duplicate_rows"))
+    suspects = hashed.join(F.broadcast(candidates), "__h", "left_semi") if n_candidates <= broadcast_limit \
+        else hashed
+    groups = suspects.groupBy("__h", *cols).agg(F.count(F.lit(1)).alias("__n"))
     return groups.agg(F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).cast("bigint").alias("duplicate_rows"))
 
 
@@ -109,25 +127,20 @@ def quality_report(df: DataFrame) -> DataFrame:
         aggs += [F.min(v).alias(f"mn{i}"), F.max(v).alias(f"mx{i}"),
                  F.avg(v).alias(f"av{i}"), F.stddev_samp(v).alias(f"sd{i}")]
     stats = df.agg(*aggs)
-    dups = duplicate_rows(df)
-    parts = [stats.select(F.lit("*").alias("column"), F.lit("total_rows").alias("metric"),
-                          F.col("__rows").cast("double").alias("value")),
-             stats.select(F.lit("*"), F.lit("total_columns"), F.lit(float(len(fields)))),
-             dups.select(F.lit("*"), F.lit("duplicate_rows"), F.col("duplicate_rows").cast("double"))]
-    pairs = []
+    pairs = [("*", "total_rows", F.col("__rows").cast("double")),
+             ("*", "total_columns", F.lit(float(len(fields))))]
     for i, f in enumerate(fields):
         pairs.append((f.name, "null_count", F.col(f"n{i}").cast("double")))
     for i, f in enumerate(numeric):
         for metric, key in (("min", "mn"), ("max", "mx"), ("mean", "av"), ("std", "sd")):
             pairs.append((f.name, metric, F.col(f"{key}{i}")))
-    wide = stats.select(*[F.struct(F.lit(c).alias("column"), F.lit(m).alias("metric"),
-                                   v.alias("value")).alias(f"p{j}") for j, (c, m, v) in enumerate(pairs)])
-    long = wide.select(F.explode(F.array(*[F.col(f"p{j}") for j in range(len(pairs))])).alias("p")) \
-        .select("p.column", "p.metric", "p.value")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p.toDF("column", "metric", "value"))
-    return out.unionByName(long)
+    # one aggregate row -> one row per metric
+    items = [F.struct(F.lit(c).alias("column"), F.lit(m).alias("metric"), v.cast("double").alias("value"))
+             for c, m, v in pairs]
+    long = stats.select(F.inline(F.array(*items)))
+    dups = duplicate_rows(df).select(F.lit("*").alias("column"), F.lit("duplicate_rows").alias("metric"),
+                                     F.col("duplicate_rows").cast("double").alias("value"))
+    return long.unionByName(dups)
 
 
 def column_types(df: DataFrame) -> DataFrame:

@@ -18,6 +18,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quarry.plans.dataset import prepare_dataset
+from quarry.sinks import writers as W
 from quarry.sinks.writers import (
     AUDIT_SCHEMA, PASTE_APPEND, RESULT_FAILED, RESULT_OK, audit_append, export_csv, export_parquet,
     publish, staging_path, write_counted,
@@ -174,7 +175,7 @@ def run_one(spark: SparkSession, jobs: Sequence[JobSpec], specs: Mapping[str, Da
 
 
 def read_audit(spark: SparkSession, audit_path: str) -> DataFrame:
-    return spark.read.schema(AUDIT_SCHEMA).parquet(audit_path)
+    return W.read_audit(spark, audit_path)
 
 
 def job_summary(audit: DataFrame) -> DataFrame:

@@ -962,7 +962,7 @@ UNION ALL SELECT 'broken', 'parquet', CAST(NULL AS BIGINT), '失敗'
 def _run(spark, sf, jobs):
     root = scratch_path(spark, "jobs")
     return J.run_manifest(spark, jobs, dataset_specs(sf), AS_OF_ORDERS, f"{root}/out", f"{root}/audit",
-                          run_id=uuid.uuid4().hex, now=RUN_STAMP)
+                          run_id=uuid.uuid4().hex, parallelism=3, now=RUN_STAMP)
 
 
 @register("run_manifest", MANIFEST_SQL)

@@ -192,11 +192,20 @@ def audit_append(spark: SparkSession, audit_path: str, display_name: str, sheet:
                  category: str, target: str, row_count: int | None, ok: bool, error: str = "",
                  logged_at: dt.datetime | None = None, spare: str = "") -> None:
     """Append one audit row per job, after the write (the reference
-    logged success before writing)."""
+    logged success before writing). Each entry is its own directory under
+    the table, so jobs running at the same time never share a committer's
+    temporary folder."""
     stamp = (logged_at or dt.datetime.now()).replace(microsecond=0)
     row = [(display_name, sheet, main_table, category, target, row_count,
             RESULT_OK if ok else RESULT_FAILED, error, stamp, spare)]
-    spark.createDataFrame(row, AUDIT_SCHEMA).coalesce(1).write.mode("append").parquet(audit_path)
+    entry = f"{audit_path.rstrip('/')}/entry={uuid.uuid4().hex}"
+    spark.createDataFrame(row, AUDIT_SCHEMA).coalesce(1).write.mode("overwrite").parquet(entry)
+
+
+def read_audit(spark: SparkSession, audit_path: str) -> DataFrame:
+    """The audit table (entry directories are an implementation detail)."""
+    names = [f.split(" ")[0] for f in AUDIT_SCHEMA.split(", ")]
+    return spark.read.parquet(audit_path).select(*names)
 
 
 def export_view_csv(df: DataFrame, folder: str, filters: Sequence[FilterSpec] = (),

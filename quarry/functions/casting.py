@@ -33,6 +33,21 @@ TYPE_SHEET_COLUMN, TYPE_SHEET_TYPE = "DB項目", "DATA_TYPE"
 
 _DEC = T.DecimalType(38, 10)
 _BIG = 9e18
+# Shapes of number text. Casting text that is not a number makes the JVM
+# throw and catch an exception per value; probing a whole text column (type
+# inference, conformance) therefore tests the shape first.
+NUMBER_SHAPE = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$"
+INTEGER_SHAPE = r"^\s*[+-]?\d{1,19}(\.0*)?\s*$"
+
+
+def number_or_null(c: Column) -> Column:
+    """Text -> double, only for text shaped like a number."""
+    return F.when(c.rlike(NUMBER_SHAPE), c.try_cast("double"))
+
+
+def integer_or_null(c: Column) -> Column:
+    """Text -> bigint, only for text shaped like a whole number that fits."""
+    return F.when(c.rlike(INTEGER_SHAPE), c.try_cast(_DEC).try_cast("bigint"))
 
 
 def _is_text(dtype: T.DataType) -> bool:
@@ -377,9 +392,8 @@ def infer_types(df: DataFrame) -> DataFrame:
             for i, (sep, length, middle, _) in enumerate(DATE_SHAPES):
                 aggs.append(F.bool_and(~present | _date_shape(c, sep, length, middle)).alias(f"{f.name}__d{i}"))
             blank = F.trim(c) == ""
-            d = c.try_cast(_DEC)
-            aggs.append(F.bool_and(~present | blank | c.try_cast("double").isNotNull()).alias(f"{f.name}__num"))
-            aggs.append(F.bool_and(~present | blank | ((d == F.floor(d)) & d.try_cast("bigint").isNotNull())).alias(f"{f.name}__int"))
+            aggs.append(F.bool_and(~present | blank | number_or_null(c).isNotNull()).alias(f"{f.name}__num"))
+            aggs.append(F.bool_and(~present | blank | integer_or_null(c).isNotNull()).alias(f"{f.name}__int"))
         elif isinstance(f.dataType, (T.LongType, T.IntegerType, T.ShortType)):
             aggs.append(F.min(c).alias(f"{f.name}__lo"))
             aggs.append(F.max(c).alias(f"{f.name}__hi"))
@@ -394,8 +408,8 @@ def infer_types(df: DataFrame) -> DataFrame:
             if layout:
                 c = F.try_to_timestamp(c, F.lit(layout)).cast("timestamp_ntz")
             elif row[f"{name}__num"]:
-                c = blank_to_null(c).try_cast(_DEC).try_cast("bigint") if row[f"{name}__int"] \
-                    else blank_to_null(c).try_cast("double")
+                c = integer_or_null(blank_to_null(c)) if row[f"{name}__int"] \
+                    else number_or_null(blank_to_null(c))
         elif f"{name}__lo" in row and row[f"{name}__lo"] is not None:
             c = c.cast(_smallest_integral(row[f"{name}__lo"], row[f"{name}__hi"]))
         out.append(c.alias(name))
@@ -424,11 +438,10 @@ def downcast_types(df: DataFrame, floats_to_float: bool = False,
         if isinstance(f.dataType, INTEGRAL):
             aggs += [F.min(c).alias(f"{f.name}__lo"), F.max(c).alias(f"{f.name}__hi")]
         elif _is_text(f.dataType):
-            d = c.try_cast(_DEC)
             aggs += [
-                F.count(c.try_cast("double")).alias(f"{f.name}__nums"),
+                F.count(number_or_null(c)).alias(f"{f.name}__nums"),
                 F.count(c).alias(f"{f.name}__n"),
-                F.bool_and(c.isNull() | ((d == F.floor(d)) & d.try_cast("bigint").isNotNull())).alias(f"{f.name}__int"),
+                F.bool_and(c.isNull() | integer_or_null(c).isNotNull()).alias(f"{f.name}__int"),
                 F.approx_count_distinct(c).alias(f"{f.name}__distinct"),
             ]
     row = df.agg(*aggs).first().asDict()
@@ -447,10 +460,10 @@ def downcast_types(df: DataFrame, floats_to_float: bool = False,
             if row[f"{name}__n"] and row[f"{name}__nums"] == row[f"{name}__n"]:
                 if row[f"{name}__int"]:
                     target = "bigint"
-                    c = c.try_cast(_DEC).try_cast("bigint")
+                    c = integer_or_null(c)
                 else:
                     target = "double"
-                    c = c.try_cast("double")
+                    c = number_or_null(c)
             elif ratio is not None and ratio < category_ratio:
                 target = "string (category candidate)"
         out.append(c.alias(name))

@@ -12,7 +12,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from quarry.functions.casting import _DEC, blank_to_null, parse_datetime
+from quarry.functions.casting import blank_to_null, number_or_null, parse_datetime
 from quarry.functions.literals import FRACTIONAL, INTEGRAL
 
 NUMERIC = INTEGRAL + FRACTIONAL
@@ -162,7 +162,7 @@ def type_conformance(df: DataFrame, expected: Mapping[str, str]) -> DataFrame:
         if word == "date":
             parsed = parse_datetime(c, dtype)
         elif word in ("int", "float"):
-            parsed = c.cast("double") if isinstance(dtype, NUMERIC) else blank_to_null(c).try_cast("double")
+            parsed = c.cast("double") if isinstance(dtype, NUMERIC) else number_or_null(blank_to_null(c))
         else:
             parsed = c
         source = blank_to_null(c) if isinstance(dtype, T.StringType) else c

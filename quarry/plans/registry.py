@@ -55,9 +55,13 @@ def register(slug: str, sql: str | None = None):
     return wrap
 
 
-def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf: str, name: str, spread: bool = False) -> DataFrame:
+    """A test table. ``spread=True`` for queries whose heavy per-row work
+    comes before any shuffle (see ``sources.files.spread``); a query whose
+    next step is a join or aggregate gets its parallelism from that shuffle."""
     prepare(spark)
-    return A_files.spread(spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet"))
+    df = spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
+    return A_files.spread(df) if spread else df
 
 
 def read_back_csv(spark: SparkSession, path: str, like: T.StructType, encoding: str = A_files.UTF8,
@@ -302,7 +306,7 @@ def filter_date_equals(spark, sf):
 
 
 def _customer_json(spark, sf):
-    c = table(spark, sf, "customer")
+    c = table(spark, sf, "customer", spread=True)
     tag = F.concat(F.lit("n"), F.col("c_nationkey").cast("string"))
     return c.select("c_custkey", "c_mktsegment", "c_nationkey",
                     F.to_json(F.struct(F.col("c_mktsegment").alias("seg"), F.array(F.col("c_mktsegment"), tag).alias("tags"),
@@ -490,7 +494,7 @@ DIRTY_TYPES = {"qty_txt": "int", "price_txt": "float", "ship_txt": "date"}
 
 
 def dirty_lineitem(spark, sf):
-    li = table(spark, sf, "lineitem")
+    li = table(spark, sf, "lineitem", spread=True)
     k = F.col("l_orderkey")
     qty = F.col("l_quantity").cast("bigint").cast("string")
     return li.select(
@@ -508,7 +512,7 @@ SELECT l_orderkey, CAST(l_quantity AS BIGINT) AS qty, l_extendedprice AS price,
 FROM lineitem
 """)
 def cast_strict(spark, sf):
-    li = table(spark, sf, "lineitem").select(
+    li = table(spark, sf, "lineitem", spread=True).select(
         "l_orderkey", F.col("l_quantity").cast("bigint").cast("string").alias("qty"),
         F.col("l_extendedprice").cast("string").alias("price"),
         F.date_format("l_shipdate", "yyyy-MM-dd").alias("ship"), "l_returnflag")
@@ -822,7 +826,7 @@ def export_csv(spark, sf):
 
 @register("export_csv_chunked", "SELECT * FROM lineitem")
 def export_csv_chunked(spark, sf):
-    li = table(spark, sf, "lineitem")
+    li = table(spark, sf, "lineitem", spread=True)
     path = W.export_csv_chunked(li, scratch_path(spark, "lineitem.csv"), chunk_rows=10_000)
     return read_back_csv(spark, path, li.schema)
 

@@ -21,6 +21,12 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.legacy.javaCharsets": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Broadcast only what is measured: no plan-time estimate (file size)
+    # decides a broadcast; AQE converts a join after its shuffle stages ran
+    # and their real sizes are known.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -30,6 +36,8 @@ SESSION_DEFAULTS = {
 RUNTIME_SETTINGS = (
     "spark.sql.session.timeZone",
     "spark.sql.legacy.javaCharsets",
+    "spark.sql.autoBroadcastJoinThreshold",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold",
 )
 
 

@@ -128,6 +128,8 @@ def run_job(spark: SparkSession, job: JobSpec, specs: Mapping[str, DatasetSpec],
             out_root: str, audit_path: str, run_id: str, now: dt.datetime | None = None) -> tuple[bool, int | None, str]:
     now = now or dt.datetime.now()
     job = test_target(job)
+    # concurrent jobs share the cluster fairly (FAIR scheduler pool per job)
+    spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"job-{job.sql_name}")
     try:
         spec = specs.get(job.sql_name)
         if spec is None:

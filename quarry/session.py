@@ -27,6 +27,7 @@ SESSION_DEFAULTS = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.scheduler.mode": "FAIR",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -35,6 +36,7 @@ SESSION_DEFAULTS = {
 # build ourselves (e.g. the one a scheduler hands us).
 RUNTIME_SETTINGS = (
     "spark.sql.session.timeZone",
+    "spark.sql.ansi.enabled",
     "spark.sql.legacy.javaCharsets",
     "spark.sql.autoBroadcastJoinThreshold",
     "spark.sql.adaptive.autoBroadcastJoinThreshold",

@@ -45,15 +45,22 @@ def scan_partitioned(spark: SparkSession, path: str, chunk_rows: int = 10_000,
     bytes per row so that one task reads about ``chunk_rows`` rows, and all
     chunks run in parallel. Never an OFFSET loop."""
     if bytes_per_row is None:
-        meta = spark.read.parquet(path).select(F.col("_metadata.file_path").alias("p"),
-                                               F.col("_metadata.file_size").alias("s"))
-        stats = meta.groupBy("p").agg(F.count(F.lit(1)).alias("n"), F.max("s").alias("s")) \
-            .agg(F.sum("n").alias("n"), F.sum("s").alias("s")).first()
-        bytes_per_row = max(1, int((stats["s"] or 0) / max(1, stats["n"] or 0)))
+        bytes_per_row = estimate_bytes_per_row(spark, path)
     split = max(1 << 20, bytes_per_row * chunk_rows)
     return spark.read.option("maxPartitionBytes", str(split)).parquet(path)
 
 
+def estimate_bytes_per_row(spark: SparkSession, path: str, sample_files: int = 16) -> int:
+    """Stored bytes per row, from the footers of at most ``sample_files``
+    files (a bounded job, however large the dataset)."""
+    files = sorted(spark.read.parquet(path).inputFiles())[:sample_files]
+    meta = spark.read.parquet(*files).select(F.col("_metadata.file_path").alias("p"),
+                                             F.col("_metadata.file_size").alias("s"))
+    stats = meta.groupBy("p").agg(F.count(F.lit(1)).alias("n"), F.max("s").alias("s")) \
+        .agg(F.sum("n").alias("n"), F.sum("s").alias("s")).first()
+    return max(1, int((stats["s"] or 0) / max(1, stats["n"] or 0)))
+
+
 def scan_csv(spark: SparkSession, path: str, encoding: str = UTF8, header: bool = True,
              schema: str | None = None, sep: str = ",") -> DataFrame:
     """CSV with a header in CP932 or UTF-8. Give ``schema`` in production:

@@ -55,3 +55,27 @@ def read_error_counts(spark: SparkSession, out_path: str) -> DataFrame:
     """The latest count of every window written by the stream."""
     rows = spark.read.parquet(out_path)
     return rows.groupBy("window_start").agg(F.max_by("n_errors", "batch_id").alias("n_errors"))
+
+
+def log_error_stream(spark: SparkSession, log_dir: str, out_path: str, checkpoint: str,
+                     window: str = WINDOW, watermark: str = WATERMARK, available_now: bool = True):
+    """M9 over raw log files: new text files in ``log_dir`` are parsed (the
+    timestamp in the first 19 characters, the error words) and error lines
+    are counted per event-time hour, as ``error_count_stream`` does."""
+    from quarry.operators.monitor import parse_log
+
+    lines = parse_log(spark.readStream.text(log_dir))
+    counted = lines.where(F.col("is_error") & F.col("ts").isNotNull()) \
+        .select(F.col("ts").cast("timestamp").alias("event_time")) \
+        .withWatermark("event_time", watermark) \
+        .groupBy(F.window("event_time", window).alias("w")) \
+        .agg(F.count(F.lit(1)).alias("n_errors")) \
+        .select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), "n_errors")
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+
+    writer = counted.writeStream.outputMode("update").foreachBatch(write_batch) \
+        .option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    return writer.start()

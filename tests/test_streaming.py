@@ -8,3 +8,22 @@ def test_stream_equals_batch_twin(spark):
     streamed = {r["window_start"]: r["n_errors"] for r in QUERIES["stream_error_counts"](spark, SF).collect()}
     batch = {r["window_start"]: r["n_errors"] for r in hourly_error_counts(table(spark, SF, "events")).collect()}
     assert streamed == batch and len(batch) > 0
+
+
+def test_log_stream_counts_error_lines(spark):
+    from pyspark.sql import functions as F
+
+    from quarry.operators.monitor import parse_log
+    from quarry.plans.registry import log_lines
+    from quarry.session import scratch_path
+    from quarry.streaming.errors import log_error_stream, read_error_counts
+
+    lines = log_lines(table(spark, SF, "events"))
+    log_dir = scratch_path(spark, "logs")
+    lines.coalesce(2).write.text(log_dir)
+    root = scratch_path(spark, "log_stream")
+    log_error_stream(spark, log_dir, f"{root}/out", f"{root}/ckpt").awaitTermination()
+    streamed = {r["window_start"]: r["n_errors"] for r in read_error_counts(spark, f"{root}/out").collect()}
+    parsed = parse_log(spark.read.text(log_dir)).where("is_error AND ts IS NOT NULL")
+    batch = {r[0]: r[1] for r in parsed.groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz")).count().collect()}
+    assert streamed == batch and len(batch) > 0

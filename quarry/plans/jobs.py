@@ -33,6 +33,11 @@ TARGET_SHEET = "スプシ"
 TARGET_PARQUET = "parquet"
 TRUE_WORDS = ("TRUE", "1", "YES")
 MONTH_START = "月初"
+# Per-job result lines (the blank after the failure mark is
+# U+3000) and the log line layout read by the monitors.
+SUCCESS_LINE = "★成功★ {sql} -> {output}"
+FAILURE_LINE = "★失敗★　{sql}: {reason}"
+LOG_LINE = "{stamp} - {level} - {message}"
 TEST_FOLDER = "test"
 TEST_SUFFIX = "_test"
 # Output name patterns and the strftime layouts they stand for.
@@ -125,7 +130,7 @@ def _sink(df: DataFrame, job: JobSpec, spec: DatasetSpec, out_root: str, now: dt
 
 
 def run_job(spark: SparkSession, job: JobSpec, specs: Mapping[str, DatasetSpec], as_of: dt.date,
-            out_root: str, audit_path: str, run_id: str, now: dt.datetime | None = None) -> tuple[bool, int | None, str]:
+            out_root: str, audit_path: str, run_id: str, now: dt.datetime | None = None) -> tuple[bool, int | None, str, str]:
     now = now or dt.datetime.now()
     job = test_target(job)
     # concurrent jobs share the cluster fairly (FAIR scheduler pool per job)
@@ -135,15 +140,19 @@ def run_job(spark: SparkSession, job: JobSpec, specs: Mapping[str, DatasetSpec],
         if spec is None:
             raise KeyError(f"no dataset named {job.sql_name!r}")
         df = prepare_dataset(spark, spec, job.period, job.criterion, as_of, job.exclude_deleted, job.category)
-        _, rows = _sink(df, job, spec, out_root, now)
+        path, rows = _sink(df, job, spec, out_root, now)
         ok, error = True, ""
+        message = SUCCESS_LINE.format(sql=job.sql_name, output=path.rsplit("/", 1)[-1])
     except Exception as exc:  # one failure must not stop the batch
         LOG.error("job %s failed: %s", job.sql_name, exc)
         LOG.debug(traceback.format_exc())
         ok, rows, error = False, None, f"{type(exc).__name__}: {exc}"[:500]
+        message = FAILURE_LINE.format(sql=job.sql_name, reason=error.replace("\n", " "))
     audit_append(spark, audit_path, job.display_name or job.sql_name, job.sheet_name, job.main_table,
                  job.category, job.target, rows, ok, error, logged_at=now, spare=run_id)
-    return ok, rows, error
+    line = LOG_LINE.format(stamp=now.strftime("%Y-%m-%d %H:%M:%S"), level="INFO" if ok else "ERROR",
+                           message=message)
+    return ok, rows, error, line
 
 
 def run_manifest(spark: SparkSession, jobs: Sequence[JobSpec], specs: Mapping[str, DatasetSpec],
@@ -154,16 +163,27 @@ def run_manifest(spark: SparkSession, jobs: Sequence[JobSpec], specs: Mapping[st
     if problems:
         raise ValueError("; ".join(problems))
     if parallelism == 1:
+        results = []
         for i, job in enumerate(jobs):
             if i and pause_s:
                 time.sleep(pause_s)
-            run_job(spark, job, specs, as_of, out_root, audit_path, run_id, now)
+            results.append(run_job(spark, job, specs, as_of, out_root, audit_path, run_id, now))
     else:
         with ThreadPoolExecutor(max_workers=parallelism) as pool:
-            list(pool.map(lambda j: run_job(spark, j, specs, as_of, out_root, audit_path, run_id, now), jobs))
+            results = list(pool.map(lambda j: run_job(spark, j, specs, as_of, out_root, audit_path, run_id, now),
+                                    jobs))
+    # one result line per job (a handful of rows) into the run log
+    lines = spark.createDataFrame([(r[3],) for r in results], "value string")
+    lines.coalesce(1).write.mode("overwrite").text(f"{run_log_dir(out_root)}/run={run_id}")
     return read_audit(spark, audit_path).where(F.col("spare") == run_id)
 
 
+def run_log_dir(out_root: str) -> str:
+    """Text log of job result lines, one folder per run (read it with
+    ``spark.read.text`` and the monitors)."""
+    return f"{out_root.rstrip('/')}/_run_log"
+
+
 def run_one(spark: SparkSession, jobs: Sequence[JobSpec], specs: Mapping[str, DatasetSpec], name: str,
             as_of: dt.date, out_root: str, audit_path: str, run_id: str,
             synonyms: Mapping[str, str] | None = None, now: dt.datetime | None = None) -> DataFrame:

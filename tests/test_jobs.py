@@ -62,3 +62,15 @@ def test_run_one_by_table_or_synonym(spark):
     out = J.run_one(spark, MANIFEST, dataset_specs(SF), "customer_list", dt.date(1998, 6, 15), f"{root}/o",
                     f"{root}/a", run_id="r2", synonyms={"customer_list": "customers"})
     assert [r["display_name"] for r in out.collect()] == ["customers"]
+
+
+def test_run_log_feeds_the_monitors(spark):
+    from quarry.operators import monitor as M
+    root = scratch_path(spark, "jobs")
+    J.run_manifest(spark, MANIFEST, dataset_specs(SF), dt.date(1998, 6, 15), f"{root}/out", f"{root}/audit",
+                   run_id="r3", now=dt.datetime(2024, 1, 1, 12, 0, 0))
+    log = M.parse_log(spark.read.text(J.run_log_dir(f"{root}/out")))
+    assert log.count() == 6
+    assert [r[0] for r in M.failed_jobs(log.where("is_error")).collect()] == ["orders_by_date"]
+    ok_lines = [r["line"] for r in log.where(F.col("line").contains("★成功★")).collect()]
+    assert any("-> customers.parquet" in x for x in ok_lines)

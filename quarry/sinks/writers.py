@@ -50,14 +50,27 @@ def staging_path(target: str) -> str:
     return f"{target.rstrip('/')}.staging-{uuid.uuid4().hex}"
 
 
+def _recover(fs, tgt, jvm, target: str) -> None:
+    """Finish a swap that a crash interrupted: with no target but a version
+    moved aside, put the newest one back; with both, drop the aside ones."""
+    aside = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{target.rstrip('/')}.old-*")) or []
+    aside = sorted(aside, key=lambda st: st.getModificationTime())
+    if aside and not fs.exists(tgt):
+        fs.rename(aside.pop().getPath(), tgt)
+    for st in aside:
+        fs.delete(st.getPath(), True)
+
+
 def publish(spark: SparkSession, staging: str, target: str) -> str:
     """Swap ``staging`` in as ``target``: the old version is moved aside,
-    the new one renamed in, the old one deleted."""
+    the new one renamed in, the old one deleted. A swap cut short by a
+    driver failure is completed on the next publish."""
     fs, tgt, jvm = _fs(spark, target)
     stg = jvm.org.apache.hadoop.fs.Path(staging)
     parent = tgt.getParent()
     if parent is not None and not fs.exists(parent):
         fs.mkdirs(parent)
+    _recover(fs, tgt, jvm, target)
     old = None
     if fs.exists(tgt):
         old = jvm.org.apache.hadoop.fs.Path(f"{target.rstrip('/')}.old-{uuid.uuid4().hex}")

@@ -88,3 +88,13 @@ def test_view_export(spark):
     path = W.export_view_csv(df, folder, [FilterSpec("s", "choice", "-")], now=dt.datetime(2024, 5, 6, 7, 8, 9))
     assert path.endswith("export_2024-05-06-070809.csv")
     assert scan_csv(spark, path, encoding=CP932, schema="id string, s string").count() == 2
+
+
+def test_publish_recovers_interrupted_swap(spark):
+    target = scratch_path(spark, "swap")
+    W.export_parquet(spark.range(5), target)
+    aside = local(target) + ".old-crash"
+    os.rename(local(target), aside)               # crash after moving the old version aside
+    W.export_parquet(spark.range(2), target)      # next publish restores, then swaps
+    assert spark.read.parquet(target).count() == 2
+    assert not glob.glob(local(target) + ".old-*")

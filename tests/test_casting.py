@@ -106,3 +106,20 @@ def test_decimal_and_sheet(spark):
 def test_type_dictionary(spark):
     sheet = spark.createDataFrame([("a", "int"), ("b", "txt"), ("", "x")], "`DB項目` string, DATA_TYPE string")
     assert C.type_dictionary(sheet) == {"a": "int", "b": "txt"}
+
+
+def test_float_text_matches_python(spark):
+    vals = [12345678.9, 0.0001, 1e-05, 1.5e-07, 123.45, -0.5, 1e20, 1.5e16, 2.5e-4, -12345678.25, 0.001,
+            9999999.5, 3.14159, 123456789012.125, 0.1, 1 / 3, 1e22, 1e-300, 1e300 / 3]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "id long, v double")
+    got = {int(r["id"]): r["v"] for r in C.to_text(df).collect()}
+    for i, v in enumerate(vals):
+        expected = str(int(v)) if float(v).is_integer() and abs(v) < 1e38 else str(v)
+        assert got[i] == expected, v
+
+
+def test_csv_prepare_v2_prints_python_floats(spark):
+    vals = [1.0, 12345678.9, 1e7, 1e16, 0.5, 1e-05]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "id long, v double")
+    got = {int(r["id"]): r["v"] for r in C.csv_prepare_v2(df).collect()}
+    assert [got[i] for i in range(len(vals))] == [str(v) for v in vals]

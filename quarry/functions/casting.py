@@ -266,32 +266,26 @@ def zero_blank_ints(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
 
 def float_text(d: Column) -> Column:
     """A double as Python prints it: plain digits, except an exponent form
-    (``1e-05``, ``1.5e+16``) below 1e-4 and from 1e16. Spark's own text
-    (Java's) switches to ``1.0E7`` already at 1e7 and below 1e-3. Known
-    differences: Java 17 prints a few denormals with a longer mantissa
-    (``4.9e-324``), and integral values past 1e38 keep the exponent form
-    where Python would print every digit."""
+    (``1e-05``) below 1e-4 and from 1e16. Spark's own text (Java's) switches
+    to ``1.2345678E7`` already at 1e7 and below 1e-3. The plain form comes
+    from parsing Java's shortest text as a decimal (exact: the text, not the
+    binary double, is parsed). Known differences: Java 17 prints a few
+    denormals with a longer mantissa (``4.9e-324``), and integral values past
+    1e38 keep the exponent form where Python prints every digit."""
     java = d.cast("string")
-    mant = F.substring_index(java, "E", 1)
-    exp = F.when(java.contains("E"), F.substring_index(java, "E", -1).cast("int")).otherwise(F.lit(0))
-    sign = F.when(mant.startswith("-"), F.lit("-")).otherwise(F.lit(""))
-    unsigned = F.regexp_replace(mant, "^-", "")
-    whole = F.substring_index(unsigned, ".", 1)
-    frac = F.regexp_replace(F.substring_index(unsigned, ".", -1), "0+$", "")
-    digits = F.concat(whole, frac)
-    point = F.length(whole) + exp          # digits before the decimal point
-    dec_exp = point - 1
-    sci = F.concat(sign, whole, F.when(frac != "", F.concat(F.lit("."), frac)).otherwise(F.lit("")),
-                   F.lit("e"), F.when(dec_exp < 0, F.lit("-")).otherwise(F.lit("+")),
-                   F.format_string("%02d", F.abs(dec_exp)))
-    plain = F.when(point <= 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), -point), digits)) \
-        .when(point >= F.length(digits),
-              F.concat(digits, F.repeat(F.lit("0"), point - F.length(digits)), F.lit(".0"))) \
-        .otherwise(F.concat(F.substring(digits, 1, point), F.lit("."), F.substring(digits, point + 1, 400)))
-    # Java's plain form (1e-3 <= |x| < 1e7) already matches Python's
-    return F.when(~java.contains("E"), java) \
-        .when((dec_exp < -4) | (dec_exp >= 16), sci) \
-        .otherwise(F.concat(sign, plain))
+    a = F.abs(d)
+    plain = F.regexp_replace(java.try_cast(T.DecimalType(38, 22)).cast("string"), r"\.?0+$", "")
+    plain = F.when(plain.contains("."), plain).otherwise(F.concat(plain, F.lit(".0")))
+    sci = F.concat(F.regexp_replace(F.substring_index(java, "E", 1), r"\.0$", ""), F.lit("e"),
+                   F.format_string("%+03d", F.substring_index(java, "E", -1).cast("int")))
+    return F.when(~java.contains("E"), java).when((a < F.lit(1e-4)) | (a >= F.lit(1e16)), sci).otherwise(plain)
+
+
+def _java_is_python(d: Column) -> Column:
+    """Where Java's and Python's float text agree (cheap test first, so the
+    string surgery of ``float_text`` runs only for rare magnitudes)."""
+    a = F.abs(d)
+    return (a >= F.lit(1e-3)) & (a < F.lit(1e7))
 
 
 def integral_text(c: Column, dtype: T.DataType) -> Column:
@@ -304,6 +298,7 @@ def integral_text(c: Column, dtype: T.DataType) -> Column:
         text = F.when(F.isnan(d) | (F.abs(d) == F.lit(float("inf"))), F.lit("")) \
             .when(integral & (F.abs(d) < F.lit(_BIG)), d.cast("bigint").cast("string")) \
             .when(integral & (F.abs(d) < F.lit(1e38)), d.cast("decimal(38,0)").cast("string")) \
+            .when(_java_is_python(d), d.cast("string")) \
             .otherwise(float_text(d))
     elif isinstance(dtype, T.DecimalType):
         text = F.when(c == F.floor(c), F.floor(c).cast("string")).otherwise(c.cast("string"))
@@ -348,7 +343,8 @@ def csv_prepare_v2(df: DataFrame) -> DataFrame:
         c = F.col(f.name)
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
             d = c.cast("double")
-            c = F.when(F.isnan(d) | (F.abs(d) == F.lit(float("inf"))), F.lit(None)).otherwise(float_text(d))
+            c = F.when(F.isnan(d) | (F.abs(d) == F.lit(float("inf"))), F.lit(None)) \
+                .when(_java_is_python(d) | (d == F.lit(0.0)), d.cast("string")).otherwise(float_text(d))
         out.append(F.coalesce(c.cast("string"), F.lit("")).alias(f.name))
     return df.select(*out)
 

@@ -27,3 +27,28 @@ def test_log_stream_counts_error_lines(spark):
     parsed = parse_log(spark.read.text(log_dir)).where("is_error AND ts IS NOT NULL")
     batch = {r[0]: r[1] for r in parsed.groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz")).count().collect()}
     assert streamed == batch and len(batch) > 0
+
+
+def test_restart_from_checkpoint_and_late_data(spark):
+    import datetime as dt
+
+    from quarry.session import scratch_path
+    from quarry.streaming.errors import error_count_stream, read_error_counts
+
+    schema = "event_id long, ts timestamp_ntz, event_type string"
+    src, root = scratch_path(spark, "src"), scratch_path(spark, "late")
+    h = lambda hour, minute=0: dt.datetime(2024, 1, 1, hour, minute)
+    first = [(1, h(0, 5), "error"), (2, h(0, 50), "error"), (3, h(5), "error"), (4, h(10), "view"),
+             (5, h(10, 30), "error")]
+    spark.createDataFrame(first, schema).coalesce(1).write.parquet(f"{src}/part=1")
+
+    def run():
+        error_count_stream(spark, src, spark.createDataFrame([], schema).schema, f"{root}/out",
+                           f"{root}/ckpt").awaitTermination()
+        return {r["window_start"].hour: r["n_errors"] for r in read_error_counts(spark, f"{root}/out").collect()}
+
+    assert run() == {0: 2, 5: 1, 10: 1}
+    # a new file after a restart: one on-time error, one older than the watermark (10:30 - 2 h)
+    late = [(6, h(11), "error"), (7, h(0, 10), "error"), (8, h(10, 40), "error")]
+    spark.createDataFrame(late, schema).coalesce(1).write.parquet(f"{src}/part=2")
+    assert run() == {0: 2, 5: 1, 10: 2, 11: 1}

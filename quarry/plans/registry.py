@@ -1133,3 +1133,60 @@ def stream_error_counts(spark, sf):
     query = error_count_stream(spark, sf, schema, f"{root}/out", f"{root}/checkpoint", glob="events.parquet")
     query.awaitTermination()
     return read_error_counts(spark, f"{root}/out")
+
+
+# ---------------------------------------------------------------------------
+# Variants: deep pages, wildcards, login criterion, counted losses, log stream
+# ---------------------------------------------------------------------------
+
+@register("page_keyset", "SELECT * FROM events ORDER BY ts DESC, event_id DESC LIMIT 50 OFFSET 100")
+def page_keyset(spark, sf):
+    events = table(spark, sf, "events")
+    keys = ["ts", "event_id"]
+    last = S.page(events, keys, 2, 50).select(*keys).collect()[-1]   # the previous page's last row
+    return S.page_after(events, keys, [last["ts"], last["event_id"]], 50)
+
+
+@register("filter_like_wildcards", "SELECT p_partkey, p_name FROM part WHERE p_name LIKE '%r_d%'")
+def filter_like_wildcards(spark, sf):
+    return _filtered(spark, sf, "part", [FilterSpec("p_name", "like", "r_d")], ["p_partkey", "p_name"])
+
+
+@register("period_login_either", """
+WITH users AS (SELECT o_custkey AS user_id, max(o_orderdate) AS updated_at, min(o_orderdate) AS last_login_at
+               FROM orders GROUP BY o_custkey)
+SELECT * FROM users
+WHERE (updated_at >= TIMESTAMP '1998-06-01 00:00:00' AND updated_at < TIMESTAMP '1998-07-01 00:00:00')
+   OR (last_login_at >= TIMESTAMP '1998-06-01 00:00:00' AND last_login_at < TIMESTAMP '1998-07-01 00:00:00')
+""")
+def period_login_either(spark, sf):
+    users = table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("user_id")).agg(
+        F.max("o_orderdate").alias("updated_at"), F.min("o_orderdate").alias("last_login_at"))
+    columns = criterion_columns("ログイン日時", is_users_query=True)
+    return period_filter(users, "1998年6月1日～1998年6月30日～までの期間", columns, AS_OF_ORDERS)
+
+
+@register("cast_lenient_losses", DIRTY_SQL + f"""
+SELECT 'qty_txt' AS column,
+       count_if(trim(qty_txt) NOT IN ('', 'nan', 'None') AND ({LENIENT_QTY}) IS NULL) AS lost FROM dirty
+UNION ALL
+SELECT 'price_txt', count_if(trim(price_txt) NOT IN ('', 'nan', 'None') AND {LENIENT_PRICE} IS NULL) FROM dirty
+UNION ALL
+SELECT 'ship_txt', count_if(trim(ship_txt) NOT IN ('', 'nan', 'None') AND {PARSED_SHIP} IS NULL) FROM dirty
+""")
+def cast_lenient_losses(spark, sf):
+    return C.lenient_losses(dirty_lineitem(spark, sf), DIRTY_TYPES)
+
+
+@register("log_stream_error_counts", LOG_SQL + """
+SELECT date_trunc('hour', ts) AS window_start, count(*) AS n_errors FROM parsed
+WHERE is_error AND ts IS NOT NULL GROUP BY 1
+""")
+def log_stream_error_counts(spark, sf):
+    from quarry.streaming.errors import log_error_stream
+    prepare(spark)
+    root = scratch_path(spark, "log_stream")
+    log_lines(table(spark, sf, "events")).write.text(f"{root}/logs")
+    query = log_error_stream(spark, f"{root}/logs", f"{root}/out", f"{root}/checkpoint")
+    query.awaitTermination()
+    return read_error_counts(spark, f"{root}/out")

@@ -231,8 +231,9 @@ def json_contains(c: str | Column, value: str, path: str = "$") -> Column | None
     """MySQL ``JSON_CONTAINS(c, '"value"', path)``.
 
     The candidate is a JSON string, so it matches a string equal to
-    ``value`` at ``path`` or such a string inside an array there; numbers,
-    objects and invalid JSON never match.
+    ``value`` at ``path`` or such a string among the elements of an array
+    there; numbers, objects and invalid JSON never match. Arrays nested in
+    arrays are not searched.
     """
     if value is None:
         return None

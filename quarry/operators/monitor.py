@@ -100,6 +100,11 @@ def latest_errors(errors: DataFrame, n: int = 5) -> DataFrame:
     return errors.orderBy(F.col("ts").desc(), F.col("line").desc()).limit(n)
 
 
+def first_errors(errors: DataFrame, n: int = 3) -> DataFrame:
+    """M7's preview form: the ``n`` oldest error lines of the window."""
+    return errors.orderBy(F.col("ts").asc(), F.col("line").asc()).limit(n)
+
+
 def output_record_counts(log: DataFrame) -> DataFrame:
     """M8: record counts and table names reported in run output."""
     line = F.col("line")

@@ -49,3 +49,8 @@ def test_stale_and_files(spark):
     fresh = M.file_freshness(spark.read.parquet("/root/testdata/sf0.001/region.parquet"),
                              dt.datetime.now() + dt.timedelta(days=1)).first()
     assert fresh["age_hours"] > 0
+
+
+def test_first_errors(spark):
+    parsed = log(spark, LINES).where("is_error AND ts IS NOT NULL")
+    assert [r["ts"].hour for r in M.first_errors(parsed, 2).collect()] == [9, 10]

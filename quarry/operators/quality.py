@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from quarry.functions.casting import blank_to_null, number_or_null, parse_datetime
 from quarry.functions.literals import FRACTIONAL, INTEGRAL
+from quarry.session import shared_dir
 
 NUMERIC = INTEGRAL + FRACTIONAL
 
@@ -104,6 +105,10 @@ def duplicate_rows(df: DataFrame, subset: Sequence[str] | None = None,
     cols = list(subset or df.columns)
     hashed = df.select(*[F.col(c) for c in cols], F.xxhash64(*[F.col(c) for c in cols]).alias("__h"))
     candidates = hashed.groupBy("__h").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > 1).select("__h")
+    # computed once and stored in the shared checkpoint folder: counting it
+    # and broadcasting it then read the stored set, not a second scan
+    shared_dir(df.sparkSession)
+    candidates = candidates.checkpoint(eager=True)
     n_candidates = candidates.count()
     if n_candidates == 0:
         return hashed.limit(0).agg(F.lit(0).cast("bigint").alias("duplicate_rows"))

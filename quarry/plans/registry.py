@@ -130,6 +130,17 @@ GROUP BY o.o_orderstatus
 """
 
 
+def stream_source(spark: SparkSession, path: str) -> tuple[str, str | None]:
+    """A streaming file source for a table stored either as one file (read
+    its folder, filtered to that file name) or as a folder of part files."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.getFileStatus(hpath).isDirectory():
+        return path, None
+    return path.rsplit("/", 1)[0], path.rsplit("/", 1)[1]
+
+
 def _views(spark, sf, names):
     A_sql.register_tables(spark, {n: f"{sf}/{n}.parquet" for n in names})
 
@@ -1130,7 +1141,8 @@ def stream_error_counts(spark, sf):
     prepare(spark)
     schema = table(spark, sf, "events").schema
     root = scratch_path(spark, "error_stream")
-    query = error_count_stream(spark, sf, schema, f"{root}/out", f"{root}/checkpoint", glob="events.parquet")
+    source, glob = stream_source(spark, f"{sf.rstrip('/')}/events.parquet")
+    query = error_count_stream(spark, source, schema, f"{root}/out", f"{root}/checkpoint", glob=glob)
     query.awaitTermination()
     return read_error_counts(spark, f"{root}/out")
 

@@ -281,6 +281,20 @@ def float_text(d: Column) -> Column:
     return F.when(~java.contains("E"), java).when((a < F.lit(1e-4)) | (a >= F.lit(1e16)), sci).otherwise(plain)
 
 
+def exact_integral_text(d: Column) -> Column:
+    """Every digit of an integral double below 1e38, as Python's ``int``
+    prints it. Below 2^63 a bigint holds it. Above, a double is a multiple
+    of 2^11 per 11 binary orders, so dividing by that power of two is exact,
+    the quotient fits a bigint, and the product is formed in decimal (a
+    plain decimal cast would round to 17 significant digits)."""
+    a = F.abs(d)
+    out = F.when(a < F.lit(2.0 ** 63), d.cast("bigint").cast("string"))
+    for k in range(11, 67, 11):
+        quotient = (d / F.lit(float(2 ** k))).cast("bigint").cast(T.DecimalType(19, 0))
+        out = out.when(a < F.lit(2.0 ** (63 + k)), (quotient * F.lit(str(2 ** k)).cast(T.DecimalType(20, 0))).cast("string"))
+    return out
+
+
 def _java_is_python(d: Column) -> Column:
     """Where Java's and Python's float text agree (cheap test first, so the
     string surgery of ``float_text`` runs only for rare magnitudes)."""
@@ -296,8 +310,7 @@ def integral_text(c: Column, dtype: T.DataType) -> Column:
         d = c.cast("double")
         integral = (d % F.lit(1.0)) == F.lit(0.0)   # floor() would saturate past 2^63
         text = F.when(F.isnan(d) | (F.abs(d) == F.lit(float("inf"))), F.lit("")) \
-            .when(integral & (F.abs(d) < F.lit(_BIG)), d.cast("bigint").cast("string")) \
-            .when(integral & (F.abs(d) < F.lit(1e38)), d.cast("decimal(38,0)").cast("string")) \
+            .when(integral & (F.abs(d) < F.lit(1e38)), exact_integral_text(d)) \
             .when(_java_is_python(d), d.cast("string")) \
             .otherwise(float_text(d))
     elif isinstance(dtype, T.DecimalType):

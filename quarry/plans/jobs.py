@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from quarry.plans.dataset import prepare_dataset
 from quarry.sinks import writers as W
 from quarry.sinks.writers import (
-    AUDIT_SCHEMA, PASTE_APPEND, RESULT_FAILED, RESULT_OK, audit_append, export_csv, export_parquet,
+    PASTE_APPEND, RESULT_FAILED, RESULT_OK, audit_append, export_csv, export_parquet,
     publish, staging_path, write_counted,
 )
 from quarry.spec import DatasetSpec, JobSpec

@@ -1,5 +1,4 @@
 import datetime as dt
-import math
 
 import pytest
 
@@ -123,3 +122,10 @@ def test_csv_prepare_v2_prints_python_floats(spark):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "id long, v double")
     got = {int(r["id"]): r["v"] for r in C.csv_prepare_v2(df).collect()}
     assert [got[i] for i in range(len(vals))] == [str(v) for v in vals]
+
+
+def test_exact_integral_text_past_bigint(spark):
+    vals = [9.000000000000001e18, 2.0 ** 63, 2.0 ** 63 + 2048, 1.2345678901234567e22, 3.0e30, 9.99e37, -2.0 ** 70]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "id long, v double")
+    got = {int(r["id"]): r["v"] for r in C.to_text(df).collect()}
+    assert [got[i] for i in range(len(vals))] == [str(int(v)) for v in vals]

@@ -1,6 +1,6 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
+
 
 from conftest import plan_text
 from quarry.functions import filters as FL

@@ -2,10 +2,9 @@
 hand-picked ones."""
 
 import datetime as dt
-import math
 
 from hypothesis import given, settings, strategies as st
-from pyspark.sql import functions as F, types as T
+
 
 from quarry.functions import casting as C
 from quarry.functions import filters as FL

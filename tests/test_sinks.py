@@ -3,7 +3,7 @@ import glob
 import os
 
 import pytest
-from pyspark.sql import functions as F
+
 
 from quarry.session import scratch_path
 from quarry.sinks import writers as W

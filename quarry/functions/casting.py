@@ -295,6 +295,13 @@ def exact_integral_text(d: Column) -> Column:
     return out
 
 
+def rare_number_text(d: Column) -> Column:
+    """Text for magnitudes the common branches do not cover: integral past
+    2^63 (every digit, up to 1e38), fractional below 1e-3 or from 1e7."""
+    integral = (d % F.lit(1.0)) == F.lit(0.0)
+    return F.when(integral & (F.abs(d) < F.lit(1e38)), exact_integral_text(d)).otherwise(float_text(d))
+
+
 def _java_is_python(d: Column) -> Column:
     """Where Java's and Python's float text agree (cheap test first, so the
     string surgery of ``float_text`` runs only for rare magnitudes)."""
@@ -310,9 +317,9 @@ def integral_text(c: Column, dtype: T.DataType) -> Column:
         d = c.cast("double")
         integral = (d % F.lit(1.0)) == F.lit(0.0)   # floor() would saturate past 2^63
         text = F.when(F.isnan(d) | (F.abs(d) == F.lit(float("inf"))), F.lit("")) \
-            .when(integral & (F.abs(d) < F.lit(1e38)), exact_integral_text(d)) \
-            .when(_java_is_python(d), d.cast("string")) \
-            .otherwise(float_text(d))
+            .when(integral & (F.abs(d) < F.lit(2.0 ** 63)), d.cast("bigint").cast("string")) \
+            .when(~integral & _java_is_python(d), d.cast("string")) \
+            .otherwise(rare_number_text(d))
     elif isinstance(dtype, T.DecimalType):
         text = F.when(c == F.floor(c), F.floor(c).cast("string")).otherwise(c.cast("string"))
     elif isinstance(dtype, T.BooleanType):

@@ -29,6 +29,7 @@ RESULT_OK = "成功"
 RESULT_FAILED = "失敗"
 AUDIT_SCHEMA = ("display_name string, sheet string, main_table string, category string, target string, "
                 "row_count bigint, result string, error string, logged_at timestamp_ntz, spare string")
+BOM = "\ufeff"
 # Export file stamp.
 STAMP_LAYOUT = "%Y-%m-%d-%H%M%S"
 
@@ -98,13 +99,20 @@ def _csv_writer(df: DataFrame, encoding: str, header: bool, sep: str, chunk_rows
 def export_csv(df: DataFrame, path: str, types: Mapping[str, str] | None = None,
                encoding: str = UTF8, header: bool = True, sep: str = ",",
                chunk_rows: int | None = None, single_file: bool = False,
-               prepare: bool = True) -> str:
+               prepare: bool = True, bom: bool = False) -> str:
     """Clean (T6-T9) and write CSV with a header, then publish.
 
     CP932 output (``encoding=CP932``) replaces characters it cannot encode,
     as the reference's ``errors='replace'`` does. Empty text is written as
-    nothing, like pandas."""
+    nothing, like pandas. ``bom=True`` (UTF-8 only) starts every file with a
+    byte-order mark: each part file begins with its header line, so the mark
+    rides on the first column's name."""
     out = csv_prepare(df, types or {}) if prepare else df
+    if bom:
+        if not header or encoding.upper().replace("-", "") != "UTF8":
+            raise ValueError("a byte-order mark needs UTF-8 output with a header")
+        first = out.columns[0]
+        out = out.withColumnRenamed(first, BOM + first)
     if single_file:
         out = out.coalesce(1)
     stage = staging_path(path)

@@ -98,3 +98,14 @@ def test_publish_recovers_interrupted_swap(spark):
     W.export_parquet(spark.range(2), target)      # next publish restores, then swaps
     assert spark.read.parquet(target).count() == 2
     assert not glob.glob(local(target) + ".old-*")
+
+
+def test_utf8_bom(spark):
+    df = spark.createDataFrame([(1, "日本"), (2, "x")], "id long, s string").repartition(2)
+    path = W.export_csv(df, scratch_path(spark, "bom.csv"), bom=True)
+    files = [f for f in glob.glob(os.path.join(local(path), "part-*.csv")) if os.path.getsize(f)]
+    assert files and all(open(f, "rb").read().startswith(b"\xef\xbb\xbfid,s") for f in files)
+    back = scan_csv(spark, path, schema="id long, s string")
+    assert sorted(r["s"] for r in back.collect()) == ["x", "日本"]
+    with pytest.raises(ValueError):
+        W.export_csv(df, scratch_path(spark, "bad.csv"), encoding=CP932, bom=True)

@@ -59,6 +59,34 @@ def select_jobs(manifest: DataFrame, as_of: dt.date, flag: str = "enabled",
     return manifest.where(on & freq_ok)
 
 
+def jobs_from_manifest(manifest: DataFrame, as_of: dt.date, columns: Mapping[str, str] | None = None,
+                       flag: str = "enabled", frequency: str = "frequency") -> list[JobSpec]:
+    """J1's input from a manifest table (CSV, Parquet or a sheet export):
+    rows are selected as J2 does, rows with J7 violations are refused, and
+    the rest become JobSpecs. ``columns`` maps JobSpec fields to the
+    manifest's own column names. A manifest holds one row per job, so the
+    selected rows are brought to the driver."""
+    names = {f: (columns or {}).get(f, f) for f in JobSpec.__dataclass_fields__}
+    present = set(manifest.columns)
+    renamed = manifest.select(*[F.col(src).alias(field) for field, src in names.items() if src in present])
+    chosen = select_jobs(renamed, as_of, flag, frequency) if flag in renamed.columns else renamed
+    for field in ("sql_name", "output_name", "target", "sheet_name"):
+        if field not in chosen.columns:
+            chosen = chosen.withColumn(field, F.lit(""))
+    bad = validate_jobs(chosen).collect()
+    if bad:
+        raise ValueError("manifest problems: " + "; ".join(f"{r['sql_name']}: {r['problem']}" for r in bad))
+    truthy = lambda v: str(v).strip().upper() in TRUE_WORDS
+    jobs = []
+    for row in chosen.collect():
+        values = {k: ("" if v is None else v) for k, v in row.asDict().items()}
+        for key in ("exclude_deleted", "test"):
+            if key in values:
+                values[key] = truthy(values[key])
+        jobs.append(JobSpec(**{k: (v if isinstance(v, bool) else str(v)) for k, v in values.items()}))
+    return jobs
+
+
 def job_file_name(fmt: str, filename: str, now: dt.datetime, ext: str = "") -> str:
     """Output name from a pattern; any other text is the name itself."""
     base = filename.rsplit(".", 1)[0] if "." in filename else filename

@@ -74,3 +74,20 @@ def test_run_log_feeds_the_monitors(spark):
     assert [r[0] for r in M.failed_jobs(log.where("is_error")).collect()] == ["orders_by_date"]
     ok_lines = [r["line"] for r in log.where(F.col("line").contains("★成功★")).collect()]
     assert any("-> customers.parquet" in x for x in ok_lines)
+
+
+def test_jobs_from_manifest(spark):
+    import pytest
+    rows = [("orders_by_date", "o1", "前日", "登録日時", "parquet", "TRUE", "", "true"),
+            ("customer_master", "c1", "", "", "CSV", "false", "", "FALSE"),
+            ("orders_live", "l1", "", "", "parquet", "1", "月初", "")]
+    m = spark.createDataFrame(rows, "`sqlファイル名` string, `出力ファイル名` string, `期間` string, `期間基準` string, "
+                                    "`出力先` string, `実行対象` string, `実行頻度` string, `削除除外` string")
+    mapping = {"sql_name": "sqlファイル名", "output_name": "出力ファイル名", "period": "期間", "criterion": "期間基準",
+               "target": "出力先", "enabled": "実行対象", "frequency": "実行頻度", "exclude_deleted": "削除除外"}
+    jobs = J.jobs_from_manifest(m, dt.date(1998, 6, 15), mapping)
+    assert [(j.sql_name, j.exclude_deleted) for j in jobs] == [("orders_by_date", True)]
+    assert len(J.jobs_from_manifest(m, dt.date(1998, 6, 1), mapping)) == 2      # month-start job on day 1
+    broken = m.withColumn("出力先", F.lit("fax"))
+    with pytest.raises(ValueError):
+        J.jobs_from_manifest(broken, dt.date(1998, 6, 15), mapping)

@@ -41,13 +41,19 @@ def scan_parquet_head(spark: SparkSession, path: str, keys: Sequence[str], n: in
 def scan_partitioned(spark: SparkSession, path: str, chunk_rows: int = 10_000,
                      bytes_per_row: int | None = None) -> DataFrame:
     """A chunked scan is Spark's split planning. The reference reads
-    ``chunk_rows`` at a time; here the split size is set from the file's
-    bytes per row so that one task reads about ``chunk_rows`` rows, and all
-    chunks run in parallel. Never an OFFSET loop."""
+    ``chunk_rows`` at a time; here the split size is set from the files'
+    bytes per row so that one task reads about ``chunk_rows`` rows (row
+    groups are the smallest unit a split can take), and all chunks run in
+    parallel. Never an OFFSET loop.
+
+    Split size is a session setting (``spark.sql.files.maxPartitionBytes``;
+    a per-read option is ignored by the Parquet source), applied when a
+    query runs, so it is set on the session and stays in effect."""
     if bytes_per_row is None:
         bytes_per_row = estimate_bytes_per_row(spark, path)
     split = max(1 << 20, bytes_per_row * chunk_rows)
-    return spark.read.option("maxPartitionBytes", str(split)).parquet(path)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+    return spark.read.parquet(path)
 
 
 def estimate_bytes_per_row(spark: SparkSession, path: str, sample_files: int = 16) -> int:

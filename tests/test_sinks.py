@@ -109,3 +109,18 @@ def test_utf8_bom(spark):
     assert sorted(r["s"] for r in back.collect()) == ["x", "日本"]
     with pytest.raises(ValueError):
         W.export_csv(df, scratch_path(spark, "bad.csv"), encoding=CP932, bom=True)
+
+
+def test_scan_partitioned_sizes_splits(spark):
+    from quarry.sources.files import scan_partitioned
+    path = scratch_path(spark, "row_groups")
+    spark.read.parquet("/root/testdata/sf0.1/lineitem.parquet").coalesce(1) \
+        .write.option("parquet.block.size", str(256 << 10)).parquet(path)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        coarse = scan_partitioned(spark, path, chunk_rows=10_000_000).rdd.getNumPartitions()
+        fine = scan_partitioned(spark, path, chunk_rows=50_000).rdd.getNumPartitions()
+        assert fine > coarse
+        assert scan_partitioned(spark, path).count() == 600_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)

@@ -46,14 +46,23 @@ def scan_partitioned(spark: SparkSession, path: str, chunk_rows: int = 10_000,
     groups are the smallest unit a split can take), and all chunks run in
     parallel. Never an OFFSET loop.
 
-    Split size is a session setting (``spark.sql.files.maxPartitionBytes``;
-    a per-read option is ignored by the Parquet source), applied when a
-    query runs, so it is set on the session and stays in effect."""
+    Split size is a SQL setting applied when a query runs (the Parquet
+    source ignores it as a read option), so the read goes through a child
+    session (same SparkContext, own SQL settings): the size applies to this
+    scan only and other queries keep theirs. The frame can be combined with
+    frames of the same child session only."""
     if bytes_per_row is None:
         bytes_per_row = estimate_bytes_per_row(spark, path)
     split = max(1 << 20, bytes_per_row * chunk_rows)
-    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
-    return spark.read.parquet(path)
+    reader = spark.newSession()
+    for key, value in spark.conf.getAll.items():   # carry the caller's SQL settings over
+        if key.startswith("spark.sql."):
+            try:
+                reader.conf.set(key, value)
+            except Exception:  # static settings are shared by all sessions anyway
+                pass
+    reader.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+    return reader.read.parquet(path)
 
 
 def estimate_bytes_per_row(spark: SparkSession, path: str, sample_files: int = 16) -> int:

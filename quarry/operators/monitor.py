@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 # Words that mark an error line.
 ERROR_WORDS = ("ERROR", "エラー", "失敗")
-# Error classes (first match wins), as Java/RE2 regexes.
+# Error classes (first match wins), as Java/RE2 regexes;
+# matched without regard to case, as the log scanner's Select-String does.
 DATABASE_PATTERN = "データベース接続|MySQL Connection|Lost connection"
 API_PATTERN = "APIError|API"
 CLASS_DATABASE, CLASS_API, CLASS_OTHER = "database", "api", "other"
@@ -22,7 +23,8 @@ FAILED_JOB_PATTERN = "★失敗★[\\s　]+([^:]+):"
 # Record count and table name in run output, with fallback.
 RECORDS_PATTERN = "(\\d+) レコード処理完了"
 RECORDS_FALLBACK = "(\\d+) レコード"
-TABLE_PATTERN = "処理完了: (\\w+)"
+# (word characters in the Unicode sense, as the run-output parser reads them)
+TABLE_PATTERN = "処理完了: ([\\p{L}\\p{N}_]+)"
 # Log timestamp layout and width.
 LOG_TS_LAYOUT = "yyyy-MM-dd HH:mm:ss"
 LOG_TS_WIDTH = 19
@@ -64,8 +66,8 @@ def recent_errors(log: DataFrame, as_of: dt.datetime, hours: float = 1) -> DataF
 
 def error_class(line: Column) -> Column:
     """M4's classifier: database, else API, else other (first match)."""
-    return F.when(line.rlike(DATABASE_PATTERN), F.lit(CLASS_DATABASE)) \
-        .when(line.rlike(API_PATTERN), F.lit(CLASS_API)).otherwise(F.lit(CLASS_OTHER))
+    return F.when(line.rlike("(?i)" + DATABASE_PATTERN), F.lit(CLASS_DATABASE)) \
+        .when(line.rlike("(?i)" + API_PATTERN), F.lit(CLASS_API)).otherwise(F.lit(CLASS_OTHER))
 
 
 def error_classes(errors: DataFrame) -> DataFrame:

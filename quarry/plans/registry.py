@@ -1062,8 +1062,8 @@ def recent_errors(spark, sf):
 
 
 @register("error_classes", LOG_SQL + """
-SELECT CASE WHEN regexp_matches(line, 'データベース接続|MySQL Connection|Lost connection') THEN 'database'
-            WHEN regexp_matches(line, 'APIError|API') THEN 'api' ELSE 'other' END AS error_class,
+SELECT CASE WHEN regexp_matches(line, 'データベース接続|MySQL Connection|Lost connection', 'i') THEN 'database'
+            WHEN regexp_matches(line, 'APIError|API', 'i') THEN 'api' ELSE 'other' END AS error_class,
        count(*) AS n_errors
 FROM parsed WHERE is_error GROUP BY 1
 """)
@@ -1101,9 +1101,9 @@ def latest_errors(spark, sf):
 @register("output_record_counts", LOG_SQL + """
 SELECT ts, CAST(coalesce(nullif(regexp_extract(line, '(\\d+) レコード処理完了', 1), ''),
                          nullif(regexp_extract(line, '(\\d+) レコード', 1), '')) AS BIGINT) AS records,
-       nullif(regexp_extract(line, '処理完了: (\\w+)', 1), '') AS table_name
+       nullif(regexp_extract(line, '処理完了: ([\\p{L}\\p{N}_]+)', 1), '') AS table_name
 FROM parsed
-WHERE regexp_extract(line, '(\\d+) レコード', 1) <> '' OR regexp_extract(line, '処理完了: (\\w+)', 1) <> ''
+WHERE regexp_extract(line, '(\\d+) レコード', 1) <> '' OR regexp_extract(line, '処理完了: ([\\p{L}\\p{N}_]+)', 1) <> ''
 """)
 def output_record_counts(spark, sf):
     return M.output_record_counts(parsed_log(spark, sf))

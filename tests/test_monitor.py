@@ -54,3 +54,12 @@ def test_stale_and_files(spark):
 def test_first_errors(spark):
     parsed = log(spark, LINES).where("is_error AND ts IS NOT NULL")
     assert [r["ts"].hour for r in M.first_errors(parsed, 2).collect()] == [9, 10]
+
+
+def test_case_and_unicode_rules(spark):
+    parsed = log(spark, ["2024-01-01 10:00:00 - ERROR - lost CONNECTION to mysql connection",
+                         "2024-01-01 10:00:01 - ERROR - api quota",
+                         "2024-01-01 11:00:00 - INFO - 処理完了: 顧客_2024 12 レコード処理完了"])
+    classes = {r[0]: r[1] for r in M.error_classes(parsed.where("is_error")).collect()}
+    assert classes == {"database": 1, "api": 1}
+    assert [r["table_name"] for r in M.output_record_counts(parsed).collect()] == ["顧客_2024"]

@@ -150,3 +150,16 @@ def file_freshness(df: DataFrame, as_of: dt.datetime) -> DataFrame:
         .agg(F.max("m").cast("timestamp_ntz").alias("last_modified"))
     age = hours_between(_ts_literal(as_of), F.col("last_modified"))
     return latest.select("last_modified", age.alias("age_hours"), freshness_band(age).alias("freshness"))
+
+
+def stale_files(spark, folder: str, as_of: dt.datetime, hours: float = 24) -> DataFrame:
+    """M1 over a folder of stored datasets (``<name>.parquet``, each a file
+    or a folder of part files): datasets whose newest file was modified more
+    than ``hours`` before ``as_of``. Only file metadata is read, in one
+    distributed pass; partial aggregation leaves one row per file."""
+    meta = spark.read.parquet(f"{folder.rstrip('/')}/*.parquet") \
+        .select(F.col("_metadata.file_path").alias("path"),
+                F.col("_metadata.file_modification_time").alias("modified"))
+    per_file = meta.groupBy("path").agg(F.max("modified").alias("modified"))
+    dataset = F.regexp_extract(F.col("path"), r"/([^/]+\.parquet)(/|$)", 1)
+    return stale_datasets(per_file, dataset, F.col("modified").cast("timestamp_ntz"), as_of, hours)

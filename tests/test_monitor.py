@@ -63,3 +63,20 @@ def test_case_and_unicode_rules(spark):
     classes = {r[0]: r[1] for r in M.error_classes(parsed.where("is_error")).collect()}
     assert classes == {"database": 1, "api": 1}
     assert [r["table_name"] for r in M.output_record_counts(parsed).collect()] == ["顧客_2024"]
+
+
+def test_stale_files(spark):
+    import os
+    import time
+
+    from quarry.session import scratch_path
+    folder = scratch_path(spark, "datasets")
+    spark.range(3).write.parquet(f"{folder}/fresh.parquet")
+    spark.range(3).write.parquet(f"{folder}/old.parquet")
+    local = folder[len("file:"):] if folder.startswith("file:") else folder
+    two_days_ago = time.time() - 48 * 3600
+    for root, _, files in os.walk(f"{local}/old.parquet"):
+        for name in files:
+            os.utime(os.path.join(root, name), (two_days_ago, two_days_ago))
+    stale = M.stale_files(spark, folder, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), hours=24).collect()
+    assert [r["dataset"] for r in stale] == ["old.parquet"] and 47 < stale[0]["age_hours"] < 49

@@ -30,8 +30,9 @@ RESULT_FAILED = "失敗"
 AUDIT_SCHEMA = ("display_name string, sheet string, main_table string, category string, target string, "
                 "row_count bigint, result string, error string, logged_at timestamp_ntz, spare string")
 BOM = "\ufeff"
-# Export file stamp.
+# Export file stamp and name.
 STAMP_LAYOUT = "%Y-%m-%d-%H%M%S"
+EXPORT_NAME = "{stamp}_{suffix}.csv"
 
 
 # --- publish -----------------------------------------------------------------
@@ -231,9 +232,10 @@ def read_audit(spark: SparkSession, audit_path: str) -> DataFrame:
 
 def export_view_csv(df: DataFrame, folder: str, filters: Sequence[FilterSpec] = (),
                     types: Mapping[str, str] | None = None, encoding: str = CP932,
-                    prefix: str = "export", now: dt.datetime | None = None) -> str:
+                    suffix: str = "export", now: dt.datetime | None = None) -> str:
     """The filtered view (all rows under the same conditions), empty
     rows dropped (T13), prepared (T9), written as CSV named by time."""
     view = drop_empty_rows(apply_filters(df, filters))
     stamp = (now or dt.datetime.now()).strftime(STAMP_LAYOUT)
-    return export_csv(view, f"{folder.rstrip('/')}/{prefix}_{stamp}.csv", types=types, encoding=encoding)
+    name = EXPORT_NAME.format(stamp=stamp, suffix=suffix)
+    return export_csv(view, f"{folder.rstrip('/')}/{name}", types=types, encoding=encoding)

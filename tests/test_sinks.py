@@ -86,7 +86,7 @@ def test_view_export(spark):
     df = spark.createDataFrame([(1, "a"), (2, "b"), (None, None)], "id long, s string")
     folder = scratch_path(spark, "exports")
     path = W.export_view_csv(df, folder, [FilterSpec("s", "choice", "-")], now=dt.datetime(2024, 5, 6, 7, 8, 9))
-    assert path.endswith("export_2024-05-06-070809.csv")
+    assert path.endswith("/2024-05-06-070809_export.csv")
     assert scan_csv(spark, path, encoding=CP932, schema="id string, s string").count() == 2
 
 

@@ -100,14 +100,16 @@ def _csv_writer(df: DataFrame, encoding: str, header: bool, sep: str, chunk_rows
 def export_csv(df: DataFrame, path: str, types: Mapping[str, str] | None = None,
                encoding: str = UTF8, header: bool = True, sep: str = ",",
                chunk_rows: int | None = None, single_file: bool = False,
-               prepare: bool = True, bom: bool = False) -> str:
+               prepare: bool = True, bom: bool = False, skip_empty: bool = False) -> str | None:
     """Clean (T6-T9) and write CSV with a header, then publish.
 
     CP932 output (``encoding=CP932``) replaces characters it cannot encode,
     as the reference's ``errors='replace'`` does. Empty text is written as
     nothing, like pandas. ``bom=True`` (UTF-8 only) starts every file with a
     byte-order mark: each part file begins with its header line, so the mark
-    rides on the first column's name."""
+    rides on the first column's name. ``skip_empty=True`` publishes nothing
+    (and returns None) when the result has no rows; the rows are counted on
+    the write itself, not by a separate job."""
     out = csv_prepare(df, types or {}) if prepare else df
     if bom:
         if not header or encoding.upper().replace("-", "") != "UTF8":
@@ -117,7 +119,11 @@ def export_csv(df: DataFrame, path: str, types: Mapping[str, str] | None = None,
     if single_file:
         out = out.coalesce(1)
     stage = staging_path(path)
-    _csv_writer(out, encoding, header, sep, chunk_rows).csv(stage)
+    rows = write_counted(out, lambda d: _csv_writer(d, encoding, header, sep, chunk_rows).csv(stage))
+    if skip_empty and rows == 0:
+        fs, hstage, _ = _fs(df.sparkSession, stage)
+        fs.delete(hstage, True)
+        return None
     return publish(df.sparkSession, stage, path)
 
 

@@ -122,3 +122,10 @@ def test_scan_partitioned_sizes_splits(spark):
     assert fine > coarse
     assert scan_partitioned(spark, path).count() == 600_000
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before   # only that scan changed
+
+
+def test_skip_empty_export(spark):
+    target = scratch_path(spark, "empty.csv")
+    assert W.export_csv(spark.range(0), target, skip_empty=True) is None
+    assert not os.path.exists(local(target)) and not glob.glob(local(target) + ".staging-*")
+    assert W.export_csv(spark.range(2), target, skip_empty=True) == target

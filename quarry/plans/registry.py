@@ -1202,3 +1202,14 @@ def log_stream_error_counts(spark, sf):
     query = log_error_stream(spark, f"{root}/logs", f"{root}/out", f"{root}/checkpoint")
     query.awaitTermination()
     return read_error_counts(spark, f"{root}/out")
+
+
+@register("filter_json_number", """
+SELECT event_id, props FROM events
+WHERE json_type(props, '$.k') = 'VARCHAR' AND json_extract_string(props, '$.k') = '9'
+""")
+def filter_json_number(spark, sf):
+    # events.props holds {"k": <number>}: the quoted candidate "9" never
+    # matches the number 9 (a text extraction would say it does)
+    df = _filtered(spark, sf, "events", [FilterSpec("props", "json_path", "9", path="$.k")])
+    return df.select("event_id", "props")

@@ -1213,3 +1213,36 @@ def filter_json_number(spark, sf):
     # matches the number 9 (a text extraction would say it does)
     df = _filtered(spark, sf, "events", [FilterSpec("props", "json_path", "9", path="$.k")])
     return df.select("event_id", "props")
+
+
+def labeled_documents(spark, sf):
+    """Documents with their labels; unlabelled documents get null labels."""
+    docs = table(spark, sf, "documents").select("doc_id", "lang", "n_chars")
+    return docs.join(table(spark, sf, "labels"), "doc_id", "left")
+
+
+@register("validate_labels", """
+WITH j AS (SELECT d.doc_id, l.quality, l.toxic FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id),
+     s AS (SELECT count(*) AS n, count(*) - count(quality) AS nq, count(*) - count(toxic) AS nt FROM j)
+SELECT 'required_columns' AS rule, 'quality' AS column, 'present' AS expected, 'present' AS actual, true AS passed FROM s
+UNION ALL SELECT 'no_null_columns', 'doc_id', '0', '0', true FROM s
+UNION ALL SELECT 'no_null_columns', 'quality', '0', CAST(nq AS VARCHAR), nq = 0 FROM s
+UNION ALL SELECT 'no_null_columns', 'toxic', '0', CAST(nt AS VARCHAR), nt = 0 FROM s
+UNION ALL SELECT 'column_types', 'quality', 'int', 'int', true FROM s
+""")
+def validate_labels(spark, sf):
+    rules = {"required_columns": ["quality"], "no_null_columns": ["doc_id", "quality", "toxic"],
+             "column_types": {"quality": "int"}}
+    return Q.validate_rules(labeled_documents(spark, sf), rules)
+
+
+@register("column_profile_labels", """
+WITH j AS (SELECT d.doc_id, d.lang, d.n_chars, l.quality, l.toxic FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)
+SELECT 'doc_id' AS column, 'bigint' AS dtype, count(doc_id) AS non_null, count(*) - count(doc_id) AS nulls FROM j
+UNION ALL SELECT 'lang', 'string', count(lang), count(*) - count(lang) FROM j
+UNION ALL SELECT 'n_chars', 'bigint', count(n_chars), count(*) - count(n_chars) FROM j
+UNION ALL SELECT 'quality', 'int', count(quality), count(*) - count(quality) FROM j
+UNION ALL SELECT 'toxic', 'int', count(toxic), count(*) - count(toxic) FROM j
+""")
+def column_profile_labels(spark, sf):
+    return Q.column_profile(labeled_documents(spark, sf))

@@ -269,9 +269,11 @@ def float_text(d: Column) -> Column:
     (``1e-05``) below 1e-4 and from 1e16. Spark's own text (Java's) switches
     to ``1.2345678E7`` already at 1e7 and below 1e-3. The plain form comes
     from parsing Java's shortest text as a decimal (exact: the text, not the
-    binary double, is parsed). Known differences: Java 17 prints a few
-    denormals with a longer mantissa (``4.9e-324``), and integral values past
-    1e38 keep the exponent form where Python prints every digit."""
+    binary double, is parsed). Known differences: Java 17 sometimes prints
+    one digit more than the shortest form (``5.9604644775390625e-08`` for
+    Python's ``5.960464477539063e-08``: the same value; Java 19 fixed it),
+    and integral values past 1e38 keep the exponent form where Python prints
+    every digit."""
     java = d.cast("string")
     a = F.abs(d)
     plain = F.regexp_replace(java.try_cast(T.DecimalType(38, 22)).cast("string"), r"\.?0+$", "")

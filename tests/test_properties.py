@@ -73,7 +73,15 @@ def test_text_round_trips(spark, values):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id long, v double")
     text = {int(r["id"]): r["v"] for r in C.to_text(df).collect()}
     for i, v in enumerate(values):
-        assert float(text[i]) == v or (v == 0 and float(text[i]) == 0)
+        assert float(text[i]) == v or (v == 0 and float(text[i]) == 0)   # exact round trip
         if v != 0 and abs(v) < 1e38 and not (abs(v) < 1e-300):
             expected = str(int(v)) if v.is_integer() else str(v)
-            assert text[i] == expected
+            if text[i] != expected:
+                # Java 17 may print one digit more than the shortest form
+                # (fixed in Java 19); Python prints the shortest
+                assert significant(text[i]) == significant(expected) + 1
+                assert ("e" in text[i]) == ("e" in expected)
+
+
+def significant(text: str) -> int:
+    return len(text.split("e")[0].replace("-", "").replace(".", "").strip("0"))

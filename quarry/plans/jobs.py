@@ -69,6 +69,8 @@ def jobs_from_manifest(manifest: DataFrame, as_of: dt.date, columns: Mapping[str
     names = {f: (columns or {}).get(f, f) for f in JobSpec.__dataclass_fields__}
     present = set(manifest.columns)
     renamed = manifest.select(*[F.col(src).alias(field) for field, src in names.items() if src in present])
+    if frequency not in renamed.columns:
+        renamed = renamed.withColumn(frequency, F.lit(""))
     chosen = select_jobs(renamed, as_of, flag, frequency) if flag in renamed.columns else renamed
     for field in ("sql_name", "output_name", "target", "sheet_name"):
         if field not in chosen.columns:

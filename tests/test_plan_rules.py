@@ -5,13 +5,14 @@ broadcast decided from a plan-time estimate."""
 import pytest
 
 import __spark_entry__ as E
+from quarry.plans.registry import QUERIES
 
 SF = "/root/testdata/sf0.001"
 EXPLICIT_BROADCAST = {"duplicate_rows", "quality_report"}
 FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "CartesianProduct", "BroadcastNestedLoopJoin")
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_plan_rules(spark, name):
     df = E.queries()[name](spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import secret_scan, simhash
+from quarry.llm import decontaminate, secret_scan, simhash
 from quarry.llm.common import documents
 
 
@@ -14,12 +14,18 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan_secrets(documents(spark, sf_dir)))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate.find_overlaps(documents(spark, sf_dir), benchmark)
+
+
 def op4_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
+    "op2_decontamination": op2_decontamination,
     "op4_simhash_neardup": op4_simhash_neardup,
 }
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -42,3 +44,10 @@ def hex_text(column: Column) -> Column:
 
 def documents(spark: SparkSession, sf_dir: str, columns: Sequence[str] = ("doc_id", "text")) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select(*columns)
+
+
+def worker_cache() -> dict:
+    """A dictionary that lives as long as the Python worker, for what is
+    expensive to load. Task functions are shipped by value, so a module
+    global would be new in every task."""
+    return sys.modules.setdefault("_quarry_llm_worker", types.ModuleType("_quarry_llm_worker")).__dict__

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import decontaminate, secret_scan, simhash
+from quarry.llm import decontaminate, packing, secret_scan, simhash, toxicity
 from quarry.llm.common import documents
 
 
@@ -23,10 +23,21 @@ def op4_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.toxicity(documents(spark, sf_dir), labels)
+
+
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.best_fit_packing(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_decontamination": op2_decontamination,
     "op4_simhash_neardup": op4_simhash_neardup,
+    "op7_toxicity": op7_toxicity,
+    "op8_best_fit_packing": op8_best_fit_packing,
 }
 
 ORACLES: dict[str, str] = {}

@@ -30,8 +30,9 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from quarry.llm.common import cut, hex_text, pick, whole_text
 from quarry.llm.components import connected_components
@@ -66,18 +67,16 @@ def simhash(text: str, shingle: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(2 * ones > total).tobytes(), "big")
 
 
-def fingerprints(df: DataFrame, id_column: str = "doc_id", text_column: str = "text",
-                 shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp) with the fingerprint as a signed 64-bit integer."""
+def fingerprint(text: Column, shingle: int = SHINGLE) -> Column:
+    """The fingerprint of a text column as a signed 64-bit integer."""
 
-    @F.pandas_udf("long")
-    def fingerprint(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf(LongType())
+    def of_texts(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in parts:
             values = np.fromiter((simhash(t, shingle) for t in texts), np.uint64, len(texts))
             yield pd.Series(values.view(np.int64), index=texts.index)
 
-    rows = pick(df, doc_id=id_column, text=text_column)
-    return rows.select("doc_id", fingerprint(whole_text("text")).alias("fp"))
+    return of_texts(whole_text(text))
 
 
 # --- the index of one bucket ---------------------------------------------------------------------
@@ -222,13 +221,16 @@ def links(fps: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS,
     return buckets.select("fps").mapInPandas(link, "a long, b long").distinct()
 
 
+def roots(rows: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS) -> DataFrame:
+    """(fp, root) for every distinct ``rows.fp``: the smallest of its component."""
+    labels = connected_components(links(rows, distance, blocks)).withColumnRenamed("node", "fp")
+    return rows.select("fp").distinct().join(labels, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def components(rows: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS) -> DataFrame:
     """(doc_id, fp, component_id) for (doc_id, fp) rows."""
     rows = cut(rows)
-    labels = connected_components(links(rows, distance, blocks))
-    least = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    rooted = least.join(labels.withColumnRenamed("node", "fp"), "fp", "left") \
-        .select("fp", F.coalesce("root", "fp").alias("root"), "least")
+    rooted = rows.groupBy("fp").agg(F.min("doc_id").alias("least")).join(roots(rows, distance, blocks), "fp")
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     of_fp = rooted.join(smallest, "root").select("fp", "component_id")
     return rows.join(of_fp, "fp").select("doc_id", "fp", "component_id")
@@ -237,5 +239,24 @@ def components(rows: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS)
 def near_duplicates(df: DataFrame, id_column: str = "doc_id", text_column: str = "text", shingle: int = SHINGLE,
                     distance: int = DISTANCE, blocks: int = BLOCKS) -> DataFrame:
     """(doc_id, fingerprint, component_id), one row per row of ``df``."""
-    found = components(fingerprints(df, id_column, text_column, shingle), distance, blocks)
+    rows = pick(df, doc_id=id_column, text=text_column).select("doc_id", fingerprint(F.col("text"), shingle).alias("fp"))
+    found = components(rows, distance, blocks)
     return found.select("doc_id", hex_text(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def representatives(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE,
+                    blocks: int = BLOCKS) -> DataFrame:
+    """The rows of ``docs`` that stay when one row of each component is kept:
+    the first by (doc_id, hash of the text), null ids last. All columns kept."""
+    mark = "quarry_copy_of_row"
+    rows = cut(docs.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("copy"),
+                           fingerprint(docs.text, shingle).alias("fp")))
+    place = F.struct(F.col("id").isNull().alias("missing"), "id", "copy")
+    least = rows.groupBy("fp").agg(F.min(place).alias("least"))
+    stay = least.join(roots(rows, distance, blocks), "fp").groupBy("root").agg(F.min("least").alias("first")) \
+        .select("first.id", "first.copy")
+    kept = docs.withColumn(mark, F.xxhash64("text"))
+    kept = kept.join(stay, kept.doc_id.eqNullSafe(stay.id) & (kept[mark] == stay["copy"]), "left_semi")
+    if not rows.groupBy("id", "copy").count().where("count > 1").isEmpty():  # rows repeated outright
+        kept = kept.dropDuplicates(["doc_id", mark])
+    return kept.drop(mark)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import decontaminate, packing, secret_scan, simhash, toxicity
+from quarry.llm import decontaminate, packing, secret_scan, simhash, suffix_dedup, toxicity
 from quarry.llm.common import documents
 
 
@@ -32,12 +32,17 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit_packing(documents(spark, sf_dir))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_decontamination": op2_decontamination,
     "op4_simhash_neardup": op4_simhash_neardup,
     "op7_toxicity": op7_toxicity,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 ORACLES: dict[str, str] = {}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import decontaminate, packing, secret_scan, simhash, suffix_dedup, toxicity
+from quarry.llm import decontaminate, ngram_lm, packing, secret_scan, simhash, suffix_dedup, toxicity
 from quarry.llm.common import documents
 
 
@@ -19,6 +19,10 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_overlaps(documents(spark, sf_dir), benchmark)
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_lm.language_model_scores(documents(spark, sf_dir))
+
+
 def op4_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
@@ -39,6 +43,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_decontamination": op2_decontamination,
+    "op3_lm_scoring": op3_lm_scoring,
     "op4_simhash_neardup": op4_simhash_neardup,
     "op7_toxicity": op7_toxicity,
     "op8_best_fit_packing": op8_best_fit_packing,

@@ -51,3 +51,22 @@ def worker_cache() -> dict:
     expensive to load. Task functions are shipped by value, so a module
     global would be new in every task."""
     return sys.modules.setdefault("_quarry_llm_worker", types.ModuleType("_quarry_llm_worker")).__dict__
+
+
+def placed(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, text, place) and the same with one row per place; place
+    orders the documents. It is the id itself,
+    where ids are whole numbers, all different and none null; else the rank of
+    (doc_id, hash of the text), numbered along a distributed sort."""
+    if rows.schema["doc_id"].dataType.simpleString() in ("bigint", "int", "smallint", "tinyint"):
+        n, different = rows.agg(F.count("*"), F.count_distinct("doc_id")).first()
+        if n == different:
+            every = rows.withColumn("place", F.coalesce(F.col("doc_id").cast("long"), F.lit(0)))
+            return every, every
+    copies = rows.withColumn("copy", F.xxhash64("text"))
+    ranked = cut(copies.select("doc_id", "copy").distinct().orderBy("doc_id", "copy")
+                 .withColumn("place", F.monotonically_increasing_id())) \
+        .select(F.col("doc_id").alias("of_id"), F.col("copy").alias("of_copy"), F.coalesce("place", F.lit(0)).alias("place"))
+    same = copies.doc_id.eqNullSafe(ranked.of_id) & (copies["copy"] == ranked.of_copy)
+    every = copies.join(ranked, same).select("doc_id", "text", "place")
+    return every, every.dropDuplicates(["place"])

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import decontaminate, ngram_lm, packing, secret_scan, simhash, suffix_dedup, toxicity
+from quarry.llm import decontaminate, edit_embedding, ngram_lm, packing, secret_scan, simhash, suffix_dedup, toxicity
 from quarry.llm.common import documents
 
 
@@ -27,6 +27,10 @@ def op4_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
+def op6_edit_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_embedding.edit_fingerprints(documents(spark, sf_dir))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return toxicity.toxicity(documents(spark, sf_dir), labels)
@@ -45,6 +49,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
     "op3_lm_scoring": op3_lm_scoring,
     "op4_simhash_neardup": op4_simhash_neardup,
+    "op6_edit_fingerprints": op6_edit_fingerprints,
     "op7_toxicity": op7_toxicity,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op10_suffix_dedup": op10_suffix_dedup,

@@ -39,7 +39,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.common import cut, pick, whole_text, worker_cache
+from quarry.llm.common import cut, pick, placed, whole_text, worker_cache
 
 WINDOW = 100
 GRAM = 24
@@ -397,25 +397,6 @@ def merged(spans) -> list[tuple[int, int]]:
     return [tuple(x) for x in out]
 
 
-def _placed(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, text, place) and the same with one row per place; place
-    orders the documents. It is the id itself,
-    where ids are whole numbers, all different and none null; else the rank of
-    (doc_id, hash of the text), numbered along a distributed sort."""
-    if rows.schema["doc_id"].dataType.simpleString() in ("bigint", "int", "smallint", "tinyint"):
-        n, different = rows.agg(F.count("*"), F.count_distinct("doc_id")).first()
-        if n == different:
-            placed = rows.withColumn("place", F.coalesce(F.col("doc_id").cast("long"), F.lit(0)))
-            return placed, placed
-    copies = rows.withColumn("copy", F.xxhash64("text"))
-    ranked = cut(copies.select("doc_id", "copy").distinct().orderBy("doc_id", "copy")
-                 .withColumn("place", F.monotonically_increasing_id())) \
-        .select(F.col("doc_id").alias("of_id"), F.col("copy").alias("of_copy"), F.coalesce("place", F.lit(0)).alias("place"))
-    same = copies.doc_id.eqNullSafe(ranked.of_id) & (copies["copy"] == ranked.of_copy)
-    placed = copies.join(ranked, same).select("doc_id", "text", "place")
-    return placed, placed.dropDuplicates(["place"])
-
-
 def covered_runs(rows: DataFrame, window: int = WINDOW, gram: int = GRAM, share: int = SHARE,
                  shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """(place, first, stop): runs of covered bytes of (place, text) rows with
@@ -437,7 +418,7 @@ def covered_runs(rows: DataFrame, window: int = WINDOW, gram: int = GRAM, share:
 def remove_repeats(df: DataFrame, id_column: str = "doc_id", text_column: str = "text", window: int = WINDOW,
                    gram: int = GRAM, share: int = SHARE, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256), one row per row."""
-    rows, once = _placed(pick(df, doc_id=id_column, text=text_column).withColumn("text", whole_text("text")))
+    rows, once = placed(pick(df, doc_id=id_column, text=text_column).withColumn("text", whole_text("text")))
     runs_of = covered_runs(once, window, gram, share, shard_bytes) \
         .groupBy("place").agg(F.collect_list(F.struct("first", "stop")).alias("covered"))
     strip, schema = _strip(rows.schema["doc_id"].dataType.simpleString())

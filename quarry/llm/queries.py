@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import decontaminate, edit_embedding, ngram_lm, packing, secret_scan, simhash, suffix_dedup, toxicity
+from quarry.llm import decontaminate, edit_embedding, ngram_lm, packing, page_text, secret_scan, simhash, suffix_dedup, toxicity, \
+    url_filter
 from quarry.llm.common import documents
 
 
@@ -27,6 +28,10 @@ def op4_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_text.extract_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op6_edit_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edit_embedding.edit_fingerprints(documents(spark, sf_dir))
 
@@ -40,6 +45,10 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit_packing(documents(spark, sf_dir))
 
 
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(documents(spark, sf_dir))
 
@@ -49,9 +58,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
     "op3_lm_scoring": op3_lm_scoring,
     "op4_simhash_neardup": op4_simhash_neardup,
+    "op5_html_extraction": op5_html_extraction,
     "op6_edit_fingerprints": op6_edit_fingerprints,
     "op7_toxicity": op7_toxicity,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_url_filter": op9_url_filter,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
 

@@ -62,27 +62,38 @@ def blank_to_null(c: Column) -> Column:
 
 # --- number parsing ---------------------------------------------------------
 
+def _whole_text(t: Column) -> Column:
+    """Trimmed text -> bigint where it says a whole number that fits, else
+    null: digits with at most zeros behind the point are read as they stand
+    (any number of decimals, nothing lost above 2^53), powers through double."""
+    digits = F.when(t.rlike(r"^[+-]?\d+(\.0*)?$"), F.regexp_extract(t, r"^[+-]?\d+", 0).try_cast("bigint"))
+    power = F.when(t.rlike(r"^[+-]?(\d+(\.\d*)?|\.\d+)[eE][+-]?\d+$"), t.try_cast("double"))
+    return F.coalesce(digits, F.when(power == F.floor(power), power.try_cast("bigint")))
+
+
+def _number(c: Column, dtype: T.DataType) -> Column:
+    """A fractional column with NaN as null, as blank cells come."""
+    return c if isinstance(dtype, T.DecimalType) else F.nanvl(c, F.lit(None).cast(dtype))
+
+
 def lenient_long(c: Column, dtype: T.DataType) -> Column:
-    """Integer or null. Text goes through decimal(38,10): ``1.0`` -> 1, a
-    fractional value -> null, no precision lost above 2^53."""
+    """Integer or null: ``1.0`` -> 1, a fractional value -> null."""
     if isinstance(dtype, INTEGRAL):
         return c.cast("bigint")
     if isinstance(dtype, FRACTIONAL):
-        d = c.cast(_DEC) if isinstance(dtype, T.DecimalType) else c
+        d = _number(c, dtype)
         return F.when(d == F.floor(d), d.try_cast("bigint"))
-    d = blank_to_null(c).try_cast(_DEC)
-    return F.when(d == F.floor(d), d.try_cast("bigint"))
+    return _whole_text(blank_to_null(c))
 
 
 def strict_long(c: Column, dtype: T.DataType, name: str = "") -> Column:
-    """Integer; bad text or a fractional value raises (ANSI cast)."""
+    """Integer; bad text or a fractional value raises, NaN is blank."""
     if isinstance(dtype, INTEGRAL):
         return c.cast("bigint")
-    src = c if isinstance(dtype, FRACTIONAL) else blank_to_null(c).cast(_DEC)
-    return F.when(src.isNull(), F.lit(None).cast("bigint")).when(
-        src != F.floor(src),
-        F.raise_error(F.concat(F.lit(f"cannot convert column '{name}' to int: "), src.cast("string"))),
-    ).otherwise(src.cast("bigint"))
+    src = _number(c, dtype) if isinstance(dtype, FRACTIONAL) else blank_to_null(c)
+    whole = lenient_long(src, dtype)
+    return F.when(src.isNull(), F.lit(None).cast("bigint")).when(whole.isNotNull(), whole).otherwise(
+        F.raise_error(F.concat(F.lit(f"cannot convert column '{name}' to int: "), src.cast("string"))))
 
 
 def lenient_double(c: Column, dtype: T.DataType) -> Column:
@@ -430,8 +441,8 @@ DATE_SHAPES = (
 
 
 def infer_types(df: DataFrame) -> DataFrame:
-    """Text columns whose every non-null value has one date shape
-    become timestamps, else all-numeric ones become numbers (integers when
+    """Text columns whose every non-null value is a date of one shape
+    become timestamps (a value that only looks like one keeps the column text), else all-numeric ones become numbers (integers when
     every value is integral); integer columns shrink to the smallest integer
     type that holds their range. One aggregate pass, then one projection."""
     fields = df.schema.fields
@@ -441,8 +452,9 @@ def infer_types(df: DataFrame) -> DataFrame:
         if _is_text(f.dataType):
             present = c.isNotNull()
             aggs.append(F.count(c).alias(f"{f.name}__n"))
-            for i, (sep, length, middle, _) in enumerate(DATE_SHAPES):
-                aggs.append(F.bool_and(~present | _date_shape(c, sep, length, middle)).alias(f"{f.name}__d{i}"))
+            for i, (sep, length, middle, layout) in enumerate(DATE_SHAPES):
+                parsed = F.when(_date_shape(c, sep, length, middle), F.try_to_timestamp(c, F.lit(layout)))
+                aggs.append(F.bool_and(~present | parsed.isNotNull()).alias(f"{f.name}__d{i}"))
             blank = F.trim(c) == ""
             aggs.append(F.bool_and(~present | blank | number_or_null(c).isNotNull()).alias(f"{f.name}__num"))
             aggs.append(F.bool_and(~present | blank | integer_or_null(c).isNotNull()).alias(f"{f.name}__int"))

@@ -13,12 +13,13 @@ import datetime as dt
 import logging
 import re
 from collections.abc import Iterable, Mapping, Sequence
+from decimal import Decimal, InvalidOperation
 from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from quarry.functions.casting import parse_datetime
+from quarry.functions.casting import float_text, parse_datetime
 from quarry.functions.literals import (
     FRACTIONAL, INTEGRAL, day_start, parse_day, parse_timestamp, round_trips,
     to_python, typed_lit,
@@ -83,18 +84,26 @@ def day_range(c: str | Column, dtype: T.DataType, start: dt.date | None,
 
 # --- F1-F3: text -----------------------------------------------------------
 
-def text_ci(c: str | Column, pattern: str | None) -> Column | None:
+def _as_text(c: str | Column, dtype: T.DataType | None) -> Column:
+    """A column as the text a user sees: doubles as plain decimals
+    (``12345678.0``, not ``1.2345678E7``)."""
+    if isinstance(dtype, (T.DoubleType, T.FloatType)):
+        return float_text(_col(c).cast("double"))
+    return _col(c).cast("string")
+
+
+def text_ci(c: str | Column, pattern: str | None, dtype: T.DataType | None = None) -> Column | None:
     """case-insensitive regex search on the column as text."""
     if _empty(pattern):
         return None
-    return _col(c).cast("string").rlike("(?i)" + pattern)
+    return _as_text(c, dtype).rlike("(?i)" + pattern)
 
 
-def text_regex(c: str | Column, pattern: str | None) -> Column | None:
+def text_regex(c: str | Column, pattern: str | None, dtype: T.DataType | None = None) -> Column | None:
     """case-sensitive regex search on the column as text."""
     if _empty(pattern):
         return None
-    return _col(c).cast("string").rlike(pattern)
+    return _as_text(c, dtype).rlike(pattern)
 
 
 def substring(c: str | Column, value: str | None, case_sensitive: bool = True,
@@ -128,16 +137,25 @@ def int_equals(c: str | Column, value: Any) -> Column | None:
     return _col(c) == F.lit(number)
 
 
-def numeric_equals(c: str | Column, value: Any) -> Column | None:
-    """equality with a number; a bad value skips the filter."""
+def numeric_equals(c: str | Column, value: Any, dtype: T.DataType | None = None) -> Column | None:
+    """equality with a number, exact and pushed to the scan: the literal
+    has the column's type. On an integer column a fraction, or a value outside
+    the type's range, matches nothing; a bad value skips the filter."""
     if _empty(value):
         return None
+    text = str(value).strip()
     try:
-        number = float(str(value).strip())
-    except ValueError:
+        number = Decimal(text)
+    except InvalidOperation:
         LOG.warning("not a number, filter skipped: %r", value)
         return None
-    return _col(c) == F.lit(number)
+    if isinstance(dtype, INTEGRAL):
+        bits = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32, T.LongType: 64}[type(dtype)]
+        fits = number.is_finite() and number == number.to_integral_value() and -(1 << bits - 1) <= number < 1 << bits - 1
+        return _col(c) == F.lit(int(number)).cast(dtype) if fits else F.lit(False)
+    if isinstance(dtype, T.DecimalType) and number.is_finite():
+        return _col(c) == F.lit(number)
+    return _col(c) == F.lit(float(text))
 
 
 def equals(c: str | Column, value: Any, dtype: T.DataType = T.StringType()) -> Column | None:
@@ -276,9 +294,9 @@ def predicate_for(spec: FilterSpec, dtype: T.DataType) -> Column | None:
     """One FilterSpec as a Column for a column of ``dtype``."""
     c, v, kind = F.col(spec.column), spec.value, spec.kind
     if kind == "text":
-        return text_ci(c, v)
+        return text_ci(c, v, dtype)
     if kind == "regex":
-        return text_regex(c, v)
+        return text_regex(c, v, dtype)
     if kind == "substring":
         return substring(c, v, spec.case_sensitive)
     if kind == "like":
@@ -286,7 +304,7 @@ def predicate_for(spec: FilterSpec, dtype: T.DataType) -> Column | None:
     if kind == "int":
         return int_equals(c, v)
     if kind == "number":
-        return numeric_equals(c, v)
+        return numeric_equals(c, v, dtype)
     if kind == "equals":
         return equals(c, v, dtype)
     if kind == "choice":

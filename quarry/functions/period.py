@@ -67,6 +67,14 @@ class DayRange:
     start: dt.date | None
     end: dt.date | None
 
+# The range grammar: a start, the mark, then a word, an end with the period
+# suffix behind a second mark, or an end that may leave its year out.
+RANGE = re.compile(
+    f"(?P<start>[^{RANGE_MARK}]+){RANGE_MARK}"
+    f"(?:\\s*(?P<word>{UP_TO_YESTERDAY}|{UP_TO_TODAY})\\s*"
+    f"|(?P<until>[^{RANGE_MARK}]+){RANGE_MARK}\\s*{UNTIL_PERIOD}\\s*"
+    f"|(?P<end>[^{RANGE_MARK}]+))")
+
 
 def _date(text: str) -> dt.date:
     try:
@@ -99,21 +107,17 @@ def parse_period(text: str | None, as_of: dt.date) -> DayRange | None:
         return fixed[phrase]
 
     if RANGE_MARK in phrase:
-        pieces = phrase.split(RANGE_MARK)
-        tail = pieces[-1].strip()
-        if len(pieces) == 2 and tail == UP_TO_YESTERDAY:
-            return DayRange(_date(pieces[0]), yesterday)
-        if len(pieces) == 2 and tail == UP_TO_TODAY:
-            return DayRange(_date(pieces[0]), today)
-        if len(pieces) == 3 and tail == UNTIL_PERIOD:
-            return DayRange(_date(pieces[0]), _date(pieces[1]))
-        if len(pieces) == 2 and CUMULATIVE not in phrase:
-            start = _date(pieces[0])
-            end_text = tail.replace(UNTIL, "").replace(OF_PERIOD, "").strip()
-            if DATE_WORDS[0] not in end_text:
-                end_text = f"{start.year}{DATE_WORDS[0]}{end_text}"
-            return DayRange(start, _date(end_text))
-        raise PeriodError(f"unknown period: {text!r}")
+        span = RANGE.fullmatch(phrase)
+        if span is None or (span["end"] and CUMULATIVE in phrase):
+            raise PeriodError(f"unknown period: {text!r}")
+        start = _date(span["start"])
+        if span["word"]:
+            return DayRange(start, yesterday if span["word"] == UP_TO_YESTERDAY else today)
+        if span["until"]:
+            return DayRange(start, _date(span["until"]))
+        end_text = span["end"].replace(UNTIL, "").replace(OF_PERIOD, "").strip()
+        has_year = DATE_WORDS[0] in end_text
+        return DayRange(start, _date(end_text if has_year else f"{start.year}{DATE_WORDS[0]}{end_text}"))
 
     if phrase.endswith(DAYS_AGO_ONE_DAY):
         count = phrase[: -len(DAYS_AGO_ONE_DAY)]

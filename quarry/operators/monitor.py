@@ -8,6 +8,7 @@ filters, regex extractions and small aggregates.
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -153,13 +154,13 @@ def file_freshness(df: DataFrame, as_of: dt.datetime) -> DataFrame:
 
 
 def stale_files(spark, folder: str, as_of: dt.datetime, hours: float = 24) -> DataFrame:
-    """M1 over a folder of stored datasets (``<name>.parquet``, each a file
-    or a folder of part files): datasets whose newest file was modified more
-    than ``hours`` before ``as_of``. Only file metadata is read, in one
-    distributed pass; partial aggregation leaves one row per file."""
-    meta = spark.read.parquet(f"{folder.rstrip('/')}/*.parquet") \
-        .select(F.col("_metadata.file_path").alias("path"),
-                F.col("_metadata.file_modification_time").alias("modified"))
-    per_file = meta.groupBy("path").agg(F.max("modified").alias("modified"))
-    dataset = F.regexp_extract(F.col("path"), r"/([^/]+\.parquet)(/|$)", 1)
-    return stale_datasets(per_file, dataset, F.col("modified").cast("timestamp_ntz"), as_of, hours)
+    """M1 over a folder of stored datasets (``<name>.parquet``, each a file or
+    a folder of part files, partitioned or not): datasets whose newest file was
+    modified more than ``hours`` before ``as_of``. One row per file comes from
+    the file listing; no content is read."""
+    root = folder.rstrip("/")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true") \
+        .option("pathGlobFilter", "*.parquet").load(root).select("path", "modificationTime")
+    below = F.element_at(F.split(F.col("path"), re.escape(root.split(":", 1)[-1].lstrip("/")) + "/"), 2)
+    return stale_datasets(files, F.regexp_extract(below, r"^(.*?\.parquet)(/|$)", 1),
+                          F.col("modificationTime").cast("timestamp_ntz"), as_of, hours)

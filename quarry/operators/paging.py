@@ -1,8 +1,9 @@
 """Newest-first ordering and paging.
 
 The reference sorts by load order, which has no meaning in Spark; every
-dataset names an order key with a unique tie-break instead, and paging
-refuses to run without one. Shallow pages plan as ``TakeOrderedAndProject``
+dataset names an order key with a unique tie-break instead. Paging refuses to
+run without a key, and ``verify_order_key`` checks on the data that it is
+unique (pages over a key with ties could lose or repeat rows). Shallow pages plan as ``TakeOrderedAndProject``
 (a per-partition top-k then a merge of k rows per task); deep pages should
 use the keyset form, which is a pushed-down filter plus the same top-k.
 """
@@ -25,6 +26,15 @@ def _keys(keys: Sequence[str] | str) -> list[str]:
     return names
 
 
+def verify_order_key(df: DataFrame, keys: Sequence[str] | str) -> None:
+    """Raise unless the key tells all rows apart (nulls count as equal): one
+    aggregate over the key columns, to run once per dataset, not per page."""
+    names = _keys(keys)
+    repeated = df.groupBy(*names).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    if not repeated.isEmpty():
+        raise ValueError(f"order key {names} has ties; add a unique column to it")
+
+
 def newest_first(df: DataFrame, keys: Sequence[str] | str) -> DataFrame:
     """Order by the key, newest first."""
     return df.orderBy(*[F.col(k).desc_nulls_last() for k in _keys(keys)])
@@ -41,15 +51,22 @@ def page(df: DataFrame, keys: Sequence[str] | str, number: int, size: int) -> Da
 
 def page_after(df: DataFrame, keys: Sequence[str] | str, last_seen: Sequence[Any], size: int) -> DataFrame:
     """S2 for deep pages: the ``size`` rows after ``last_seen`` (the key
-    values of the previous page's last row), by a lexicographic filter."""
+    values of the previous page's last row), by a lexicographic filter. Nulls
+    come last, so a null key follows every value and nothing follows a null."""
     names = _keys(keys)
     dtypes = {f.name: f.dataType for f in df.schema.fields}
-    lits = [typed_lit(v, dtypes[k]) for k, v in zip(names, last_seen)]
+    same: list[Column] = []
     conds: list[Column] = []
-    for i, k in enumerate(names):
-        prefix = [F.col(names[j]) == lits[j] for j in range(i)]
-        conds.append(reduce(lambda a, b: a & b, prefix + [F.col(k) < lits[i]]))
-    return newest_first(df.filter(reduce(lambda a, b: a | b, conds)), names).limit(size)
+    for k, value in zip(names, last_seen):
+        col = F.col(k)
+        if value is None:
+            same.append(col.isNull())
+            continue
+        lit = typed_lit(value, dtypes[k])
+        conds.append(reduce(lambda a, b: a & b, [*same, (col < lit) | col.isNull()]))
+        same.append(col == lit)
+    after = reduce(lambda a, b: a | b, conds) if conds else F.lit(False)
+    return newest_first(df.filter(after), names).limit(size)
 
 
 def page_summary(df: DataFrame, number: int, size: int) -> DataFrame:

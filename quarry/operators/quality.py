@@ -10,11 +10,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from quarry.functions.casting import blank_to_null, number_or_null, parse_datetime
 from quarry.functions.literals import FRACTIONAL, INTEGRAL
-from quarry.session import shared_dir
 
 NUMERIC = INTEGRAL + FRACTIONAL
 
@@ -87,33 +86,20 @@ def validation_errors(report: DataFrame) -> list[str]:
             for r in report.where(~F.col("passed")).collect()]
 
 
-BROADCAST_CANDIDATES = 2_000_000   # 64-bit hashes: at most ~16 MB to broadcast
-
-
-def duplicate_rows(df: DataFrame, subset: Sequence[str] | None = None,
-                   broadcast_limit: int = BROADCAST_CANDIDATES) -> DataFrame:
+def duplicate_rows(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
     """Q3: rows equal to an earlier row (nulls equal), exactly.
 
     Grouping on every column shuffles every distinct row in full. Instead:
     (1) group on a 64-bit hash of the row, which shuffles 8 bytes per row
     and map-side combines a hot duplicated row to one record per task;
     (2) only rows whose hash occurs more than once are grouped exactly on
-    their columns, so hash collisions cannot miscount. The candidate hashes
-    are broadcast only when their counted number is under
-    ``broadcast_limit``; otherwise every row goes to the exact group-by.
+    their columns, so hash collisions cannot miscount. The semi-join between
+    them carries no hint: Spark picks its form from measured sizes.
     """
     cols = list(subset or df.columns)
     hashed = df.select(*[F.col(c) for c in cols], F.xxhash64(*[F.col(c) for c in cols]).alias("__h"))
     candidates = hashed.groupBy("__h").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > 1).select("__h")
-    # computed once and stored in the shared checkpoint folder: counting it
-    # and broadcasting it then read the stored set, not a second scan
-    shared_dir(df.sparkSession)
-    candidates = candidates.checkpoint(eager=True)
-    n_candidates = candidates.count()
-    if n_candidates == 0:
-        return hashed.limit(0).agg(F.lit(0).cast("bigint").alias("duplicate_rows"))
-    suspects = hashed.join(F.broadcast(candidates), "__h", "left_semi") if n_candidates <= broadcast_limit \
-        else hashed
+    suspects = hashed.join(candidates, "__h", "left_semi")
     groups = suspects.groupBy("__h", *cols).agg(F.count(F.lit(1)).alias("__n"))
     return groups.agg(F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).cast("bigint").alias("duplicate_rows"))
 
@@ -177,17 +163,12 @@ def type_conformance(df: DataFrame, expected: Mapping[str, str]) -> DataFrame:
     schema = "column string, expected string, exists boolean, valid boolean, bad_values bigint"
     if not aggs:
         return spark.createDataFrame([(n, w, e, False, None) for n, w, e, _ in checks], schema)
-    row = df.agg(*aggs)
-    parts = []
-    for name, word, exists, key in checks:
-        if key is None:
-            parts.append(row.select(F.lit(name), F.lit(word), F.lit(False), F.lit(False), F.lit(None).cast("bigint")))
-        else:
-            parts.append(row.select(F.lit(name), F.lit(word), F.lit(True), F.col(key) == 0, F.col(key)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.union(p)
-    return out.toDF("column", "expected", "exists", "valid", "bad_values")
+    # one aggregate row -> one row per expected column
+    items = [F.struct(F.lit(name).alias("column"), F.lit(word).alias("expected"), F.lit(exists).alias("exists"),
+                      (F.col(key) == 0 if key else F.lit(False)).alias("valid"),
+                      (F.col(key) if key else F.lit(None)).cast("bigint").alias("bad_values"))
+             for name, word, exists, key in checks]
+    return df.agg(*aggs).select(F.inline(F.array(*items)))
 
 
 def column_profile(df: DataFrame) -> DataFrame:
@@ -202,24 +183,27 @@ def column_profile(df: DataFrame) -> DataFrame:
     return row.select(F.inline(F.array(*items)))
 
 
-def dataset_metrics(df: DataFrame) -> DataFrame:
-    """Q6: rows, columns and stored size (MB) of a file-backed frame. Rows
-    and bytes come from one job: a count per file, then a sum over files."""
-    per_file = df.select(F.col("_metadata.file_path").alias("p"), F.col("_metadata.file_size").alias("s")) \
-        .groupBy("p").agg(F.count(F.lit(1)).alias("n"), F.max("s").alias("s"))
-    return per_file.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n_rows"),
-        F.lit(len(df.columns)).cast("bigint").alias("n_columns"),
-        (F.coalesce(F.sum("s"), F.lit(0)) / F.lit(1024.0 * 1024.0)).alias("size_mb"),
-    )
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes under a path, asked of the file system in one call."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(place).getLength())
+
+
+def dataset_metrics(spark: SparkSession, path: str) -> DataFrame:
+    """Q6: rows, columns and stored size (MB) of a stored dataset. The count
+    reads file footers only; the size is the file system's."""
+    df = spark.read.parquet(path)
+    return df.agg(F.count(F.lit(1)).alias("n_rows")).select(
+        "n_rows", F.lit(len(df.columns)).cast("bigint").alias("n_columns"),
+        F.lit(stored_bytes(spark, path) / (1024.0 * 1024.0)).alias("size_mb"))
 
 
-def distinct_options(df: DataFrame, column: str, limit: int = 1000) -> DataFrame:
-    """Q7: distinct non-empty values of a column for a choice filter,
-    sorted, capped at ``limit`` (the option list's size)."""
+def distinct_options(df: DataFrame, column: str) -> DataFrame:
+    """Q7: all distinct non-empty values of a column for a choice filter,
+    sorted; a caller that shows fewer limits them."""
     c = F.col(column)
-    vals = df.select(c.alias(column)).where(c.isNotNull() & (c.cast("string") != "")).distinct()
-    return vals.orderBy(column).limit(limit)
+    return df.select(c.alias(column)).where(c.isNotNull() & (c.cast("string") != "")).distinct().orderBy(column)
 
 
 def field_kinds(df: DataFrame, flagged: Sequence[str] | None = None) -> list[tuple[str, str]]:

@@ -29,7 +29,9 @@ def prepare_dataset(spark: SparkSession, spec: DatasetSpec, period: str = "", cr
                 raise ValueError("a period needs as_of")
             columns = criterion_columns(criterion, dict(spec.criteria))
             df = period_filter(df, period, columns, as_of, category, on_unknown)
-        if exclude_deleted and spec.deleted_at and spec.deleted_at in df.columns:
+        if exclude_deleted:
+            if not spec.deleted_at or spec.deleted_at not in df.columns:
+                raise ValueError(f"dataset {spec.name!r} has no soft-delete column {spec.deleted_at!r}")
             df = df.filter(not_deleted(spec.deleted_at))
     if spec.shape is not None:
         df = spec.shape(df)

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
+import os
+import re
 import time
 import traceback
 from collections.abc import Mapping, Sequence
@@ -20,8 +22,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from quarry.plans.dataset import prepare_dataset
 from quarry.sinks import writers as W
 from quarry.sinks.writers import (
-    PASTE_APPEND, RESULT_FAILED, RESULT_OK, audit_append, export_csv, export_parquet,
-    publish, staging_path, write_counted,
+    PASTE_APPEND, RESULT_FAILED, RESULT_OK, audit_row, audit_write, export_csv, export_parquet, replace_table,
+    write_counted,
 )
 from quarry.spec import DatasetSpec, JobSpec
 
@@ -40,14 +42,11 @@ FAILURE_LINE = "★失敗★　{sql}: {reason}"
 LOG_LINE = "{stamp} - {level} - {message}"
 TEST_FOLDER = "test"
 TEST_SUFFIX = "_test"
-# Output name patterns and the strftime layouts they stand for.
-NAME_PATTERNS = (
-    ("yyyyMMdd_{filename}", "{stamp}{name}", "%Y%m%d_"),
-    ("{filename}_yyyy-MM-dd", "{name}{stamp}", "_%Y-%m-%d"),
-    ("{filename}yyyy-MM-dd", "{name}{stamp}", "%Y-%m-%d"),
-    ("{filename}_yyyyMMddhhmmss", "{name}{stamp}", "_%Y%m%d%H%M%S"),
-    ("{filename}_yyyy-MM", "{name}{stamp}", "_%Y-%m"),
-)
+# Output name patterns.
+NAME_PATTERNS = ("yyyyMMdd_{filename}", "{filename}_yyyy-MM-dd", "{filename}yyyy-MM-dd", "{filename}_yyyyMMddhhmmss",
+                 "{filename}_yyyy-MM")
+# Date words of the patterns, longest first, as strftime layouts.
+STAMP_WORDS = {"yyyyMMddhhmmss": "%Y%m%d%H%M%S", "yyyy-MM-dd": "%Y-%m-%d", "yyyyMMdd": "%Y%m%d", "yyyy-MM": "%Y-%m"}
 
 
 def select_jobs(manifest: DataFrame, as_of: dt.date, flag: str = "enabled",
@@ -90,13 +89,16 @@ def jobs_from_manifest(manifest: DataFrame, as_of: dt.date, columns: Mapping[str
 
 
 def job_file_name(fmt: str, filename: str, now: dt.datetime, ext: str = "") -> str:
-    """Output name from a pattern; any other text is the name itself."""
-    base = filename.rsplit(".", 1)[0] if "." in filename else filename
-    for pattern, shape, layout in NAME_PATTERNS:
-        if pattern in fmt:
-            value = shape.format(stamp=now.strftime(layout), name=base)
-            return fmt.replace(pattern, value) + ext
-    return (fmt or base) + ext
+    """Output name from a pattern; any other text is the name itself, and
+    without one the file name is. The extension of the file name goes, and
+    ``ext`` is put on once."""
+    base = os.path.splitext(filename)[0]
+    if not fmt:
+        return base + ext
+    if not any(pattern in fmt for pattern in NAME_PATTERNS):
+        return os.path.splitext(fmt)[0] + ext if ext and fmt.endswith(ext) else fmt + ext
+    words = "|".join(map(re.escape, STAMP_WORDS))
+    return re.sub(words, lambda m: now.strftime(STAMP_WORDS[m[0]]), fmt).replace("{filename}", base) + ext
 
 
 def test_target(job: JobSpec) -> JobSpec:
@@ -135,77 +137,101 @@ def validate_run_settings(parallelism: int, retries: int, timeout_s: int) -> lis
     return errors
 
 
-def _sink(df: DataFrame, job: JobSpec, spec: DatasetSpec, out_root: str, now: dt.datetime) -> tuple[str, int]:
+def output_path(job: JobSpec, out_root: str, now: dt.datetime) -> str:
+    """Where a job writes."""
     folder = f"{out_root.rstrip('/')}/{job.save_path.strip('/')}" if job.save_path else out_root.rstrip("/")
-    name = job_file_name(job.output_name, job.output_name or job.sql_name, now)
-    holder: dict[str, str] = {}
+    ext = {TARGET_CSV: ".csv", TARGET_PARQUET: ".parquet"}.get(job.target, "")
+    name = job_file_name(job.filename_format, job.output_name or job.sql_name, now, ext)
+    return f"{folder}/{job.sheet_name or name}" if job.target == TARGET_SHEET else f"{folder}/{name}"
+
+
+def _sink(df: DataFrame, job: JobSpec, spec: DatasetSpec, path: str) -> int:
+    """Write the frame where the job says; the rows written."""
     if job.target == TARGET_CSV:
-        path = f"{folder}/{name}.csv"
-        rows = write_counted(df, lambda d: holder.setdefault("p", export_csv(d, path, types=spec.types)))
-    elif job.target == TARGET_PARQUET:
-        path = f"{folder}/{name}.parquet"
-        rows = write_counted(df, lambda d: holder.setdefault("p", export_parquet(d, path, types=spec.types)))
-    elif job.target == TARGET_SHEET:
-        # re-aimed: a sheet becomes a table, appended or replaced by paste mode
-        path = f"{folder}/{job.sheet_name or name}"
-        if job.paste_mode == PASTE_APPEND:
-            rows = write_counted(df, lambda d: d.write.mode("append").parquet(path))
-        else:
-            stage = staging_path(path)
-            rows = write_counted(df, lambda d: d.write.mode("overwrite").parquet(stage))
-            publish(df.sparkSession, stage, path)
-    else:
-        raise ValueError(f"unknown target: {job.target!r}")
-    return path, rows
+        return write_counted(df, lambda d: export_csv(d, path, types=spec.types, encoding=job.encoding))
+    if job.target == TARGET_PARQUET:
+        return write_counted(df, lambda d: export_parquet(d, path, types=spec.types))
+    if job.target == TARGET_SHEET:
+        # re-aimed: a sheet becomes a table; replace_table appends or replaces and refuses other paste modes
+        return write_counted(df, lambda d: replace_table(d, path, job.paste_mode))
+    raise ValueError(f"unknown target: {job.target!r}")
+
 
+def _produce(spark: SparkSession, job: JobSpec, spec: DatasetSpec, as_of: dt.date, path: str) -> int:
+    df = prepare_dataset(spark, spec, job.period, job.criterion, as_of, job.exclude_deleted, job.category)
+    return _sink(df, job, spec, path)
 
-def run_job(spark: SparkSession, job: JobSpec, specs: Mapping[str, DatasetSpec], as_of: dt.date,
-            out_root: str, audit_path: str, run_id: str, now: dt.datetime | None = None) -> tuple[bool, int | None, str, str]:
-    now = now or dt.datetime.now()
+
+def run_job(spark: SparkSession, job: JobSpec, specs: Mapping[str, DatasetSpec], as_of: dt.date, out_root: str,
+            run_id: str, now: dt.datetime | None = None, retries: int = 0) -> tuple[tuple, str]:
+    """Run one job: (its audit row, its result line). A job whose source
+    fails is tried again up to ``retries`` times; an append is never repeated,
+    as a part of it may have been written."""
+    start = dt.datetime.now()
+    now = now or start
     job = test_target(job)
     # concurrent jobs share the cluster fairly (FAIR scheduler pool per job)
     spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"job-{job.sql_name}")
-    try:
-        spec = specs.get(job.sql_name)
-        if spec is None:
-            raise KeyError(f"no dataset named {job.sql_name!r}")
-        df = prepare_dataset(spark, spec, job.period, job.criterion, as_of, job.exclude_deleted, job.category)
-        path, rows = _sink(df, job, spec, out_root, now)
-        ok, error = True, ""
-        message = SUCCESS_LINE.format(sql=job.sql_name, output=path.rsplit("/", 1)[-1])
-    except Exception as exc:  # one failure must not stop the batch
-        LOG.error("job %s failed: %s", job.sql_name, exc)
-        LOG.debug(traceback.format_exc())
-        ok, rows, error = False, None, f"{type(exc).__name__}: {exc}"[:500]
-        message = FAILURE_LINE.format(sql=job.sql_name, reason=error.replace("\n", " "))
-    audit_append(spark, audit_path, job.display_name or job.sql_name, job.sheet_name, job.main_table,
-                 job.category, job.target, rows, ok, error, logged_at=now, spare=run_id)
-    line = LOG_LINE.format(stamp=now.strftime("%Y-%m-%d %H:%M:%S"), level="INFO" if ok else "ERROR",
-                           message=message)
-    return ok, rows, error, line
+    attempts = 1 if job.target == TARGET_SHEET and job.paste_mode == PASTE_APPEND else 1 + retries
+    rows, error = None, ""
+    for attempt in range(1, attempts + 1):
+        try:
+            spec = specs.get(job.sql_name)
+            if spec is None:
+                raise KeyError(f"no dataset named {job.sql_name!r}")
+            path = output_path(job, out_root, now)
+            rows, error = _produce(spark, job, spec, as_of, path), ""
+            message = SUCCESS_LINE.format(sql=job.sql_name, output=path.rsplit("/", 1)[-1])
+            break
+        except Exception as exc:  # one failure must not stop the batch
+            LOG.error("job %s failed (attempt %d of %d): %s", job.sql_name, attempt, attempts, exc)
+            LOG.debug(traceback.format_exc())
+            error = f"{type(exc).__name__}: {exc}"
+            message = FAILURE_LINE.format(sql=job.sql_name, reason=error.replace("\n", " "))
+            if isinstance(exc, (KeyError, ValueError)):  # what the job says is wrong stays wrong
+                break
+    ok = not error
+    ended = now + (dt.datetime.now() - start)
+    row = audit_row(job.display_name or job.sql_name, job.sheet_name, job.main_table, job.category, job.target, rows, ok,
+                    error, logged_at=ended, spare=run_id, started_at=now)
+    line = LOG_LINE.format(stamp=now.strftime("%Y-%m-%d %H:%M:%S"), level="INFO" if ok else "ERROR", message=message)
+    return row, line
 
 
 def run_manifest(spark: SparkSession, jobs: Sequence[JobSpec], specs: Mapping[str, DatasetSpec],
                  as_of: dt.date, out_root: str, audit_path: str, run_id: str,
-                 parallelism: int = 1, pause_s: float = 0.0, now: dt.datetime | None = None) -> DataFrame:
-    """Run every job; returns this run's audit rows."""
-    problems = validate_run_settings(parallelism, 0, 1)
+                 parallelism: int = 1, pause_s: float = 0.0, now: dt.datetime | None = None,
+                 retries: int = 0) -> DataFrame:
+    """Run every job; returns this run's audit rows. Two jobs with one
+    output are refused (an append may share its table), since each publishes
+    its output as a whole."""
+    problems = validate_run_settings(parallelism, retries, 1)
+    stamp = now or dt.datetime.now()
+    paths = [output_path(test_target(job), out_root, stamp) for job in jobs
+             if not (job.target == TARGET_SHEET and job.paste_mode == PASTE_APPEND)]
+    problems += [f"two jobs write {path}" for path in sorted({p for p in paths if paths.count(p) > 1})]
     if problems:
         raise ValueError("; ".join(problems))
-    if parallelism == 1:
-        results = []
-        for i, job in enumerate(jobs):
-            if i and pause_s:
-                time.sleep(pause_s)
-            results.append(run_job(spark, job, specs, as_of, out_root, audit_path, run_id, now))
-    else:
-        with ThreadPoolExecutor(max_workers=parallelism) as pool:
-            results = list(pool.map(lambda j: run_job(spark, j, specs, as_of, out_root, audit_path, run_id, now),
-                                    jobs))
-    # one result line per job (a handful of rows) into the run log
-    lines = spark.createDataFrame([(r[3],) for r in results], "value string")
-    lines.coalesce(1).write.mode("overwrite").text(f"{run_log_dir(out_root)}/run={run_id}")
-    return read_audit(spark, audit_path).where(F.col("spare") == run_id)
+    run = lambda job: run_job(spark, job, specs, as_of, out_root, run_id, now, retries)
+    results: list[tuple[tuple, str]] = []
+    try:
+        if parallelism == 1:
+            for i, job in enumerate(jobs):
+                if i and pause_s:
+                    time.sleep(pause_s)
+                results.append(run(job))
+        else:
+            with ThreadPoolExecutor(max_workers=parallelism) as pool:
+                results.extend(pool.map(run, jobs))
+    finally:  # what ran is recorded even if the batch is interrupted: one write per run
+        if results:
+            audit_write(spark, audit_path, [row for row, _ in results], run_id)
+            # one result line per job (a handful of rows) into the run log
+            lines = spark.createDataFrame([(line,) for _, line in results], "value string")
+            lines.coalesce(1).write.mode("overwrite").text(f"{run_log_dir(out_root)}/run={run_id}")
+    if not results:
+        return spark.createDataFrame([], W.AUDIT_SCHEMA)
+    return read_audit(spark, audit_path, run_id)
 
 
 def run_log_dir(out_root: str) -> str:
@@ -226,20 +252,29 @@ def run_one(spark: SparkSession, jobs: Sequence[JobSpec], specs: Mapping[str, Da
     return run_manifest(spark, chosen, specs, as_of, out_root, audit_path, run_id, now=now)
 
 
-def read_audit(spark: SparkSession, audit_path: str) -> DataFrame:
-    return W.read_audit(spark, audit_path)
+def read_audit(spark: SparkSession, audit_path: str, run_id: str | None = None) -> DataFrame:
+    return W.read_audit(spark, audit_path, run_id)
 
 
 def job_summary(audit: DataFrame) -> DataFrame:
     """Total, succeeded, failed, success rate (0 with no jobs) and the
-    span between the first and last audit stamp, in seconds."""
+    seconds from the first start to the last end."""
     ok = F.col("result") == RESULT_OK
     total = F.count(F.lit(1))
+    seconds = lambda c: F.unix_seconds(c.cast("timestamp"))
     return audit.agg(
         total.alias("total_jobs"),
         F.count_if(ok).alias("succeeded"),
         F.count_if(F.col("result") == RESULT_FAILED).alias("failed"),
         F.when(total == 0, F.lit(0.0)).otherwise(F.count_if(ok) / total).alias("success_rate"),
-        F.coalesce(F.unix_seconds(F.max("logged_at").cast("timestamp")) -
-                   F.unix_seconds(F.min("logged_at").cast("timestamp")), F.lit(0)).alias("duration_s"),
+        F.coalesce(seconds(F.max("logged_at")) - seconds(F.min("started_at")), F.lit(0)).alias("duration_s"),
     )
+
+
+def job_details(audit: DataFrame) -> DataFrame:
+    """J6's listing: each job's result, rows, seconds and error, in order of
+    its start."""
+    seconds = lambda c: F.unix_seconds(F.col(c).cast("timestamp"))
+    return audit.select("display_name", "target", "result", "row_count", "error", "started_at",
+                        (seconds("logged_at") - seconds("started_at")).alias("duration_s")) \
+        .orderBy("started_at", "display_name")

@@ -55,13 +55,10 @@ def register(slug: str, sql: str | None = None):
     return wrap
 
 
-def table(spark: SparkSession, sf: str, name: str, spread: bool = False) -> DataFrame:
-    """A test table. ``spread=True`` for queries whose heavy per-row work
-    comes before any shuffle (see ``sources.files.spread``); a query whose
-    next step is a join or aggregate gets its parallelism from that shuffle."""
+def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A test table."""
     prepare(spark)
-    df = spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
-    return A_files.spread(df) if spread else df
+    return spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
 
 
 def read_back_csv(spark: SparkSession, path: str, like: T.StructType, encoding: str = A_files.UTF8,
@@ -186,7 +183,7 @@ def query_count(spark, sf):
 @register("scan_partitioned", "SELECT * FROM lineitem")
 def scan_partitioned(spark, sf):
     prepare(spark)
-    return A_files.scan_partitioned(spark, f"{sf}/lineitem.parquet", chunk_rows=10_000)
+    return A_files.scan_partitioned(spark, f"{sf}/lineitem.parquet")
 
 
 @register("scan_csv", "SELECT * FROM customer")
@@ -196,19 +193,8 @@ def scan_csv(spark, sf):
     return read_back_csv(spark, path, customer.schema, encoding=A_files.CP932)
 
 
-@register("table_schema", """
-SELECT CAST(ordinal_position AS INTEGER) AS ordinal_position, column_name,
-       CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
-                      WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(data_type) END AS data_type,
-       true AS is_nullable, CAST(NULL AS VARCHAR) AS comment
-FROM information_schema.columns WHERE table_name = 'lineitem'
-""")
-def table_schema(spark, sf):
-    return A_cat.table_schema(table(spark, sf, "lineitem"))
-
-
 @register("table_inventory", "\nUNION ALL\n".join(
-    f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in sorted(TABLES)))
+    f"SELECT '{t}' AS table_name, count(*) AS row_count, CAST(NULL AS VARCHAR) AS comment FROM {t}" for t in sorted(TABLES)))
 def table_inventory(spark, sf):
     return A_cat.table_inventory(spark, {t: table(spark, sf, t) for t in TABLES})
 
@@ -317,7 +303,7 @@ def filter_date_equals(spark, sf):
 
 
 def _customer_json(spark, sf):
-    c = table(spark, sf, "customer", spread=True)
+    c = table(spark, sf, "customer")
     tag = F.concat(F.lit("n"), F.col("c_nationkey").cast("string"))
     return c.select("c_custkey", "c_mktsegment", "c_nationkey",
                     F.to_json(F.struct(F.col("c_mktsegment").alias("seg"), F.array(F.col("c_mktsegment"), tag).alias("tags"),
@@ -379,11 +365,11 @@ def filter_combined(spark, sf):
 
 @register("filter_partitioned", """
 SELECT * FROM lineitem
-WHERE regexp_matches(l_returnflag, 'r', 'i') AND l_quantity = 10 AND l_shipdate = TIMESTAMP '1999-04-14 00:00:00'
+WHERE regexp_matches(l_returnflag, 'r', 'i') AND l_quantity = 10 AND l_linenumber = 2
 """)
 def filter_partitioned(spark, sf):
     return FL.typed_filter(table(spark, sf, "lineitem"),
-                           {"l_returnflag": "r", "l_quantity": "10", "l_shipdate": "1999-04-14", "l_tax": ""})
+                           {"l_returnflag": "r", "l_quantity": "10", "l_linenumber": "2", "l_tax": ""})
 
 
 @register("null_normalize", """
@@ -505,7 +491,7 @@ DIRTY_TYPES = {"qty_txt": "int", "price_txt": "float", "ship_txt": "date"}
 
 
 def dirty_lineitem(spark, sf):
-    li = table(spark, sf, "lineitem", spread=True)
+    li = table(spark, sf, "lineitem")
     k = F.col("l_orderkey")
     qty = F.col("l_quantity").cast("bigint").cast("string")
     return li.select(
@@ -523,7 +509,7 @@ SELECT l_orderkey, CAST(l_quantity AS BIGINT) AS qty, l_extendedprice AS price,
 FROM lineitem
 """)
 def cast_strict(spark, sf):
-    li = table(spark, sf, "lineitem", spread=True).select(
+    li = table(spark, sf, "lineitem").select(
         "l_orderkey", F.col("l_quantity").cast("bigint").cast("string").alias("qty"),
         F.col("l_extendedprice").cast("string").alias("price"),
         F.date_format("l_shipdate", "yyyy-MM-dd").alias("ship"), "l_returnflag")
@@ -754,17 +740,17 @@ def column_profile(spark, sf):
     return Q.column_profile(o)
 
 
-@register("dataset_metrics")
+@register("dataset_metrics", """
+SELECT count(*) AS n_rows, (SELECT CAST(count(*) AS BIGINT) FROM (DESCRIBE lineitem)) AS n_columns FROM lineitem
+""")
 def dataset_metrics(spark, sf):
-    return Q.dataset_metrics(table(spark, sf, "lineitem"))
+    prepare(spark)
+    return Q.dataset_metrics(spark, f"{sf.rstrip('/')}/lineitem.parquet").drop("size_mb")  # the size has a unit test
 
 
-@register("distinct_options", """
-SELECT DISTINCT c_mktsegment FROM customer WHERE c_mktsegment IS NOT NULL AND c_mktsegment <> ''
-ORDER BY c_mktsegment LIMIT 1000
-""")
+@register("distinct_options", "SELECT DISTINCT o_custkey FROM orders WHERE o_custkey IS NOT NULL ORDER BY o_custkey")
 def distinct_options(spark, sf):
-    return Q.distinct_options(table(spark, sf, "customer"), "c_mktsegment")
+    return Q.distinct_options(table(spark, sf, "orders"), "o_custkey")
 
 
 # ---------------------------------------------------------------------------
@@ -835,10 +821,17 @@ def export_csv(spark, sf):
     return read_back_csv(spark, path, customer.schema, encoding=A_files.CP932)
 
 
+@register("export_csv_documents", "SELECT * FROM documents")
+def export_csv_documents(spark, sf):
+    docs = table(spark, sf, "documents")  # texts with line ends, quotes, commas and edge blanks
+    path = W.export_csv(docs, scratch_path(spark, "documents.csv"))
+    return read_back_csv(spark, path, docs.schema)
+
+
 @register("export_csv_chunked", "SELECT * FROM lineitem")
 def export_csv_chunked(spark, sf):
-    li = table(spark, sf, "lineitem", spread=True)
-    path = W.export_csv_chunked(li, scratch_path(spark, "lineitem.csv"), chunk_rows=10_000)
+    li = table(spark, sf, "lineitem")
+    path = W.export_csv_chunked(li, scratch_path(spark, "lineitem.csv"))
     return read_back_csv(spark, path, li.schema)
 
 
@@ -865,21 +858,22 @@ def export_tsv(spark, sf):
     return read_back_csv(spark, path, o.schema, sep="\t")
 
 
-@register("append_table", "SELECT * FROM orders WHERE o_orderstatus IN ('F', 'O')")
+@register("append_table", "SELECT * FROM orders")
 def append_table(spark, sf):
     o = table(spark, sf, "orders")
     path = scratch_path(spark, "orders_log")
-    for status in ("F", "O"):
-        W.append_table(o.where(F.col("o_orderstatus") == status), path, partition_by=["o_orderstatus"])
+    odd = F.col("o_orderkey") % 2 == 1
+    for half in (o.where(odd), o.where(~odd)):
+        W.append_table(half, path, partition_by=["o_orderstatus"])
     return spark.read.parquet(path).select(*o.columns)
 
 
-@register("replace_table", "SELECT * FROM part WHERE p_size > 25")
+@register("replace_table", "SELECT * REPLACE (p_size + 1 AS p_size) FROM part")
 def replace_table(spark, sf):
     p = table(spark, sf, "part")
     path = scratch_path(spark, "part_table")
     W.replace_table(p, path)
-    W.replace_table(p.where(F.col("p_size") > 25), path, W.PASTE_REPLACE)
+    W.replace_table(p.withColumn("p_size", F.col("p_size") + 1), path, W.PASTE_REPLACE)
     return spark.read.parquet(path)
 
 
@@ -894,17 +888,17 @@ def load_csv_to_table(spark, sf):
 
 
 @register("audit_append", """
-SELECT 'open_orders' AS display_name, 'orders' AS main_table, 'parquet' AS target,
-       count(*) AS row_count, '成功' AS result FROM orders WHERE o_orderstatus = 'O'
+SELECT 'all_orders' AS display_name, 'orders' AS main_table, 'parquet' AS target,
+       count(*) AS row_count, '成功' AS result FROM orders
 UNION ALL
 SELECT 'customers', 'customer', 'CSV', count(*), '成功' FROM customer
 """)
 def audit_append(spark, sf):
     audit = scratch_path(spark, "audit")
-    o = table(spark, sf, "orders").where(F.col("o_orderstatus") == "O")
+    o = table(spark, sf, "orders")
     c = table(spark, sf, "customer")
-    n1 = W.write_counted(o, lambda d: W.export_parquet(d, scratch_path(spark, "open_orders.parquet")))
-    W.audit_append(spark, audit, "open_orders", "", "orders", "", "parquet", n1, True)
+    n1 = W.write_counted(o, lambda d: W.export_parquet(d, scratch_path(spark, "all_orders.parquet")))
+    W.audit_append(spark, audit, "all_orders", "", "orders", "", "parquet", n1, True)
     n2 = W.write_counted(c, lambda d: W.export_csv(d, scratch_path(spark, "customers.csv")))
     W.audit_append(spark, audit, "customers", "", "customer", "", "CSV", n2, True)
     return J.read_audit(spark, audit).select("display_name", "main_table", "target", "row_count", "result")
@@ -958,6 +952,8 @@ MANIFEST = [
             paste_mode="全張替え", sheet_name="revenue_sheet", display_name="revenue", main_table="orders"),
     JobSpec("orders_by_date", "broken", "来週のどこか", "登録日時", "batch", "parquet",
             display_name="broken", main_table="orders"),
+    JobSpec("customer_master", "customer_sheet", target="スプシ", paste_mode="数式", sheet_name="customer_sheet",
+            display_name="formula", main_table="customer"),
 ]
 
 MANIFEST_SQL = """
@@ -971,6 +967,7 @@ UNION ALL SELECT 'revenue', 'スプシ', count(DISTINCT o_orderstatus), '成功'
 FROM orders JOIN lineitem ON o_orderkey = l_orderkey
 WHERE o_orderdate >= TIMESTAMP '1998-01-01 00:00:00' AND o_orderdate < TIMESTAMP '1998-04-01 00:00:00'
 UNION ALL SELECT 'broken', 'parquet', CAST(NULL AS BIGINT), '失敗'
+UNION ALL SELECT 'formula', 'スプシ', CAST(NULL AS BIGINT), '失敗'
 """
 
 
@@ -999,16 +996,20 @@ def run_one(spark, sf):
 
 
 @register("job_summary", """
-SELECT CAST(6 AS BIGINT) AS total_jobs, CAST(5 AS BIGINT) AS succeeded, CAST(1 AS BIGINT) AS failed,
-       round(5.0 / 6.0, 4) AS success_rate, CAST(0 AS BIGINT) AS duration_s,
-       (SELECT count(*) FROM orders WHERE o_orderstatus <> 'F') AS live_orders
+SELECT count(*) AS total_jobs, count(*) FILTER (WHERE o_orderstatus <> 'P') AS succeeded,
+       count(*) FILTER (WHERE o_orderstatus = 'P') AS failed,
+       round(count(*) FILTER (WHERE o_orderstatus <> 'P') / count(*), 4) AS success_rate,
+       CAST(epoch(max(o_orderdate + to_seconds(o_orderkey % 5000))) - epoch(min(o_orderdate)) AS BIGINT) AS duration_s
+FROM orders
 """)
 def job_summary(spark, sf):
-    prepare(spark)
-    audit = _run(spark, sf, MANIFEST)
-    live = audit.where(F.col("display_name") == "orders_live").agg(F.max("row_count").alias("live_orders"))
-    summary = J.job_summary(audit).withColumn("success_rate", F.round("success_rate", 4))
-    return summary.withColumn("live_orders", live.scalar())
+    # an audit table derived from orders: each order is a job that started on its date
+    ok = F.when(F.col("o_orderstatus") != "P", W.RESULT_OK).otherwise(W.RESULT_FAILED)
+    start = F.col("o_orderdate").cast("timestamp_ntz")
+    audit = table(spark, sf, "orders").select(
+        ok.alias("result"), start.alias("started_at"),
+        (start + F.make_dt_interval(secs=(F.col("o_orderkey") % 5000).cast("decimal(18,6)"))).alias("logged_at"))
+    return J.job_summary(audit).withColumn("success_rate", F.round("success_rate", 4))
 
 
 # ---------------------------------------------------------------------------
@@ -1151,6 +1152,27 @@ def stream_error_counts(spark, sf):
 # Variants: deep pages, wildcards, login criterion, counted losses, log stream
 # ---------------------------------------------------------------------------
 
+@register("page_keyset_nulls", """
+SELECT event_id, CASE WHEN event_id % 3 = 0 THEN NULL ELSE user_id END AS user_id FROM events
+ORDER BY CASE WHEN event_id % 3 = 0 THEN NULL ELSE user_id END DESC NULLS LAST, event_id DESC
+LIMIT 200 OFFSET (SELECT count(*) - 100 FROM events WHERE event_id % 3 <> 0)
+""")
+def page_keyset_nulls(spark, sf):
+    # pages over a key with nulls, walked over the border between values and nulls
+    key = F.when(F.col("event_id") % 3 != 0, F.col("user_id"))
+    events = table(spark, sf, "events").select("event_id", key.alias("user_id"))
+    keys = ["user_id", "event_id"]
+    before = events.where("user_id is not null").orderBy("user_id", "event_id").limit(101).agg(
+        F.max(F.struct(*keys)).alias("last")).first()["last"]
+    first = S.page_after(events, keys, list(before), 100)
+    last = first.collect()[-1]
+    pages = first
+    for _ in range(2):
+        pages = pages.unionByName(S.page_after(events, keys, [last["user_id"], last["event_id"]], 50))
+        last = pages.collect()[-1]
+    return pages
+
+
 @register("page_keyset", "SELECT * FROM events ORDER BY ts DESC, event_id DESC LIMIT 50 OFFSET 100")
 def page_keyset(spark, sf):
     events = table(spark, sf, "events")
@@ -1204,15 +1226,18 @@ def log_stream_error_counts(spark, sf):
     return read_error_counts(spark, f"{root}/out")
 
 
-@register("filter_json_number", """
-SELECT event_id, props FROM events
+@register("filter_json_number", r"""
+WITH e AS (SELECT event_id, CASE WHEN event_id % 2 = 1 THEN regexp_replace(props, '(\d+)', '"\1"') ELSE props END AS props
+           FROM events)
+SELECT event_id, props FROM e
 WHERE json_type(props, '$.k') = 'VARCHAR' AND json_extract_string(props, '$.k') = '9'
 """)
 def filter_json_number(spark, sf):
-    # events.props holds {"k": <number>}: the quoted candidate "9" never
+    # {"k": 9} in even rows, {"k": "9"} in odd ones: the quoted candidate "9" never
     # matches the number 9 (a text extraction would say it does)
-    df = _filtered(spark, sf, "events", [FilterSpec("props", "json_path", "9", path="$.k")])
-    return df.select("event_id", "props")
+    quoted = F.when(F.col("event_id") % 2 == 1, F.regexp_replace("props", r"(\d+)", '"$1"')).otherwise(F.col("props"))
+    df = table(spark, sf, "events").select("event_id", quoted.alias("props"))
+    return FL.apply_filters(df, [FilterSpec("props", "json_path", "9", path="$.k")])
 
 
 def labeled_documents(spark, sf):

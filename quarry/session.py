@@ -8,6 +8,8 @@ local one.
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -21,11 +23,6 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.legacy.javaCharsets": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Broadcast only what is measured: no plan-time estimate (file size)
-    # decides a broadcast; AQE converts a join after its shuffle stages ran
-    # and their real sizes are known.
-    "spark.sql.autoBroadcastJoinThreshold": "-1",
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     # HotSpot does not JIT-compile methods over 8000 bytes of bytecode; a
     # wide projection (CSV text of many columns) fused into one larger
@@ -44,8 +41,6 @@ RUNTIME_SETTINGS = (
     "spark.sql.ansi.enabled",
     "spark.sql.codegen.hugeMethodLimit",
     "spark.sql.legacy.javaCharsets",
-    "spark.sql.autoBroadcastJoinThreshold",
-    "spark.sql.adaptive.autoBroadcastJoinThreshold",
 )
 
 
@@ -77,18 +72,35 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide working folder (``spark.checkpoint.dir``).
 
-    Set by the cluster; only when it is unset do we make a local folder and
-    register it, which is what tests on one machine need.
+    Set by the cluster; only when it is unset and the master is local do we
+    make a folder and register it (deleted at exit). On a cluster a folder of
+    one machine would lose what other machines write, so that raises.
     """
     configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not configured:
         configured = spark.sparkContext.getCheckpointDir()
     if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         configured = tempfile.mkdtemp(prefix="quarry-ckpt-")
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(configured)
     return configured.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared folder."""
-    return f"{shared_dir(spark)}/quarry-work/{uuid.uuid4().hex}/{name}"
+    """A fresh, unique path under the shared folder, in this session's
+    working folder; ``clear_scratch`` deletes that folder."""
+    return f"{shared_dir(spark)}/quarry-work/{_work_name(spark)}/{uuid.uuid4().hex}/{name}"
+
+
+def _work_name(spark: SparkSession) -> str:
+    return f"{spark.sparkContext.applicationId}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete everything this application wrote under ``scratch_path``. Call
+    it when the results that read from there are done with, at the latest
+    before the session stops."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/quarry-work/{_work_name(spark)}")
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

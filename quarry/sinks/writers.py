@@ -1,12 +1,15 @@
 """Sinks (W1-W10) and the publish step.
 
 Every file sink writes into a staging directory next to the target and then
-swaps it in (``publish``), so readers never see a half-written dataset and a
-failed job leaves the previous version intact. Writes run on the executors,
-one file per task; a single output file happens only on explicit request.
-
-On HDFS and local disks a directory rename is atomic. On object stores it
-is not; there, write a new versioned directory and switch a pointer.
+swaps it in (``publish``), so a failed job leaves the previous version intact
+and no half-written dataset is ever visible. Writes run on the executors, one
+file per task; a single output file happens only on explicit request.
+
+``publish`` is for one writer per target: between its two renames the target is
+absent for a moment, and two publishers of one target could undo each other.
+``run_manifest`` therefore refuses two jobs with one output. On object stores a
+rename is not atomic; there, write a new versioned directory and switch a
+pointer.
 """
 
 from __future__ import annotations
@@ -28,7 +31,9 @@ PASTE_REPLACE = "全張替え"
 RESULT_OK = "成功"
 RESULT_FAILED = "失敗"
 AUDIT_SCHEMA = ("display_name string, sheet string, main_table string, category string, target string, "
-                "row_count bigint, result string, error string, logged_at timestamp_ntz, spare string")
+                "row_count bigint, result string, error string, logged_at timestamp_ntz, spare string, "
+                "started_at timestamp_ntz")
+FILE_BYTES = 256 << 20  # of a newest-first file, as the plan estimates them
 BOM = "\ufeff"
 # Export file stamp and name.
 STAMP_LAYOUT = "%Y-%m-%d-%H%M%S"
@@ -87,11 +92,17 @@ def publish(spark: SparkSession, staging: str, target: str) -> str:
     return target
 
 
+def planned_bytes(df: DataFrame) -> int:
+    """The plan's estimate of a frame's bytes (file sizes for a scan)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 # --- CSV ---------------------------------------------------------------------
 
 def _csv_writer(df: DataFrame, encoding: str, header: bool, sep: str, chunk_rows: int | None):
     writer = df.write.mode("overwrite").option("header", header).option("encoding", encoding) \
-        .option("sep", sep).option("emptyValue", "").option("nullValue", "")
+        .option("sep", sep).option("emptyValue", "").option("nullValue", "") \
+        .option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
     if chunk_rows:
         writer = writer.option("maxRecordsPerFile", str(chunk_rows))
     return writer
@@ -127,9 +138,10 @@ def export_csv(df: DataFrame, path: str, types: Mapping[str, str] | None = None,
     return publish(df.sparkSession, stage, path)
 
 
-def export_csv_chunked(df: DataFrame, path: str, chunk_rows: int = 10_000, **kwargs) -> str:
-    """As W1, at most ``chunk_rows`` rows per file; every file has its
-    header and no row is lost between chunks."""
+def export_csv_chunked(df: DataFrame, path: str, chunk_rows: int | None = None, **kwargs) -> str:
+    """As W1 in several files, each with its header; no row is lost
+    between them. By default every task writes one part, so parts follow the
+    size of the splits; ``chunk_rows`` asks for parts of so many rows at most."""
     return export_csv(df, path, chunk_rows=chunk_rows, **kwargs)
 
 
@@ -157,10 +169,13 @@ def export_parquet_newest(df: DataFrame, path: str, keys: Sequence[str],
                           compression: str = "snappy") -> str:
     """Parquet whose files and rows run newest-first: a range
     partitioning on the descending key (sampled bounds, no single-task sort)
-    and a sort inside each partition."""
+    and a sort inside each partition. The number of files follows the bytes
+    that the plan expects; a hash of the row after the keys lets one very
+    common key value spread over several files."""
     out = cast_lenient(df, types or {})
     order = [F.col(k).desc_nulls_last() for k in keys]
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order.append(F.xxhash64(*[F.col(c) for c in out.columns]).asc())
+    n = partitions or max(1, -(-planned_bytes(out) // FILE_BYTES))
     out = out.repartitionByRange(n, *order).sortWithinPartitions(*order)
     stage = staging_path(path)
     out.write.mode("overwrite").option("compression", compression).parquet(stage)
@@ -169,8 +184,22 @@ def export_parquet_newest(df: DataFrame, path: str, keys: Sequence[str],
 
 # --- tables ------------------------------------------------------------------
 
+def under_header(df: DataFrame, path: str) -> DataFrame:
+    """``df`` with the columns and types of the table at ``path``; a frame
+    that lacks a column, or brings one the table does not have, is refused."""
+    header = df.sparkSession.read.parquet(path).schema
+    missing = [f.name for f in header.fields if f.name not in df.columns]
+    unknown = [c for c in df.columns if c not in header.names]
+    if missing or unknown:
+        raise ValueError(f"columns do not fit the table: missing {missing}, unknown {unknown}")
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in header.fields])
+
+
 def append_table(df: DataFrame, path: str, partition_by: Sequence[str] | None = None) -> str:
-    """Append to a Parquet table; created with its schema when new."""
+    """Append to a Parquet table under its header; created with the
+    frame's schema when new."""
+    if path_exists(df.sparkSession, path):
+        df = under_header(df, path)
     writer = df.write.mode("append")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -186,10 +215,7 @@ def replace_table(df: DataFrame, path: str, mode: str = PASTE_REPLACE) -> str:
     if mode not in (PASTE_REPLACE, "overwrite"):
         raise ValueError(f"unknown paste mode: {mode!r}")
     spark = df.sparkSession
-    out = df
-    if path_exists(spark, path):
-        header = spark.read.parquet(path).schema
-        out = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in header.fields])
+    out = under_header(df, path) if path_exists(spark, path) else df
     stage = staging_path(path)
     out.write.mode("overwrite").parquet(stage)
     return publish(spark, stage, path)
@@ -216,24 +242,34 @@ def write_counted(df: DataFrame, write) -> int:
     return int(obs.get.get("rows", 0))
 
 
-def audit_append(spark: SparkSession, audit_path: str, display_name: str, sheet: str, main_table: str,
-                 category: str, target: str, row_count: int | None, ok: bool, error: str = "",
-                 logged_at: dt.datetime | None = None, spare: str = "") -> None:
-    """Append one audit row per job, after the write (the reference
-    logged success before writing). Each entry is its own directory under
-    the table, so jobs running at the same time never share a committer's
-    temporary folder."""
+def audit_row(display_name: str, sheet: str, main_table: str, category: str, target: str, row_count: int | None,
+              ok: bool, error: str = "", logged_at: dt.datetime | None = None, spare: str = "",
+              started_at: dt.datetime | None = None) -> tuple:
+    """One row of the audit table; ``started_at`` defaults to ``logged_at``."""
     stamp = (logged_at or dt.datetime.now()).replace(microsecond=0)
-    row = [(display_name, sheet, main_table, category, target, row_count,
-            RESULT_OK if ok else RESULT_FAILED, error, stamp, spare)]
-    entry = f"{audit_path.rstrip('/')}/entry={uuid.uuid4().hex}"
-    spark.createDataFrame(row, AUDIT_SCHEMA).coalesce(1).write.mode("overwrite").parquet(entry)
+    return (display_name, sheet, main_table, category, target, row_count, RESULT_OK if ok else RESULT_FAILED, error,
+            stamp, spare, (started_at or stamp).replace(microsecond=0))
+
+
+def audit_write(spark: SparkSession, audit_path: str, rows: Sequence[tuple], run_id: str) -> None:
+    """The audit rows of a run, one write into the run's own directory, so
+    runs at the same time never share a committer's temporary folder."""
+    spark.createDataFrame(list(rows), AUDIT_SCHEMA).coalesce(1).write.mode("append") \
+        .parquet(f"{audit_path.rstrip('/')}/run={run_id}")
+
+
+def audit_append(spark: SparkSession, audit_path: str, *args, **kwargs) -> None:
+    """Append one audit row (``audit_row``'s fields) after the write (the
+    reference logged success before writing)."""
+    audit_write(spark, audit_path, [audit_row(*args, **kwargs)], uuid.uuid4().hex)
 
 
-def read_audit(spark: SparkSession, audit_path: str) -> DataFrame:
-    """The audit table (entry directories are an implementation detail)."""
+def read_audit(spark: SparkSession, audit_path: str, run_id: str | None = None) -> DataFrame:
+    """The audit table, or one run's rows read from the run's directory
+    alone (directories are an implementation detail)."""
     names = [f.split(" ")[0] for f in AUDIT_SCHEMA.split(", ")]
-    return spark.read.parquet(audit_path).select(*names)
+    root = audit_path.rstrip("/")
+    return spark.read.parquet(root if run_id is None else f"{root}/run={run_id}").select(*names)
 
 
 def export_view_csv(df: DataFrame, folder: str, filters: Sequence[FilterSpec] = (),

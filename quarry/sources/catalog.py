@@ -19,13 +19,18 @@ def table_schema(df: DataFrame) -> DataFrame:
 
 
 def table_inventory(spark: SparkSession, tables: Mapping[str, DataFrame] | None = None) -> DataFrame:
-    """(table_name, row_count) for every table, sorted by name. The
+    """(table_name, row_count, comment) for every table, by name. The
     counts are one union of aggregates, so a single job scans all tables in
-    parallel. Without ``tables`` the session's temporary views are listed."""
+    parallel. Without ``tables`` the whole catalog is listed: stored tables of
+    the current database with their comments, and temporary views."""
+    comments: dict[str, str | None] = {}
     if tables is None:
-        tables = {t.name: spark.table(t.name) for t in spark.catalog.listTables() if t.isTemporary}
-    parts = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
-             for name, df in sorted(tables.items())]
+        listed = spark.catalog.listTables()
+        comments = {t.name: t.description for t in listed}
+        tables = {t.name: spark.table(t.name) for t in listed}
+    parts = [df.agg(F.count(F.lit(1)).alias("row_count")).select(
+        F.lit(name).alias("table_name"), "row_count", F.lit(comments.get(name)).cast("string").alias("comment"))
+        for name, df in sorted(tables.items())]
     if not parts:
-        return spark.createDataFrame([], "table_name string, row_count bigint")
-    return reduce(lambda a, b: a.unionByName(b), parts)
+        return spark.createDataFrame([], "table_name string, row_count bigint, comment string")
+    return reduce(lambda a, b: a.unionByName(b), parts).orderBy("table_name")

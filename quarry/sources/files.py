@@ -38,83 +38,22 @@ def scan_parquet_head(spark: SparkSession, path: str, keys: Sequence[str], n: in
     return head
 
 
-def scan_partitioned(spark: SparkSession, path: str, chunk_rows: int = 10_000,
-                     bytes_per_row: int | None = None) -> DataFrame:
-    """A chunked scan is Spark's split planning. The reference reads
-    ``chunk_rows`` at a time; here the split size is set from the files'
-    bytes per row so that one task reads about ``chunk_rows`` rows (row
-    groups are the smallest unit a split can take), and all chunks run in
-    parallel. Never an OFFSET loop.
-
-    Split size is a SQL setting applied when a query runs (the Parquet
-    source ignores it as a read option), so the read goes through a child
-    session (same SparkContext, own SQL settings): the size applies to this
-    scan only and other queries keep theirs. The frame can be combined with
-    frames of the same child session only."""
-    if bytes_per_row is None:
-        bytes_per_row = estimate_bytes_per_row(spark, path)
-    split = max(1 << 20, bytes_per_row * chunk_rows)
-    reader = spark.newSession()
-    for key, value in spark.conf.getAll.items():   # carry the caller's SQL settings over
-        if key.startswith("spark.sql."):
-            try:
-                reader.conf.set(key, value)
-            except Exception:  # static settings are shared by all sessions anyway
-                pass
-    reader.conf.set("spark.sql.files.maxPartitionBytes", str(split))
-    return reader.read.parquet(path)
-
-
-def estimate_bytes_per_row(spark: SparkSession, path: str, sample_files: int = 16) -> int:
-    """Stored bytes per row, from the footers of at most ``sample_files``
-    files (a bounded job, however large the dataset)."""
-    files = sorted(spark.read.parquet(path).inputFiles())[:sample_files]
-    meta = spark.read.parquet(*files).select(F.col("_metadata.file_path").alias("p"),
-                                             F.col("_metadata.file_size").alias("s"))
-    stats = meta.groupBy("p").agg(F.count(F.lit(1)).alias("n"), F.max("s").alias("s")) \
-        .agg(F.sum("n").alias("n"), F.sum("s").alias("s")).first()
-    return max(1, int((stats["s"] or 0) / max(1, stats["n"] or 0)))
+def scan_partitioned(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """The reference reads a large dataset chunk by chunk; Spark's split
+    planning is that chunking, with all chunks in parallel and never an OFFSET
+    loop. Split sizes are the session's (``spark.sql.files.maxPartitionBytes``)."""
+    return scan_parquet(spark, path, columns)
 
 
 def scan_csv(spark: SparkSession, path: str, encoding: str = UTF8, header: bool = True,
-             schema: str | None = None, sep: str = ",") -> DataFrame:
-    """CSV with a header in CP932 or UTF-8. Give ``schema`` in production:
-    inference costs a full extra pass."""
+             schema: str | None = None, sep: str = ",", multiline: bool = True) -> DataFrame:
+    """CSV with a header in CP932 or UTF-8, quotes doubled, blanks and
+    quoted line ends kept. Give ``schema`` in production: inference costs a
+    full extra pass. A file that may hold quoted line ends cannot be split, so
+    one file is one task; ``multiline=False`` splits large files that hold none."""
     reader = spark.read.option("header", header).option("encoding", encoding).option("sep", sep) \
-        .option("multiLine", False)
+        .option("multiLine", multiline).option("escape", '"') \
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
     if schema:
         reader = reader.schema(schema)
     return reader.csv(path)
-
-
-def input_bytes(df: DataFrame) -> int:
-    """Bytes of the files behind a file-backed frame (a driver-side listing
-    of the files Spark already resolved)."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    total = 0
-    for name in df.inputFiles():
-        path = jvm.org.apache.hadoop.fs.Path(name)
-        total += path.getFileSystem(conf).getFileStatus(path).getLen()
-    return total
-
-
-def spread(df: DataFrame, bytes_per_task: int = 1 << 20) -> DataFrame:
-    """Give an under-split scan enough tasks.
-
-    A file written as one row group cannot be split, so a 600k-row table
-    can arrive as a single task and everything up to the first shuffle runs
-    on one core. When the scan has fewer partitions than the cluster has
-    cores and holds more than ``bytes_per_task`` per partition, rows are
-    dealt round-robin to ``min(cores, bytes / bytes_per_task)`` tasks.
-    Filters and column pruning still reach the scan (they are pushed
-    through the repartition). A large dataset already has more splits than
-    cores, and this is a no-op that does not even list its files.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    parts = df.rdd.getNumPartitions()
-    if parts >= cores:
-        return df
-    wanted = min(cores, input_bytes(df) // bytes_per_task)
-    return df.repartition(int(wanted)) if wanted > parts else df

@@ -46,7 +46,8 @@ class DatasetSpec:
 
 @dataclass(frozen=True)
 class JobSpec:
-    """One manifest row (the reference's 13 fields, typed)."""
+    """One manifest row (the reference's fields, typed). ``filename_format`` is
+    an output name pattern; ``encoding`` is a CSV output's."""
 
     sql_name: str
     output_name: str
@@ -62,4 +63,6 @@ class JobSpec:
     display_name: str = ""
     sheet_name: str = ""
     frequency: str = ""
+    filename_format: str = ""
+    encoding: str = "windows-31j"
     enabled: str = "TRUE"

@@ -129,3 +129,23 @@ def test_exact_integral_text_past_bigint(spark):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "id long, v double")
     got = {int(r["id"]): r["v"] for r in C.to_text(df).collect()}
     assert [got[i] for i in range(len(vals))] == [str(int(v)) for v in vals]
+
+
+def test_nan_in_int_columns_is_blank(spark):
+    df = spark.createDataFrame([(1, 1.0), (2, float("nan")), (3, None)], "id long, v double")
+    assert by_id(C.cast_strict(df, {"v": "int"}), "v") == {1: 1, 2: None, 3: None}
+    assert {r.id: r.v for r in C.csv_prepare(df, {"v": "int"}).collect()} == {"1": "1", "2": "0", "3": "0"}
+
+
+def test_fractions_are_never_rounded_away(spark):
+    df = spark.createDataFrame([(1, "1.00000000001"), (2, "9007199254740993.000"), (3, "1e3"), (4, "1e-3")], "id long, v string")
+    assert by_id(C.cast_lenient(df, {"v": "int"}), "v") == {1: None, 2: 9007199254740993, 3: 1000, 4: None}
+    with pytest.raises(Exception):
+        C.cast_strict(df.where("id = 1"), {"v": "int"}).collect()
+
+
+def test_infer_keeps_text_that_only_looks_like_dates(spark):
+    df = spark.createDataFrame([("1234-56-78", "2024-01-02"), ("ABCD-12-34", None)], "a string, b string")
+    out = C.infer_types(df)
+    assert dict(out.dtypes)["a"] == "string" and dict(out.dtypes)["b"] == "timestamp_ntz"
+    assert [r.a for r in out.collect()] == ["1234-56-78", "ABCD-12-34"]

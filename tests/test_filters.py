@@ -117,3 +117,15 @@ def test_filters_reach_the_scan(spark):
 def T_long():
     from pyspark.sql import types as T
     return T.IntegerType()
+
+
+def test_numbers_compare_exactly_and_as_seen(spark):
+    from quarry.functions.filters import apply_filters
+    from quarry.spec import FilterSpec
+    df = spark.createDataFrame([(9007199254740992, 12345678.0), (9007199254740993, 0.5)], "k long, v double")
+    ids = lambda kind, col, value: [r.k for r in apply_filters(df, [FilterSpec(col, kind, value)]).collect()]
+    assert ids("number", "k", "9007199254740993") == [9007199254740993]
+    assert ids("number", "k", "1.5") == [] and ids("number", "k", "1e30") == [] and len(ids("number", "k", "x")) == 2
+    assert ids("number", "v", "0.5") == [9007199254740993]
+    for kind in ("text", "regex"):
+        assert ids(kind, "v", "^12345678") == [9007199254740992]

@@ -26,6 +26,8 @@ def test_file_names():
     assert J.job_file_name("{filename}_yyyyMMddhhmmss", "users", now) == "users_20240304050607"
     assert J.job_file_name("{filename}_yyyy-MM", "users", now) == "users_2024-03"
     assert J.job_file_name("plain", "users", now, ".csv") == "plain.csv"
+    assert J.job_file_name("yyyyMMdd_{filename}", "test1.csv", now, ".csv") == "20240304_test1.csv"
+    assert J.job_file_name("", "test1.csv", now, ".csv") == "test1.csv"
 
 
 def test_test_target():
@@ -49,12 +51,13 @@ def test_manifest_isolates_failures(spark):
                            f"{root}/audit", run_id="r1")
     results = {r["display_name"]: r for r in audit.collect()}
     assert results["broken"]["result"] == "失敗" and "unknown period" in results["broken"]["error"]
-    assert all(r["result"] == "成功" for k, r in results.items() if k != "broken")
+    assert results["formula"]["result"] == "失敗" and "paste mode" in results["formula"]["error"]
+    assert all(r["result"] == "成功" for k, r in results.items() if k not in ("broken", "formula"))
     orders = spark.read.parquet(f"{SF}/orders.parquet")
     assert results["customers"]["row_count"] == spark.read.parquet(f"{SF}/customer.parquet").count()
     assert results["orders_live"]["row_count"] == orders.where(F.col("o_orderstatus") != "F").count()
     summary = J.job_summary(audit).first()
-    assert (summary["total_jobs"], summary["succeeded"], summary["failed"]) == (6, 5, 1)
+    assert (summary["total_jobs"], summary["succeeded"], summary["failed"]) == (7, 5, 2)
 
 
 def test_run_one_by_table_or_synonym(spark):
@@ -70,8 +73,8 @@ def test_run_log_feeds_the_monitors(spark):
     J.run_manifest(spark, MANIFEST, dataset_specs(SF), dt.date(1998, 6, 15), f"{root}/out", f"{root}/audit",
                    run_id="r3", now=dt.datetime(2024, 1, 1, 12, 0, 0))
     log = M.parse_log(spark.read.text(J.run_log_dir(f"{root}/out")))
-    assert log.count() == 6
-    assert [r[0] for r in M.failed_jobs(log.where("is_error")).collect()] == ["orders_by_date"]
+    assert log.count() == 7
+    assert [r[0] for r in M.failed_jobs(log.where("is_error")).collect()] == ["customer_master", "orders_by_date"]
     ok_lines = [r["line"] for r in log.where(F.col("line").contains("★成功★")).collect()]
     assert any("-> customers.parquet" in x for x in ok_lines)
 
@@ -91,3 +94,59 @@ def test_jobs_from_manifest(spark):
     broken = m.withColumn("出力先", F.lit("fax"))
     with pytest.raises(ValueError):
         J.jobs_from_manifest(broken, dt.date(1998, 6, 15), mapping)
+
+
+def test_two_row_manifest(spark):
+    """A CSV job with a dated name, and a sheet job with a paste mode that no table sink has."""
+    root = scratch_path(spark, "jobs")
+    jobs = [JobSpec("customer_master", "test1.csv", target="CSV", filename_format="yyyyMMdd_{filename}", display_name="one"),
+            JobSpec("customer_master", "test2", target="スプシ", paste_mode="数式", sheet_name="sheet", display_name="two")]
+    # the sheet's table exists: a refused mode must leave it alone
+    spark.range(6).write.parquet(f"{root}/out/sheet")
+    out = J.run_manifest(spark, jobs, dataset_specs(SF), dt.date(2024, 2, 1), f"{root}/out", f"{root}/audit", "r",
+                         now=dt.datetime(2024, 2, 1))
+    results = {r.display_name: r.result for r in out.collect()}
+    assert results == {"one": "成功", "two": "失敗"}
+    assert spark.read.parquet(f"{root}/out/sheet").count() == 6
+    raw = b"".join(spark.read.format("binaryFile").load(f"{root}/out/20240201_test1.csv/*.csv").select("content").first())
+    raw.decode("cp932")
+
+
+def test_jobs_with_one_output_are_refused(spark):
+    import pytest
+    jobs = [JobSpec("customer_master", "same"), JobSpec("orders_live", "same")]
+    with pytest.raises(ValueError, match="two jobs write"):
+        J.run_manifest(spark, jobs, dataset_specs(SF), dt.date(2024, 2, 1), "/nowhere/out", "/nowhere/audit", "r")
+
+
+def test_missing_soft_delete_column_fails_the_job(spark):
+    root = scratch_path(spark, "jobs")
+    job = JobSpec("customer_master", "c", exclude_deleted=True, display_name="c")
+    row = J.run_manifest(spark, [job], dataset_specs(SF), dt.date(2024, 2, 1), f"{root}/o", f"{root}/a", "r").first()
+    assert row.result == "失敗" and "soft-delete" in row.error
+
+
+def test_retries_repeat_reads_but_never_appends(spark):
+    from quarry.spec import DatasetSpec
+    calls = []
+
+    def flaky(s):
+        calls.append(1)
+        if len(calls) < 3:
+            raise OSError("source away")
+        return s.range(4)
+
+    specs = {"q": DatasetSpec("q", flaky)}
+    root = scratch_path(spark, "jobs")
+    run = lambda job, n: J.run_manifest(spark, [job], specs, dt.date(2024, 2, 1), f"{root}/o", f"{root}/a", f"r{n}",
+                                        retries=2).first()
+    assert run(JobSpec("q", "q"), 1).row_count == 4 and len(calls) == 3
+    calls.clear()
+    assert run(JobSpec("q", "q", target="スプシ", paste_mode="最終行積立て", sheet_name="s"), 2).result == "失敗" and len(calls) == 1
+
+
+def test_durations(spark):
+    rows = [("成功", dt.datetime(2024, 1, 1, 0, 0, 0), dt.datetime(2024, 1, 1, 0, 0, 50)),
+            ("失敗", dt.datetime(2024, 1, 1, 0, 0, 10), dt.datetime(2024, 1, 1, 0, 0, 20))]
+    audit = spark.createDataFrame(rows, "result string, started_at timestamp_ntz, logged_at timestamp_ntz")
+    assert J.job_summary(audit).first().duration_s == 50

@@ -80,3 +80,21 @@ def test_stale_files(spark):
             os.utime(os.path.join(root, name), (two_days_ago, two_days_ago))
     stale = M.stale_files(spark, folder, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), hours=24).collect()
     assert [r["dataset"] for r in stale] == ["old.parquet"] and 47 < stale[0]["age_hours"] < 49
+
+
+def test_stale_files_over_mixed_datasets(spark):
+    import os
+    from quarry.session import scratch_path
+    folder = scratch_path(spark, "datasets")
+    spark.range(5).write.parquet(f"{folder}/plain.parquet")
+    spark.range(6).selectExpr("id", "id % 2 as p").write.partitionBy("p").parquet(f"{folder}/split.parquet")
+    spark.range(3).toPandas().to_parquet(f"{folder.removeprefix('file:')}/single.parquet")
+    root = folder.removeprefix("file://").removeprefix("file:")
+    for base, _, names in os.walk(root):
+        for name in names:
+            if "single" not in name:
+                os.utime(os.path.join(base, name), (1_700_000_000, 1_700_000_000))
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    out = M.stale_files(spark, folder, now, hours=24)
+    assert sorted(r.dataset for r in out.collect()) == ["plain.parquet", "split.parquet"]
+    assert M.stale_files(spark, folder, now + dt.timedelta(days=3), hours=24).count() == 3

@@ -28,3 +28,24 @@ def test_refuses_without_key(spark):
     import pytest
     with pytest.raises(ValueError):
         S.page(spark.range(3), [], 1, 2)
+
+
+def test_keyset_walks_over_nulls(spark):
+    rows = [(i, None if i % 3 == 0 else i // 4) for i in range(40)]
+    df = spark.createDataFrame(rows, "id long, k long")
+    keys = ["k", "id"]
+    want = [tuple(r) for r in S.newest_first(df, keys).select(*keys).collect()]
+    got = [tuple(r) for r in S.page(df, keys, 1, 7).select(*keys).collect()]
+    while len(got) < len(want):
+        step = S.page_after(df, keys, list(got[-1]), 7).select(*keys).collect()
+        assert step
+        got += [tuple(r) for r in step]
+    assert got == want and S.page_after(df, keys, list(got[-1]), 7).count() == 0
+
+
+def test_order_key_with_ties_is_refused(spark):
+    import pytest
+    df = spark.createDataFrame([(1, None), (2, None), (3, 5)], "id long, k long")
+    S.verify_order_key(df, ["k", "id"])
+    with pytest.raises(ValueError):
+        S.verify_order_key(df, "k")

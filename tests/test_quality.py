@@ -61,7 +61,7 @@ def test_conformance_profile_options(spark):
 
 def test_dataset_metrics_size(spark):
     path = "/root/testdata/sf0.001/orders.parquet"
-    row = Q.dataset_metrics(spark.read.parquet(path)).first()
+    row = Q.dataset_metrics(spark, path).first()
     assert row["n_columns"] == 6 and row["n_rows"] == spark.read.parquet(path).count()
     assert abs(row["size_mb"] - os.path.getsize(path) / 1024 / 1024) < 1e-9
 

@@ -77,7 +77,7 @@ def test_observed_count_and_audit(spark):
     W.audit_append(spark, audit, "ds", "sheet", "main", "データ", "CSV", n, True,
                    logged_at=dt.datetime(2024, 1, 1, 1, 2, 3))
     W.audit_append(spark, audit, "ds2", "", "main", "", "CSV", None, False, error="boom")
-    rows = {r["display_name"]: r for r in spark.read.parquet(audit).collect()}
+    rows = {r["display_name"]: r for r in W.read_audit(spark, audit).collect()}
     assert rows["ds"]["row_count"] == 42 and rows["ds"]["result"] == "成功"
     assert rows["ds2"]["result"] == "失敗" and rows["ds2"]["error"] == "boom"
 
@@ -111,17 +111,55 @@ def test_utf8_bom(spark):
         W.export_csv(df, scratch_path(spark, "bad.csv"), encoding=CP932, bom=True)
 
 
-def test_scan_partitioned_sizes_splits(spark):
-    from quarry.sources.files import scan_partitioned
-    path = scratch_path(spark, "row_groups")
-    spark.read.parquet("/root/testdata/sf0.1/lineitem.parquet").coalesce(1) \
-        .write.option("parquet.block.size", str(256 << 10)).parquet(path)
-    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    coarse = scan_partitioned(spark, path, chunk_rows=10_000_000).rdd.getNumPartitions()
-    fine = scan_partitioned(spark, path, chunk_rows=50_000).rdd.getNumPartitions()
-    assert fine > coarse
-    assert scan_partitioned(spark, path).count() == 600_000
-    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before   # only that scan changed
+@pytest.mark.parametrize("encoding", ["UTF-8", CP932])
+def test_csv_keeps_every_character(spark, encoding):
+    texts = ["  edge blanks  ", 'say "hi", ok', "back\\slash\\", "two\nlines", "a,b", '"', "'", "tab\there", "日本語", "\\\"mixed\"\n, x "]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, s string")
+    path = W.export_csv(df, scratch_path(spark, "odd.csv"), encoding=encoding)
+    back = scan_csv(spark, path, encoding=encoding, schema="id long, s string")
+    assert {r.id: r.s for r in back.collect()} == dict(enumerate(texts))
+    import csv
+    import io
+    rows = []
+    for f in glob.glob(os.path.join(local(path), "part-*.csv")):
+        raw = open(f, "rb").read().decode("cp932" if encoding == CP932 else "utf-8")
+        rows += list(csv.reader(io.StringIO(raw, newline="")))[1:]
+    assert {int(i): s for i, s in rows} == dict(enumerate(texts))  # as any other CSV reader sees it
+
+
+def test_append_keeps_the_header(spark):
+    path = scratch_path(spark, "log")
+    W.append_table(spark.createDataFrame([(1, "a")], "id long, s string"), path)
+    W.append_table(spark.createDataFrame([("b", 2)], "s string, id int"), path)
+    assert sorted((r.id, r.s) for r in spark.read.parquet(path).collect()) == [(1, "a"), (2, "b")]
+    for bad in ("id long", "id long, t string", "id long, s string, t string"):
+        with pytest.raises(ValueError):
+            W.append_table(spark.createDataFrame([], bad), path)
+
+
+def test_newest_first_spreads_a_hot_key(spark):
+    df = spark.range(4000).selectExpr("7 as k", "id as v")
+    path = W.export_parquet_newest(df, scratch_path(spark, "hot"), ["k"], partitions=4)
+    assert len(glob.glob(os.path.join(local(path), "part-*.parquet"))) == 4
+
+
+def test_shared_folder_rules(spark):
+    from types import SimpleNamespace
+    from quarry import session as S
+    conf = SimpleNamespace(get=lambda key, default: default)
+    away = SimpleNamespace(sparkContext=SimpleNamespace(getConf=lambda: conf, getCheckpointDir=lambda: None, master="yarn"))
+    with pytest.raises(RuntimeError):
+        S.shared_dir(away)
+
+
+def test_scratch_is_cleared(spark):
+    from quarry.session import clear_scratch
+    path = scratch_path(spark, "left")
+    W.export_parquet(spark.range(3), path)
+    work = os.path.dirname(os.path.dirname(local(path)))
+    assert os.listdir(work)
+    clear_scratch(spark)
+    assert not os.path.exists(work)
 
 
 def test_skip_empty_export(spark):

@@ -107,7 +107,8 @@ def duplicate_rows(df: DataFrame, subset: Sequence[str] | None = None) -> DataFr
 def quality_report(df: DataFrame) -> DataFrame:
     """Q2: (column, metric, value) rows: total rows and columns, duplicate
     rows, null count per column, and min/max/mean/sample std per numeric
-    column (NaN skipped). Dataset-wide metrics have column ``*``."""
+    column (NaN skipped). Dataset-wide metrics have column ``*``. The type of
+    each column is in ``column_types``, the stored size in ``stored_bytes``."""
     fields = df.schema.fields
     aggs = [F.count(F.lit(1)).alias("__rows")]
     numeric = [f for f in fields if isinstance(f.dataType, NUMERIC)]

@@ -35,6 +35,9 @@ TARGET_SHEET = "スプシ"
 TARGET_PARQUET = "parquet"
 TRUE_WORDS = ("TRUE", "1", "YES")
 MONTH_START = "月初"
+# The manifest's flag column of each run mode.
+MODE_RAW = "raw"
+MODE_FLAGS = {"production": "実行対象", "test": "テスト実行", MODE_RAW: "テスト実行"}
 # Per-job result lines (the blank after the failure mark is
 # U+3000) and the log line layout read by the monitors.
 SUCCESS_LINE = "★成功★ {sql} -> {output}"
@@ -88,6 +91,18 @@ def jobs_from_manifest(manifest: DataFrame, as_of: dt.date, columns: Mapping[str
     return jobs
 
 
+def jobs_for_mode(mode: str, main: DataFrame, raw: DataFrame | None, as_of: dt.date,
+                  columns: Mapping[str, str] | None = None, flag: str | None = None) -> list[JobSpec]:
+    """The jobs of a run mode: the mode decides which manifest table is read
+    and which of its flag columns selects the rows (``flag`` overrides it)."""
+    if mode not in MODE_FLAGS:
+        raise ValueError(f"unknown mode: {mode!r}")
+    manifest = raw if mode == MODE_RAW else main
+    if manifest is None:
+        raise ValueError(f"mode {mode!r} needs its manifest table")
+    return jobs_from_manifest(manifest, as_of, {**(columns or {}), "enabled": flag or MODE_FLAGS[mode]})
+
+
 def job_file_name(fmt: str, filename: str, now: dt.datetime, ext: str = "") -> str:
     """Output name from a pattern; any other text is the name itself, and
     without one the file name is. The extension of the file name goes, and

@@ -25,18 +25,12 @@ def hourly_error_counts(events: DataFrame, ts: str = "ts", kind: str = "event_ty
         .agg(F.count(F.lit(1)).alias("n_errors"))
 
 
-def error_count_stream(spark: SparkSession, source: str, schema, out_path: str, checkpoint: str,
-                       ts: str = "ts", kind: str = "event_type", error_value: str = "error",
-                       glob: str | None = None, window: str = WINDOW, watermark: str = WATERMARK,
-                       available_now: bool = True):
-    """Start the streaming count; returns the StreamingQuery."""
-    reader = spark.readStream.schema(schema)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    stream = reader.parquet(source)
+def _count_and_write(errors: DataFrame, ts: str, out_path: str, checkpoint: str, window: str, watermark: str,
+                     available_now: bool):
+    """Count error rows per event-time window into one folder per batch,
+    which a retried batch overwrites; returns the StreamingQuery."""
     # watermarks need a session-zone timestamp, not timestamp_ntz
-    counted = stream.where(F.col(kind) == error_value) \
-        .select(F.col(ts).cast("timestamp").alias("event_time")) \
+    counted = errors.select(F.col(ts).cast("timestamp").alias("event_time")) \
         .withWatermark("event_time", watermark) \
         .groupBy(F.window("event_time", window).alias("w")) \
         .agg(F.count(F.lit(1)).alias("n_errors")) \
@@ -51,6 +45,18 @@ def error_count_stream(spark: SparkSession, source: str, schema, out_path: str,
     return writer.start()
 
 
+def error_count_stream(spark: SparkSession, source: str, schema, out_path: str, checkpoint: str,
+                       ts: str = "ts", kind: str = "event_type", error_value: str = "error",
+                       glob: str | None = None, window: str = WINDOW, watermark: str = WATERMARK,
+                       available_now: bool = True):
+    """Start the streaming count; returns the StreamingQuery."""
+    reader = spark.readStream.schema(schema)
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    errors = reader.parquet(source).where(F.col(kind) == error_value)
+    return _count_and_write(errors, ts, out_path, checkpoint, window, watermark, available_now)
+
+
 def read_error_counts(spark: SparkSession, out_path: str) -> DataFrame:
     """The latest count of every window written by the stream."""
     rows = spark.read.parquet(out_path)
@@ -65,17 +71,5 @@ def log_error_stream(spark: SparkSession, log_dir: str, out_path: str, checkpoin
     from quarry.operators.monitor import parse_log
 
     lines = parse_log(spark.readStream.text(log_dir))
-    counted = lines.where(F.col("is_error") & F.col("ts").isNotNull()) \
-        .select(F.col("ts").cast("timestamp").alias("event_time")) \
-        .withWatermark("event_time", watermark) \
-        .groupBy(F.window("event_time", window).alias("w")) \
-        .agg(F.count(F.lit(1)).alias("n_errors")) \
-        .select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), "n_errors")
-
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
-
-    writer = counted.writeStream.outputMode("update").foreachBatch(write_batch) \
-        .option("checkpointLocation", checkpoint)
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
-    return writer.start()
+    errors = lines.where(F.col("is_error") & F.col("ts").isNotNull())
+    return _count_and_write(errors, "ts", out_path, checkpoint, window, watermark, available_now)

@@ -150,3 +150,14 @@ def test_durations(spark):
             ("失敗", dt.datetime(2024, 1, 1, 0, 0, 10), dt.datetime(2024, 1, 1, 0, 0, 20))]
     audit = spark.createDataFrame(rows, "result string, started_at timestamp_ntz, logged_at timestamp_ntz")
     assert J.job_summary(audit).first().duration_s == 50
+
+
+def test_modes_choose_table_and_flag(spark):
+    import pytest
+    schema = "sql_name string, output_name string, target string, `実行対象` string, `テスト実行` string"
+    main = spark.createDataFrame([("a", "a", "CSV", "TRUE", ""), ("b", "b", "CSV", "", "TRUE")], schema)
+    raw = spark.createDataFrame([("c", "c", "parquet", "", "1")], schema)
+    names = lambda mode: [j.sql_name for j in J.jobs_for_mode(mode, main, raw, dt.date(2024, 1, 2))]
+    assert (names("production"), names("test"), names("raw")) == (["a"], ["b"], ["c"])
+    with pytest.raises(ValueError):
+        names("other")

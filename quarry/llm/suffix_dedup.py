@@ -5,22 +5,28 @@ smaller doc_id, or in the same document further left) is removed. Suffix
 arrays over a whole corpus would be sorted mostly for text that occurs once,
 so the work is narrowed first, without losing a repeat:
 
-1. Anchors. Each window of ``WINDOW`` bytes picks the ``GRAM``-byte substring
+1. Copies. All but the first document of equal texts go entirely and take no
+   further part.
+2. Anchors. Each window of ``WINDOW`` bytes picks the ``GRAM``-byte substring
    with the smallest hash in it (the leftmost of equals). Equal windows pick
    equal anchors at equal places, so only windows whose anchor hash occurs
    twice can repeat.
-2. Shards. The windows of one anchor occurrence are one stretch of its
+3. Shards. The windows of one anchor occurrence are one stretch of its
    document; stretches are dealt by anchor hash, so equal windows meet in one
    shard. An anchor with more than ``SHARE`` occurrences is dealt to several
-   shards, in document order. Stretches equal as a whole are settled first.
-3. In a shard: a suffix array by Larsson-Sadakane refinement in numpy (groups
+   shards, in document order. Stretches equal as a whole are settled first, in
+   the task that cuts them and again in the shard.
+4. In a shard: a suffix array by Larsson-Sadakane refinement in numpy (groups
    of equal prefixes double their sorted depth and only unsettled groups are
    sorted again), common prefixes by Kasai's method, and every window start
    whose prefix of WINDOW bytes has an earlier start in the shard is covered.
-4. Across the shards of one anchor: each hands on its first occurrences; those
+5. Across the shards of one anchor: each hands on its first occurrences; those
    of a later shard are looked up in the suffix order of the earlier ones by
    binary search, and what is found there starts earlier.
-5. Covered runs are merged per document, which yields the bytes that stay.
+6. Covered runs are merged per document, which yields the bytes that stay.
+
+It is one Spark query: the texts cross the network once, and the exchange that
+brings them to their runs is the one that brought them to their stretches.
 
 Defined cases: a null text counts as empty; texts under WINDOW bytes keep
 everything; documents with one id are taken in the order of their text's hash,
@@ -39,7 +45,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.common import cut, pick, placed, whole_text, worker_cache
+from quarry.llm.common import pick, placed, whole_text, worker_cache
 
 WINDOW = 100
 GRAM = 24
@@ -215,6 +221,15 @@ class Shard:
             self.firsts = self.sorted
         del self.order, prefixes
 
+    def runs_of(self, marked: np.ndarray, place: np.ndarray, first: np.ndarray) -> tuple:
+        """(place, first, stop) of the runs of marked window starts, given
+        where each stretch comes from. A run never leaves its stretch, as the
+        last window - 1 starts of a stretch do not count."""
+        starts, stops = runs(marked)
+        owner = np.searchsorted(self.starts, starts, side="right") - 1
+        shift = first[owner] - self.starts[owner]
+        return place[owner], starts + shift, stops + shift + self.window - 1
+
     def find(self, other: "Shard", starts: np.ndarray) -> np.ndarray:
         """Which windows of the other shard occur in this one: binary search
         in the content order of the first occurrences."""
@@ -248,71 +263,113 @@ def runs(marked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 # --- the job -------------------------------------------------------------------------------------
 
-ANCHOR = "place long, h long, at int, first int, last int"
-STRETCH = "h long, share int, place long, first int, stretch binary"
-SETTLED = "h long, share int, place long, first int, stop int, stretch binary"  # stretch: handed on, else a covered run
+ANCHOR = "h long, place long, first int, last int"
+#: A stretch to be compared, or (h and stretch null) a covered run that passes through.
+PART = "h long, share int, more boolean, place long, first int, stop int, stretch binary"
+RUN = "place long, first int, stop int"
 
 
 def _find_anchors(window: int, gram: int):
     def find(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            out = [[], [], [], [], []]
+            out = [[], [], [], []]
             for place, text in zip(part["place"], part["text"]):
                 data = text.encode()
                 if len(data) < window:
                     continue
-                h, at, first, last = anchors(data, window, gram)
-                for column, values in zip(out, (np.full(len(h), place), h.view(np.int64), at, first, last)):
+                h, _, first, last = anchors(data, window, gram)
+                for column, values in zip(out, (h.view(np.int64), np.full(len(h), place), first, last)):
                     column.append(values)
             if out[0]:
-                yield pd.DataFrame(dict(zip(("place", "h", "at", "first", "last"), map(np.concatenate, out))))
+                yield pd.DataFrame(dict(zip(("h", "place", "first", "last"), map(np.concatenate, out))))
 
     return find
 
 
+def _covered(place, first, stop) -> pd.DataFrame:
+    out = pd.DataFrame({"place": np.asarray(place, np.int64), "first": np.asarray(first, np.int32),
+                        "stop": np.asarray(stop, np.int32)})
+    return out.assign(h=None, share=0, more=False, stretch=None)[_PART_NAMES]
+
+
+_PART_NAMES = [c.split()[0] for c in PART.split(", ")]
+
+
 def _cut_stretches(window: int):
+    """The stretches of some documents; those that an earlier one of the same
+    batch equals are covered as a whole and stay here."""
+
     def take(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            rows = []
-            for place, text, found in zip(part["place"], part["text"], part["found"]):
+            seen: set[tuple[int, bytes]] = set()
+            rows, runs_found = [], []
+            for place, text, found in sorted(zip(part["place"], part["text"], part["found"]), key=lambda x: x[0]):
                 data = text.encode()
-                rows.extend((x["h"], x["share"], place, x["first"], data[x["first"]:x["last"] + window]) for x in found)
-            yield pd.DataFrame(rows, columns=["h", "share", "place", "first", "stretch"])
+                for x in sorted(found, key=lambda x: x["first"]):
+                    first, stop = x["first"], x["last"] + window
+                    stretch = data[first:stop]
+                    if (x["h"], stretch) in seen:
+                        runs_found.append((place, first, stop))
+                    else:
+                        seen.add((x["h"], stretch))
+                        rows.append((x["h"], x["share"], x["more"], place, first, stop, stretch))
+            if rows:
+                yield pd.DataFrame(rows, columns=_PART_NAMES)
+            if runs_found:
+                yield _covered(*zip(*runs_found))
 
     return take
 
 
-def _settle(window: int, share: int, shard_bytes: int):
+def _groups_of(keys: list[str], parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Batches sorted by the keys, cut so that no group of equal keys is
+    divided; covered runs (null keys, first) come as they are."""
+    held: pd.DataFrame | None = None
+    for part in parts:
+        through = part["stretch"].isna()
+        if through.any():
+            yield part[through]
+            part = part[~through]
+        if not len(part):
+            continue
+        rows = part if held is None else pd.concat([held, part], ignore_index=True)
+        last = int(_heads(rows, keys)[-1])
+        if last:
+            yield rows.iloc[:last]
+        held = rows.iloc[last:]
+    if held is not None:
+        yield held
+
+
+def _heads(rows: pd.DataFrame, keys: list[str]) -> np.ndarray:
+    new = np.zeros(len(rows), bool)
+    new[0] = True
+    for key in keys:
+        values = rows[key].to_numpy(dtype=np.int64)
+        new[1:] |= values[1:] != values[:-1]
+    return np.flatnonzero(new)
+
+
+def _settle(window: int, shard_bytes: int):
     """Covered runs of each shard; and, of anchors dealt to several shards,
     the distinct stretches, which hold its first occurrences."""
 
     def settle(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: pd.DataFrame | None = None
-        for part in parts:  # in order of (h, share): the last group of a batch may go on in the next
-            rows = part if held is None else pd.concat([held, part], ignore_index=True)
-            last = int(heads_of(rows)[-1])
-            yield from chunks(rows.iloc[:last])
-            held = rows.iloc[last:]
-        if held is not None:
-            yield from chunks(held)
-
-    def heads_of(rows: pd.DataFrame) -> np.ndarray:
-        h, s = rows["h"].to_numpy(), rows["share"].to_numpy()
-        return np.flatnonzero(np.r_[True, (h[1:] != h[:-1]) | (s[1:] != s[:-1])]) if len(rows) else np.array([], np.int64)
-
-    def chunks(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
-        """Whole groups together, up to shard_bytes: one suffix array each."""
-        heads = np.append(heads_of(rows), len(rows))
-        sizes = np.concatenate(([0], np.cumsum(rows["stretch"].map(len).to_numpy(dtype=np.int64))))
-        low = 0
-        while low < len(heads) - 1:
-            high = int(np.searchsorted(sizes[heads], sizes[heads[low]] + shard_bytes, side="right")) - 1
-            high = max(low + 1, min(high, len(heads) - 1))
-            yield settle_shard(rows.iloc[heads[low]:heads[high]])
-            low = high
-
-    def settle_shard(rows: pd.DataFrame) -> pd.DataFrame:
-        h, part, place, first = (rows[c].to_numpy() for c in ("h", "share", "place", "first"))
+        for rows in _groups_of(["h", "share"], parts):
+            if rows["stretch"].iloc[0] is None:
+                yield rows
+                continue
+            heads = np.append(_heads(rows, ["h", "share"]), len(rows))
+            sizes = np.concatenate(([0], np.cumsum(rows["stretch"].map(len).to_numpy(dtype=np.int64))))
+            low = 0
+            while low < len(heads) - 1:  # whole groups together, up to shard_bytes: one suffix array each
+                high = int(np.searchsorted(sizes[heads], sizes[heads[low]] + shard_bytes, side="right")) - 1
+                high = max(low + 1, min(high, len(heads) - 1))
+                yield from settle_shard(rows.iloc[heads[low]:heads[high]])
+                low = high
+
+    def settle_shard(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        place, first = rows["place"].to_numpy(), rows["first"].to_numpy()
         stretches = rows["stretch"].tolist()
         seen: set[bytes] = set()
         kept, copies = [], []
@@ -321,47 +378,44 @@ def _settle(window: int, share: int, shard_bytes: int):
             seen.add(stretches[i])
         shard = Shard([stretches[i] for i in kept], window)
         kept, copies = np.array(kept, np.int64), np.array(copies, np.int64)
-        # a run never leaves its stretch, as the last window - 1 starts of a stretch do not count
-        starts, stops = runs(shard.repeated)
-        owner = np.searchsorted(shard.starts, starts, side="right") - 1
-        shift = first[kept][owner] - shard.starts[owner]
-        sizes = np.array([len(stretches[i]) for i in copies], np.int64)
-        covered = pd.DataFrame({
-            "h": 0, "share": 0, "place": np.concatenate((place[kept][owner], place[copies])),
-            "first": np.concatenate((starts + shift, first[copies])),
-            "stop": np.concatenate((stops + shift + window - 1, first[copies] + sizes)), "stretch": None})
-        heads = heads_of(rows)
-        full = np.repeat(np.diff(np.append(heads, len(rows))) >= share, np.diff(np.append(heads, len(rows))))
-        on = kept[full[kept] | (part[kept] > 0)]
-        if not len(on):
-            return covered
-        handed = pd.DataFrame({"h": h[on], "share": part[on], "place": place[on], "first": first[on], "stop": 0,
-                               "stretch": [stretches[i] for i in on]})
-        return pd.concat([covered, handed], ignore_index=True) if len(covered) else handed
+        yield _covered(*shard.runs_of(shard.repeated, place[kept], first[kept]))
+        if len(copies):
+            yield _covered(place[copies], first[copies], rows["stop"].to_numpy()[copies])
+        heads = _heads(rows, ["h", "share"])
+        dealt = (rows["more"].to_numpy(dtype=bool) | (rows["share"].to_numpy() > 0)).astype(np.int8)
+        dealt = np.repeat(np.maximum.reduceat(dealt, heads), np.diff(np.append(heads, len(rows)))) > 0
+        on = kept[dealt[kept]]
+        if len(on):
+            yield rows.iloc[on]
 
     return settle
 
 
 def _merge_shares(window: int):
-    """Windows of later shares of one anchor that an earlier share holds."""
-
-    def merge(rows: pd.DataFrame) -> pd.DataFrame:
-        out = []
+    """Covered runs as they come, and the windows of later shares of one
+    anchor that an earlier share holds."""
+
+    def merge(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in _groups_of(["h"], parts):
+            if rows["stretch"].iloc[0] is None:
+                yield rows[["place", "first", "stop"]]
+                continue
+            heads = np.append(_heads(rows, ["h"]), len(rows))
+            for low, high in zip(heads[:-1], heads[1:]):
+                yield from merge_anchor(rows.iloc[low:high])
+
+    def merge_anchor(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
         earlier: list[Shard] = []
-        for _, part in sorted(rows.groupby("share"), key=lambda x: x[0]):
+        for _, part in rows.groupby("share", sort=True):
             part = part.sort_values(["place", "first"])
             shard = Shard(part["stretch"].tolist(), window)
             found = np.zeros(len(shard.text), bool)
             for before in earlier:
                 left = shard.firsts[~found[shard.firsts]]
                 found[left[before.find(shard, left)]] = True
-            starts, stops = runs(found)
-            owner = np.searchsorted(shard.starts, starts, side="right") - 1
-            shift = part["first"].to_numpy()[owner] - shard.starts[owner]
-            out.append(pd.DataFrame({"place": part["place"].to_numpy()[owner], "first": starts + shift,
-                                     "stop": stops + shift + window - 1}))
+            run = shard.runs_of(found, part["place"].to_numpy(), part["first"].to_numpy())
+            yield _covered(*run)[["place", "first", "stop"]]
             earlier.append(shard)
-        return pd.concat(out, ignore_index=True)
 
     return merge
 
@@ -397,29 +451,47 @@ def merged(spans) -> list[tuple[int, int]]:
     return [tuple(x) for x in out]
 
 
+def later_copies(rows: DataFrame, window: int = WINDOW) -> DataFrame:
+    """(place, n) of the documents whose whole text an earlier one has."""
+    heads = rows.select("place", F.octet_length("text").alias("n"), F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("digest")) \
+        .where(F.col("n") >= window)
+    firsts = heads.groupBy("digest").agg(F.min("place").alias("least"), F.count("*").alias("copies")).where("copies > 1")
+    return heads.join(firsts, "digest").where("place > least").select("place", "n")
+
+
 def covered_runs(rows: DataFrame, window: int = WINDOW, gram: int = GRAM, share: int = SHARE,
                  shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """(place, first, stop): runs of covered bytes of (place, text) rows with
     different places; the runs of a document may overlap."""
-    found = rows.select("place", "text").mapInPandas(_find_anchors(window, gram), ANCHOR)
-    same = Window.partitionBy("h").orderBy("place", "at")
-    repeated = found.withColumn("before", F.lag("h").over(same)).withColumn("after", F.lead("h").over(same)) \
-        .withColumn("share", F.floor((F.row_number().over(same) - 1) / share).cast("int")) \
-        .where("before is not null or after is not null")
-    listed = repeated.groupBy("place").agg(F.collect_list(F.struct("h", "share", "first", "last")).alias("found"))
-    stretches = rows.select("place", "text").join(listed, "place").mapInPandas(_cut_stretches(window), STRETCH)
-    settled = cut(stretches.repartition("h", "share").sortWithinPartitions("h", "share")
-                  .mapInPandas(_settle(window, share, shard_bytes), SETTLED))
-    across = settled.where("stretch is not null").groupBy("h") \
-        .applyInPandas(_merge_shares(window), "place long, first int, stop int")
-    return settled.where("stretch is null").select("place", "first", "stop").unionByName(across)
+    rows = rows.select("place", "text")
+    copies = later_copies(rows, window)
+    found = rows.join(copies, "place", "left_anti").mapInPandas(_find_anchors(window, gram), ANCHOR)
+    same = Window.partitionBy("h").orderBy("place", "first")
+    repeated = found.select(
+        "*", F.lag("h").over(same).alias("before"), F.lead("h").over(same).alias("after"),
+        F.floor((F.row_number().over(same) - 1) / share).cast("int").alias("share"),
+        F.lead("h", share).over(same).isNotNull().alias("more")).where("before is not null or after is not null")
+    listed = repeated.groupBy("place").agg(F.collect_list(F.struct("h", "share", "more", "first", "last")).alias("found"))
+    # stretches go to the shard of their anchor, covered runs wherever their document's number says
+    cut_up = rows.join(listed, "place").mapInPandas(_cut_stretches(window), PART)
+    settled = cut_up.repartition(F.coalesce("h", "place"), "share").sortWithinPartitions("h", "share") \
+        .mapInPandas(_settle(window, shard_bytes), PART)
+    merged_runs = settled.repartition(F.coalesce("h", "place")).sortWithinPartitions("h") \
+        .mapInPandas(_merge_shares(window), RUN)
+    return merged_runs.unionByName(copies.select("place", F.lit(0).alias("first"), F.col("n").cast("int").alias("stop")))
 
 
 def remove_repeats(df: DataFrame, id_column: str = "doc_id", text_column: str = "text", window: int = WINDOW,
                    gram: int = GRAM, share: int = SHARE, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256), one row per row."""
     rows, once = placed(pick(df, doc_id=id_column, text=text_column).withColumn("text", whole_text("text")))
+    id_type = rows.schema["doc_id"].dataType
     runs_of = covered_runs(once, window, gram, share, shard_bytes) \
         .groupBy("place").agg(F.collect_list(F.struct("first", "stop")).alias("covered"))
-    strip, schema = _strip(rows.schema["doc_id"].dataType.simpleString())
-    return rows.join(runs_of, "place", "left").select("doc_id", "text", "covered").mapInPandas(strip, schema)
+    strip, schema = _strip(id_type.simpleString())
+    if rows is once:  # the place is the id: the same two columns as before, so the exchange of the texts is reused
+        found = rows.select("place", "text").join(runs_of, "place", "left") \
+            .select(F.col("place").cast(id_type).alias("doc_id"), "text", "covered")
+    else:
+        found = rows.join(runs_of, "place", "left").select("doc_id", "text", "covered")
+    return found.mapInPandas(strip, schema)

@@ -17,10 +17,11 @@ are spread over all shards, while inside a shard the word of a context only
 takes ``1 / SHARDS`` of the numbers and needs fewer bits.
 
 A shard file holds the trie level in Elias-Fano form: the successors of all
-contexts as one monotone sequence (context * range + word), one monotone
-pointer per context to where its successors begin, log10 probabilities and
-back-off weights quantised to 16 bits. Scoring tasks map the files into memory.
-A query goes to the pointers of its context and looks for the successor inside
+contexts as one monotone sequence (context * range + word), monotone pointers
+to where the successors of each few neighbouring contexts begin (so many that
+their number follows the entries), log10 probabilities and back-off weights
+quantised to 16 bits. Scoring tasks map the files into memory.
+A query goes to the pointers around its context and looks for the successor inside
 that stretch; what is not found backs off to the shorter context.
 
 Probabilities have a Dirichlet prior of the lower order:
@@ -49,7 +50,9 @@ from quarry.llm.common import crc_bucket, pick, whole_text
 from quarry.session import scratch_path
 
 ORDER = 2
-SHARDS = 16
+SHARDS = 16  # at least; more where the corpus is larger
+ROWS_PER_SHARD = 100_000  # training rows for a shard of words
+TOKENS_PER_SHARD = 12_000_000  # training tokens for a shard of a higher level
 PRIOR = 50.0
 ADD = 0.1
 FOLDS = 10
@@ -154,12 +157,13 @@ class Trie:
         return self.files[level, shard]
 
     def layout(self, level: int) -> Layout:
-        return Layout(self.meta["sizes"][level - 2], self.vocabulary, self.meta["shards"])
+        return Layout(self.meta["sizes"][level - 2], self.vocabulary, self.meta["shards"][level - 1])
 
     def _by_shard(self, level: int, shards: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        number = len(self.meta["counts"][level - 1])
         order = np.argsort(shards, kind="stable")
-        cuts = np.searchsorted(shards[order], np.arange(self.meta["shards"] + 1))
-        for s in range(self.meta["shards"]):
+        cuts = np.searchsorted(shards[order], np.arange(number + 1))
+        for s in range(number):
             if cuts[s] < cuts[s + 1] and self.meta["counts"][level - 1][s]:
                 yield s, order[cuts[s]:cuts[s + 1]]
 
@@ -167,7 +171,7 @@ class Trie:
         """Numbers of words, -1 where unknown."""
         out = np.full(len(hashes), -1, np.int64)
         if self.vocabulary:
-            for s, rows in self._by_shard(1, shard_of_hash(hashes, self.meta["shards"])):
+            for s, rows in self._by_shard(1, shard_of_hash(hashes, self.meta["shards"][0])):
                 found = self.shard(1, s)["keys"].find(hashes[rows])
                 out[rows] = np.where(found >= 0, found + self.meta["offsets"][0][s], -1)
         return out
@@ -180,7 +184,7 @@ class Trie:
         shards, keys = self.layout(level).place(context[known], word[known])
         for s, rows in self._by_shard(level, shards):
             file = self.shard(level, s)
-            at = context[known[rows]]
+            at = context[known[rows]] // int(file["pitch"][0])
             first, last = file["pointers"].access(at), file["pointers"].access(at + 1)
             some = np.flatnonzero(first < last)
             found = file["keys"].find(keys[rows[some]], first[some], last[some])
@@ -344,10 +348,11 @@ def _write_level(level: int, folder: str, meta: dict, prior: float):
                     short = nodes_of(trie, step + 1, short, before[step - size])
                 lower = trie.log10(size + 1, nodes_of(trie, size + 1, short, word), short, lower)
             prob = np.log10((counts + prior * 10 ** lower) / (seen + prior))
-            begins = np.searchsorted(keys, np.arange(layout.contexts + 1) * layout.range)
+            pitch = max(1, 4 * layout.contexts // len(keys))  # contexts to a pointer
+            begins = np.searchsorted(keys, np.arange(-(-layout.contexts // pitch) + 1) * (pitch * layout.range))
             shared_files.save(f"{folder}/level{level}/{shard}", {
                 **elias_fano.encode(keys, layout.contexts * layout.range, "key_"),
-                **elias_fano.encode(begins, len(keys) + 1, "pointer_"),
+                **elias_fano.encode(begins, len(keys) + 1, "pointer_"), "pitch": np.array([pitch]),
                 "prob": quantise(prob), "backoff": quantise(np.log10(prior / (counts + prior))),
                 "count": counts.astype(np.uint32 if counts.max() < 1 << 32 else np.int64)})
         return pd.DataFrame({"shard": [shard], "n": [len(keys)], "total": [int(counts.sum())]})
@@ -374,21 +379,24 @@ def train(texts: DataFrame, order: int = ORDER, shards: int = SHARDS, prior: flo
     """Write the trie of ``texts.text`` to the shared folder: (folder, sizes)."""
     spark = texts.sparkSession
     folder = scratch_path(spark, "trie")
-    meta: dict = {"shards": shards, "total": 0, "sizes": [], "counts": [], "offsets": []}
+    meta: dict = {"shards": [max(shards, -(-texts.count() // ROWS_PER_SHARD))], "total": 0, "sizes": [], "counts": [], "offsets": []}
     for level in range(1, order + 1):
-        counted = texts.select("text").mapInPandas(_count_level(level, shards, folder, dict(meta)), COUNTED)
+        if level > 1:
+            meta["shards"].append(max(shards, -(-meta["total"] // TOKENS_PER_SHARD)))
+        number = meta["shards"][level - 1]
+        counted = texts.select("text").mapInPandas(_count_level(level, number, folder, dict(meta)), COUNTED)
         # one row per shard reaches the driver
         written = {r.shard: r for r in counted.groupBy("shard").applyInPandas(
             _write_level(level, folder, dict(meta), prior), WRITTEN).collect()}
         if not written:
             break
-        sizes = [written[s].n if s in written else 0 for s in range(shards)]
+        sizes = [written[s].n if s in written else 0 for s in range(number)]
         meta["counts"].append(sizes)
         meta["offsets"].append(np.concatenate(([0], np.cumsum(sizes)))[:-1].tolist())
         meta["sizes"].append(sum(sizes))
         if level == 1:
             meta["total"] = sum(r.total for r in written.values())
-            rows = spark.createDataFrame([(s,) for s in written], "shard int").repartition(shards, "shard")
+            rows = spark.createDataFrame([(s,) for s in written], "shard int").repartition(number, "shard")
             rows.mapInPandas(_finish_words(folder, meta["total"], meta["sizes"][0], prior), "shard int") \
                 .write.format("noop").mode("overwrite").save()
     return folder, meta

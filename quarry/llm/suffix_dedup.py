@@ -25,7 +25,7 @@ so the work is narrowed first, without losing a repeat:
    binary search, and what is found there starts earlier.
 6. Covered runs are merged per document, which yields the bytes that stay.
 
-It is one Spark query: the texts cross the network once, and the exchange that
+But for the digests of the texts it is one Spark query: the texts cross the network once, and the exchange that
 brings them to their runs is the one that brought them to their stretches.
 
 Defined cases: a null text counts as empty; texts under WINDOW bytes keep
@@ -45,7 +45,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.common import pick, placed, whole_text, worker_cache
+from quarry.llm.common import cut, pick, placed, whole_text, worker_cache
 
 WINDOW = 100
 GRAM = 24
@@ -273,9 +273,9 @@ def _find_anchors(window: int, gram: int):
     def find(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             out = [[], [], [], []]
-            for place, text in zip(part["place"], part["text"]):
+            for place, text, copy in zip(part["place"], part["text"], part["copy"]):
                 data = text.encode()
-                if len(data) < window:
+                if copy is not None or len(data) < window:
                     continue
                 h, _, first, last = anchors(data, window, gram)
                 for column, values in zip(out, (h.view(np.int64), np.full(len(h), place), first, last)):
@@ -453,8 +453,8 @@ def merged(spans) -> list[tuple[int, int]]:
 
 def later_copies(rows: DataFrame, window: int = WINDOW) -> DataFrame:
     """(place, n) of the documents whose whole text an earlier one has."""
-    heads = rows.select("place", F.octet_length("text").alias("n"), F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("digest")) \
-        .where(F.col("n") >= window)
+    digest = F.unhex(F.sha2(F.col("text").cast("binary"), 256))
+    heads = cut(rows.select("place", F.octet_length("text").alias("n"), digest.alias("digest")).where(F.col("n") >= window))
     firsts = heads.groupBy("digest").agg(F.min("place").alias("least"), F.count("*").alias("copies")).where("copies > 1")
     return heads.join(firsts, "digest").where("place > least").select("place", "n")
 
@@ -465,7 +465,9 @@ def covered_runs(rows: DataFrame, window: int = WINDOW, gram: int = GRAM, share:
     different places; the runs of a document may overlap."""
     rows = rows.select("place", "text")
     copies = later_copies(rows, window)
-    found = rows.join(copies, "place", "left_anti").mapInPandas(_find_anchors(window, gram), ANCHOR)
+    # an outer join, as an anti join would be moved below the projection and the exchange could not be reused
+    marked = rows.join(copies.select("place", F.lit("copy").alias("copy")), "place", "left")
+    found = marked.mapInPandas(_find_anchors(window, gram), ANCHOR)
     same = Window.partitionBy("h").orderBy("place", "first")
     repeated = found.select(
         "*", F.lag("h").over(same).alias("before"), F.lead("h").over(same).alias("after"),

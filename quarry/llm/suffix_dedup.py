@@ -20,9 +20,11 @@ so the work is narrowed first, without losing a repeat:
    of equal prefixes double their sorted depth and only unsettled groups are
    sorted again), common prefixes by Kasai's method, and every window start
    whose prefix of WINDOW bytes has an earlier start in the shard is covered.
-5. Across the shards of one anchor: each hands on its first occurrences; those
-   of a later shard are looked up in the suffix order of the earlier ones by
-   binary search, and what is found there starts earlier.
+5. Across the shards of one anchor: each hands on its first occurrences, a
+   window as its place and a 128-bit digest of its bytes. They are dealt by the
+   digest, not by the anchor, and all but the first of equal ones are covered.
+   A window comes at most once from each shard, so a task gets its share of
+   the different windows however often their anchor occurs.
 6. Covered runs are merged per document, which yields the bytes that stay.
 
 But for the digests of the texts it is one Spark query: the texts cross the network once, and the exchange that
@@ -51,6 +53,7 @@ WINDOW = 100
 GRAM = 24
 SHARE = 20_000
 SHARD_BYTES = 4 << 20
+WINDOWS_AT_ONCE = 50_000  # first occurrences handed on in one batch
 
 BASE = 0x9E3779B97F4A7C15
 BLOCK = 1 << 20  # bytes hashed at once; the rolling hash starts anew in each block
@@ -204,21 +207,17 @@ class Shard:
         counts = np.maximum(sizes - window + 1, 0)
         first = np.repeat(self.starts, counts)
         inside[first + np.arange(len(first)) - np.repeat(np.concatenate(([0], np.cumsum(counts)))[:-1], counts)] = True
-        self.inside = inside
         group = np.cumsum(prefixes < window)  # suffixes with an equal window are neighbours in order
         use = inside[self.order]
-        self.sorted = self.order[use]  # window starts by their content
-        self.group = group[use]
+        by_content, group = self.order[use], group[use]  # window starts
         self.repeated = np.zeros(len(self.text), bool)
-        if len(self.sorted):
-            heads = np.flatnonzero(np.r_[True, self.group[1:] != self.group[:-1]])
-            first_of = np.minimum.reduceat(self.sorted, heads)
-            sizes_of = np.diff(np.r_[heads, len(self.sorted)])
-            self.repeated[self.sorted] = True
-            self.repeated[first_of] = False
-            self.firsts = first_of  # sorted by content
+        if len(by_content):
+            heads = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
+            self.firsts = np.minimum.reduceat(by_content, heads)  # sorted by content
+            self.repeated[by_content] = True
+            self.repeated[self.firsts] = False
         else:
-            self.firsts = self.sorted
+            self.firsts = by_content
         del self.order, prefixes
 
     def runs_of(self, marked: np.ndarray, place: np.ndarray, first: np.ndarray) -> tuple:
@@ -230,29 +229,17 @@ class Shard:
         shift = first[owner] - self.starts[owner]
         return place[owner], starts + shift, stops + shift + self.window - 1
 
-    def find(self, other: "Shard", starts: np.ndarray) -> np.ndarray:
-        """Which windows of the other shard occur in this one: binary search
-        in the content order of the first occurrences."""
-        if not len(self.firsts) or not len(starts):
-            return np.zeros(len(starts), bool)
-        rows = np.lib.stride_tricks.sliding_window_view(self.text, self.window)
-        wanted = np.lib.stride_tricks.sliding_window_view(other.text, self.window)[starts]
-        low = np.zeros(len(starts), np.int64)
-        high = np.full(len(starts), len(self.firsts), np.int64)
-        while (low < high).any():
-            middle = np.minimum((low + high) // 2, len(self.firsts) - 1)
-            less = _less(rows[self.firsts[middle]], wanted) & (low < high)
-            low, high = np.where(less, middle + 1, low), np.where(less | (low >= high), high, middle)
-        at = np.minimum(low, len(self.firsts) - 1)
-        return (low < len(self.firsts)) & (rows[self.firsts[at]] == wanted).all(axis=1)
-
-
-def _less(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Row-wise a < b in byte order."""
-    differ = a != b
-    first = differ.argmax(axis=1)
-    row = np.arange(len(a))
-    return differ[row, first] & (a[row, first] < b[row, first])
+    def first_windows(self, chosen: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(digests as two numbers, stretch, start) of the first occurrences
+        in the chosen stretches, some at a time."""
+        owner = np.searchsorted(self.starts, self.firsts, side="right") - 1
+        use = chosen[owner]
+        starts, owner = self.firsts[use], owner[use]
+        data = self.text.tobytes()
+        for low in range(0, len(starts), WINDOWS_AT_ONCE):
+            some = starts[low:low + WINDOWS_AT_ONCE]
+            digests = b"".join([hashlib.blake2b(data[i:i + self.window], digest_size=16).digest() for i in some.tolist()])
+            yield np.frombuffer(digests, np.int64).reshape(-1, 2), owner[low:low + WINDOWS_AT_ONCE], some
 
 
 def runs(marked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -266,7 +253,8 @@ def runs(marked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 ANCHOR = "h long, place long, first int, last int"
 #: A stretch to be compared, or (h and stretch null) a covered run that passes through.
 PART = "h long, share int, more boolean, place long, first int, stop int, stretch binary"
-RUN = "place long, first int, stop int"
+#: A first occurrence by its digest (hi, lo), or (whole) a covered run by where it starts.
+SETTLED = "hi long, lo long, place long, first int, stop int, whole boolean"
 
 
 def _find_anchors(window: int, gram: int):
@@ -309,6 +297,8 @@ def _cut_stretches(window: int):
                     first, stop = x["first"], x["last"] + window
                     stretch = data[first:stop]
                     if (x["h"], stretch) in seen:
+                        if runs_found and runs_found[-1][0] == place and first <= runs_found[-1][2]:  # one run with the last one
+                            first = runs_found.pop()[1]
                         runs_found.append((place, first, stop))
                     else:
                         seen.add((x["h"], stretch))
@@ -352,12 +342,12 @@ def _heads(rows: pd.DataFrame, keys: list[str]) -> np.ndarray:
 
 def _settle(window: int, shard_bytes: int):
     """Covered runs of each shard; and, of anchors dealt to several shards,
-    the distinct stretches, which hold its first occurrences."""
+    the first occurrence of each window."""
 
     def settle(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in _groups_of(["h", "share"], parts):
             if rows["stretch"].iloc[0] is None:
-                yield rows
+                yield _whole(rows["place"], rows["first"], rows["stop"])
                 continue
             heads = np.append(_heads(rows, ["h", "share"]), len(rows))
             sizes = np.concatenate(([0], np.cumsum(rows["stretch"].map(len).to_numpy(dtype=np.int64))))
@@ -378,46 +368,34 @@ def _settle(window: int, shard_bytes: int):
             seen.add(stretches[i])
         shard = Shard([stretches[i] for i in kept], window)
         kept, copies = np.array(kept, np.int64), np.array(copies, np.int64)
-        yield _covered(*shard.runs_of(shard.repeated, place[kept], first[kept]))
+        yield _whole(*shard.runs_of(shard.repeated, place[kept], first[kept]))
         if len(copies):
-            yield _covered(place[copies], first[copies], rows["stop"].to_numpy()[copies])
+            yield _whole(place[copies], first[copies], rows["stop"].to_numpy()[copies])
         heads = _heads(rows, ["h", "share"])
         dealt = (rows["more"].to_numpy(dtype=bool) | (rows["share"].to_numpy() > 0)).astype(np.int8)
         dealt = np.repeat(np.maximum.reduceat(dealt, heads), np.diff(np.append(heads, len(rows)))) > 0
-        on = kept[dealt[kept]]
-        if len(on):
-            yield rows.iloc[on]
+        if dealt[kept].any():
+            for digests, owner, starts in shard.first_windows(dealt[kept]):
+                at = starts - shard.starts[owner] + first[kept][owner]
+                yield _settled(digests[:, 0], digests[:, 1], place[kept][owner], at, at + window, False)
 
     return settle
 
 
-def _merge_shares(window: int):
-    """Covered runs as they come, and the windows of later shares of one
-    anchor that an earlier share holds."""
+def _settled(hi, lo, place, first, stop, whole: bool) -> pd.DataFrame:
+    return pd.DataFrame({"hi": np.asarray(hi, np.int64), "lo": np.asarray(lo, np.int64), "place": np.asarray(place, np.int64),
+                         "first": np.asarray(first, np.int32), "stop": np.asarray(stop, np.int32), "whole": whole})
 
-    def merge(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in _groups_of(["h"], parts):
-            if rows["stretch"].iloc[0] is None:
-                yield rows[["place", "first", "stop"]]
-                continue
-            heads = np.append(_heads(rows, ["h"]), len(rows))
-            for low, high in zip(heads[:-1], heads[1:]):
-                yield from merge_anchor(rows.iloc[low:high])
-
-    def merge_anchor(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
-        earlier: list[Shard] = []
-        for _, part in rows.groupby("share", sort=True):
-            part = part.sort_values(["place", "first"])
-            shard = Shard(part["stretch"].tolist(), window)
-            found = np.zeros(len(shard.text), bool)
-            for before in earlier:
-                left = shard.firsts[~found[shard.firsts]]
-                found[left[before.find(shard, left)]] = True
-            run = shard.runs_of(found, part["place"].to_numpy(), part["first"].to_numpy())
-            yield _covered(*run)[["place", "first", "stop"]]
-            earlier.append(shard)
-
-    return merge
+
+def _whole(place, first, stop) -> pd.DataFrame:
+    return _settled(place, first, place, first, stop, True)
+
+
+def covered_of(settled: DataFrame) -> DataFrame:
+    """(place, first, stop): the covered runs, and the windows that an earlier
+    shard of their anchor holds."""
+    same = Window.partitionBy("hi", "lo", "whole").orderBy("place", "first")
+    return settled.withColumn("n", F.row_number().over(same)).where("whole or n > 1").select("place", "first", "stop")
 
 
 def _strip(id_type: str):
@@ -459,12 +437,9 @@ def later_copies(rows: DataFrame, window: int = WINDOW) -> DataFrame:
     return heads.join(firsts, "digest").where("place > least").select("place", "n")
 
 
-def covered_runs(rows: DataFrame, window: int = WINDOW, gram: int = GRAM, share: int = SHARE,
+def settled_runs(rows: DataFrame, copies: DataFrame, window: int = WINDOW, gram: int = GRAM, share: int = SHARE,
                  shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """(place, first, stop): runs of covered bytes of (place, text) rows with
-    different places; the runs of a document may overlap."""
-    rows = rows.select("place", "text")
-    copies = later_copies(rows, window)
+    """What the shards of (place, text) rows find, ``SETTLED``."""
     # an outer join, as an anti join would be moved below the projection and the exchange could not be reused
     marked = rows.join(copies.select("place", F.lit("copy").alias("copy")), "place", "left")
     found = marked.mapInPandas(_find_anchors(window, gram), ANCHOR)
@@ -476,11 +451,18 @@ def covered_runs(rows: DataFrame, window: int = WINDOW, gram: int = GRAM, share:
     listed = repeated.groupBy("place").agg(F.collect_list(F.struct("h", "share", "more", "first", "last")).alias("found"))
     # stretches go to the shard of their anchor, covered runs wherever their document's number says
     cut_up = rows.join(listed, "place").mapInPandas(_cut_stretches(window), PART)
-    settled = cut_up.repartition(F.coalesce("h", "place"), "share").sortWithinPartitions("h", "share") \
-        .mapInPandas(_settle(window, shard_bytes), PART)
-    merged_runs = settled.repartition(F.coalesce("h", "place")).sortWithinPartitions("h") \
-        .mapInPandas(_merge_shares(window), RUN)
-    return merged_runs.unionByName(copies.select("place", F.lit(0).alias("first"), F.col("n").cast("int").alias("stop")))
+    return cut_up.repartition(F.coalesce("h", "place"), "share").sortWithinPartitions("h", "share") \
+        .mapInPandas(_settle(window, shard_bytes), SETTLED)
+
+
+def covered_runs(rows: DataFrame, window: int = WINDOW, gram: int = GRAM, share: int = SHARE,
+                 shard_bytes: int = SHARD_BYTES) -> DataFrame:
+    """(place, first, stop): runs of covered bytes of (place, text) rows with
+    different places; the runs of a document may overlap."""
+    rows = rows.select("place", "text")
+    copies = later_copies(rows, window)
+    found = covered_of(settled_runs(rows, copies, window, gram, share, shard_bytes))
+    return found.unionByName(copies.select("place", F.lit(0).alias("first"), F.col("n").cast("int").alias("stop")))
 
 
 def remove_repeats(df: DataFrame, id_column: str = "doc_id", text_column: str = "text", window: int = WINDOW,

@@ -88,3 +88,19 @@ def test_production_window_and_odd_rows(spark):
     got = sorted((r.doc_id or 0, r.n_removed) for r in S.remove_repeats(odd).collect())
     size = len(shared.encode())
     assert got == [(0, 0), (3, size), (3, size), (4, size)]
+
+
+def test_shares_of_a_hot_anchor_meet_by_window(spark):
+    """One line in every document: no key of the merge has more rows than shares."""
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(15))
+    docs = [(i, f"{word()}!!common line!!{word()}") for i in range(60)]
+    docs += [(60 + i, docs[i][1]) for i in (4, 50)] + [(70 + 20 * i + k, "x" * k + docs[i][1][k:]) for i in (1, 33) for k in (9, 11, 13, 14)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    rows = df.selectExpr("doc_id as place", "text")
+    settled = S.settled_runs(rows, S.later_copies(rows, 20), 20, 6, 4, 200)
+    sizes = [r["count"] for r in settled.where("not whole").groupBy("hi", "lo").count().collect()]
+    assert sum(sizes) > 400 and 1 < max(sizes) <= -(-len(docs) // 4)
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256)
+           for r in S.remove_repeats(df, window=20, gram=6, share=4, shard_bytes=200).collect()}
+    assert got == plain(docs, 20)

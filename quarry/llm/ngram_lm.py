@@ -37,7 +37,7 @@ from __future__ import annotations
 
 import math
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -49,7 +49,7 @@ from quarry.llm import elias_fano, shared_files
 from quarry.llm.common import crc_bucket, pick, whole_text
 from quarry.session import scratch_path
 
-ORDER = 2
+ORDER = 3
 SHARDS = 16  # at least; more where the corpus is larger
 ROWS_PER_SHARD = 100_000  # training rows for a shard of words
 TOKENS_PER_SHARD = 12_000_000  # training tokens for a shard of a higher level
@@ -58,6 +58,7 @@ ADD = 0.1
 FOLDS = 10
 CHUNK_BYTES = 4 << 20  # text handled at once in a task
 FLUSH = 4 << 20  # distinct pairs a task holds before it hands them on
+SMOOTHED = 1 << 19  # pairs smoothed at once
 END = b"\n"  # never a word
 
 LOW, STEPS = -24.0, 65535  # quantised log10 values: LOW .. 0
@@ -161,8 +162,11 @@ class Trie:
 
     def _by_shard(self, level: int, shards: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         number = len(self.meta["counts"][level - 1])
+        if number <= 1 << 16:
+            shards = shards.astype(np.uint16)  # sorted by counting
         order = np.argsort(shards, kind="stable")
-        cuts = np.searchsorted(shards[order], np.arange(number + 1))
+        cuts = np.searchsorted(shards[order], np.arange(number))
+        cuts = np.append(cuts, len(shards))
         for s in range(number):
             if cuts[s] < cuts[s + 1] and self.meta["counts"][level - 1][s]:
                 yield s, order[cuts[s]:cuts[s + 1]]
@@ -236,56 +240,59 @@ WRITTEN = "shard int, n long, total long"
 
 
 class Counter:
-    """Sorted distinct (shard, key) with counts, handed on when large."""
+    """Sorted distinct codes with counts, handed on when large. A code is
+    shard * limit + key, or (limit 0) a key that implies its shard."""
 
-    def __init__(self) -> None:
-        self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    def __init__(self, shard_of: Callable[[np.ndarray], np.ndarray], limit: int) -> None:
+        self.shard_of, self.limit = shard_of, limit
+        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
         self.held = 0
 
-    def add(self, shards: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> None:
-        self.parts.append((shards, keys, counts))
-        self.held += len(keys)
+    def add(self, codes: np.ndarray, counts: np.ndarray) -> None:
+        self.parts.append((codes, counts.astype(np.int32)))  # of one chunk
+        self.held += len(codes)
 
     def drain(self, least: int) -> Iterator[pd.DataFrame]:
         if self.held <= least:
             return
-        shards, keys, counts = _summed(*map(np.concatenate, zip(*self.parts)))
+        codes, counts = map(np.concatenate, zip(*self.parts))
         self.parts, self.held = [], 0
+        codes, counts = _summed(codes, counts)
+        shards = self.shard_of(codes)
         heads = np.flatnonzero(np.r_[True, shards[1:] != shards[:-1]])
         rows = []
         for low, high in zip(heads, np.append(heads[1:], len(shards))):
-            gaps = np.diff(keys[low:high], prepend=0)
+            gaps = np.diff(codes[low:high], prepend=shards[low] * self.limit)
             rows.append((int(shards[low]), int(high - low), shared_files.pack_numbers(gaps),
                          shared_files.pack_numbers(counts[low:high])))
         yield pd.DataFrame(rows, columns=["shard", "n", "keys", "counts"])
 
 
-def _summed(shards: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    order = np.lexsort((keys, shards))
-    shards, keys, counts = shards[order], keys[order], counts[order]
-    heads = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]) | (shards[1:] != shards[:-1])])
-    return shards[heads], keys[heads], np.add.reduceat(counts, heads)
+def _summed(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(codes, kind="stable")  # merges the sorted parts
+    codes, counts = codes[order], counts[order]
+    heads = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]])
+    return codes[heads], np.add.reduceat(counts, heads, dtype=np.int64)
 
 
 def _count_level(level: int, shards: int, folder: str, meta: dict):
     def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         trie = Trie(folder, meta) if level > 1 else None
-        counter = Counter()
+        limit = trie.layout(level).contexts * trie.layout(level).range if trie else 0
+        counter = Counter(lambda codes: codes // limit if limit else shard_of_hash(codes, shards), limit)
         for part in parts:
             texts = part["text"].tolist()
             for low, high in chunks(texts):
                 tokens = Tokens(texts[low:high])
                 if level == 1:
-                    counter.add(shard_of_hash(tokens.hashes, shards), tokens.hashes, np.bincount(tokens.ids))
+                    counter.add(tokens.hashes, np.bincount(tokens.ids))
                 else:
                     words = trie.words(tokens.hashes)
                     ids = words[tokens.ids]
                     context = ids_on(trie, tokens, ids, words[0], level - 1)
                     pairs = context >= 0  # a text shorter than the context has none
                     s, keys = trie.layout(level).place(context[pairs], ids[pairs])
-                    keys, n = np.unique(s * trie.layout(level).contexts * trie.layout(level).range + keys, return_counts=True)
-                    limit = trie.layout(level).contexts * trie.layout(level).range
-                    counter.add(keys // limit, keys % limit, n)
+                    counter.add(*np.unique(s * limit + keys, return_counts=True))
                 yield from counter.drain(FLUSH)
         yield from counter.drain(0)
 
@@ -299,11 +306,7 @@ def ids_on(trie: Trie, tokens: Tokens, ids: np.ndarray, end: int, level: int) ->
         return node
     # the node that ends one token earlier, step by step; texts shorter than the context have no node
     context = ids_on(trie, tokens, ids, end, level - 1)
-    here = nodes_of(trie, level, context, ids)
-    out = np.full(len(ids), -1, np.int64)
-    out[1:] = here[:-1]
-    out[tokens.starts] = -1
-    return out
+    return tokens.contexts(nodes_of(trie, level, context, ids), -1)
 
 
 def nodes_of(trie: Trie, level: int, context: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -323,7 +326,7 @@ def words_of(trie: Trie, level: int, nodes: np.ndarray) -> list[np.ndarray]:
     return [nodes, *reversed(out)]
 
 
-def _write_level(level: int, folder: str, meta: dict, prior: float):
+def _write_level(level: int, top: int, folder: str, meta: dict, prior: float):
     def merge(rows: pd.DataFrame) -> pd.DataFrame:
         shard = int(rows["shard"].iloc[0])
         keys = np.concatenate([np.cumsum(shared_files.unpack_numbers(k, n).astype(np.int64)) for k, n in zip(rows["keys"], rows["n"])])
@@ -338,25 +341,31 @@ def _write_level(level: int, folder: str, meta: dict, prior: float):
         else:
             trie = Trie(folder, meta)
             layout = trie.layout(level)
-            context, word = layout.pair(shard, keys)
-            seen = trie.read(level - 1, "count", context)
-            lower = trie.unigram_log10(word)[0]
-            before = words_of(trie, level - 1, context)
-            for size in range(1, level - 1):  # ever longer ends of the context
-                short = before[-size]
-                for step in range(1, size):
-                    short = nodes_of(trie, step + 1, short, before[step - size])
-                lower = trie.log10(size + 1, nodes_of(trie, size + 1, short, word), short, lower)
-            prob = np.log10((counts + prior * 10 ** lower) / (seen + prior))
+            prob = np.empty(len(keys), np.uint16)
+            for low in range(0, len(keys), SMOOTHED):
+                prob[low:low + SMOOTHED] = quantise(smoothed(trie, layout, shard, keys[low:low + SMOOTHED], counts[low:low + SMOOTHED]))
             pitch = max(1, 4 * layout.contexts // len(keys))  # contexts to a pointer
             begins = np.searchsorted(keys, np.arange(-(-layout.contexts // pitch) + 1) * (pitch * layout.range))
             shared_files.save(f"{folder}/level{level}/{shard}", {
                 **elias_fano.encode(keys, layout.contexts * layout.range, "key_"),
                 **elias_fano.encode(begins, len(keys) + 1, "pointer_"), "pitch": np.array([pitch]),
-                "prob": quantise(prob), "backoff": quantise(np.log10(prior / (counts + prior))),
-                "count": counts.astype(np.uint32 if counts.max() < 1 << 32 else np.int64)})
+                "prob": prob, **({} if level == top else {  # nothing backs off to the longest grams' successors
+                    "backoff": quantise(np.log10(prior / (counts + prior))),
+                    "count": counts.astype(np.uint32 if counts.max() < 1 << 32 else np.int64)})})
         return pd.DataFrame({"shard": [shard], "n": [len(keys)], "total": [int(counts.sum())]})
 
+    def smoothed(trie: Trie, layout: Layout, shard: int, keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        context, word = layout.pair(shard, keys)
+        seen = trie.read(level - 1, "count", context)
+        lower = trie.unigram_log10(word)[0]
+        before = words_of(trie, level - 1, context)
+        for size in range(1, level - 1):  # ever longer ends of the context
+            short = before[-size]
+            for step in range(1, size):
+                short = nodes_of(trie, step + 1, short, before[step - size])
+            lower = trie.log10(size + 1, nodes_of(trie, size + 1, short, word), short, lower)
+        return np.log10((counts + prior * 10 ** lower) / (seen + prior))
+
     return merge
 
 
@@ -387,7 +396,7 @@ def train(texts: DataFrame, order: int = ORDER, shards: int = SHARDS, prior: flo
         counted = texts.select("text").mapInPandas(_count_level(level, number, folder, dict(meta)), COUNTED)
         # one row per shard reaches the driver
         written = {r.shard: r for r in counted.groupBy("shard").applyInPandas(
-            _write_level(level, folder, dict(meta), prior), WRITTEN).collect()}
+            _write_level(level, order, folder, dict(meta), prior), WRITTEN).collect()}
         if not written:
             break
         sizes = [written[s].n if s in written else 0 for s in range(number)]
@@ -414,9 +423,11 @@ def score_texts(trie: Trie, texts: list[str]) -> pd.DataFrame:
     ids = words[tokens.ids]
     log10 = low[tokens.ids]
     end = int(words[0])
+    context = tokens.contexts(ids, end)
     for level in range(2, len(trie.meta["sizes"]) + 1):
-        context = ids_on(trie, tokens, ids, end, level - 1)
-        log10 = trie.log10(level, nodes_of(trie, level, context, ids), context, log10)
+        node = nodes_of(trie, level, context, ids)
+        log10 = trie.log10(level, node, context, log10)
+        context = tokens.contexts(node, -1)  # one word longer; texts shorter than it have none
     add = lambda x: np.add.reduceat(x, tokens.starts)
     return pd.DataFrame({"n_tokens": tokens.sizes, "n_known": add((ids >= 0).astype(np.int64)), "train_tokens": trie.total,
                          "base_score": add(exact[tokens.ids]), "score": add(log10)})

@@ -106,3 +106,13 @@ def test_odd_rows(spark):
     assert N.language_model_scores(df.limit(0)).count() == 0
     alone = spark.createDataFrame([(20, "a b")], "doc_id long, text string")  # no training rows if held out
     assert [r.n_tokens for r in N.language_model_scores(alone).collect()] == [3]
+
+
+def test_default_model_scores_with_two_words_of_context(spark):
+    docs = corpus(random.Random(11), 200)
+    out = {r.doc_id: r.score for r in N.language_model_scores(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    train = [t for i, t in docs if zlib.crc32(str(i).encode()) % 10]
+    bigram, trigram = Plain(train, 2, N.PRIOR), Plain(train, 3, N.PRIOR)
+    for i, t in docs:
+        assert out[i] == pytest.approx(trigram.score(t), abs=2e-3 * len(words_of(t)))
+    assert sum(abs(out[i] - bigram.score(t)) > 1e-2 * len(words_of(t)) for i, t in docs) > 20

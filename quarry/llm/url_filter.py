@@ -7,9 +7,11 @@ ratio, entropy, parameter counts and statistics of the host's suffix. The
 trees learn from labelled urls; where none are given, the urls that the rules
 judge serve as labelled ones.
 
-Training takes a bounded sample, ``SAMPLE`` labelled urls by hash order; the
-suffix table is made from that sample and so is bounded by it. Features and
-predictions are built-in functions and Spark ML over every url.
+The suffix statistics count every labelled row; their tables are broadcast up
+to a counted number of rows and joined beyond it. Only the fit takes a bounded
+sample: ``SAMPLE`` different labelled urls by hash order, half of the places for
+each label where there are enough, weighted by the rows that they stand for.
+Features and predictions are built-in functions and Spark ML over every url.
 
 Defined cases: a null url, or one without ://, has an empty host and path and
 is judged by the trees like any other; equal rule lengths go by the rule's text;
@@ -31,6 +33,7 @@ from quarry.llm.common import cut, pick
 from quarry.llm.page_text import host_of
 
 SAMPLE = 20_000
+BROADCAST_ROWS = 50_000
 TREES, DEPTH = 20, 4
 SMOOTH = 5.0  # urls of average label that every suffix starts with
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
@@ -55,6 +58,15 @@ FEATURES = ("url_length", "host_length", "path_length", "depth", "labels", "digi
             "query_length", "upper", "suffix_rate", "domain_rate", "suffix_seen")
 
 
+def suffix_of(host: Column) -> Column:
+    return F.element_at(F.split(host, r"\."), -1)
+
+
+def domain_of(host: Column) -> Column:
+    labels = F.split(host, r"\.")
+    return F.array_join(F.slice(labels, F.greatest(F.size(labels) - 1, F.lit(1)), 2), ".")
+
+
 def lexical(rows: DataFrame) -> DataFrame:
     """Feature columns from url, host and path; suffix and domain for the statistics."""
     url = F.coalesce("url", F.lit(""))
@@ -73,35 +85,44 @@ def lexical(rows: DataFrame) -> DataFrame:
         count("-").cast("double").alias("hyphens"), F.when(n > 0, bits).otherwise(0.0).alias("entropy"),
         F.when(query == "", 0).otherwise(F.size(F.split(query, "&"))).cast("double").alias("parameters"),
         F.length(query).cast("double").alias("query_length"), count("[A-Z]").cast("double").alias("upper"),
-        F.element_at(labels, -1).alias("suffix"), F.array_join(F.slice(labels, F.greatest(F.size(labels) - 1, F.lit(1)), 2), ".")
-        .alias("domain"))
+        suffix_of(F.col("host")).alias("suffix"), domain_of(F.col("host")).alias("domain"))
 
 
 class Judge:
     """Trees and suffix statistics learnt from (url, host, path, label 0/1) rows."""
 
-    def __init__(self, labelled: DataFrame, sample: int = SAMPLE, trees: int = TREES, depth: int = DEPTH):
-        chosen = labelled.select("url", "host", "path", "label").orderBy(F.xxhash64("url"), "url").limit(sample)
-        rows = cut(lexical(chosen))
-        self.n, positive = rows.agg(F.count("*"), F.sum("label")).first()
-        self.base = (positive or 0) / self.n if self.n else 0.0
+    def __init__(self, labelled: DataFrame, sample: int = SAMPLE, trees: int = TREES, depth: int = DEPTH,
+                 broadcast_rows: int = BROADCAST_ROWS):
+        urls = cut(labelled.groupBy("url", "host", "path").agg(F.count("*").alias("own_seen"), F.sum("label").alias("own_bad")))
+        rows_of = {0: F.col("own_seen") - F.col("own_bad"), 1: F.col("own_bad")}
+        n, positive, *different = urls.agg(F.sum("own_seen"), F.sum("own_bad"), *[F.count_if(rows_of[k] > 0) for k in rows_of]).first()
+        self.base = positive / n if n else 0.0
         self.model: GBTClassificationModel | None = None
         if not 0 < self.base < 1:
             return
-        self.tables = {key: cut(rows.groupBy(key).agg(F.count("*").alias("seen"), F.sum("label").alias("bad")))
-                       for key in ("suffix", "domain")}
-        # a training url must not find its own label in the statistics
-        ready = self._with_statistics(rows, own=F.col("label"))
-        self.model = GBTClassifier(featuresCol="features", labelCol="label", maxIter=trees, maxDepth=depth, seed=7,
+        keyed = urls.select(suffix_of(F.col("host")).alias("suffix"), domain_of(F.col("host")).alias("domain"), "own_seen", "own_bad")
+        self.tables = {}
+        for key in ("suffix", "domain"):
+            table = cut(keyed.groupBy(key).agg(F.sum("own_seen").alias("seen"), F.sum("own_bad").alias("bad")))
+            self.tables[key] = F.broadcast(table) if table.count() <= broadcast_rows else table
+        chosen = []
+        for label, weight in rows_of.items():
+            room = max(sample // 2, sample - different[1 - label])
+            some = cut(urls.where(weight > 0).withColumn("label", F.lit(label)).withColumn("weight", weight.cast("double"))
+                       .orderBy(F.xxhash64("url"), "url").limit(room))
+            stands_for = (positive if label else n - positive) / some.agg(F.sum("weight")).first()[0]
+            chosen.append(some.withColumn("weight", F.col("weight") * stands_for))
+        # a training url must not find its own labels in the statistics
+        ready = self._with_statistics(cut(lexical(chosen[0].unionByName(chosen[1]))), own=True)
+        self.model = GBTClassifier(featuresCol="features", labelCol="label", weightCol="weight", maxIter=trees, maxDepth=depth, seed=7,
                                    subsamplingRate=1.0, checkpointInterval=-1) \
-            .fit(cut(self._vectors(ready).select("features", F.col("label").cast("double").alias("label")).coalesce(4)))
+            .fit(cut(self._vectors(ready).select("features", "weight", F.col("label").cast("double").alias("label")).coalesce(4)))
 
-    def _with_statistics(self, rows: DataFrame, own: Column | None = None) -> DataFrame:
-        less, one = (own, F.lit(1)) if own is not None else (F.lit(0), F.lit(0))
+    def _with_statistics(self, rows: DataFrame, own: bool = False) -> DataFrame:
+        less, one = (F.col("own_bad"), F.col("own_seen")) if own else (F.lit(0), F.lit(0))
         for key, table in self.tables.items():
-            known = table.select(F.col(key).alias("of_key"), "seen", "bad")
-            # at most one row per sampled url
-            rows = rows.join(F.broadcast(known), rows[key].eqNullSafe(known.of_key), "left") \
+            known = table.withColumnRenamed(key, "of_key")
+            rows = rows.join(known, rows[key].eqNullSafe(F.col("of_key")), "left") \
                 .withColumn(f"{key}_seen", F.coalesce(F.col("seen") - one, F.lit(0)).cast("double")) \
                 .withColumn(f"{key}_rate", (F.coalesce(F.col("bad") - less, F.lit(0)) + SMOOTH * self.base)
                             / (F.col(f"{key}_seen") + SMOOTH)).drop("of_key", "seen", "bad")

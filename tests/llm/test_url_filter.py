@@ -63,3 +63,23 @@ def test_trees_learn_lexical_labels(spark):
     truth = {i: y for i, _, y in rows[800:]}
     out = U.judge_urls(test, labelled=labelled).collect()
     assert sum((r.verdict == "block") == bool(truth[r.page_id]) for r in out) / len(out) > 0.97
+
+
+@pytest.mark.parametrize("broadcast_rows", [50_000, 3])
+def test_statistics_cover_all_labelled_rows(spark, broadcast_rows):
+    """300 domains and room for 40 urls, which one repeated url would fill."""
+    urls = spark.createDataFrame([(f"http://www.d{i}.test/p{k}",) for i in range(300) for k in range(10)], "url string")
+    hot = urls.orderBy(U.F.xxhash64("url")).first().url
+    bad = lambda url: int(url.split(".d")[1][0] in "12")
+    if bad(hot):
+        bad = lambda url: int(url.split(".d")[1][0] not in "12")
+    rows = [(r.url, bad(r.url)) for r in urls.collect()] + [(hot, 0)] * 200
+    placed = spark.createDataFrame(rows, "url string, label int").withColumn("host", U.host_of(U.F.col("url"))) \
+        .withColumn("path", U.path_of(U.F.col("url")))
+    judge = U.Judge(placed, sample=40, broadcast_rows=broadcast_rows)
+    seen = {r.domain: (r.seen, r.bad) for r in judge.tables["domain"].collect()}
+    assert len(seen) == 300 and sum(n for n, _ in seen.values()) == len(rows)
+    assert sum(b for _, b in seen.values()) == sum(y for _, y in rows)
+    new = placed.where("path = '/p3'").dropDuplicates(["url"])
+    got = judge.verdicts(new).collect()
+    assert len(got) == 300 and sum(r.judged == r.label for r in got) > 290

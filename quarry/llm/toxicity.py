@@ -3,8 +3,9 @@
 1. Voters. Each is a lexicon entry (a word, or a word beginning) or a pattern
    of the text; a vote says "toxic" or abstains, and an abstention is no
    evidence. One voter says "clean" where no entry occurs. Entries come from a short
-   fixed word list and from the words and beginnings that labelled training
-   documents count as telling (document frequencies by one Spark aggregate).
+   fixed word list and from the words and beginnings that are telling: their
+   document frequencies over all labelled training documents, counted in Spark,
+   show them significantly more than ``LEAST_LIFT`` times as often in toxic ones.
 2. Label model. A generative model (expectation maximisation over the votes)
    estimates how often each voter fires on toxic and on clean documents. The
    given label is one more voter, whose own error rates are estimated too.
@@ -16,9 +17,9 @@
 
 Steps 2 and 3 run on the driver over a bounded sample: at most
 ``SAMPLE`` labelled training documents, chosen by a hash of the id (so the
-choice does not depend on order or partitioning), with ``MAX_VOTERS`` voters.
-Everything that grows with the corpus (counting words of the sample, scoring
-every whole text) runs in Spark tasks.
+choice does not depend on order or partitioning). Everything that grows with the
+corpus (counting the words of all labelled training documents, scoring every
+whole text) runs in Spark tasks; the telling entries reach the driver.
 
 Defined cases: null and empty texts get the score of a text without words;
 a null id is never a training row; several labels of an id count as the
@@ -35,6 +36,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, ArrayType
@@ -42,14 +44,14 @@ from pyspark.sql.types import DoubleType, FloatType, ArrayType
 from quarry.llm.common import crc_bucket, cut, pick, whole_text
 
 SAMPLE = 20_000
-MAX_VOTERS = 64
 FOLDS, HELD_OUT = 4, 2
 THRESHOLD = 0.3
 PRIOR = 0.05
 STEM = (4, 5, 6, 7)  # lengths of word beginnings that may become voters
-LEAST_DOCS = 5
-LEAST_SHARE = 0.01  # of the toxic training documents
-LEAST_LIFT = math.log(100.0)
+LEAST_LIFT = 2.0
+CHANCE = 0.01  # that any entry at all is taken for telling by chance
+BROADCAST_ENTRIES = 200_000
+BROADCAST_IDS = 2_000_000
 ABUSE = ("idiot", "moron", "stupid", "scum", "loser", "pathetic", "worthless", "trash", "clown", "disgusting")
 
 WORD = re.compile(r"[^\W\d_]+")
@@ -107,46 +109,82 @@ def feature_column(lexicon: dict[str, int]) -> Callable:
 
 # --- lexicon -------------------------------------------------------------------------------------
 
-def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """(doc_id, text, toxic) of at most ``sample`` labelled training rows."""
+def training_labels(labels: DataFrame) -> DataFrame:
+    """(doc_id, toxic) of all labelled training ids."""
     labelled = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    chosen = labelled.where(crc_bucket(F.col("doc_id"), FOLDS) != HELD_OUT) \
-        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)  # a top-k: one bounded heap per task
+    return labelled.where(crc_bucket(F.col("doc_id"), FOLDS) != HELD_OUT)
+
+
+def training_rows(docs: DataFrame, labelled: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """(doc_id, text, toxic) of at most ``sample`` labelled training rows."""
+    chosen = labelled.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)  # a top-k: one bounded heap per task
     # the chosen ids are bounded by ``sample``, 16 bytes each
     return docs.join(F.broadcast(cut(chosen)), "doc_id").select("doc_id", "text", "toxic")
 
 
-def mine_lexicon(rows: DataFrame, most: int = MAX_VOTERS) -> list[str]:
-    """Entries that tell toxic training documents from clean ones, the
-    fixed words first. A longer entry covered by a chosen beginning goes."""
+def mine_lexicon(toxic: DataFrame, clean: DataFrame, broadcast_entries: int = BROADCAST_ENTRIES) -> list[str]:
+    """Entries that tell toxic training documents (column text) from clean
+    ones, the fixed words first. A longer entry covered by a chosen beginning goes.
+
+    Of the documents that hold an entry, the toxic ones would be a share of at
+    most q, were it LEAST_LIFT times as frequent there or less. Chernoff's
+    bound on that many of them is the level of its test, which is divided by
+    the number of entries tested. Copies and near copies of a toxic document
+    are no further evidence: documents count as far as the words beside the
+    entry differ.
+    """
+
+    def count_contexts(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            counts: Counter = Counter()
+            for text in part["text"]:
+                words = ["", *WORD.findall(text.lower()), ""]
+                first: dict[str, int] = {}
+                for before, word, after in zip(words, words[1:], words[2:]):
+                    for entry in entries(Counter((word,))):
+                        if entry not in first:
+                            first[entry] = xxhash.xxh64_intdigest(f"{before} {after}") - (1 << 63)
+                counts.update(first.items())
+            if counts:
+                yield pd.DataFrame({"entry": [e for e, _ in counts], "context": [c for _, c in counts], "n": list(counts.values())})
 
     def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            seen: dict[int, Counter] = {0: Counter(), 1: Counter()}
-            for text, toxic in zip(part["text"], part["toxic"]):
-                seen[int(toxic)].update(entries(count_words(text)))
-            for toxic, counts in seen.items():
-                if not counts:
-                    continue
-                yield pd.DataFrame({"entry": list(counts.keys()), "pos": [n * toxic for n in counts.values()],
-                                    "neg": [n * (1 - toxic) for n in counts.values()]})
-
-    totals = rows.groupBy().agg(F.sum("toxic"), F.sum(1 - F.col("toxic"))).first()
-    n_pos, n_neg = (totals[0] or 0), (totals[1] or 0)
-    lift = F.log((F.col("pos") + 0.1) / (n_pos + 1.0)) - F.log((F.col("neg") + 0.1) / (n_neg + 1.0))
-    telling = rows.select("text", "toxic").mapInPandas(count, "entry string, pos long, neg long") \
-        .groupBy("entry").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")) \
-        .where((F.col("pos") >= max(LEAST_DOCS, LEAST_SHARE * n_pos)) & (lift >= LEAST_LIFT)) \
-        .orderBy(F.col("pos").desc(), F.length("entry"), "entry").limit(most * 8).collect()
+            counts: Counter = Counter()
+            for text in part["text"]:
+                counts.update(entries(count_words(text)))
+            if counts:
+                yield pd.DataFrame({"entry": list(counts.keys()), "n": list(counts.values())})
+
+    n_pos, n_neg = toxic.count(), clean.count()
     chosen = [w + " " for w in ABUSE]
-    for row in telling:
-        if len(chosen) >= most:
-            break
-        if row.entry in chosen or any(not c.endswith(" ") and row.entry.startswith(c) for c in chosen):
+    if not n_pos or not n_neg:
+        return chosen
+    share = LEAST_LIFT * n_pos / (LEAST_LIFT * n_pos + n_neg)
+    in_toxic = cut(toxic.mapInPandas(count_contexts, "entry string, context long, n long").groupBy("entry", "context")
+                   .agg(F.sum("n").alias("n")).groupBy("entry").agg(F.sum("n").alias("pos"), F.count("*").alias("contexts")))
+    tested = in_toxic.count()
+    level = math.log(max(tested, 1) / CHANCE)
+    # no count of clean documents gives a bound below share ** contexts
+    able = in_toxic.where(F.col("contexts") * F.lit(-math.log(share)) >= level)
+    known = F.broadcast(able.select("entry")) if able.count() <= broadcast_entries else able.select("entry")
+    in_clean = clean.mapInPandas(count, "entry string, n long").join(known, "entry", "left_semi").groupBy("entry").agg(F.sum("n").alias("neg"))
+    both = able.join(in_clean, "entry", "left").withColumn("neg", F.coalesce("neg", F.lit(0)))
+    of = F.col("pos") + F.col("neg")
+    evidence = F.col("pos") * F.log(F.col("pos") / (of * share)) \
+        + F.when(F.col("neg") > 0, F.col("neg") * F.log(F.col("neg") / (of * (1 - share)))).otherwise(0.0)
+    telling = both.where(F.col("pos") > of * share).withColumn("evidence", evidence * F.col("contexts") / F.col("pos")).where(F.col("evidence") >= level) \
+        .orderBy(F.col("evidence").desc(), F.length("entry"), "entry").select("entry").collect()
+    taken, beginnings = set(chosen), set()
+    for (entry,) in telling:
+        if entry in taken or any(entry[:n] in beginnings for n in STEM if len(entry.strip()) >= n):
             continue
-        if row.entry + " " in chosen:  # a beginning that only ever is the fixed word itself
+        if entry + " " in taken:  # a beginning that only ever is a chosen word itself
             continue
-        chosen.append(row.entry)
+        chosen.append(entry)
+        taken.add(entry)
+        if not entry.endswith(" "):
+            beginnings.add(entry)
     return chosen
 
 
@@ -226,9 +264,16 @@ class Model:
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
-    rows = cut(training_rows(pick(docs, doc_id="doc_id", text="text").withColumn("text", whole_text("text")),
-                             pick(labels, doc_id="doc_id", toxic="toxic"), sample))
-    lexicon = mine_lexicon(rows)
+    texts = pick(docs, doc_id="doc_id", text="text").withColumn("text", whole_text("text"))
+    labelled = cut(training_labels(pick(labels, doc_id="doc_id", toxic="toxic")))
+    rows = cut(training_rows(texts, labelled, sample))
+    of_label = {}
+    for label in (1, 0):
+        ids = labelled.where(F.col("toxic") == label).select("doc_id")
+        # only the toxic ids, the fewer by far, are broadcast, 8 bytes each
+        few = label == 1 and ids.count() <= BROADCAST_IDS
+        of_label[label] = texts.join(F.broadcast(ids) if few else ids, "doc_id").select("text")
+    lexicon = mine_lexicon(of_label[1], of_label[0])
     vector = feature_column({entry: i for i, entry in enumerate(lexicon)})
     got = rows.select("doc_id", "toxic", vector("text").alias("x")).orderBy("doc_id", F.xxhash64("text")).collect()
     if not got or not 0 < sum(r.toxic for r in got) < len(got):

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from quarry.llm import toxicity as T
 
@@ -78,3 +79,37 @@ def test_odd_rows(spark):
     assert len({r.score for r in out.where("doc_id = 1").collect()}) == 1
     assert T.toxicity(docs.limit(0), labels).count() == 0
     assert T.without_toxic(docs, none).columns == docs.columns
+
+
+@pytest.mark.parametrize("broadcast_entries", [200_000, 0])
+def test_lexicon_counts_all_rows_and_keeps_rare_and_noisy_entries(spark, broadcast_entries):
+    rng = random.Random(8)
+    plain = ["house", "river", "music", "garden", "winter", "market"]
+    rows = []
+    for i in range(12_000):
+        words = rng.sample(plain, 3)
+        toxic = int(i < 2400)
+        if toxic and i % 150 == 0:
+            words.append("zorbl")  # in under 1 % of the toxic documents
+        if toxic and i % 2 or not toxic and i % 100 == 0:
+            words.append("vexil")  # half of the toxic, 1 % of the clean
+        if toxic:
+            words += [f"quill{'abcdefghij'[i % 10]}{'abcdefghij'[i // 10 % 10]}"] * 2  # 100 forms
+        rows.append((" ".join(words), toxic))
+    found = T.mine_lexicon(*[spark.createDataFrame([(t,) for t, y in rows if y == k], "text string") for k in (1, 0)], broadcast_entries)
+    matched = lambda word: any(e in found for e in T.entries(T.Counter([word])))
+    assert matched("zorbl") and matched("vexil") and matched("quillab")
+    assert not any(matched(w) for w in plain)
+
+
+def test_lexicon_is_mined_outside_the_sample(spark):
+    docs = [(i, f"plain words {'house' * (i % 7)} {'grumpf' if i % 5 == 0 else 'house'} {'river' * (i % 9)}") for i in range(600)]
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i, _ in docs], "doc_id long, toxic int")
+    model = T.fit(spark.createDataFrame(docs, "doc_id long, text string"), labels, sample=10)
+    assert any(e in model.lexicon for e in T.entries(T.Counter(["grumpf"])))
+
+
+def test_copies_of_a_toxic_document_are_no_further_evidence(spark):
+    rows = [("some words around blorptal in one copied text", 1)] * 200 + [(f"clean words {'xy' * (i % 50)}", 0) for i in range(800)]
+    toxic, clean = [spark.createDataFrame([(t,) for t, y in rows if y == k], "text string") for k in (1, 0)]
+    assert T.mine_lexicon(toxic, clean) == [w + " " for w in T.ABUSE]

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import decontaminate, edit_embedding, ngram_lm, packing, page_text, secret_scan, simhash, suffix_dedup, toxicity, \
-    url_filter
+from quarry.llm import decontaminate, edit_embedding, embedding_links, ngram_lm, packing, page_text, secret_scan, simhash, \
+    suffix_dedup, toxicity, url_filter
 from quarry.llm.common import documents
 
 
@@ -53,6 +53,10 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(documents(spark, sf_dir))
 
 
+def op11_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_links.links(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_decontamination": op2_decontamination,
@@ -64,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_url_filter": op9_url_filter,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_embedding_neardup": op11_embedding_neardup,
 }
 
 ORACLES: dict[str, str] = {}

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import decontaminate, edit_embedding, embedding_links, ngram_lm, packing, page_text, secret_scan, simhash, \
-    suffix_dedup, toxicity, url_filter
+from quarry.llm import decontaminate, edit_embedding, embedding_links, ngram_lm, packing, page_text, prefix_trie, secret_scan, \
+    simhash, spelling_variants, suffix_dedup, toxicity, url_filter
 from quarry.llm.common import documents
 
 
@@ -57,6 +57,14 @@ def op11_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_links.links(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.spelling_variants(documents(spark, sf_dir), spoil=True)
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_decontamination": op2_decontamination,
@@ -69,6 +77,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_url_filter": op9_url_filter,
     "op10_suffix_dedup": op10_suffix_dedup,
     "op11_embedding_neardup": op11_embedding_neardup,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 ORACLES: dict[str, str] = {}

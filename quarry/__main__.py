@@ -34,6 +34,9 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--columns", default="{}", help="JSON map of JobSpec field -> manifest column")
     run.add_argument("--parallelism", type=int, default=1)
     run.add_argument("--retries", type=int, default=0, help="further attempts of a job whose source fails")
+    run.add_argument("--timeout", type=float, default=None, help="seconds that a job may take")
+    run.add_argument("--committed", action="store_true", help="versioned outputs; appends may be repeated")
+    run.add_argument("--run-id", default=None, help="with --committed: the id of a run that is run again")
     run.add_argument("--master", default=None)
     args = parser.parse_args(argv)
 
@@ -45,8 +48,8 @@ def main(argv: list[str] | None = None) -> int:
     as_of = dt.date.fromisoformat(args.as_of)
     jobs = jobs_from_manifest(manifest, as_of, json.loads(args.columns))
     audit_path = args.audit or f"{args.out.rstrip('/')}/_audit"
-    audit = run_manifest(spark, jobs, specs, as_of, args.out, audit_path, run_id=uuid.uuid4().hex,
-                         parallelism=args.parallelism, retries=args.retries)
+    audit = run_manifest(spark, jobs, specs, as_of, args.out, audit_path, run_id=args.run_id or uuid.uuid4().hex,
+                         parallelism=args.parallelism, retries=args.retries, timeout_s=args.timeout, committed=args.committed)
     for row in audit.select("display_name", "target", "row_count", "result", "error").collect():
         print("\t".join("" if v is None else str(v) for v in row))
     failed = job_summary(audit).first()["failed"]

@@ -207,6 +207,22 @@ def lenient_losses(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     return row.selectExpr(f"stack({len(typed)}, {stack}) as (column, lost)")
 
 
+def lenient_problems(df: DataFrame, types: Mapping[str, str]) -> Column:
+    """array<struct<column, value>>: the non-blank values of a row that T2
+    turns into null, as text."""
+    dtypes = {f.name: f.dataType for f in df.schema.fields}
+    found = []
+    for name, word in types.items():
+        if name not in dtypes or word not in (INT, FLOAT, DATE, DATETIME):
+            continue
+        c = F.col(name)
+        present = blank_to_null(c).isNotNull() if _is_text(dtypes[name]) else c.isNotNull()
+        lost = present & _lenient_expr(c, dtypes[name], word).isNull()
+        found.append(F.when(lost, F.struct(F.lit(name).alias("column"), c.cast("string").alias("value"))))
+    none = F.lit(None).cast("struct<column:string,value:string>")
+    return F.array_compact(F.array(*found, none))
+
+
 def _lenient_expr(c: Column, dtype: T.DataType, word: str) -> Column:
     if word == INT:
         return lenient_long(c, dtype)

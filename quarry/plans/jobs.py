@@ -3,23 +3,31 @@
 The manifest is a small table of job rows read on the driver. Each job is
 an independent Spark job (scan -> period -> soft delete -> shape -> sink);
 one failure is recorded and the rest go on. Row counts come from an
-Observation on the write itself.
+Observation on the write itself. A job may have a deadline; with
+``committed=True`` Parquet and table outputs are versioned datasets, so an
+append that failed half-way, or a whole run, can be run again under its id.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import logging
 import os
 import re
+import threading
 import time
 import traceback
+from collections import Counter
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from quarry.functions.casting import cast_lenient
 from quarry.plans.dataset import prepare_dataset
+from quarry.plans.deadline import Deadline, JobStopped
+from quarry.sinks import versions as V
 from quarry.sinks import writers as W
 from quarry.sinks.writers import (
     PASTE_APPEND, RESULT_FAILED, RESULT_OK, audit_row, audit_write, export_csv, export_parquet, replace_table,
@@ -43,6 +51,7 @@ MODE_FLAGS = {"production": "実行対象", "test": "テスト実行", MODE_RAW:
 SUCCESS_LINE = "★成功★ {sql} -> {output}"
 FAILURE_LINE = "★失敗★　{sql}: {reason}"
 LOG_LINE = "{stamp} - {level} - {message}"
+SHORT_TIMEOUT = "timeout must be at least 1 second"
 TEST_FOLDER = "test"
 TEST_SUFFIX = "_test"
 # Output name patterns.
@@ -136,19 +145,21 @@ def validate_jobs(manifest: DataFrame) -> DataFrame:
         F.when(blank("output_name"), F.lit("missing output name")),
         F.when((c("target") == TARGET_SHEET) & blank("sheet_name"), F.lit("missing sheet name")),
         F.when(~c("target").isin(TARGET_CSV, TARGET_SHEET, TARGET_PARQUET), F.lit("unknown target")),
+        F.when(~blank("timeout_s") & ~F.coalesce(c("timeout_s").try_cast("double") >= 1, F.lit(False)), F.lit(SHORT_TIMEOUT))
+        if "timeout_s" in manifest.columns else F.lit(None),
     ))
     return manifest.select(c("sql_name"), F.explode(problems).alias("problem"))
 
 
-def validate_run_settings(parallelism: int, retries: int, timeout_s: int) -> list[str]:
-    """J7's run checks."""
+def validate_run_settings(parallelism: int, retries: int, timeout_s: float | None) -> list[str]:
+    """J7's run checks; no timeout is no limit."""
     errors = []
     if parallelism < 1:
         errors.append("parallelism must be at least 1")
     if retries < 0:
         errors.append("retries must not be negative")
-    if timeout_s < 1:
-        errors.append("timeout must be at least 1 second")
+    if timeout_s is not None and not timeout_s >= 1:
+        errors.append(SHORT_TIMEOUT)
     return errors
 
 
@@ -160,51 +171,69 @@ def output_path(job: JobSpec, out_root: str, now: dt.datetime) -> str:
     return f"{folder}/{job.sheet_name or name}" if job.target == TARGET_SHEET else f"{folder}/{name}"
 
 
-def _sink(df: DataFrame, job: JobSpec, spec: DatasetSpec, path: str) -> int:
-    """Write the frame where the job says; the rows written."""
+def is_append(job: JobSpec) -> bool:
+    return job.target == TARGET_SHEET and job.paste_mode == PASTE_APPEND
+
+
+def _sink(df: DataFrame, job: JobSpec, spec: DatasetSpec, path: str, txn: str | None = None, allowed=lambda: None) -> int:
+    """Write the frame where the job says; the rows written. With ``txn``
+    Parquet and tables are committed under it, once."""
     if job.target == TARGET_CSV:
-        return write_counted(df, lambda d: export_csv(d, path, types=spec.types, encoding=job.encoding))
+        return write_counted(df, lambda d: export_csv(d, path, types=spec.types, encoding=job.encoding, allowed=allowed))
+    if job.target == TARGET_PARQUET and txn:
+        W.refuse_plain(df.sparkSession, path)
+        return V.publish_version(cast_lenient(df, spec.types), path, txn=txn, allowed=allowed)["rows"]
     if job.target == TARGET_PARQUET:
-        return write_counted(df, lambda d: export_parquet(d, path, types=spec.types))
+        return write_counted(df, lambda d: export_parquet(d, path, types=spec.types, allowed=allowed))
+    # re-aimed: a sheet becomes a table, appended to or replaced; other paste modes are refused
+    if job.target == TARGET_SHEET and txn:
+        return W.commit_table(df, path, job.paste_mode, txn, allowed=allowed)
     if job.target == TARGET_SHEET:
-        # re-aimed: a sheet becomes a table; replace_table appends or replaces and refuses other paste modes
-        return write_counted(df, lambda d: replace_table(d, path, job.paste_mode))
+        return write_counted(df, lambda d: replace_table(d, path, job.paste_mode, allowed=allowed))
     raise ValueError(f"unknown target: {job.target!r}")
 
 
-def _produce(spark: SparkSession, job: JobSpec, spec: DatasetSpec, as_of: dt.date, path: str) -> int:
-    df = prepare_dataset(spark, spec, job.period, job.criterion, as_of, job.exclude_deleted, job.category)
-    return _sink(df, job, spec, path)
-
-
 def run_job(spark: SparkSession, job: JobSpec, specs: Mapping[str, DatasetSpec], as_of: dt.date, out_root: str,
-            run_id: str, now: dt.datetime | None = None, retries: int = 0) -> tuple[tuple, str]:
+            run_id: str, now: dt.datetime | None = None, retries: int = 0, timeout_s: float | None = None,
+            txn: str | None = None, stop: threading.Event | None = None) -> tuple[tuple, str]:
     """Run one job: (its audit row, its result line). A job whose source
-    fails is tried again up to ``retries`` times; an append is never repeated,
-    as a part of it may have been written."""
+    fails is tried again up to ``retries`` times; an append only with ``txn``,
+    the id it is committed under, as a part of a plain one may have been
+    written. All attempts share one deadline; the job's own ``timeout_s``
+    comes before the run's."""
     start = dt.datetime.now()
     now = now or start
     job = test_target(job)
     # concurrent jobs share the cluster fairly (FAIR scheduler pool per job)
     spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"job-{job.sql_name}")
-    attempts = 1 if job.target == TARGET_SHEET and job.paste_mode == PASTE_APPEND else 1 + retries
+    attempts = 1 if is_append(job) and txn is None else 1 + retries
     rows, error = None, ""
-    for attempt in range(1, attempts + 1):
-        try:
-            spec = specs.get(job.sql_name)
-            if spec is None:
-                raise KeyError(f"no dataset named {job.sql_name!r}")
-            path = output_path(job, out_root, now)
-            rows, error = _produce(spark, job, spec, as_of, path), ""
-            message = SUCCESS_LINE.format(sql=job.sql_name, output=path.rsplit("/", 1)[-1])
-            break
-        except Exception as exc:  # one failure must not stop the batch
-            LOG.error("job %s failed (attempt %d of %d): %s", job.sql_name, attempt, attempts, exc)
-            LOG.debug(traceback.format_exc())
-            error = f"{type(exc).__name__}: {exc}"
-            message = FAILURE_LINE.format(sql=job.sql_name, reason=error.replace("\n", " "))
-            if isinstance(exc, (KeyError, ValueError)):  # what the job says is wrong stays wrong
+    seconds = float(job.timeout_s) if job.timeout_s else timeout_s
+    tag = f"quarry-{hashlib.sha1(f'{run_id}:{txn}:{id(job)}'.encode()).hexdigest()}"
+    with Deadline(spark, tag, seconds, stop) as deadline:
+        for attempt in range(1, attempts + 1):
+            try:
+                deadline.check()
+                spec = specs.get(job.sql_name)
+                if spec is None:
+                    raise KeyError(f"no dataset named {job.sql_name!r}")
+                path = output_path(job, out_root, now)
+                df = prepare_dataset(spark, spec, job.period, job.criterion, as_of, job.exclude_deleted, job.category)
+                rows, error = _sink(df, job, spec, path, txn, deadline.check), ""
+                message = SUCCESS_LINE.format(sql=job.sql_name, output=path.rsplit("/", 1)[-1])
                 break
+            except Exception as exc:  # one failure must not stop the batch
+                try:
+                    deadline.check()
+                except (TimeoutError, JobStopped) as late:  # the cause of whatever Spark reports
+                    exc = late
+                LOG.error("job %s failed (attempt %d of %d): %s", job.sql_name, attempt, attempts, exc)
+                LOG.debug(traceback.format_exc())
+                error = f"{type(exc).__name__}: {exc}"
+                message = FAILURE_LINE.format(sql=job.sql_name, reason=error.replace("\n", " "))
+                # what the job says is wrong stays wrong, and time that is over stays over
+                if isinstance(exc, (KeyError, ValueError, TimeoutError, JobStopped)):
+                    break
     ok = not error
     ended = now + (dt.datetime.now() - start)
     row = audit_row(job.display_name or job.sql_name, job.sheet_name, job.main_table, job.category, job.target, rows, ok,
@@ -213,42 +242,80 @@ def run_job(spark: SparkSession, job: JobSpec, specs: Mapping[str, DatasetSpec],
     return row, line
 
 
+def job_txns(jobs: Sequence[JobSpec], run_id: str) -> list[str]:
+    """The id that each job of a run commits under: it follows from the run and
+    the job alone, so running a part of the jobs again repeats nothing."""
+    seen: Counter = Counter()
+    out = []
+    for job in jobs:
+        digest = hashlib.sha1(repr(job).encode()).hexdigest()
+        out.append(f"{run_id}:{digest}:{seen[digest]}")
+        seen[digest] += 1
+    return out
+
+
+def output_clashes(paths: Sequence[str], jobs: Sequence[JobSpec]) -> list[str]:
+    """Outputs that more than one job writes, unless all of them append."""
+    writers: dict[str, list[bool]] = {}
+    for path, job in zip(paths, jobs):
+        writers.setdefault(path, []).append(is_append(job))
+    return [f"two jobs write {path}" for path, appends in sorted(writers.items()) if len(appends) > 1 and not all(appends)]
+
+
 def run_manifest(spark: SparkSession, jobs: Sequence[JobSpec], specs: Mapping[str, DatasetSpec],
                  as_of: dt.date, out_root: str, audit_path: str, run_id: str,
                  parallelism: int = 1, pause_s: float = 0.0, now: dt.datetime | None = None,
-                 retries: int = 0) -> DataFrame:
+                 retries: int = 0, timeout_s: float | None = None, committed: bool = False,
+                 stop: threading.Event | None = None) -> DataFrame:
     """Run every job; returns this run's audit rows. Two jobs with one
-    output are refused (an append may share its table), since each publishes
-    its output as a whole."""
-    problems = validate_run_settings(parallelism, retries, 1)
+    output are refused unless both append; those run one after the other. A
+    job that is not done after ``timeout_s`` seconds (or its own) is cancelled
+    and audited as failed, and so are all that are left once ``stop`` is set.
+    ``committed`` makes Parquet and table outputs versioned (readers:
+    ``sinks.versions.read_dataset``); appends are then retried, and a run that
+    was killed can be run again under its ``run_id``."""
     stamp = now or dt.datetime.now()
-    paths = [output_path(test_target(job), out_root, stamp) for job in jobs
-             if not (job.target == TARGET_SHEET and job.paste_mode == PASTE_APPEND)]
-    problems += [f"two jobs write {path}" for path in sorted({p for p in paths if paths.count(p) > 1})]
+    paths = [output_path(test_target(job), out_root, stamp) for job in jobs]
+    own = [(job.sql_name, _seconds(job.timeout_s)) for job in jobs if job.timeout_s]
+    problems = validate_run_settings(parallelism, retries, timeout_s) + output_clashes(paths, jobs)
+    problems += [f"{name}: {SHORT_TIMEOUT}" for name, seconds in own if seconds is None or not seconds >= 1]
     if problems:
         raise ValueError("; ".join(problems))
-    run = lambda job: run_job(spark, job, specs, as_of, out_root, run_id, now, retries)
-    results: list[tuple[tuple, str]] = []
+    txns = job_txns(jobs, run_id) if committed else [None] * len(jobs)
+    run = lambda i: run_job(spark, jobs[i], specs, as_of, out_root, run_id, now, retries, timeout_s, txns[i], stop)
+    by_path: dict[str, list[int]] = {}
+    for i, path in enumerate(paths):
+        by_path.setdefault(path, []).append(i)
+    results: dict[int, tuple[tuple, str]] = {}
     try:
         if parallelism == 1:
-            for i, job in enumerate(jobs):
+            for i in range(len(jobs)):
                 if i and pause_s:
                     time.sleep(pause_s)
-                results.append(run(job))
+                results[i] = run(i)
         else:
             with ThreadPoolExecutor(max_workers=parallelism) as pool:
-                results.extend(pool.map(run, jobs))
+                for done in pool.map(lambda group: [(i, run(i)) for i in group], by_path.values()):
+                    results.update(done)
     finally:  # what ran is recorded even if the batch is interrupted: one write per run
-        if results:
-            audit_write(spark, audit_path, [row for row, _ in results], run_id)
+        ran = [results[i] for i in sorted(results)]
+        if ran:
+            audit_write(spark, audit_path, [row for row, _ in ran], run_id)
             # one result line per job (a handful of rows) into the run log
-            lines = spark.createDataFrame([(line,) for _, line in results], "value string")
+            lines = spark.createDataFrame([(line,) for _, line in ran], "value string")
             lines.coalesce(1).write.mode("overwrite").text(f"{run_log_dir(out_root)}/run={run_id}")
     if not results:
         return spark.createDataFrame([], W.AUDIT_SCHEMA)
     return read_audit(spark, audit_path, run_id)
 
 
+def _seconds(text: str) -> float | None:
+    try:
+        return float(text)
+    except ValueError:
+        return None
+
+
 def run_log_dir(out_root: str) -> str:
     """Text log of job result lines, one folder per run (read it with
     ``spark.read.text`` and the monitors)."""

@@ -7,9 +7,10 @@ file per task; a single output file happens only on explicit request.
 
 ``publish`` is for one writer per target: between its two renames the target is
 absent for a moment, and two publishers of one target could undo each other.
-``run_manifest`` therefore refuses two jobs with one output. On object stores a
-rename is not atomic; there, write a new versioned directory and switch a
-pointer.
+``run_manifest`` therefore refuses two jobs with one output. Parquet targets
+can be versioned instead (``versioned=True``, ``txn=...``; ``sinks.versions``):
+readers never see a gap, the slower of two publishers raises, and an append
+may be repeated. A target that is versioned stays so.
 """
 
 from __future__ import annotations
@@ -18,10 +19,13 @@ import datetime as dt
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from quarry.functions.casting import cast_lenient, csv_prepare, drop_empty_rows
+from quarry.functions.casting import cast_lenient, csv_prepare, drop_empty_rows, lenient_problems
 from quarry.functions.filters import apply_filters
+from quarry.sinks import versions as V
+from quarry.sinks.fs import file_system as _fs, path_exists, write_counted
+from quarry.session import scratch_path
 from quarry.sources.files import CP932, UTF8, scan_csv
 from quarry.spec import FilterSpec
 
@@ -33,8 +37,8 @@ RESULT_FAILED = "失敗"
 AUDIT_SCHEMA = ("display_name string, sheet string, main_table string, category string, target string, "
                 "row_count bigint, result string, error string, logged_at timestamp_ntz, spare string, "
                 "started_at timestamp_ntz")
-FILE_BYTES = 256 << 20  # of a newest-first file, as the plan estimates them
 BOM = "\ufeff"
+REJECT_RAW, REJECT_PROBLEMS = "quarry_raw", "quarry_problems"  # columns of the working copy
 # Export file stamp and name.
 STAMP_LAYOUT = "%Y-%m-%d-%H%M%S"
 EXPORT_NAME = "{stamp}_{suffix}.csv"
@@ -42,17 +46,6 @@ EXPORT_NAME = "{stamp}_{suffix}.csv"
 
 # --- publish -----------------------------------------------------------------
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath, jvm
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, hpath, _ = _fs(spark, path)
-    return bool(fs.exists(hpath))
-
-
 def staging_path(target: str) -> str:
     return f"{target.rstrip('/')}.staging-{uuid.uuid4().hex}"
 
@@ -92,11 +85,6 @@ def publish(spark: SparkSession, staging: str, target: str) -> str:
     return target
 
 
-def planned_bytes(df: DataFrame) -> int:
-    """The plan's estimate of a frame's bytes (file sizes for a scan)."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
 # --- CSV ---------------------------------------------------------------------
 
 def _csv_writer(df: DataFrame, encoding: str, header: bool, sep: str, chunk_rows: int | None):
@@ -111,7 +99,7 @@ def _csv_writer(df: DataFrame, encoding: str, header: bool, sep: str, chunk_rows
 def export_csv(df: DataFrame, path: str, types: Mapping[str, str] | None = None,
                encoding: str = UTF8, header: bool = True, sep: str = ",",
                chunk_rows: int | None = None, single_file: bool = False,
-               prepare: bool = True, bom: bool = False, skip_empty: bool = False) -> str | None:
+               prepare: bool = True, bom: bool = False, skip_empty: bool = False, allowed=lambda: None) -> str | None:
     """Clean (T6-T9) and write CSV with a header, then publish.
 
     CP932 output (``encoding=CP932``) replaces characters it cannot encode,
@@ -127,14 +115,15 @@ def export_csv(df: DataFrame, path: str, types: Mapping[str, str] | None = None,
             raise ValueError("a byte-order mark needs UTF-8 output with a header")
         first = out.columns[0]
         out = out.withColumnRenamed(first, BOM + first)
-    if single_file:
-        out = out.coalesce(1)
+    if single_file:  # a shuffle: only the writing is one task, not all that comes before
+        out = out.repartition(1)
     stage = staging_path(path)
     rows = write_counted(out, lambda d: _csv_writer(d, encoding, header, sep, chunk_rows).csv(stage))
     if skip_empty and rows == 0:
         fs, hstage, _ = _fs(df.sparkSession, stage)
         fs.delete(hstage, True)
         return None
+    allowed()
     return publish(df.sparkSession, stage, path)
 
 
@@ -145,6 +134,63 @@ def export_csv_chunked(df: DataFrame, path: str, chunk_rows: int | None = None,
     return export_csv(df, path, chunk_rows=chunk_rows, **kwargs)
 
 
+def export_csv_merged(df: DataFrame, path: str, keys: Sequence[str] = (), types: Mapping[str, str] | None = None,
+                      encoding: str = UTF8, sep: str = ",", chunk_rows: int | None = None, prepare: bool = True,
+                      bom: bool = False) -> str:
+    """W2 as one file: parts are written by all tasks, in the order of ``keys``
+    (newest first) if given, and joined on the file system under one header.
+    HDFS joins files by name alone; other file systems are copied part by part
+    through a small buffer. No task holds more than its own part."""
+    spark = df.sparkSession
+    rows = newest_ranges(df, keys) if keys else df
+    out = csv_prepare(rows, types or {}) if prepare else rows
+    if bom and encoding.upper().replace("-", "") != "UTF8":
+        raise ValueError("a byte-order mark needs UTF-8 output")
+    stage = staging_path(path)
+    _csv_writer(out, encoding, False, sep, chunk_rows).csv(stage)
+    names = [BOM + c if bom and not i else c for i, c in enumerate(out.columns)]
+    one = spark.createDataFrame([tuple(names)], T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))]))
+    _csv_writer(one.coalesce(1), encoding, False, sep, None).csv(f"{stage}-header")
+    parts = [_part_files(spark, f"{stage}-header"), _part_files(spark, stage)]
+    joined = f"{stage}-joined"
+    join_files(spark, [p for group in parts for p in group], joined)
+    fs, hstage, jvm = _fs(spark, stage)
+    publish(spark, joined, path)
+    for leftover in (stage, f"{stage}-header"):
+        fs.delete(jvm.org.apache.hadoop.fs.Path(leftover), True)
+    return path
+
+
+def _part_files(spark: SparkSession, folder: str) -> list[str]:
+    """The part files of a written folder in the order of their tasks."""
+    fs, hfolder, _ = _fs(spark, folder)
+    found = [st.getPath() for st in fs.listStatus(hfolder) if st.getLen() > 0]
+    return [p.toString() for p in sorted(found, key=lambda p: p.getName()) if p.getName().startswith("part-")]
+
+
+def join_files(spark: SparkSession, parts: Sequence[str], target: str) -> None:
+    """One file with the bytes of ``parts`` in order."""
+    fs, htarget, jvm = _fs(spark, target)
+    path = jvm.org.apache.hadoop.fs.Path
+    out = fs.create(htarget, True)
+    if fs.getScheme() == "hdfs":
+        out.close()
+        paths = spark.sparkContext._gateway.new_array(path, len(parts))
+        for i, part in enumerate(parts):
+            paths[i] = path(part)
+        fs.concat(htarget, paths)
+        return
+    try:
+        for part in parts:
+            source = fs.open(path(part))
+            try:
+                jvm.org.apache.hadoop.io.IOUtils.copyBytes(source, out, 1 << 20, False)
+            finally:
+                source.close()
+    finally:
+        out.close()
+
+
 def export_tsv(df: DataFrame, path: str, **kwargs) -> str:
     """Tab-separated text (the current page, typically)."""
     return export_csv(df, path, sep="\t", **kwargs)
@@ -153,33 +199,103 @@ def export_tsv(df: DataFrame, path: str, **kwargs) -> str:
 # --- Parquet -----------------------------------------------------------------
 
 def export_parquet(df: DataFrame, path: str, types: Mapping[str, str] | None = None,
-                   compression: str = "snappy", partition_by: Sequence[str] | None = None) -> str:
-    """Lenient typing (T2), Parquet, publish. Nulls stay null."""
+                   compression: str = "snappy", partition_by: Sequence[str] | None = None, versioned: bool = False,
+                   bloom_columns: Mapping[str, int] | Sequence[str] = (), allowed=lambda: None) -> str:
+    """Lenient typing (T2), Parquet, publish. Nulls stay null.
+    ``versioned`` publishes a version; ``allowed`` is called before the
+    publish and may raise. ``bloom_columns`` (with the number of different
+    values that a row group may hold, if known) get Bloom filters, so that an
+    equality filter (F4-F7, F14) for a value that a row group does not hold
+    skips it even where the value lies between its bounds."""
     out = cast_lenient(df, types or {})
+    options = {"compression": compression} | bloom_options(bloom_columns)
+    _publish_parquet(out, path, options, partition_by, versioned, allowed)
+    return path
+
+
+def bloom_options(columns: Mapping[str, int] | Sequence[str]) -> dict[str, str]:
+    """Write options for Bloom filters; without a number of values the filter's
+    size is chosen from what the row group holds."""
+    options = {}
+    for name in columns:
+        options[f"parquet.bloom.filter.enabled#{name}"] = "true"
+        if isinstance(columns, Mapping):
+            options[f"parquet.bloom.filter.expected.ndv#{name}"] = str(columns[name])
+        else:
+            options[f"parquet.bloom.filter.adaptive.enabled#{name}"] = "true"
+    return options
+
+
+def export_parquet_checked(df: DataFrame, path: str, rejects_path: str, types: Mapping[str, str],
+                           versioned: bool = False) -> tuple[int, int]:
+    """W3 with T2's losses kept: rows whose values all fit their types go to
+    ``path``, typed; rows with a value that does not go to ``rejects_path`` as
+    they came, with ``problems`` (column and value each). Every row is in one
+    of the two. The source is read once, into a working copy that both are
+    written from. Returns (rows, rejected rows)."""
+    spark = df.sparkSession
+    clash = {REJECT_RAW, REJECT_PROBLEMS, "problems"} & set(df.columns)
+    if clash:
+        raise ValueError(f"columns named like those of the rejects: {sorted(clash)}")
+    problems = lenient_problems(df, types)
+    raw = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    marked = df.select(*[F.col(f"`{c}`") for c in df.columns], problems.alias(REJECT_PROBLEMS),
+                       F.when(F.size(problems) > 0, raw).alias(REJECT_RAW))
+    copy = scratch_path(spark, "checked")
+    cast_lenient(marked, types).write.parquet(copy)
+    both = spark.read.parquet(copy)
+    good = both.where(F.col(REJECT_RAW).isNull()).select(*[F.col(f"`{c}`") for c in df.columns])
+    bad = both.where(F.col(REJECT_RAW).isNotNull()).select(f"{REJECT_RAW}.*", F.col(REJECT_PROBLEMS).alias("problems"))
+    counts = []
+    for rows, target in ((bad, rejects_path), (good, path)):  # the rejects first: good rows alone would look complete
+        counts.append(write_counted(rows, lambda d, t=target: _publish_parquet(d, t, {}, None, versioned)))
+    fs, hcopy, _ = _fs(spark, copy)
+    fs.delete(hcopy, True)
+    return counts[1], counts[0]
+
+
+def _publish_parquet(out: DataFrame, path: str, options: Mapping[str, str], partition_by: Sequence[str] | None,
+                     versioned: bool, allowed=lambda: None) -> None:
+    spark = out.sparkSession
+    if versioned or V.is_versioned(spark, path):
+        refuse_plain(spark, path)
+        V.publish_version(out, path, partition_by=partition_by, options=options, allowed=allowed)
+        return
     stage = staging_path(path)
-    writer = out.write.mode("overwrite").option("compression", compression)
+    writer = out.write.mode("overwrite").options(**options)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(stage)
-    return publish(df.sparkSession, stage, path)
+    allowed()
+    publish(spark, stage, path)
+
+
+def refuse_plain(spark: SparkSession, path: str) -> None:
+    """Versions and plain files never share a folder."""
+    if not V.is_versioned(spark, path) and path_exists(spark, path):
+        raise ValueError(f"{path} is a plain dataset; versions need a path of their own")
 
 
 def export_parquet_newest(df: DataFrame, path: str, keys: Sequence[str],
                           types: Mapping[str, str] | None = None, partitions: int | None = None,
-                          compression: str = "snappy") -> str:
+                          compression: str = "snappy", versioned: bool = False) -> str:
     """Parquet whose files and rows run newest-first: a range
     partitioning on the descending key (sampled bounds, no single-task sort)
-    and a sort inside each partition. The number of files follows the bytes
-    that the plan expects; a hash of the row after the keys lets one very
-    common key value spread over several files."""
-    out = cast_lenient(df, types or {})
+    and a sort inside each partition. Without ``partitions`` the exchange has
+    the session's number, and adaptive execution joins neighbouring ranges by
+    the bytes that were really shuffled; a hash of the row after the keys lets
+    one very common key value spread over several files."""
+    out = newest_ranges(cast_lenient(df, types or {}), keys, partitions)
+    _publish_parquet(out, path, {"compression": compression}, None, versioned)
+    return path
+
+
+def newest_ranges(df: DataFrame, keys: Sequence[str], partitions: int | None = None) -> DataFrame:
+    """``df`` in ranges of the descending key, sorted inside each."""
     order = [F.col(k).desc_nulls_last() for k in keys]
-    order.append(F.xxhash64(*[F.col(c) for c in out.columns]).asc())
-    n = partitions or max(1, -(-planned_bytes(out) // FILE_BYTES))
-    out = out.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    stage = staging_path(path)
-    out.write.mode("overwrite").option("compression", compression).parquet(stage)
-    return publish(df.sparkSession, stage, path)
+    order.append(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).asc())
+    ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
+    return ranged.sortWithinPartitions(*order)
 
 
 # --- tables ------------------------------------------------------------------
@@ -187,18 +303,20 @@ def export_parquet_newest(df: DataFrame, path: str, keys: Sequence[str],
 def under_header(df: DataFrame, path: str) -> DataFrame:
     """``df`` with the columns and types of the table at ``path``; a frame
     that lacks a column, or brings one the table does not have, is refused."""
-    header = df.sparkSession.read.parquet(path).schema
-    missing = [f.name for f in header.fields if f.name not in df.columns]
-    unknown = [c for c in df.columns if c not in header.names]
-    if missing or unknown:
-        raise ValueError(f"columns do not fit the table: missing {missing}, unknown {unknown}")
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in header.fields])
+    return V.fitted(df, df.sparkSession.read.parquet(path).schema)
 
 
-def append_table(df: DataFrame, path: str, partition_by: Sequence[str] | None = None) -> str:
+def append_table(df: DataFrame, path: str, partition_by: Sequence[str] | None = None, txn: str | None = None) -> str:
     """Append to a Parquet table under its header; created with the
-    frame's schema when new."""
-    if path_exists(df.sparkSession, path):
+    frame's schema when new. With ``txn``, the id of this append (a run and
+    job, say), the table is a versioned one and an append may be repeated:
+    what a failed attempt left is ignored, and one that is done is not done
+    again."""
+    spark = df.sparkSession
+    if txn is not None or V.is_versioned(spark, path):
+        commit_table(df, path, PASTE_APPEND, txn, partition_by)
+        return path
+    if path_exists(spark, path):
         df = under_header(df, path)
     writer = df.write.mode("append")
     if partition_by:
@@ -207,18 +325,38 @@ def append_table(df: DataFrame, path: str, partition_by: Sequence[str] | None =
     return path
 
 
-def replace_table(df: DataFrame, path: str, mode: str = PASTE_REPLACE) -> str:
+def replace_table(df: DataFrame, path: str, mode: str = PASTE_REPLACE, versioned: bool = False, allowed=lambda: None) -> str:
     """Replace a table's data, keeping its columns. Paste modes other
     than replace/append are refused (the reference silently wrote nothing)."""
+    check_mode(mode)
+    spark = df.sparkSession
+    if versioned or V.is_versioned(spark, path):
+        commit_table(df, path, mode, allowed=allowed)
+        return path
     if mode in (PASTE_APPEND, "append"):
         return append_table(df, path)
-    if mode not in (PASTE_REPLACE, "overwrite"):
+    out = under_header(df, path) if path_exists(spark, path) else df
+    _publish_parquet(out, path, {}, None, False, allowed)
+    return path
+
+
+def check_mode(mode: str) -> None:
+    if mode not in (PASTE_APPEND, "append", PASTE_REPLACE, "overwrite"):
         raise ValueError(f"unknown paste mode: {mode!r}")
+
+
+def commit_table(df: DataFrame, path: str, mode: str = PASTE_REPLACE, txn: str | None = None,
+                 partition_by: Sequence[str] | None = None, allowed=lambda: None) -> int:
+    """W6 and W7 on a versioned table: append or replace under its columns, as
+    one commit; the rows of the commit (of the earlier one, if ``txn`` is done)."""
+    check_mode(mode)
     spark = df.sparkSession
-    out = under_header(df, path) if path_exists(spark, path) else df
-    stage = staging_path(path)
-    out.write.mode("overwrite").parquet(stage)
-    return publish(spark, stage, path)
+    refuse_plain(spark, path)
+    if mode in (PASTE_APPEND, "append"):
+        return V.append_version(df, path, txn=txn, partition_by=partition_by, allowed=allowed)["rows"]
+    header = V.version_schema(spark, path)
+    out = df if header is None else V.fitted(df, header)
+    return V.publish_version(out, path, txn=txn, partition_by=partition_by, allowed=allowed)["rows"]
 
 
 def load_csv_to_table(spark: SparkSession, mapping: Mapping[str, str], encoding: str = CP932,
@@ -234,14 +372,6 @@ def load_csv_to_table(spark: SparkSession, mapping: Mapping[str, str], encoding:
 
 # --- audit -------------------------------------------------------------------
 
-def write_counted(df: DataFrame, write) -> int:
-    """Run ``write(frame)`` and return the rows written, counted on the way
-    through the write (an Observation), not by a second scan."""
-    obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
-    write(df.observe(obs, F.count(F.lit(1)).alias("rows")))
-    return int(obs.get.get("rows", 0))
-
-
 def audit_row(display_name: str, sheet: str, main_table: str, category: str, target: str, row_count: int | None,
               ok: bool, error: str = "", logged_at: dt.datetime | None = None, spare: str = "",
               started_at: dt.datetime | None = None) -> tuple:

@@ -47,7 +47,8 @@ class DatasetSpec:
 @dataclass(frozen=True)
 class JobSpec:
     """One manifest row (the reference's fields, typed). ``filename_format`` is
-    an output name pattern; ``encoding`` is a CSV output's."""
+    an output name pattern; ``encoding`` is a CSV output's; ``timeout_s`` is
+    this job's deadline in seconds (blank: the run's)."""
 
     sql_name: str
     output_name: str
@@ -66,3 +67,4 @@ class JobSpec:
     filename_format: str = ""
     encoding: str = "windows-31j"
     enabled: str = "TRUE"
+    timeout_s: str = ""

@@ -161,3 +161,108 @@ def test_modes_choose_table_and_flag(spark):
     assert (names("production"), names("test"), names("raw")) == (["a"], ["b"], ["c"])
     with pytest.raises(ValueError):
         names("other")
+
+
+def slow_frame(spark, ms=500):
+    wait = F.expr(f"java_method('java.lang.Thread', 'sleep', {ms}L) is null or id >= 0")
+    return spark.range(0, 2000, 1, 4).where(wait)
+
+
+def test_a_slow_job_ends_at_its_deadline_and_the_next_one_runs(spark):
+    import time
+    from quarry.spec import DatasetSpec
+    specs = {"slow": DatasetSpec("slow", slow_frame), "quick": DatasetSpec("quick", lambda s: s.range(3))}
+    for target, more in (("parquet", {}), ("CSV", {}), ("スプシ", {"paste_mode": "全張替え", "sheet_name": "sheet"})):
+        root = scratch_path(spark, "jobs")
+        jobs = [JobSpec("slow", "slow", target=target, display_name="slow", timeout_s="1.5", **more),
+                JobSpec("quick", "quick", display_name="quick")]
+        began = time.time()
+        out = J.run_manifest(spark, jobs, specs, dt.date(2024, 2, 1), f"{root}/o", f"{root}/a", "r", retries=3, timeout_s=300)
+        rows = {r.display_name: r for r in out.collect()}
+        assert time.time() - began < 60
+        assert rows["slow"].result == "失敗" and rows["slow"].error == "JobTimeout: not done after 1.5 seconds"
+        assert rows["quick"].result == "成功" and rows["quick"].row_count == 3
+        names = [p for p in __import__("os").listdir(f"{root}/o".removeprefix("file:")) if not p.startswith((".", "_"))]
+        assert names == ["quick.parquet"] or all("staging" in n or n == "quick.parquet" for n in names)
+
+
+def test_deadlines_of_jobs_that_run_at_once(spark):
+    from quarry.spec import DatasetSpec
+    specs = {"slow": DatasetSpec("slow", slow_frame), "quick": DatasetSpec("quick", lambda s: s.range(3))}
+    root = scratch_path(spark, "jobs")
+    # the quick job waits for the slow ones' task slots
+    jobs = [JobSpec("slow", f"slow{i}", display_name=f"slow{i}") for i in range(2)] + [JobSpec("quick", "quick", display_name="quick", timeout_s="100")]
+    out = J.run_manifest(spark, jobs, specs, dt.date(2024, 2, 1), f"{root}/o", f"{root}/a", "r", parallelism=3, timeout_s=2)
+    assert {r.display_name: r.result for r in out.collect()} == {"slow0": "失敗", "slow1": "失敗", "quick": "成功"}
+    assert spark.range(5).count() == 5  # the session goes on
+
+
+def test_a_run_is_stopped(spark):
+    import threading
+    from quarry.spec import DatasetSpec
+    stop = threading.Event()
+    specs = {"slow": DatasetSpec("slow", slow_frame), "quick": DatasetSpec("quick", lambda s: s.range(3))}
+    root = scratch_path(spark, "jobs")
+    threading.Timer(1.5, stop.set).start()
+    out = J.run_manifest(spark, [JobSpec("slow", "slow"), JobSpec("quick", "quick")], specs, dt.date(2024, 2, 1), f"{root}/o",
+                         f"{root}/a", "r", stop=stop)
+    assert {r.error for r in out.collect()} == {"JobStopped: the run was stopped"}
+
+
+def test_timeouts_are_checked(spark):
+    import pytest
+    specs = dataset_specs(SF)
+    run = lambda job, **kw: J.run_manifest(spark, [job], specs, dt.date(2024, 2, 1), "/nowhere/o", "/nowhere/a", "r", **kw)
+    for bad in ("0", "0.5", "soon", "nan"):
+        with pytest.raises(ValueError, match="timeout"):
+            run(JobSpec("customer_master", "c", timeout_s=bad))
+    with pytest.raises(ValueError, match="timeout"):
+        run(JobSpec("customer_master", "c"), timeout_s=0)
+    m = spark.createDataFrame([("a", "o", "CSV", "", "30"), ("b", "o", "CSV", "", "0"), ("c", "o", "CSV", "", "x"), ("d", "o", "CSV", "", None)],
+                              "sql_name string, output_name string, target string, sheet_name string, timeout_s string")
+    assert sorted(tuple(r) for r in J.validate_jobs(m).collect()) == [("b", J.SHORT_TIMEOUT), ("c", J.SHORT_TIMEOUT)]
+
+
+def test_an_append_beside_a_replace_is_refused(spark):
+    import pytest
+    sheet = {"target": "スプシ", "sheet_name": "t"}
+    append, replace = {"paste_mode": "最終行積立て", **sheet}, {"paste_mode": "全張替え", **sheet}
+    for first, second in ((append, replace), (replace, append), (replace, replace)):
+        jobs = [JobSpec("customer_master", "a", **first), JobSpec("orders_live", "b", **second)]
+        with pytest.raises(ValueError, match="two jobs write"):
+            J.run_manifest(spark, jobs, dataset_specs(SF), dt.date(2024, 2, 1), "/nowhere/o", "/nowhere/a", "r")
+
+
+def test_appends_share_a_table(spark):
+    from quarry.spec import DatasetSpec
+    specs = {"q": DatasetSpec("q", lambda s: s.range(5))}
+    root = scratch_path(spark, "jobs")
+    jobs = [JobSpec("q", "q", target="スプシ", paste_mode="最終行積立て", sheet_name="t")] * 3
+    out = J.run_manifest(spark, jobs, specs, dt.date(2024, 2, 1), f"{root}/o", f"{root}/a", "r", parallelism=3)
+    assert [r.result for r in out.collect()] == ["成功"] * 3
+    assert spark.read.parquet(f"{root}/o/t").count() == 15
+
+
+def test_committed_runs_may_be_run_again(spark):
+    """An append that fails half-way is retried; the whole run, run again under
+    its id, changes nothing; under another id it appends again."""
+    from quarry.sinks.versions import read_dataset
+    from quarry.spec import DatasetSpec
+    calls = []
+
+    def flaky(s):
+        calls.append(1)
+        bad = F.when((F.col("id") == 39) & F.lit(len(calls) == 1), F.raise_error(F.lit("lost")).cast("long")).otherwise(F.col("id"))
+        return s.range(0, 40, 1, 4).select(bad.alias("id"))
+
+    specs = {"q": DatasetSpec("q", flaky), "p": DatasetSpec("p", lambda s: s.range(7))}
+    root = scratch_path(spark, "jobs")
+    jobs = [JobSpec("q", "q", target="スプシ", paste_mode="最終行積立て", sheet_name="t", display_name="q"),
+            JobSpec("p", "p", display_name="p"), JobSpec("p", "s", target="スプシ", paste_mode="全張替え", sheet_name="s", display_name="s")]
+    run = lambda run_id: {r.display_name: (r.result, r.row_count) for r in J.run_manifest(
+        spark, jobs, specs, dt.date(2024, 2, 1), f"{root}/o", f"{root}/a", run_id, retries=1, committed=True).collect()}
+    want = {"q": ("成功", 40), "p": ("成功", 7), "s": ("成功", 7)}
+    assert run("r1") == want and len(calls) == 2
+    assert run("r1") == want and read_dataset(spark, f"{root}/o/t").count() == 40
+    assert run("r2") == want and read_dataset(spark, f"{root}/o/t").count() == 80
+    assert read_dataset(spark, f"{root}/o/p.parquet").count() == 7 and read_dataset(spark, f"{root}/o/s").count() == 7

@@ -3,6 +3,7 @@ import glob
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 
 from quarry.session import scratch_path
@@ -167,3 +168,114 @@ def test_skip_empty_export(spark):
     assert W.export_csv(spark.range(0), target, skip_empty=True) is None
     assert not os.path.exists(local(target)) and not glob.glob(local(target) + ".staging-*")
     assert W.export_csv(spark.range(2), target, skip_empty=True) == target
+
+
+def test_newest_first_follows_shuffled_bytes_not_the_plan(spark):
+    """A join whose estimated size is beyond any number of partitions."""
+    o = spark.read.parquet("/root/testdata/sf0.01/orders.parquet")
+    li = spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet")
+    p = spark.read.parquet("/root/testdata/sf0.01/part.parquet")
+    joined = o.join(li, F.col("o_orderkey") == F.col("l_orderkey")).join(p, F.col("l_partkey") == F.col("p_partkey"))
+    path = W.export_parquet_newest(joined, scratch_path(spark, "joined"), ["o_orderkey", "l_linenumber"])
+    files = glob.glob(os.path.join(local(path), "part-*.parquet"))
+    assert 1 <= len(files) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert spark.read.parquet(path).count() == li.count()
+
+
+def test_single_file_keeps_the_upstream_parallel(spark):
+    df = spark.range(0, 1000, 1, 6).where(F.col("id") >= 0)
+    path = W.export_csv(df, scratch_path(spark, "one.csv"), single_file=True)
+    assert len(glob.glob(os.path.join(local(path), "part-*.csv"))) == 1
+    assert scan_csv(spark, path, schema="id long").count() == 1000
+
+
+@pytest.mark.parametrize("encoding", ["UTF-8", CP932])
+def test_merged_csv_is_one_file_with_one_header(spark, encoding):
+    texts = ["a,b", 'say "hi"', "two\nlines", "日本語", "", None]
+    df = spark.createDataFrame([(i, texts[i % 6]) for i in range(300)], "`番号` long, s string").repartition(7)
+    path = W.export_csv_merged(df, scratch_path(spark, "all.csv"), keys=["番号"], encoding=encoding)
+    assert os.path.isfile(local(path)) and [n for n in os.listdir(os.path.dirname(local(path))) if not n.endswith(".crc")] == ["all.csv"]
+    import csv
+    import io
+    rows = list(csv.reader(io.StringIO(open(local(path), "rb").read().decode("cp932" if encoding == CP932 else "utf-8"), newline="")))
+    assert rows[0] == ["番号", "s"] and len(rows) == 301
+    assert [(int(a), b) for a, b in rows[1:]] == [(i, texts[i % 6] or "") for i in reversed(range(300))]
+
+
+def test_merged_csv_keeps_parallel_tasks(spark):
+    df = spark.range(0, 4000, 1, 8)
+    path = W.export_csv_merged(df, scratch_path(spark, "all.csv"), bom=True)
+    raw = open(local(path), "rb").read()
+    assert raw.startswith(b"\xef\xbb\xbfid\n0\n1\n") and raw.count(b"\n") == 4001 and raw.count(b"id") == 1
+    empty = W.export_csv_merged(spark.range(0), scratch_path(spark, "none.csv"))
+    assert open(local(empty)).read() == "id\n"
+
+
+def test_bloom_filters_skip_row_groups(spark):
+    from tests.test_order_index import rows_read
+    df = spark.range(0, 60_000, 2).select("id", F.sha1(F.col("id").cast("string")).alias("key"), (F.col("id") * 1_000_003 % 999_983).alias("n"))
+    plain = W.export_parquet(df.coalesce(1), scratch_path(spark, "plain"))
+    bloom = W.export_parquet(df.coalesce(1), scratch_path(spark, "bloom"), bloom_columns={"key": 40_000, "id": 40_000})
+    known = df.where("id = 4242").first()
+    missing = {"key": "8" * 40, "id": 4243}  # inside the bounds, not in the data
+    for column in ("key", "id"):
+        for value, n in ((known[column], 1), (missing[column], 0)):
+            from quarry.functions.filters import apply_filters
+            read = {}
+            for name, path in (("plain", plain), ("bloom", bloom)):
+                found = apply_filters(spark.read.parquet(path), [FilterSpec(column, "equals", value)])
+                assert len(found.collect()) == n
+                read[name] = rows_read(found)
+            assert (read["bloom"] == 0) == (n == 0), (column, value, read)
+    assert rows_read_of_missing(spark, plain, missing["key"]) > 0
+
+
+def rows_read_of_missing(spark, path, key):
+    from tests.test_order_index import rows_read
+    found = spark.read.parquet(path).where(F.col("key") == key)
+    assert found.collect() == []
+    return rows_read(found)
+
+
+def test_rejects_and_rows_add_up(spark):
+    rows = [(1, "5", "2024-01-02"), (2, "x", "2024-01-02"), (3, None, "soon"), (4, "", None), (5, "y", "never"), (5, "y", "never")]
+    df = spark.createDataFrame(rows, "id long, n string, d string")
+    good, bad = scratch_path(spark, "good"), scratch_path(spark, "bad")
+    assert W.export_parquet_checked(df, good, bad, {"n": "int", "d": "date", "absent": "int"}) == (2, 4)
+    import datetime
+    assert sorted(map(tuple, spark.read.parquet(good).collect())) == [(1, 5, datetime.date(2024, 1, 2)), (4, None, None)]
+    out = spark.read.parquet(bad)
+    assert out.columns == ["id", "n", "d", "problems"]
+    got = sorted((r.id, r.n, r.d, tuple((p["column"], p["value"]) for p in r.problems)) for r in out.collect())
+    assert got == [(2, "x", "2024-01-02", (("n", "x"),)), (3, None, "soon", (("d", "soon"),))] + \
+        [(5, "y", "never", (("n", "y"), ("d", "never")))] * 2
+    assert W.export_parquet_checked(df.limit(0), good, bad, {"n": "int"}) == (0, 0)
+    with pytest.raises(ValueError):
+        W.export_parquet_checked(df.withColumn("problems", F.lit(1)), good, bad, {})
+
+
+def test_chunks_are_bounded(spark):
+    df = spark.range(0, 5000, 1, 2)
+    path = W.export_csv_chunked(df, scratch_path(spark, "c.csv"), chunk_rows=700)
+    sizes = sorted(sum(1 for _ in open(f)) - 1 for f in glob.glob(os.path.join(local(path), "part-*.csv")))
+    assert sum(sizes) == 5000 and max(sizes) == 700 and len(sizes) == 8
+
+
+def test_csv_splits_unless_quoted_line_ends(spark):
+    from quarry.sources import files as A
+    plain = scratch_path(spark, "plain.csv")
+    odd = scratch_path(spark, "odd.csv")
+    big = "x" * 200
+    spark.range(0, 20_000, 1, 1).select("id", F.lit(f'"{big}"').alias("s")).coalesce(1).write.option("header", True).option("escape", '"').csv(plain)
+    spark.range(0, 20_000, 1, 1).select("id", F.when(F.col("id") == 777, "two\nlines").otherwise(big).alias("s")).coalesce(1) \
+        .write.option("header", True).csv(odd)
+    assert not A.has_quoted_line_ends(spark, plain) and A.has_quoted_line_ends(spark, odd)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "500k")
+    try:
+        assert scan_csv(spark, plain, schema="id long, s string").rdd.getNumPartitions() > 4
+        assert scan_csv(spark, odd, schema="id long, s string").rdd.getNumPartitions() == 1
+        assert {r.s for r in scan_csv(spark, odd, schema="id long, s string").where("id = 777").collect()} == {"two\nlines"}
+        assert scan_csv(spark, plain, schema="id long, s string").agg(F.sum("id")).first()[0] == 19_999 * 10_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)

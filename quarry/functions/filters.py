@@ -19,7 +19,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from quarry.functions.casting import float_text, parse_datetime
+from quarry.functions.casting import float_text, integer_or_null, number_or_null, parse_datetime
 from quarry.functions.literals import (
     FRACTIONAL, INTEGRAL, day_start, parse_day, parse_timestamp, round_trips,
     to_python, typed_lit,
@@ -125,8 +125,10 @@ def substring(c: str | Column, value: str | None, case_sensitive: bool = True,
 
 # --- F4-F7, F14: equality and membership ----------------------------------
 
-def int_equals(c: str | Column, value: Any) -> Column | None:
-    """equality with an integer; a non-integer value skips the filter."""
+def int_equals(c: str | Column, value: Any, dtype: T.DataType | None = None) -> Column | None:
+    """equality with an integer; a non-integer value skips the filter. On
+    a text column the rows match whose text is that whole number; other text
+    never does, and never stops the job."""
     if _empty(value):
         return None
     try:
@@ -134,13 +136,17 @@ def int_equals(c: str | Column, value: Any) -> Column | None:
     except ValueError:
         LOG.warning("not an integer, filter skipped: %r", value)
         return None
+    if isinstance(dtype, T.StringType):
+        return integer_or_null(_col(c)) == F.lit(number)
     return _col(c) == F.lit(number)
 
 
 def numeric_equals(c: str | Column, value: Any, dtype: T.DataType | None = None) -> Column | None:
     """equality with a number, exact and pushed to the scan: the literal
     has the column's type. On an integer column a fraction, or a value outside
-    the type's range, matches nothing; a bad value skips the filter."""
+    the type's range, matches nothing; on a float column the number is rounded
+    to a float as the column's values were; on a text column the rows match
+    whose text is that number. A bad value skips the filter."""
     if _empty(value):
         return None
     text = str(value).strip()
@@ -155,6 +161,10 @@ def numeric_equals(c: str | Column, value: Any, dtype: T.DataType | None = None)
         return _col(c) == F.lit(int(number)).cast(dtype) if fits else F.lit(False)
     if isinstance(dtype, T.DecimalType) and number.is_finite():
         return _col(c) == F.lit(number)
+    if isinstance(dtype, T.FloatType):
+        return _col(c) == F.lit(float(text)).cast("float")
+    if isinstance(dtype, T.StringType):
+        return number_or_null(_col(c)) == F.lit(float(text))
     return _col(c) == F.lit(float(text))
 
 
@@ -302,7 +312,7 @@ def predicate_for(spec: FilterSpec, dtype: T.DataType) -> Column | None:
     if kind == "like":
         return substring(c, v, spec.case_sensitive, wildcards=True)
     if kind == "int":
-        return int_equals(c, v)
+        return int_equals(c, v, dtype)
     if kind == "number":
         return numeric_equals(c, v, dtype)
     if kind == "equals":

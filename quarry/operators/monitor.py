@@ -145,10 +145,10 @@ def freshness_band(age_hours: Column) -> Column:
 
 
 def file_freshness(df: DataFrame, as_of: dt.datetime) -> DataFrame:
-    """M1 on stored files: newest modification time per file-backed frame,
-    from the ``_metadata`` columns (no data columns read)."""
-    latest = df.select(F.col("_metadata.file_modification_time").alias("m")) \
-        .agg(F.max("m").cast("timestamp_ntz").alias("last_modified"))
+    """M1 on stored files: newest modification time of a file-backed frame's
+    files, one row per file from the file listing; no content is read."""
+    files = df.sparkSession.read.format("binaryFile").load(df.inputFiles())
+    latest = files.agg(F.max("modificationTime").cast("timestamp_ntz").alias("last_modified"))
     age = hours_between(_ts_literal(as_of), F.col("last_modified"))
     return latest.select("last_modified", age.alias("age_hours"), freshness_band(age).alias("freshness"))
 

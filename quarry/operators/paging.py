@@ -30,7 +30,7 @@ def verify_order_key(df: DataFrame, keys: Sequence[str] | str) -> None:
     """Raise unless the key tells all rows apart (nulls count as equal): one
     aggregate over the key columns, to run once per dataset, not per page."""
     names = _keys(keys)
-    repeated = df.groupBy(*names).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    repeated = df.groupBy(*names).agg(F.count(F.lit(1)).alias("quarry_n")).where("quarry_n > 1")
     if not repeated.isEmpty():
         raise ValueError(f"order key {names} has ties; add a unique column to it")
 
@@ -54,6 +54,8 @@ def page_after(df: DataFrame, keys: Sequence[str] | str, last_seen: Sequence[Any
     values of the previous page's last row), by a lexicographic filter. Nulls
     come last, so a null key follows every value and nothing follows a null."""
     names = _keys(keys)
+    if len(last_seen) != len(names):
+        raise ValueError(f"{len(names)} order keys need as many values, not {len(last_seen)}")
     dtypes = {f.name: f.dataType for f in df.schema.fields}
     same: list[Column] = []
     conds: list[Column] = []

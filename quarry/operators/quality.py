@@ -13,7 +13,9 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from quarry.functions.casting import blank_to_null, number_or_null, parse_datetime
+from quarry.functions.filters import from_form
 from quarry.functions.literals import FRACTIONAL, INTEGRAL
+from quarry.spec import FilterSpec
 
 NUMERIC = INTEGRAL + FRACTIONAL
 
@@ -35,6 +37,11 @@ DATE_NAME_HINTS = ("日付", "日時")
 CHOICE_NAME_HINTS = ("フラグ",)
 CHOICE_NAME_SUFFIX = "可"
 
+# Columns of a filter-definition sheet and its mark.
+DEF_ITEM, DEF_TABLE, DEF_DATA, DEF_INPUT, DEF_OPTIONS, DEF_ON = "DB項目", "TABLE_NAME", "DATA_ITEM", "入力方式", "選択項目", "絞込"
+DEF_MARK = "TRUE"
+DUPLICATE_HEADER = "ヘッダ行に重複する項目があります。"
+
 REPORT_SCHEMA = "rule string, column string, expected string, actual string, passed boolean"
 
 
@@ -226,3 +233,45 @@ def field_kinds(df: DataFrame, flagged: Sequence[str] | None = None) -> list[tup
         else:
             kinds.append((name, "text"))
     return kinds
+
+
+def filter_definitions(sheet: DataFrame) -> DataFrame:
+    """Q8 from its table: (db_item, table_name, data_item, input_type,
+    options) of the rows marked for filtering. ``options`` lists (code, label):
+    a line each, the code up to the first blank; a line without a blank is its
+    own label. Missing columns count as blank. Headers that repeat, apart
+    from case and edge blanks, are refused."""
+    clean = [c.strip().lower() for c in sheet.columns]
+    if len(clean) != len(set(clean)):
+        raise ValueError(DUPLICATE_HEADER)
+    named = dict(zip(clean, sheet.columns))
+
+    def cell(name: str) -> Column:
+        source = named.get(name.lower())
+        return F.lit("") if source is None else F.trim(F.coalesce(F.col(f"`{source}`").cast("string"), F.lit("")))
+
+    lines = F.filter(F.split(cell(DEF_OPTIONS), "\r?\n"), lambda x: F.trim(x) != "")
+    options = F.transform(lines, lambda x: F.struct(
+        F.substring_index(F.trim(x), " ", 1).alias("code"),
+        F.when(F.trim(x).contains(" "), F.trim(F.substr(F.trim(x), F.instr(F.trim(x), " ") + 1))).otherwise(F.trim(x)).alias("label")))
+    return sheet.where(F.upper(cell(DEF_ON)) == DEF_MARK).select(
+        cell(DEF_ITEM).alias("db_item"), cell(DEF_TABLE).alias("table_name"), cell(DEF_DATA).alias("data_item"),
+        cell(DEF_INPUT).alias("input_type"), options.alias("options"))
+
+
+def defined_filters(definitions: DataFrame, dtypes: Mapping[str, T.DataType], values: Mapping[str, Any]) -> list[FilterSpec]:
+    """The filters that a form built from ``definitions`` (a row per input
+    field) stands for, with the user's ``values`` by item. A choice may be
+    named by its label or by its code; codes are what the data hold."""
+    specs = []
+    for row in definitions.collect():
+        item, value = row["db_item"], values.get(row["db_item"])
+        if item not in dtypes or value in (None, ""):
+            continue
+        code = {o["label"]: o["code"] for o in row["options"]}
+        if isinstance(value, (list, tuple, set)):
+            value = [code.get(v, v) for v in value]
+        elif isinstance(value, str):
+            value = code.get(value, value)
+        specs.append(from_form(item, row["input_type"], value, dtypes[item]))
+    return specs

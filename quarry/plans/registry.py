@@ -831,7 +831,7 @@ def export_csv_documents(spark, sf):
 @register("export_csv_chunked", "SELECT * FROM lineitem")
 def export_csv_chunked(spark, sf):
     li = table(spark, sf, "lineitem")
-    path = W.export_csv_chunked(li, scratch_path(spark, "lineitem.csv"))
+    path = W.export_csv_chunked(li, scratch_path(spark, "lineitem.csv"), chunk_rows=2000)
     return read_back_csv(spark, path, li.schema)
 
 
@@ -1271,3 +1271,6 @@ UNION ALL SELECT 'toxic', 'int', count(toxic), count(*) - count(toxic) FROM j
 """)
 def column_profile_labels(spark, sf):
     return Q.column_profile(labeled_documents(spark, sf))
+
+
+from quarry.plans import registry_storage  # noqa: E402, F401 - its queries are registered here

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import re
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -34,3 +35,35 @@ def table_inventory(spark: SparkSession, tables: Mapping[str, DataFrame] | None
     if not parts:
         return spark.createDataFrame([], "table_name string, row_count bigint, comment string")
     return reduce(lambda a, b: a.unionByName(b), parts).orderBy("table_name")
+
+
+def catalog_inventory(spark: SparkSession, names: Sequence[str] | None = None, scan_missing: bool = True) -> DataFrame:
+    """A11 without reading data: (table_name, row_count, counted, comment) of
+    the current database's stored tables, or of ``names``. The row count is the
+    one that ``ANALYZE TABLE`` stored; a table without one is counted by a
+    scan and marked ``counted`` (left null if ``scan_missing`` is off)."""
+    comments = {t.name: t.description for t in spark.catalog.listTables() if t.tableType != "TEMPORARY"}
+    wanted = sorted(comments if names is None else names)
+    known = {name: stored_row_count(spark, name) for name in wanted}
+    schema = "table_name string, row_count bigint, counted boolean, comment string"
+    rows = [(n, known[n], False, comments.get(n)) for n in wanted if known[n] is not None or not scan_missing]
+    parts = [spark.createDataFrame(rows, schema)]
+    missing = [n for n in wanted if known[n] is None and scan_missing]
+    if missing:
+        counted = table_inventory(spark, {n: spark.table(n) for n in missing})
+        text = F.create_map(*[x for n in missing for x in (F.lit(n), F.lit(comments.get(n)).cast("string"))])
+        parts.append(counted.select("table_name", "row_count", F.lit(True).alias("counted"), text[F.col("table_name")].alias("comment")))
+    return reduce(lambda a, b: a.unionByName(b), parts).orderBy("table_name")
+
+
+def stored_row_count(spark: SparkSession, name: str) -> int | None:
+    """The row count among a table's stored statistics."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED `{name}`").where("col_name = 'Statistics'").collect()
+    found = re.search(r"(\d+) rows", rows[0]["data_type"]) if rows else None
+    return int(found[1]) if found else None
+
+
+def analyze(spark: SparkSession, names: Sequence[str]) -> None:
+    """Store the statistics of tables; Spark then also plans joins by them."""
+    for name in names:
+        spark.sql(f"ANALYZE TABLE `{name}` COMPUTE STATISTICS")

@@ -5,12 +5,16 @@ parsed log lines) are a streaming source; an event-time window with a
 watermark counts errors per hour, and state older than the watermark is
 dropped. Each micro-batch's updated windows are written under their batch
 id (an idempotent overwrite, so a retried batch is harmless); a reader takes
-the latest count per window. Checkpoints and output live in the shared
+the latest count per window. With ``once_by`` rows that repeat within the
+watermark (a log file delivered twice) count once; ``late_rows`` tells how many
+rows came after the watermark and were left out. Checkpoints and output live in the shared
 folder, so a lost executor or driver restart resumes from the last batch.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 WINDOW = "1 hour"
@@ -26,12 +30,15 @@ def hourly_error_counts(events: DataFrame, ts: str = "ts", kind: str = "event_ty
 
 
 def _count_and_write(errors: DataFrame, ts: str, out_path: str, checkpoint: str, window: str, watermark: str,
-                     available_now: bool):
+                     available_now: bool, once_by: Sequence[str] = ()):
     """Count error rows per event-time window into one folder per batch,
     which a retried batch overwrites; returns the StreamingQuery."""
     # watermarks need a session-zone timestamp, not timestamp_ntz
-    counted = errors.select(F.col(ts).cast("timestamp").alias("event_time")) \
-        .withWatermark("event_time", watermark) \
+    timed = errors.select(F.col(ts).cast("timestamp").alias("event_time"), *once_by) \
+        .withWatermark("event_time", watermark)
+    if once_by:
+        timed = timed.dropDuplicatesWithinWatermark(["event_time", *once_by])
+    counted = timed \
         .groupBy(F.window("event_time", window).alias("w")) \
         .agg(F.count(F.lit(1)).alias("n_errors")) \
         .select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), "n_errors")
@@ -64,12 +71,19 @@ def read_error_counts(spark: SparkSession, out_path: str) -> DataFrame:
 
 
 def log_error_stream(spark: SparkSession, log_dir: str, out_path: str, checkpoint: str,
-                     window: str = WINDOW, watermark: str = WATERMARK, available_now: bool = True):
+                     window: str = WINDOW, watermark: str = WATERMARK, available_now: bool = True, once: bool = False):
     """M9 over raw log files: new text files in ``log_dir`` are parsed (the
     timestamp in the first 19 characters, the error words) and error lines
-    are counted per event-time hour, as ``error_count_stream`` does."""
+    are counted per event-time hour, as ``error_count_stream`` does. With
+    ``once`` equal lines (the time is part of a line) count once."""
     from quarry.operators.monitor import parse_log
 
     lines = parse_log(spark.readStream.text(log_dir))
     errors = lines.where(F.col("is_error") & F.col("ts").isNotNull())
-    return _count_and_write(errors, "ts", out_path, checkpoint, window, watermark, available_now)
+    return _count_and_write(errors, "ts", out_path, checkpoint, window, watermark, available_now, ["line"] if once else ())
+
+
+def late_rows(query) -> int:
+    """Rows that a query's batches left out as older than the watermark, as far
+    as its progress is kept (``spark.sql.streaming.numRecentProgressUpdates``)."""
+    return sum(int(op["numRowsDroppedByWatermark"]) for p in query.recentProgress for op in p["stateOperators"])

@@ -129,3 +129,17 @@ def test_numbers_compare_exactly_and_as_seen(spark):
     assert ids("number", "v", "0.5") == [9007199254740993]
     for kind in ("text", "regex"):
         assert ids(kind, "v", "^12345678") == [9007199254740992]
+
+
+def test_number_filters_on_text_never_stop_the_job(spark):
+    rows = [(1, "7"), (2, "abc"), (3, None), (4, " 7.0 "), (5, "7.5"), (6, ""), (7, "99999999999999999999"), (8, "7e0")]
+    df = spark.createDataFrame(rows, "id int, t string")
+    pick = lambda kind, value: sorted(r.id for r in FL.apply_filters(df, [FilterSpec("t", kind, value)]).collect())
+    assert pick("int", "7") == [1, 4]
+    assert pick("number", "7") == [1, 4, 8] and pick("number", "7.5") == [5]
+
+
+def test_number_filter_on_a_float_column(spark):
+    df = spark.createDataFrame([(1, 0.1), (2, 0.2), (3, None), (4, 16777217.0)], "id int, x float")
+    pick = lambda value: [r.id for r in FL.apply_filters(df, [FilterSpec("x", "number", value)]).collect()]
+    assert pick("0.1") == [1] and pick("0.20") == [2] and pick("16777216") == [4] and pick("0.3") == []

@@ -1,3 +1,5 @@
+import pytest
+
 from quarry.operators import paging as S
 
 SF = "/root/testdata/sf0.001"
@@ -49,3 +51,10 @@ def test_order_key_with_ties_is_refused(spark):
     S.verify_order_key(df, ["k", "id"])
     with pytest.raises(ValueError):
         S.verify_order_key(df, "k")
+
+
+def test_too_few_key_values_are_refused(spark):
+    df = spark.createDataFrame([(5, 1), (5, 2), (4, 3)], "ts int, id int")
+    for bad in ([5], [5, 1, 1], []):
+        with pytest.raises(ValueError):
+            S.page_after(df, ["ts", "id"], bad, 10)

@@ -1,6 +1,9 @@
 import datetime as dt
 import os
 
+import pytest
+from pyspark.sql import functions as F
+
 from quarry.operators import quality as Q
 
 
@@ -69,3 +72,24 @@ def test_dataset_metrics_size(spark):
 def test_field_kinds(spark):
     df = spark.createDataFrame([(1, "x", "y", True)], "n long, `登録日付` string, `公開フラグ` string, ok boolean")
     assert dict(Q.field_kinds(df)) == {"n": "int", "登録日付": "date_range", "公開フラグ": "choice", "ok": "choice"}
+
+
+def test_filter_definitions(spark):
+    sheet = spark.createDataFrame(
+        [("status ", "orders", "注文", "プルダウン", "F closed\nO open now\r\n\n P ", "TRUE"), ("n", None, None, "FA", None, "true "),
+         ("off", "t", "d", "FA", "1 x", ""), ("none", "t", "d", "FA", "", None)],
+        "`DB項目` string, `Table_Name` string, ` DATA_ITEM` string, `入力方式` string, `選択項目` string, `絞込` string")
+    defs = Q.filter_definitions(sheet)
+    rows = {r.db_item: r for r in defs.collect()}
+    assert set(rows) == {"status", "n"}
+    assert [(o["code"], o["label"]) for o in rows["status"].options] == [("F", "closed"), ("O", "open now"), ("P", "P")]
+    assert rows["n"].table_name == "" and rows["n"].options == []
+    data = spark.createDataFrame([("F", 1), ("O", 2), ("P", 2)], "status string, n int")
+    types = {f.name: f.dataType for f in data.schema.fields}
+    from quarry.functions.filters import apply_filters
+    pick = lambda values: sorted(r.status for r in apply_filters(data, Q.defined_filters(defs, types, values)).collect())
+    assert pick({"status": "open now"}) == ["O"] and pick({"status": "P", "n": "2"}) == ["P"] and pick({"n": "2"}) == ["O", "P"]
+    assert pick({"status": "-", "unknown": "1", "n": ""}) == ["F", "O", "P"]
+    doubled = sheet.select("*", F.lit("").alias("db項目 "))
+    with pytest.raises(ValueError, match="重複"):
+        Q.filter_definitions(doubled)

@@ -52,3 +52,30 @@ def test_restart_from_checkpoint_and_late_data(spark):
     late = [(6, h(11), "error"), (7, h(0, 10), "error"), (8, h(10, 40), "error")]
     spark.createDataFrame(late, schema).coalesce(1).write.parquet(f"{src}/part=2")
     assert run() == {0: 2, 5: 1, 10: 2, 11: 1}
+
+
+def test_a_file_delivered_twice_counts_once_and_late_lines_are_told(spark):
+    from quarry.operators.monitor import parse_log
+    from quarry.session import scratch_path
+    from quarry.streaming.errors import late_rows, log_error_stream, read_error_counts
+
+    log_dir, root = scratch_path(spark, "logs"), scratch_path(spark, "once")
+    deliver = lambda lines: spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.mode("append").text(log_dir)
+
+    def run():
+        query = log_error_stream(spark, log_dir, f"{root}/out", f"{root}/ckpt", once=True)
+        query.awaitTermination()
+        return late_rows(query)
+
+    first = [f"2024-01-01 {h:02d}:{m:02d}:00 - ERROR - q{m}" for h in (8, 9, 10) for m in (1, 2, 30)]
+    deliver(first)
+    deliver(first)
+    assert run() == 0
+    deliver(first[3:])  # once more, in a later batch (09:01 and later lie within the watermark, 10:30 - 2 h)
+    late = [f"2024-01-01 {h:02d}:05:00 - ERROR - late {i}" for h in (1, 2) for i in range(3)]
+    deliver(["2024-01-01 10:45:00 - ERROR - new", "2024-01-01 08:59:00 - ERROR - in time", "no time ERROR", *late])
+    dropped = run()
+    counted = {r["window_start"].hour: r["n_errors"] for r in read_error_counts(spark, f"{root}/out").collect()}
+    assert counted == {8: 4, 9: 3, 10: 4} and dropped == len(late)
+    batch = parse_log(spark.read.text(log_dir)).where("is_error AND ts IS NOT NULL").select("ts", "line").distinct().count()
+    assert sum(counted.values()) + dropped == batch

@@ -2,10 +2,12 @@
 
 1. Voters. Each is a lexicon entry (a word, or a word beginning) or a pattern
    of the text; a vote says "toxic" or abstains, and an abstention is no
-   evidence. One voter says "clean" where no entry occurs. Entries come from a short
-   fixed word list and from the words and beginnings that are telling: their
-   document frequencies over all labelled training documents, counted in Spark,
-   show them significantly more than ``LEAST_LIFT`` times as often in toxic ones.
+   evidence. One voter says "clean" where no entry occurs. No word is given: entries
+   are the words and beginnings that are telling. Their document
+   frequencies over all labelled training documents, counted in Spark, show
+   them significantly more than ``LEAST_LIFT`` times as often in toxic ones.
+   Patterns are general (marks, capitals, drawn-out, masked, spaced or numbered
+   letters, repeated words).
 2. Label model. A generative model (expectation maximisation over the votes)
    estimates how often each voter fires on toxic and on clean documents. The
    given label is one more voter, whose own error rates are estimated too.
@@ -17,9 +19,13 @@
 
 Steps 2 and 3 run on the driver over a bounded sample: at most
 ``SAMPLE`` labelled training documents, chosen by a hash of the id (so the
-choice does not depend on order or partitioning). Everything that grows with the
+choice does not depend on order or partitioning). An entry that fires on fewer
+than ``LEAST_FIRES`` of them has no weight of its own there: such entries vote,
+and count, together. So both matrices are bounded by the sample. What grows with the
 corpus (counting the words of all labelled training documents, scoring every
-whole text) runs in Spark tasks; the telling entries reach the driver.
+whole text) runs in Spark tasks. The telling entries reach the driver; each
+stands in at least one of ``RAREST`` toxic documents, which bounds them by that
+many times the entries of a document.
 
 Defined cases: null and empty texts get the score of a text without words;
 a null id is never a training row; several labels of an id count as the
@@ -32,14 +38,14 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType, ArrayType
+from pyspark.sql.types import DoubleType
 
 from quarry.llm.common import crc_bucket, cut, pick, whole_text
 
@@ -50,12 +56,23 @@ PRIOR = 0.05
 STEM = (4, 5, 6, 7)  # lengths of word beginnings that may become voters
 LEAST_LIFT = 2.0
 CHANCE = 0.01  # that any entry at all is taken for telling by chance
-BROADCAST_ENTRIES = 200_000
+RAREST = 20_000
+LEAST_FIRES = 5
 BROADCAST_IDS = 2_000_000
-ABUSE = ("idiot", "moron", "stupid", "scum", "loser", "pathetic", "worthless", "trash", "clown", "disgusting")
+FLUSH = 500_000  # counters held by a task before they are handed on
 
 WORD = re.compile(r"[^\W\d_]+")
-SHOUT = re.compile(r"!!+")
+#: What a text may do whatever its language; each is a voter.
+PATTERNS = {
+    "marks": re.compile(r"[!?]{2,}"),
+    "capital words": re.compile(r"\b[A-Z]{4,}\b"),
+    "drawn-out letters": re.compile(r"([^\W\d_])\1{3,}"),
+    "masked word": re.compile(r"[^\W\d_][*#$%]+[^\W\d_]"),
+    "symbols": re.compile(r"[#$%&*@!?]{3,}"),
+    "spaced letters": re.compile(r"(?<!\w)(?:[^\W\d_] ){3,}[^\W\d_](?!\w)"),
+    "numbered letters": re.compile(r"[^\W\d_]{2}[0134579]+[^\W\d_]"),
+}
+PLAIN = len(PATTERNS) + 3  # and: words three times over, share of capitals, number of words
 
 
 def entries(words: Counter) -> set[str]:
@@ -74,37 +91,37 @@ def count_words(text: str) -> Counter:
     return Counter(WORD.findall(text.lower()))
 
 
-def features(text: str, lexicon: dict[str, int]) -> np.ndarray:
-    """Hits of each lexicon entry, then: shouting marks, share of capitals,
-    number of words."""
-    out = np.zeros(len(lexicon) + 3, np.float32)
-    words = count_words(text)
-    heads = {entry.strip()[:STEM[0]] for entry in lexicon}
+def hits(words: Counter, lexicon: dict[str, int], heads: set[str]) -> dict[int, int]:
+    """Hits by lexicon entry."""
+    out: dict[int, int] = {}
     for w, n in words.items():
         if w[:STEM[0]] not in heads:
             continue
-        i = lexicon.get(w + " ")
-        if i is not None:
-            out[i] += n
-        for k in STEM:
-            if len(w) > k:
-                i = lexicon.get(w[:k])
-                if i is not None:
-                    out[i] += n
-    letters = sum(len(w) * n for w, n in words.items())
-    out[-3] = len(SHOUT.findall(text)) if "!!" in text else 0
-    out[-2] = sum(map(str.isupper, text)) / letters if letters else 0
-    out[-1] = sum(words.values())
+        for entry in (w + " ", *(w[:k] for k in STEM if len(w) > k)):
+            i = lexicon.get(entry)
+            if i is not None:
+                out[i] = out.get(i, 0) + n
     return out
 
 
-def feature_column(lexicon: dict[str, int]) -> Callable:
-    @F.pandas_udf(ArrayType(FloatType()))
-    def vector(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in parts:
-            yield pd.Series([features(t, lexicon) for t in texts], index=texts.index, dtype=object)
+def plain_features(text: str, words: list[str]) -> list[float]:
+    """How often each pattern occurs; words three times over; the share of
+    capitals; the number of words."""
+    found = [sum(1 for _ in pattern.finditer(text)) for pattern in PATTERNS.values()]
+    found.append(sum(1 for a, b, c in zip(words, words[1:], words[2:]) if a == b == c))
+    letters = sum(map(len, words))
+    found.append(sum(map(str.isupper, text)) / letters if letters else 0.0)
+    found.append(len(words))
+    return found
+
+
+def heads_of(lexicon: dict[str, int]) -> set[str]:
+    return {entry.strip()[:STEM[0]] for entry in lexicon}
+
 
-    return vector
+def features(text: str, lexicon: dict[str, int], heads: set[str]) -> tuple[dict[int, int], list[float]]:
+    words = WORD.findall(text.lower())
+    return hits(Counter(words), lexicon, heads), plain_features(text, words)
 
 
 # --- lexicon -------------------------------------------------------------------------------------
@@ -122,9 +139,51 @@ def training_rows(docs: DataFrame, labelled: DataFrame, sample: int = SAMPLE) ->
     return docs.join(F.broadcast(cut(chosen)), "doc_id").select("doc_id", "text", "toxic")
 
 
-def mine_lexicon(toxic: DataFrame, clean: DataFrame, broadcast_entries: int = BROADCAST_ENTRIES) -> list[str]:
-    """Entries that tell toxic training documents (column text) from clean
-    ones, the fixed words first. A longer entry covered by a chosen beginning goes.
+def count_entries(rows: DataFrame) -> DataFrame:
+    """(entry, pos, contexts, neg) over labelled texts (text, toxic): how many
+    toxic and clean texts hold an entry, and how many different pairs of words
+    stand beside it where a toxic text first holds it. A task sums what it
+    reads before it hands anything on."""
+
+    def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        toxic_counts: Counter = Counter()
+        clean_counts: Counter = Counter()
+
+        def handed_on() -> pd.DataFrame:
+            keys = [*toxic_counts, *((e, None) for e in clean_counts)]
+            out = pd.DataFrame({"entry": [e for e, _ in keys], "context": pd.array([c for _, c in keys], dtype="Int64"),
+                                "n": [*toxic_counts.values(), *clean_counts.values()]})
+            toxic_counts.clear()
+            clean_counts.clear()
+            return out
+
+        for part in parts:
+            for text, toxic in zip(part["text"], part["toxic"]):
+                if not toxic:
+                    clean_counts.update(entries(count_words(text)))
+                else:
+                    words = ["", *WORD.findall(text.lower()), ""]
+                    first: dict[str, int] = {}
+                    for before, word, after in zip(words, words[1:], words[2:]):
+                        for entry in entries(Counter((word,))):
+                            if entry not in first:
+                                first[entry] = xxhash.xxh64_intdigest(f"{before} {after}") - (1 << 63)
+                    toxic_counts.update(first.items())
+                if len(toxic_counts) + len(clean_counts) > FLUSH:
+                    yield handed_on()
+        if toxic_counts or clean_counts:
+            yield handed_on()
+
+    counted = rows.select("text", (F.col("toxic") > 0).alias("toxic")).mapInPandas(count, "entry string, context long, n long")
+    by_context = counted.groupBy("entry", "context").agg(F.sum("n").alias("n"))
+    toxic = F.col("context").isNotNull()
+    total = lambda mask: F.coalesce(F.sum(F.when(mask, F.col("n"))), F.lit(0))
+    return by_context.groupBy("entry").agg(total(toxic).alias("pos"), F.count("context").alias("contexts"), total(~toxic).alias("neg"))
+
+
+def mine_lexicon(rows: DataFrame) -> list[str]:
+    """Entries that tell toxic training texts from clean ones (text, toxic). A
+    longer entry covered by a chosen beginning goes.
 
     Of the documents that hold an entry, the toxic ones would be a share of at
     most q, were it LEAST_LIFT times as frequent there or less. Chernoff's
@@ -133,51 +192,22 @@ def mine_lexicon(toxic: DataFrame, clean: DataFrame, broadcast_entries: int = BR
     are no further evidence: documents count as far as the words beside the
     entry differ.
     """
-
-    def count_contexts(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            counts: Counter = Counter()
-            for text in part["text"]:
-                words = ["", *WORD.findall(text.lower()), ""]
-                first: dict[str, int] = {}
-                for before, word, after in zip(words, words[1:], words[2:]):
-                    for entry in entries(Counter((word,))):
-                        if entry not in first:
-                            first[entry] = xxhash.xxh64_intdigest(f"{before} {after}") - (1 << 63)
-                counts.update(first.items())
-            if counts:
-                yield pd.DataFrame({"entry": [e for e, _ in counts], "context": [c for _, c in counts], "n": list(counts.values())})
-
-    def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            counts: Counter = Counter()
-            for text in part["text"]:
-                counts.update(entries(count_words(text)))
-            if counts:
-                yield pd.DataFrame({"entry": list(counts.keys()), "n": list(counts.values())})
-
-    n_pos, n_neg = toxic.count(), clean.count()
-    chosen = [w + " " for w in ABUSE]
+    sizes = rows.agg(F.count_if(F.col("toxic") > 0), F.count_if(F.col("toxic") <= 0)).first()
+    n_pos, n_neg = sizes
     if not n_pos or not n_neg:
-        return chosen
+        return []
     share = LEAST_LIFT * n_pos / (LEAST_LIFT * n_pos + n_neg)
-    in_toxic = cut(toxic.mapInPandas(count_contexts, "entry string, context long, n long").groupBy("entry", "context")
-                   .agg(F.sum("n").alias("n")).groupBy("entry").agg(F.sum("n").alias("pos"), F.count("*").alias("contexts")))
-    tested = in_toxic.count()
-    level = math.log(max(tested, 1) / CHANCE)
-    # no count of clean documents gives a bound below share ** contexts
-    able = in_toxic.where(F.col("contexts") * F.lit(-math.log(share)) >= level)
-    known = F.broadcast(able.select("entry")) if able.count() <= broadcast_entries else able.select("entry")
-    in_clean = clean.mapInPandas(count, "entry string, n long").join(known, "entry", "left_semi").groupBy("entry").agg(F.sum("n").alias("neg"))
-    both = able.join(in_clean, "entry", "left").withColumn("neg", F.coalesce("neg", F.lit(0)))
+    counted = cut(count_entries(rows).where(F.col("pos") > 0))
+    level = math.log(max(counted.count(), 1) / CHANCE)
     of = F.col("pos") + F.col("neg")
     evidence = F.col("pos") * F.log(F.col("pos") / (of * share)) \
         + F.when(F.col("neg") > 0, F.col("neg") * F.log(F.col("neg") / (of * (1 - share)))).otherwise(0.0)
-    telling = both.where(F.col("pos") > of * share).withColumn("evidence", evidence * F.col("contexts") / F.col("pos")).where(F.col("evidence") >= level) \
+    telling = counted.where((F.col("pos") > of * share) & (F.col("pos") * RAREST >= n_pos)) \
+        .withColumn("evidence", evidence * F.col("contexts") / F.col("pos")).where(F.col("evidence") >= level) \
         .orderBy(F.col("evidence").desc(), F.length("entry"), "entry").select("entry").collect()
-    taken, beginnings = set(chosen), set()
+    chosen, taken, beginnings = [], set(), set()
     for (entry,) in telling:
-        if entry in taken or any(entry[:n] in beginnings for n in STEM if len(entry.strip()) >= n):
+        if any(entry[:n] in beginnings for n in STEM if len(entry.strip()) >= n):
             continue
         if entry + " " in taken:  # a beginning that only ever is a chosen word itself
             continue
@@ -223,13 +253,14 @@ def label_model(votes: np.ndarray, given: np.ndarray, rounds: int = 50) -> dict[
             "posterior": posterior}
 
 
-def prepared(x: np.ndarray) -> np.ndarray:
-    """Classifier inputs: log counts, log counts per hundred words, any hit at
-    all, and the plain features."""
-    hits, words = x[:, :-3], x[:, -1:]
-    total = hits.sum(axis=1, keepdims=True)
-    return np.hstack([np.minimum(np.log1p(hits), 2.0), np.log1p(total), np.log1p(100 * total / np.maximum(words, 1)),
-                      total > 0, np.log1p(x[:, -3:-2]), x[:, -2:-1], np.log1p(words) / 5])
+def prepared(own: np.ndarray, total: np.ndarray, plain: np.ndarray) -> np.ndarray:
+    """Classifier inputs: log counts of the entries with a weight of their own,
+    log counts of all entries, also per hundred words, any hit at all, and the
+    plain features."""
+    words = plain[:, -1:]
+    total = total[:, None]
+    return np.hstack([np.minimum(np.log1p(own), 2.0), np.log1p(total), np.log1p(100 * total / np.maximum(words, 1)),
+                      total > 0, np.log1p(plain[:, :-2]), plain[:, -2:-1], np.log1p(words) / 5])
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 30) -> np.ndarray:
@@ -249,41 +280,62 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int =
     return w
 
 
+def table_of(found: list[dict[int, int]], own: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """(hits of the entries of ``own`` by column, hits of all entries), a row a text."""
+    x, total = np.zeros((len(found), len(own))), np.zeros(len(found))
+    for row, hit in enumerate(found):
+        for i, n in hit.items():
+            total[row] += n
+            if i in own:
+                x[row, own[i]] = n
+    return x, total
+
+
 class Model:
-    """What scoring needs: the lexicon and the classifier's weights."""
+    """What scoring needs: the lexicon, the entries with weights of their own
+    and the classifier's weights."""
 
-    def __init__(self, lexicon: list[str], weights: np.ndarray | None):
+    def __init__(self, lexicon: list[str], own: dict[int, int] | None = None, weights: np.ndarray | None = None):
         self.lexicon = {entry: i for i, entry in enumerate(lexicon)}
-        self.weights = weights
+        self.heads = heads_of(self.lexicon)
+        self.own, self.weights = own or {}, weights
 
     def score(self, texts: list[str]) -> np.ndarray:
-        if self.weights is None:
+        if self.weights is None or not texts:
             return np.full(len(texts), PRIOR)
-        x = prepared(np.array([features(t, self.lexicon) for t in texts], dtype=float).reshape(len(texts), -1))
+        found, plain = zip(*(features(t, self.lexicon, self.heads) for t in texts))
+        x = prepared(*table_of(found, self.own), np.array(plain, dtype=float))
         return 1 / (1 + np.exp(-np.clip(x @ self.weights[:-1] + self.weights[-1], -30, 30)))
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     texts = pick(docs, doc_id="doc_id", text="text").withColumn("text", whole_text("text"))
     labelled = cut(training_labels(pick(labels, doc_id="doc_id", toxic="toxic")))
+    # ids and labels are broadcast up to a number, 16 bytes each; beyond it the texts move to them
+    known = F.broadcast(labelled) if labelled.count() <= BROADCAST_IDS else labelled
+    lexicon = mine_lexicon(texts.join(known, "doc_id").select("text", "toxic"))
     rows = cut(training_rows(texts, labelled, sample))
-    of_label = {}
-    for label in (1, 0):
-        ids = labelled.where(F.col("toxic") == label).select("doc_id")
-        # only the toxic ids, the fewer by far, are broadcast, 8 bytes each
-        few = label == 1 and ids.count() <= BROADCAST_IDS
-        of_label[label] = texts.join(F.broadcast(ids) if few else ids, "doc_id").select("text")
-    lexicon = mine_lexicon(of_label[1], of_label[0])
-    vector = feature_column({entry: i for i, entry in enumerate(lexicon)})
-    got = rows.select("doc_id", "toxic", vector("text").alias("x")).orderBy("doc_id", F.xxhash64("text")).collect()
+    model = Model(lexicon)
+
+    @F.pandas_udf("hits map<int,int>, plain array<double>")
+    def of_texts(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in parts:
+            found = [features(t, model.lexicon, model.heads) for t in texts]
+            yield pd.DataFrame({"hits": [h for h, _ in found], "plain": [p for _, p in found]}, index=texts.index)
+
+    got = rows.select("doc_id", "toxic", of_texts("text").alias("x"), F.xxhash64("text").alias("copy")).orderBy("doc_id", "copy") \
+        .select("toxic", "x.hits", "x.plain").collect()
     if not got or not 0 < sum(r.toxic for r in got) < len(got):
-        return Model(lexicon, None)
-    x = np.array([r.x for r in got], dtype=float)
+        return model
     given = np.array([r.toxic for r in got])
-    hits = x[:, :-3] > 0
-    votes = np.column_stack([hits, x[:, -3] > 0, x[:, -2] > 0.5, ~hits.any(axis=1)])
+    plain = np.array([r.plain for r in got], dtype=float)
+    fires = Counter(i for r in got for i in r.hits)
+    own = {i: column for column, i in enumerate(sorted(i for i, n in fires.items() if n >= LEAST_FIRES))}
+    x, total = table_of([r.hits for r in got], own)
+    rest = total - x.sum(axis=1)
+    votes = np.column_stack([x > 0, rest > 0, plain[:, :-2] > 0, plain[:, -2] > 0.5, total == 0])
     posterior = label_model(votes, given)["posterior"]
-    return Model(lexicon, fit_logistic(prepared(x), posterior))
+    return Model(lexicon, own, fit_logistic(prepared(x, total, plain), posterior))
 
 
 def scored(docs: DataFrame, model: Model, text_column: str = "text"):

@@ -1,10 +1,10 @@
 import random
 
 import numpy as np
-import pytest
 
 from quarry.llm import toxicity as T
 
+WORDS = ("idiot", "moron", "scum", "loser", "trash")
 
 def made(n, rng):
     """Texts whose toxic ones hold a fixed word or a made-up stem."""
@@ -14,7 +14,7 @@ def made(n, rng):
         toxic = int(rng.random() < 0.25)
         if toxic:
             for _ in range(rng.randint(1, 4)):
-                words.insert(rng.randrange(len(words)), rng.choice(T.ABUSE) if i % 2 else "zworg" + rng.choice("aeiou") * 2)
+                words.insert(rng.randrange(len(words)), rng.choice(WORDS) if i % 2 else "zworg" + rng.choice("aeiou") * 2)
         docs.append((i, " ".join(words)))
         labels.append((i, 1, toxic))
     return docs, labels
@@ -24,10 +24,64 @@ def test_feature_entries_agree_with_the_counted_ones():
     lexicon = ["idiot ", "zwor", "ab "]
     index = {e: i for i, e in enumerate(lexicon)}
     for text in ("Idiot idiot IDIOTS", "zworga zworg zwor", "ab abc", "", "x!!! AB"):
-        got = T.features(text, index)
+        got, plain = T.features(text, index, T.heads_of(index))
         words = T.count_words(text)
         for e, i in index.items():
-            assert got[i] == sum(n for w, n in words.items() if e in T.entries({w: 1})), (text, e)
+            assert got.get(i, 0) == sum(n for w, n in words.items() if e in T.entries({w: 1})), (text, e)
+        assert plain[-1] == sum(words.values()) and len(plain) == T.PLAIN
+
+
+def test_patterns():
+    fires = lambda text: {n for n, p in T.PATTERNS.items() if p.search(text)}
+    assert fires("A plain text, with a.b@c.de and 3 things? Yes! See p. 12, NATO.") == {"capital words"}
+    assert fires("what?! sooooo st*pid, t h a t @#$! 1d10t fo0l") >= {"marks", "drawn-out letters", "masked word", "symbols",
+                                                                         "spaced letters", "numbered letters"}
+    assert T.plain_features("no no no", ["no"] * 3)[len(T.PATTERNS)] == 1
+
+
+def test_counts_equal_brute_force(spark):
+    docs, labels = made(300, random.Random(3))
+    rows = [(t, y) for (_, t), (_, _, y) in zip(docs, labels)] + [("", 1), ("", 0)]
+    want = {}
+    for text, y in rows:
+        words = ["", *T.WORD.findall(text.lower()), ""]
+        first = {}
+        for before, word, after in zip(words, words[1:], words[2:]):
+            for e in T.entries({word: 1}):
+                first.setdefault(e, (before, after))
+        for e, context in first.items():
+            pos, contexts, neg = want.setdefault(e, [0, set(), 0])
+            want[e] = [pos + y, contexts | {context} if y else contexts, neg + 1 - y]
+    got = {r.entry: (r.pos, r.contexts, r.neg) for r in T.count_entries(spark.createDataFrame(rows, "text string, toxic int").repartition(7)).collect()}
+    assert got == {e: (pos, len(contexts), neg) for e, (pos, contexts, neg) in want.items()}
+
+
+def test_label_model_equals_a_plain_one():
+    """Expectation maximisation written row by row, without shared weights
+    (independent voters), from the definition."""
+    rng = np.random.default_rng(4)
+    y = rng.random(400) < 0.3
+    votes = np.column_stack([np.where(y, rng.random(400) < a, rng.random(400) < b) for a, b in ((0.7, 0.02), (0.5, 0.05), (0.2, 0.1))])
+    given = np.where(rng.random(400) < 0.05, ~y, y).astype(int)
+    out = T.label_model(votes, given, rounds=5)  # correlations come in later
+    all_votes = [[*map(int, v), int(g == 1), int(g != 1)] for v, g in zip(votes, given)]
+    belief = [0.95 if g else 0.02 for g in given]
+    prior = sum(given) / 400
+    for _ in range(5):
+        rates = []
+        for k in range(5):
+            on = (sum(p * v[k] for p, v in zip(belief, all_votes)) + 0.05) / (sum(belief) + 0.1)
+            off = (sum((1 - p) * v[k] for p, v in zip(belief, all_votes)) + 0.05) / (400 - sum(belief) + 0.1)
+            rates.append((on, off))
+        new = []
+        for v in all_votes:
+            toxic, clean = prior, 1 - prior
+            for k, fired in enumerate(v):
+                if fired:
+                    toxic, clean = toxic * rates[k][0], clean * rates[k][1]
+            new.append(toxic / (toxic + clean))
+        belief = new
+    assert np.allclose(out["posterior"], belief)
 
 
 def test_label_model_recovers_rates_and_shares_correlated_votes():
@@ -81,8 +135,7 @@ def test_odd_rows(spark):
     assert T.without_toxic(docs, none).columns == docs.columns
 
 
-@pytest.mark.parametrize("broadcast_entries", [200_000, 0])
-def test_lexicon_counts_all_rows_and_keeps_rare_and_noisy_entries(spark, broadcast_entries):
+def test_lexicon_counts_all_rows_and_keeps_rare_and_noisy_entries(spark):
     rng = random.Random(8)
     plain = ["house", "river", "music", "garden", "winter", "market"]
     rows = []
@@ -96,7 +149,7 @@ def test_lexicon_counts_all_rows_and_keeps_rare_and_noisy_entries(spark, broadca
         if toxic:
             words += [f"quill{'abcdefghij'[i % 10]}{'abcdefghij'[i // 10 % 10]}"] * 2  # 100 forms
         rows.append((" ".join(words), toxic))
-    found = T.mine_lexicon(*[spark.createDataFrame([(t,) for t, y in rows if y == k], "text string") for k in (1, 0)], broadcast_entries)
+    found = T.mine_lexicon(spark.createDataFrame(rows, "text string, toxic int"))
     matched = lambda word: any(e in found for e in T.entries(T.Counter([word])))
     assert matched("zorbl") and matched("vexil") and matched("quillab")
     assert not any(matched(w) for w in plain)
@@ -111,5 +164,4 @@ def test_lexicon_is_mined_outside_the_sample(spark):
 
 def test_copies_of_a_toxic_document_are_no_further_evidence(spark):
     rows = [("some words around blorptal in one copied text", 1)] * 200 + [(f"clean words {'xy' * (i % 50)}", 0) for i in range(800)]
-    toxic, clean = [spark.createDataFrame([(t,) for t, y in rows if y == k], "text string") for k in (1, 0)]
-    assert T.mine_lexicon(toxic, clean) == [w + " " for w in T.ABUSE]
+    assert T.mine_lexicon(spark.createDataFrame(rows, "text string, toxic int")) == []

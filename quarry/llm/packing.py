@@ -35,7 +35,7 @@ END_ID = 2
 GROUP = 5000
 VOCABULARY = "byte_bpe_50k.tiktoken"  # the ranks of byte_bpe_50k.json: the same ids, several times faster
 
-PIECES = "doc_id {id_type}, piece int, start long, length long, ids_crc32 long"
+PIECES = "doc_id string, piece int, start long, length long, ids_crc32 long"
 
 
 def encoder(vocabulary: str = VOCABULARY):
@@ -73,12 +73,13 @@ def pieces(df: DataFrame, id_column: str = "doc_id", text_column: str = "text",
                 ids = np.array([*encode(text), end_id], dtype="<u4")
                 rows.extend((doc_id, n, start, length, zlib.crc32(ids[start:start + length].tobytes()))
                             for n, (start, length) in enumerate(cut_points(len(ids), capacity)))
-            out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
-            out["doc_id"] = out["doc_id"].astype(part["doc_id"].dtype)
-            yield out
+            if rows:
+                yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    rows = pick(df, doc_id=id_column, text=text_column).withColumn("text", whole_text("text"))
-    return rows.mapInPandas(tokenise, PIECES.format(id_type=rows.schema["doc_id"].dataType.simpleString()))
+    rows = pick(df, doc_id=id_column, text=text_column)
+    # ids go through pandas as text: beside a null it would hold whole numbers as floating-point ones
+    texts = rows.select(F.col("doc_id").cast("string").alias("doc_id"), whole_text("text").alias("text"))
+    return texts.mapInPandas(tokenise, PIECES).withColumn("doc_id", F.col("doc_id").cast(rows.schema["doc_id"].dataType))
 
 
 def sum_of_squares(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray, np.ndarray]:
@@ -118,6 +119,8 @@ def sum_of_squares(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[np.nd
 
 def pack(cut_pieces: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -> DataFrame:
     """The pieces with sequence_id and offset."""
+    id_type = cut_pieces.schema["doc_id"].dataType
+    cut_pieces = cut_pieces.withColumn("doc_id", F.col("doc_id").cast("string"))
     rows = cut(cut_pieces).withColumn("row", F.monotonically_increasing_id())  # stable: the rows are written
     columns = cut_pieces.columns
     full = rows.where(F.col("length") == capacity) \
@@ -133,7 +136,7 @@ def pack(cut_pieces: DataFrame, capacity: int = CAPACITY, group: int = GROUP) ->
     schema = cut_pieces.schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " ")
     packed = short.withColumn("share", F.pmod(F.col("row"), F.lit(groups).cast("long"))) \
         .groupBy("share").applyInPandas(place, f"{schema.replace(',', ', ')}, sequence_id long, offset long")
-    return packed.unionByName(full)
+    return packed.unionByName(full).withColumn("doc_id", F.col("doc_id").cast(id_type))
 
 
 def best_fit_packing(df: DataFrame, id_column: str = "doc_id", text_column: str = "text", capacity: int = CAPACITY,

@@ -398,7 +398,7 @@ def covered_of(settled: DataFrame) -> DataFrame:
     return settled.withColumn("n", F.row_number().over(same)).where("whole or n > 1").select("place", "first", "stop")
 
 
-def _strip(id_type: str):
+def _strip():
     def strip(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             rows = []
@@ -415,7 +415,7 @@ def _strip(id_type: str):
             out.insert(0, "doc_id", part["doc_id"])
             yield out
 
-    return strip, f"doc_id {id_type}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    return strip, "doc_id string, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
 def merged(spans) -> list[tuple[int, int]]:
@@ -472,10 +472,11 @@ def remove_repeats(df: DataFrame, id_column: str = "doc_id", text_column: str =
     id_type = rows.schema["doc_id"].dataType
     runs_of = covered_runs(once, window, gram, share, shard_bytes) \
         .groupBy("place").agg(F.collect_list(F.struct("first", "stop")).alias("covered"))
-    strip, schema = _strip(id_type.simpleString())
+    strip, schema = _strip()
+    # ids go through pandas as text: beside a null it would hold whole numbers as floating-point ones
     if rows is once:  # the place is the id: the same two columns as before, so the exchange of the texts is reused
         found = rows.select("place", "text").join(runs_of, "place", "left") \
-            .select(F.col("place").cast(id_type).alias("doc_id"), "text", "covered")
+            .select(F.col("place").cast("string").alias("doc_id"), "text", "covered")
     else:
-        found = rows.join(runs_of, "place", "left").select("doc_id", "text", "covered")
-    return found.mapInPandas(strip, schema)
+        found = rows.join(runs_of, "place", "left").select(F.col("doc_id").cast("string").alias("doc_id"), "text", "covered")
+    return found.mapInPandas(strip, schema).withColumn("doc_id", F.col("doc_id").cast(id_type))

@@ -77,3 +77,10 @@ def test_round_trip_and_fill(spark):
         assert at <= 1024
     assert len(sequences) <= 1.1 * sum(r["length"] for r in out) / 1024 + 5
     assert P.best_fit_packing(df.limit(0)).count() == 0
+
+
+def test_large_ids_beside_a_null(spark):
+    big = 2 ** 53 + 1
+    df = spark.createDataFrame([(big, "a b c"), (None, "d"), (big + 2, "e " * 3000)], "doc_id long, text string")
+    out = P.best_fit_packing(df).collect()
+    assert {r.doc_id for r in out} == {big, None, big + 2} and len(out) > 4

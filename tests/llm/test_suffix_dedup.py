@@ -104,3 +104,10 @@ def test_shares_of_a_hot_anchor_meet_by_window(spark):
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256)
            for r in S.remove_repeats(df, window=20, gram=6, share=4, shard_bytes=200).collect()}
     assert got == plain(docs, 20)
+
+
+def test_large_ids_beside_a_null(spark):
+    big = 2 ** 53 + 1
+    df = spark.createDataFrame([(big, "x" * 200), (None, "d"), (big + 2, "e")], "doc_id long, text string")
+    out = S.remove_repeats(df)
+    assert {r.doc_id for r in out.collect()} == {big, None, big + 2} and dict(out.dtypes)["doc_id"] == "bigint"

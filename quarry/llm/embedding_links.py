@@ -23,10 +23,14 @@ How pairs meet, without comparing all of a label:
 * Tables carry ids and codes only. A bucket hands on the groups that have an
   open pair in it; only these get their vectors sent and are recomputed there.
   A pair that meets in several tables counts in the first of them.
-* A bucket above ``SLICE`` groups is dealt into slices; each pair of slices is
-  a task of its own, so memory is bounded. Since n_links counts every linked
-  pair, a set of different near copies costs its square in comparisons, not in
-  rows.
+* Where more than ``SLICE`` different vectors crowd together, a pivot is set at
+  their mean. Vectors within half the angle of a pivot are all linked with each
+  other (triangle inequality): a ball, whose links are counted by its weight
+  alone. A third of all rows being near copies of one vector so costs no more
+  than other rows; only pairs that are not in one ball are compared.
+* A bucket above ``SLICE`` groups is dealt into slices, those of a ball apart; each
+  pair of slices that are not of one ball is a task of its own, so memory is
+  bounded.
 * A bucket hands on link counts and one spanning edge a group, never pairs.
 
 Defined cases: a null label, and a vector that is null, empty, zero or holds a
@@ -133,11 +137,15 @@ class Codes:
         off = math.sqrt(1 - cosine * cosine) * np.sqrt(np.maximum(0, 1 - self.factor ** 2)) / self.factor
         return cosine - off * min(1, sigmas / math.sqrt(max(1, size - 1))) - 1e-4
 
+    def coordinates(self) -> np.ndarray:
+        """The turned vectors, as the four bits have them."""
+        return self.low[:, None] + self.step[:, None] * self.levels
+
     def open_pairs(self, rows: slice, others: np.ndarray, table: int, cosine: float, sigmas: float) -> np.ndarray:
         """Which pairs (rows x others) the estimates leave open and no earlier table has met."""
         size = self.signs.shape[1]
         signs = np.where(self.signs, 1, -1).astype(np.float32) / math.sqrt(size)
-        coordinates = self.low[:, None] + self.step[:, None] * self.levels
+        coordinates = self.coordinates()
         least = self.least(cosine, sigmas)
         rounding = sigmas * self.step / 2 / self.factor.min()  # the four bits' own error
         there = signs[rows] @ coordinates[others].T / self.factor[rows, None]
@@ -159,9 +167,10 @@ def _blocks(sides: np.ndarray) -> Iterator[tuple[slice, np.ndarray]]:
         yield rows, (np.arange(border, n) if across else np.arange(low, n))
 
 
-def _pairs(codes: Codes, sides: np.ndarray, table: int, cosine: float, sigmas: float) -> Iterator[tuple]:
+def _pairs(codes: Codes, sides: np.ndarray, balls: np.ndarray, table: int, cosine: float, sigmas: float) -> Iterator[tuple]:
     for rows, others in _blocks(sides):
         open_ = codes.open_pairs(rows, others, table, cosine, sigmas)
+        open_ &= (balls[rows, None] < 0) | (balls[rows, None] != balls[None, others])  # pairs of one ball are known
         if others[0] == rows.start:  # a slice with itself
             open_ &= others[None, :] > np.arange(rows.start, rows.stop)[:, None]
         yield rows, others, open_
@@ -212,12 +221,23 @@ def links(df: DataFrame, id_column: str = "vec_id", vector_column: str = "embedd
     groups = cut(coded.groupBy("h1", "h2", "of_label", "size").agg(
         F.count("*").alias("weight"), F.min("vec_id").alias("least"), F.min("code").alias("code"))
         .withColumn("gid", F.monotonically_increasing_id()))
+    pivots = _pivots(groups, tables, slice_rows, cosine)
+    if pivots:
+        groups = cut(groups.join(_in_balls(sound, pivots, cosine), ["h1", "h2"], "left").withColumn("ball", F.coalesce("ball", F.lit(-1))))
+    else:
+        groups = groups.withColumn("ball", F.lit(-1))
 
     cells = _cells(groups, bits, tables, slice_rows)
     found = cut(_recomputed(_open(cells, tables, cosine, sigmas), groups, sound, bits, tables, cosine, sigmas))
+    edges = found.where("root is not null and root <> gid").select(F.col("gid").alias("a"), F.col("root").alias("b"))
+    if pivots:
+        inside = groups.where("ball >= 0").groupBy("ball").agg(F.sum("weight").alias("whole"), F.min("gid").alias("first"))
+        within = cut(groups.where("ball >= 0").join(F.broadcast(inside), "ball"))  # a row a pivot
+        found = found.select("gid", "n").unionByName(within.select("gid", (F.col("whole") - F.col("weight")).alias("n")))
+        edges = edges.unionByName(within.where("gid <> first").select(F.col("gid").alias("a"), F.col("first").alias("b")))
 
     counts = found.groupBy("gid").agg(F.sum("n").alias("n"))
-    roots = connected_components(found.where("root is not null and root <> gid").select(F.col("gid").alias("a"), F.col("root").alias("b")))
+    roots = connected_components(edges)
     named = groups.select("gid", "h1", "h2", "weight", "least").join(roots.withColumnRenamed("node", "gid"), "gid", "left") \
         .withColumn("root", F.coalesce("root", "gid")).join(counts, "gid", "left")
     component = named.groupBy("root").agg(F.min("least").alias("component_id"))
@@ -228,19 +248,106 @@ def links(df: DataFrame, id_column: str = "vec_id", vector_column: str = "embedd
     return linked.unionByName(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 
+# --- balls ---------------------------------------------------------------------------------------
+
+CROWD_BITS = 16  # signs by which crowded vectors are noticed
+
+
+def _pivots(groups: DataFrame, tables: int, slice_rows: int, cosine: float) -> dict[int, tuple[list[int], np.ndarray]]:
+    """By length of the vectors: (labels, pivots in turned coordinates). A pivot
+    stands for more than ``slice_rows`` groups with equal first signs, so there
+    are no more than groups / ``slice_rows``; one within half the angle of a
+    fuller one is left out."""
+    first = F.substring("code", 13, CROWD_BITS // 8)  # behind the twelve bytes of numbers
+    marked = groups.select("of_label", "size", "code", F.when(F.col("size") >= CROWD_BITS, first).otherwise(F.lit(b"")).alias("crowd"))
+    full = cut(marked.groupBy("of_label", "size", "crowd").count().where(F.col("count") > slice_rows))
+    if full.isEmpty():
+        return {}
+
+    def add(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict[tuple, np.ndarray] = {}
+        for part in parts:
+            for key, rows in part.groupby(["of_label", "size", "crowd"], sort=False):
+                values = Codes.unpacked(rows["code"].tolist(), int(key[1]), tables).coordinates().sum(axis=0, dtype=np.float64)
+                sums[key] = sums.get(key, 0) + values
+        if sums:
+            yield pd.DataFrame([(*key, values.tolist()) for key, values in sums.items()], columns=["of_label", "size", "crowd", "total"])
+
+    members = marked.join(F.broadcast(full), ["of_label", "size", "crowd"]).select("of_label", "size", "crowd", "code")
+    parts = members.mapInPandas(add, "of_label long, size int, crowd binary, total array<double>")
+    total = parts.select("of_label", "size", "crowd", F.posexplode("total").alias("at", "x")) \
+        .groupBy("of_label", "size", "crowd", "at").agg(F.sum("x").alias("x")) \
+        .groupBy("of_label", "size", "crowd").agg(F.sort_array(F.collect_list(F.struct("at", "x")))["x"].alias("total"))
+    found: dict[int, tuple[list[int], list[np.ndarray]]] = {}
+    for row in total.join(full, ["of_label", "size", "crowd"]).orderBy(F.col("count").desc(), "of_label", "size", "crowd").collect():
+        mean = np.array(row["total"])
+        if not mean.any():
+            continue
+        mean /= np.linalg.norm(mean)
+        labels, centres = found.setdefault(row["size"], ([], []))
+        if all(label != row["of_label"] or mean @ centre < _half(cosine) for label, centre in zip(labels, centres)):
+            labels.append(row["of_label"])
+            centres.append(mean)
+    return {size: (labels, np.array(centres)) for size, (labels, centres) in found.items()}
+
+
+def _half(cosine: float) -> float:
+    """The cosine of half the angle, a little more for rounding."""
+    return math.sqrt((1 + cosine) / 2) + 1e-9
+
+
+def _in_balls(sound: DataFrame, pivots: dict, cosine: float) -> DataFrame:
+    """(h1, h2, ball) of the contents within half the angle of a pivot of their
+    label: the fullest such pivot's number."""
+    numbers, n = {}, 0
+    for size, (labels, _) in pivots.items():
+        numbers[size] = n
+        n += len(labels)
+
+    def assign(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            sizes = part["vector"].map(len)
+            for size, (labels, centres) in pivots.items():
+                rows = part[sizes == size]
+                if not len(rows):
+                    continue
+                turned = unit(_matrix(rows["vector"])) @ rotations(size, size).T
+                near = (turned @ centres.T >= _half(cosine)) & (rows["of_label"].to_numpy()[:, None] == np.array(labels)[None])
+                hit = near.any(axis=1)
+                if hit.any():
+                    yield pd.DataFrame({"h1": rows["h1"].to_numpy()[hit], "h2": rows["h2"].to_numpy()[hit],
+                                        "ball": near.argmax(axis=1)[hit] + numbers[size]})
+
+    values = sound.select("h1", "h2", F.xxhash64("label").alias("of_label"), "vector")
+    return values.mapInPandas(assign, "h1 long, h2 long, ball int").distinct()
+
+
+# --- buckets -------------------------------------------------------------------------------------
+
 def _cells(groups: DataFrame, bits: int, tables: int, slice_rows: int) -> DataFrame:
-    """(bucket, low, high, side, table, gid, size, code): the cells of slices a group belongs to."""
+    """(bucket, low, high, side, ball, table, gid, size, code): the cells of
+    slices a group belongs to. A bucket of one slice is one cell; in a larger
+    one slices are of one ball, or of none, and a ball's own pairs need no cell."""
     at = F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(tables - 1)),
                                   lambda t: F.substring("code", F.length("code") - 4 * (tables - t) + 1, F.lit(4))))
-    rows = groups.select("gid", "size", "of_label", "code", at.alias("table", "key")) \
-        .select("gid", "size", "table", "code", F.xxhash64("of_label", "size", "table", "key").alias("bucket"))
-    sizes = rows.groupBy("bucket").count().where("count > 1") \
-        .withColumn("slices", F.ceil(F.col("count") / slice_rows).cast("int"))
-    rows = rows.join(sizes.select("bucket", "slices"), "bucket") \
-        .withColumn("side", F.pmod(F.xxhash64("gid"), F.col("slices")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("slices") - 1))
-    return rows.select("*", other.alias("other")).select(
-        "bucket", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"), "side", "table", "gid", "size", "code")
+    rows = groups.select("gid", "size", "of_label", "ball", "code", at.alias("table", "key")) \
+        .select("gid", "size", "table", "ball", "code", F.xxhash64("of_label", "size", "table", "key").alias("bucket"))
+    # by bucket, where the slices of each ball begin: at most one entry a pivot
+    entry = F.struct("ball", F.ceil(F.col("count") / slice_rows).cast("int").alias("slices"))
+    sizes = rows.groupBy("bucket", "ball").count().groupBy("bucket").agg(F.sum("count").alias("count"), F.sort_array(F.collect_list(entry)).alias("of")) \
+        .where("count > 1").withColumn("of", F.when(F.col("count") > slice_rows, F.col("of")))
+    rows = rows.join(sizes.select("bucket", "of"), "bucket")
+    mine = F.element_at(F.filter("of", lambda x: x["ball"] == F.col("ball")), 1)["slices"]
+    add = lambda total, x: total + x["slices"]
+    start = F.aggregate(F.filter("of", lambda x: x["ball"] < F.col("ball")), F.lit(0), add)
+    rows = rows.withColumns({"mine": F.coalesce(mine, F.lit(1)), "start": F.coalesce(start, F.lit(0)),
+                             "all": F.coalesce(F.aggregate("of", F.lit(0), add), F.lit(1))})
+    rows = rows.withColumn("side", (F.col("start") + F.pmod(F.xxhash64("gid"), F.col("mine"))).cast("int"))
+    others = F.sequence(F.lit(0), F.col("all") - 1)
+    own_ball = F.col("of").isNotNull() & (F.col("ball") >= 0)
+    others = F.when(own_ball, F.filter(others, lambda s: (s < F.col("start")) | (s >= F.col("start") + F.col("mine")))).otherwise(others)
+    return rows.select("*", F.explode(others).alias("other")).select(
+        "bucket", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"), "side", "ball", "table", "gid", "size", "code")
 
 
 def _open(cells: DataFrame, tables: int, cosine: float, sigmas: float) -> DataFrame:
@@ -249,24 +356,23 @@ def _open(cells: DataFrame, tables: int, cosine: float, sigmas: float) -> DataFr
     def search(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             for bucket, low, high, table, size, members in part.itertuples(index=False):
-                sides = np.array([m["side"] for m in members])
-                gids = np.array([m["gid"] for m in members])
+                sides, gids, balls = (np.array([m[c] for m in members]) for c in ("side", "gid", "ball"))
                 order = np.lexsort((gids, sides))
-                sides, gids = sides[order], gids[order]
+                sides, gids, balls = sides[order], gids[order], balls[order]
                 if low != high and sides[0] == sides[-1]:
                     continue
                 codes = Codes.unpacked([members[i]["code"] for i in order], size, tables)
                 needed = np.zeros(len(gids), bool)
-                for rows, others, open_ in _pairs(codes, sides, table, cosine, sigmas):
+                for rows, others, open_ in _pairs(codes, sides, balls, table, cosine, sigmas):
                     needed[rows] |= open_.any(axis=1)
                     needed[others] |= open_.any(axis=0)
                 if needed.any():
                     yield pd.DataFrame({"bucket": bucket, "low": low, "high": high, "table": table,
-                                        "side": sides[needed], "gid": gids[needed]})
+                                        "side": sides[needed], "ball": balls[needed], "gid": gids[needed]})
 
     held = cells.groupBy("bucket", "low", "high", "table", "size") \
-        .agg(F.collect_list(F.struct("gid", "side", "code")).alias("members")).where(F.size("members") > 1)
-    return held.mapInPandas(search, "bucket long, low int, high int, table int, side int, gid long")
+        .agg(F.collect_list(F.struct("gid", "side", "ball", "code")).alias("members")).where(F.size("members") > 1)
+    return held.mapInPandas(search, "bucket long, low int, high int, table int, side int, ball int, gid long")
 
 
 def _recomputed(needed: DataFrame, groups: DataFrame, sound: DataFrame, bits: int, tables: int, cosine: float,
@@ -281,16 +387,15 @@ def _recomputed(needed: DataFrame, groups: DataFrame, sound: DataFrame, bits: in
     def recompute(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             for table, members in zip(part["table"], part["members"]):
-                sides = np.array([m["side"] for m in members])
-                gids = np.array([m["gid"] for m in members])
+                sides, gids, balls = (np.array([m[c] for m in members]) for c in ("side", "gid", "ball"))
                 order = np.lexsort((gids, sides))
-                sides, gids = sides[order], gids[order]
+                sides, gids, balls = sides[order], gids[order], balls[order]
                 weights = np.array([members[i]["weight"] for i in order], np.int64)
                 vectors = unit(_matrix([members[i]["vector"] for i in order]))
                 codes = Codes.of(vectors, bits, tables)
                 links = np.zeros(len(gids), np.int64)
                 label = np.arange(len(gids))
-                for rows, others, open_ in _pairs(codes, sides, table, cosine, sigmas):
+                for rows, others, open_ in _pairs(codes, sides, balls, table, cosine, sigmas):
                     near = open_ & (vectors[rows] @ vectors[others].T >= cosine)
                     links[rows] += near @ weights[others]
                     links[others] += weights[rows] @ near
@@ -303,7 +408,7 @@ def _recomputed(needed: DataFrame, groups: DataFrame, sound: DataFrame, bits: in
                 yield pd.DataFrame({"gid": gids[hit], "n": links[hit], "root": least[label][hit]})
 
     held = needed.join(vectors, "gid").groupBy("bucket", "low", "high", "table") \
-        .agg(F.collect_list(F.struct("gid", "side", "weight", "vector")).alias("members"))
+        .agg(F.collect_list(F.struct("gid", "side", "ball", "weight", "vector")).alias("members"))
     return held.select("table", "members").mapInPandas(recompute, "gid long, n long, root long")
 
 

@@ -2,6 +2,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from quarry.llm import embedding_links as E
 
@@ -120,3 +121,29 @@ def test_recall_on_the_given_vectors(spark):
     want = int((x @ x.T >= 0.98).sum()) - len(rows)
     got = sum(r.n_links for r in E.links(df).collect())
     assert want > 0 and 0.99 * want <= got <= want
+
+
+def test_crowds_are_counted_by_balls(spark):
+    """Thousands of near copies of two vectors, and vectors around the balls'
+    rims, with slices far smaller than the crowds: the counts stay exact and
+    the pairs of a ball are never compared."""
+    rng = np.random.default_rng(9)
+    rows, label = [], 1
+    around = lambda v, spread: v + spread * np.linalg.norm(v) / math.sqrt(len(v)) * rng.standard_normal(len(v))
+    a, b = rng.standard_normal((2, 64))
+    vectors = [around(a, 0.03) for _ in range(500)] + [around(b, 0.05) for _ in range(200)]
+    vectors += [around(a, rng.uniform(0.05, 0.2)) for _ in range(150)] + [rng.standard_normal(64) for _ in range(150)]
+    vectors += [vectors[0] * 2.0, vectors[1]]
+    rows = [(i, [float(x) for x in v], label if i % 50 else 2) for i, v in enumerate(vectors)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = sorted(map(tuple, E.links(df, miss=1e-6, slice_rows=64).collect()))
+    assert got == sorted((r[0], n, c, r[0] == c) for r, (n, c) in zip(rows, plain(rows)))
+    coded = df.select("label", F.xxhash64("label", F.col("embedding").cast("array<double>")).alias("h1"), F.lit(0).cast("long").alias("h2"),
+                      F.col("embedding").alias("vector"))
+    units = E.unit(np.array([a, b]))
+    pivots = {64: ([df.select(F.xxhash64(F.lit(1))).first()[0]] * 2, units @ E.rotations(64, 64).T)}
+    balls = {r.h1: r.ball for r in E._in_balls(coded, pivots, 0.98).collect()}
+    by_hash = {r.h1: r.vector for r in coded.collect()}
+    assert set(balls.values()) == {0, 1} and len(balls) > 600
+    for h, k in balls.items():
+        assert E.unit(np.array([by_hash[h]], np.float64))[0] @ units[k] >= math.sqrt(0.99)

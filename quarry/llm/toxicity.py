@@ -104,13 +104,48 @@ def hits(words: Counter, lexicon: dict[str, int], heads: set[str]) -> dict[int,
     return out
 
 
+def may_occur(points: np.ndarray) -> dict[str, bool]:
+    """Patterns that a text (its code points) has what they need for; a cheap
+    look that spares most texts most of the matching."""
+
+    def side_by_side(mask: np.ndarray, n: int, step: int = 1) -> bool:
+        """Does the mask hold at n places, each ``step`` after the one before?"""
+        span = (n - 1) * step
+        if len(mask) <= span:
+            return False
+        held = mask[:len(mask) - span]
+        for i in range(step, span + 1, step):
+            held = held & mask[i:len(mask) - span + i]
+        return bool(held.any())
+
+    mark = (points == ord("!")) | (points == ord("?"))
+    mask = np.isin(points, [ord(c) for c in "*#$%"])
+    digit = (points >= ord("0")) & (points <= ord("9"))
+    return {
+        "marks": side_by_side(mark, 2),
+        "capital words": side_by_side((points >= ord("A")) & (points <= ord("Z")), 4),
+        "drawn-out letters": side_by_side(points[1:] == points[:-1], 3),
+        "masked word": bool(mask.any()),
+        "symbols": side_by_side(mark | mask | (points == ord("&")) | (points == ord("@")), 3),
+        "spaced letters": side_by_side(points == ord(" "), 3, 2),
+        "numbered letters": bool((digit[:-1] & (points[1:] >= ord("A"))).any()),
+    }
+
+
+def capitals(points: np.ndarray) -> int:
+    beyond = points[points > 127].astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
+    return int(((points >= ord("A")) & (points <= ord("Z"))).sum()) + sum(map(str.isupper, beyond))
+
+
 def plain_features(text: str, words: list[str]) -> list[float]:
     """How often each pattern occurs; words three times over; the share of
     capitals; the number of words."""
-    found = [sum(1 for _ in pattern.finditer(text)) for pattern in PATTERNS.values()]
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    may = may_occur(points)
+    found = [sum(1 for _ in pattern.finditer(text)) if may[name] else 0 for name, pattern in PATTERNS.items()]
     found.append(sum(1 for a, b, c in zip(words, words[1:], words[2:]) if a == b == c))
     letters = sum(map(len, words))
-    found.append(sum(map(str.isupper, text)) / letters if letters else 0.0)
+    found.append(capitals(points) / letters if letters else 0.0)
     found.append(len(words))
     return found
 

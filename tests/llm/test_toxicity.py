@@ -39,6 +39,17 @@ def test_patterns():
     assert T.plain_features("no no no", ["no"] * 3)[len(T.PATTERNS)] == 1
 
 
+def test_the_cheap_look_spares_no_match():
+    rng = random.Random(2)
+    for _ in range(3000):
+        text = "".join(rng.choice("aabBAÉé 1 4!?*#$%&@ _") for _ in range(rng.randint(0, 14)))
+        words = T.WORD.findall(text.lower())
+        letters = sum(map(len, words))
+        got = T.plain_features(text, words)
+        assert got[:len(T.PATTERNS)] == [len(list(p.finditer(text))) for p in T.PATTERNS.values()], text
+        assert got[-2] == (sum(map(str.isupper, text)) / letters if letters else 0.0)
+
+
 def test_counts_equal_brute_force(spark):
     docs, labels = made(300, random.Random(3))
     rows = [(t, y) for (_, t), (_, _, y) in zip(docs, labels)] + [("", 1), ("", 0)]

@@ -66,7 +66,7 @@ def _whole_text(t: Column) -> Column:
     """Trimmed text -> bigint where it says a whole number that fits, else
     null: digits with at most zeros behind the point are read as they stand
     (any number of decimals, nothing lost above 2^53), powers through double."""
-    digits = F.when(t.rlike(r"^[+-]?\d+(\.0*)?$"), F.regexp_extract(t, r"^[+-]?\d+", 0).try_cast("bigint"))
+    digits = F.when(t.rlike(r"^[+-]?\d+(\.0*)?$"), F.substring_index(t, ".", 1).try_cast("bigint"))
     power = F.when(t.rlike(r"^[+-]?(\d+(\.\d*)?|\.\d+)[eE][+-]?\d+$"), t.try_cast("double"))
     return F.coalesce(digits, F.when(power == F.floor(power), power.try_cast("bigint")))
 
@@ -92,8 +92,8 @@ def strict_long(c: Column, dtype: T.DataType, name: str = "") -> Column:
         return c.cast("bigint")
     src = _number(c, dtype) if isinstance(dtype, FRACTIONAL) else blank_to_null(c)
     whole = lenient_long(src, dtype)
-    return F.when(src.isNull(), F.lit(None).cast("bigint")).when(whole.isNotNull(), whole).otherwise(
-        F.raise_error(F.concat(F.lit(f"cannot convert column '{name}' to int: "), src.cast("string"))))
+    bad = F.raise_error(F.concat(F.lit(f"cannot convert column '{name}' to int: "), src.cast("string"))).cast("bigint")
+    return F.when(src.isNotNull(), F.coalesce(whole, bad))  # the value is parsed once
 
 
 def lenient_double(c: Column, dtype: T.DataType) -> Column:
@@ -456,6 +456,20 @@ DATE_SHAPES = (
 )
 
 
+FITS_INTEGER, FITS_NUMBER, FITS_DATE = 1, 2, 4  # bits; the date shapes take one each from FITS_DATE on
+
+
+def _fitting(c: Column) -> Column:
+    """The types that a text value fits, as bits. The shapes exclude each
+    other, so a value is parsed once, as what it looks like; a null fits all."""
+    number = FITS_INTEGER | FITS_NUMBER
+    bits = F.when(c.isNull(), FITS_DATE * (1 << len(DATE_SHAPES)) - 1).when(F.trim(c) == "", number)
+    for i, (sep, length, middle, layout) in enumerate(DATE_SHAPES):
+        parsed = F.try_to_timestamp(c, F.lit(layout)).isNotNull()
+        bits = bits.when(_date_shape(c, sep, length, middle), F.when(parsed, FITS_DATE << i).otherwise(0))
+    return bits.when(integer_or_null(c).isNotNull(), number).when(number_or_null(c).isNotNull(), FITS_NUMBER).otherwise(0)
+
+
 def infer_types(df: DataFrame) -> DataFrame:
     """Text columns whose every non-null value is a date of one shape
     become timestamps (a value that only looks like one keeps the column text), else all-numeric ones become numbers (integers when
@@ -466,14 +480,7 @@ def infer_types(df: DataFrame) -> DataFrame:
     for f in fields:
         c = F.col(f.name)
         if _is_text(f.dataType):
-            present = c.isNotNull()
-            aggs.append(F.count(c).alias(f"{f.name}__n"))
-            for i, (sep, length, middle, layout) in enumerate(DATE_SHAPES):
-                parsed = F.when(_date_shape(c, sep, length, middle), F.try_to_timestamp(c, F.lit(layout)))
-                aggs.append(F.bool_and(~present | parsed.isNotNull()).alias(f"{f.name}__d{i}"))
-            blank = F.trim(c) == ""
-            aggs.append(F.bool_and(~present | blank | number_or_null(c).isNotNull()).alias(f"{f.name}__num"))
-            aggs.append(F.bool_and(~present | blank | integer_or_null(c).isNotNull()).alias(f"{f.name}__int"))
+            aggs += [F.count(c).alias(f"{f.name}__n"), F.bit_and(_fitting(c)).alias(f"{f.name}__fits")]
         elif isinstance(f.dataType, (T.LongType, T.IntegerType, T.ShortType)):
             aggs.append(F.min(c).alias(f"{f.name}__lo"))
             aggs.append(F.max(c).alias(f"{f.name}__hi"))
@@ -484,12 +491,12 @@ def infer_types(df: DataFrame) -> DataFrame:
     for f in fields:
         c, name = F.col(f.name), f.name
         if _is_text(f.dataType) and row[f"{name}__n"]:
-            layout = next((shape[3] for i, shape in enumerate(DATE_SHAPES) if row[f"{name}__d{i}"]), None)
+            fits = row[f"{name}__fits"]
+            layout = next((shape[3] for i, shape in enumerate(DATE_SHAPES) if fits & FITS_DATE << i), None)
             if layout:
                 c = F.try_to_timestamp(c, F.lit(layout)).cast("timestamp_ntz")
-            elif row[f"{name}__num"]:
-                c = integer_or_null(blank_to_null(c)) if row[f"{name}__int"] \
-                    else number_or_null(blank_to_null(c))
+            elif fits & FITS_NUMBER:
+                c = integer_or_null(blank_to_null(c)) if fits & FITS_INTEGER else number_or_null(blank_to_null(c))
         elif f"{name}__lo" in row and row[f"{name}__lo"] is not None:
             c = c.cast(_smallest_integral(row[f"{name}__lo"], row[f"{name}__hi"]))
         out.append(c.alias(name))

@@ -12,6 +12,9 @@ import re
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from quarry.sinks.fs import names_in
+from quarry.sinks.versions import changes_of
+
 # Words that mark an error line.
 ERROR_WORDS = ("ERROR", "エラー", "失敗")
 # Error classes (first match wins), as Java/RE2 regexes;
@@ -157,10 +160,15 @@ def stale_files(spark, folder: str, as_of: dt.datetime, hours: float = 24) -> Da
     """M1 over a folder of stored datasets (``<name>.parquet``, each a file or
     a folder of part files, partitioned or not): datasets whose newest file was
     modified more than ``hours`` before ``as_of``. One row per file comes from
-    the file listing; no content is read."""
+    the file listing; no content is read. Of a versioned dataset the commits'
+    records count, as its files are hidden from listings."""
     root = folder.rstrip("/")
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true") \
         .option("pathGlobFilter", "*.parquet").load(root).select("path", "modificationTime")
+    datasets = [f"{root}/{name}" for name in names_in(spark, root) if name.endswith(".parquet")]
+    records = [changed for path in datasets if (changed := changes_of(spark, path)) != path]
+    if records:
+        files = files.unionByName(spark.read.format("binaryFile").load(records).select("path", "modificationTime"))
     below = F.element_at(F.split(F.col("path"), re.escape(root.split(":", 1)[-1].lstrip("/")) + "/"), 2)
     return stale_datasets(files, F.regexp_extract(below, r"^(.*?\.parquet)(/|$)", 1),
                           F.col("modificationTime").cast("timestamp_ntz"), as_of, hours)

@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from quarry.functions.casting import blank_to_null, number_or_null, parse_datetime
 from quarry.functions.filters import from_form
 from quarry.functions.literals import FRACTIONAL, INTEGRAL
+from quarry.sinks.fs import file_system
+from quarry.sinks.versions import is_versioned, read_dataset, version_folders
 from quarry.spec import FilterSpec
 
 NUMERIC = INTEGRAL + FRACTIONAL
@@ -192,16 +194,19 @@ def column_profile(df: DataFrame) -> DataFrame:
 
 
 def stored_bytes(spark: SparkSession, path: str) -> int:
-    """Bytes under a path, asked of the file system in one call."""
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(place).getLength())
+    """Bytes under a path (of a versioned dataset: of its newest version), asked
+    of the file system in one call a folder."""
+    total = 0
+    for folder in version_folders(spark, path) if is_versioned(spark, path) else [path]:
+        fs, place, _ = file_system(spark, folder)
+        total += int(fs.getContentSummary(place).getLength())
+    return total
 
 
 def dataset_metrics(spark: SparkSession, path: str) -> DataFrame:
     """Q6: rows, columns and stored size (MB) of a stored dataset. The count
     reads file footers only; the size is the file system's."""
-    df = spark.read.parquet(path)
+    df = read_dataset(spark, path)
     return df.agg(F.count(F.lit(1)).alias("n_rows")).select(
         "n_rows", F.lit(len(df.columns)).cast("bigint").alias("n_columns"),
         F.lit(stored_bytes(spark, path) / (1024.0 * 1024.0)).alias("size_mb"))

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quarry.plans.jobs import run_manifest
 from quarry.session import scratch_path
-from quarry.sinks.versions import latest_version, publish_version, read_version
+from quarry.sinks.versions import changes_of, latest_version, publish_version, read_version
 from quarry.sinks.writers import AUDIT_SCHEMA, RESULT_OK
 from quarry.spec import DatasetSpec, JobSpec
 
@@ -26,10 +26,11 @@ NEW, CHANGED, GONE = "new", "changed", "gone"
 
 def file_listing(spark: SparkSession, inputs: Mapping[str, Sequence[str]]) -> DataFrame:
     """(source, path, modified, size) of the files under each source's paths.
-    Nothing is opened: the columns come from the listing."""
+    Nothing is opened: the columns come from the listing. A versioned dataset
+    is listed by its commits' records."""
     parts = [spark.createDataFrame([], LISTING)]
     for source, paths in sorted(inputs.items()):
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths))
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load([changes_of(spark, p) for p in paths])
         parts.append(files.select(F.lit(source).alias("source"), "path", F.col("modificationTime").alias("modified"),
                                   F.col("length").alias("size")))
     return reduce(lambda a, b: a.unionByName(b), parts)

@@ -78,6 +78,17 @@ def _state(spark: SparkSession, target: str, number: int | None = None) -> list[
     return found[::-1]
 
 
+def version_folders(spark: SparkSession, target: str, number: int | None = None) -> list[str]:
+    """The folders whose files make up a version."""
+    return [f"{_data_dir(target)}/{COMMIT}={r['folder']}" for r in _state(spark, target, number)]
+
+
+def changes_of(spark: SparkSession, path: str) -> str:
+    """Where a listing sees a dataset change: the records of a versioned one,
+    else the dataset itself."""
+    return _records_dir(path) if path_exists(spark, _records_dir(path)) else path
+
+
 def version_schema(spark: SparkSession, target: str) -> StructType | None:
     """The columns of the newest version, None without one."""
     state = _state(spark, target)

@@ -32,7 +32,7 @@ def scan_parquet_head(spark: SparkSession, path: str, keys: Sequence[str], n: in
                       with_total: bool = True) -> DataFrame:
     """A2: the ``n`` newest rows, plus the dataset's total row count as a
     column (a scalar subquery, evaluated once)."""
-    df = spark.read.parquet(path)
+    df = read_dataset(spark, path)
     head = newest_first(df, keys).limit(n)
     if with_total:
         total = df.agg(F.count(F.lit(1)).alias("total_rows")).scalar()

@@ -158,3 +158,27 @@ def test_plain_and_versioned_never_mix(spark):
         with pytest.raises(ValueError):
             write()
     assert spark.read.parquet(path).count() == 3
+
+
+def test_other_readers_know_versions(spark):
+    """Head, metrics, freshness and refreshes of a versioned dataset."""
+    import datetime as dt
+
+    from quarry.operators.monitor import stale_files
+    from quarry.operators.quality import dataset_metrics, stored_bytes
+    from quarry.plans.refresh import changed_files, file_listing
+    from quarry.sources.files import scan_parquet_head
+    folder = scratch_path(spark, "datasets")
+    path, plain = f"{folder}/kept.parquet", f"{folder}/plain.parquet"
+    V.publish_version(spark.range(50), path)
+    W.export_parquet(spark.range(5), plain)
+    before = file_listing(spark, {"kept": [path], "plain": [plain]}).cache()
+    before.count()
+    V.publish_version(spark.range(20), path)
+    assert [r.id for r in scan_parquet_head(spark, path, ["id"], 2).collect()] == [19, 18]
+    assert dataset_metrics(spark, path).first()["n_rows"] == 20
+    assert 0 < stored_bytes(spark, path) < 2 * sum(f.stat().st_size for f in __import__("pathlib").Path(local(path)).rglob("*.parquet"))
+    changes = {r.source for r in changed_files(before, file_listing(spark, {"kept": [path], "plain": [plain]})).collect()}
+    assert changes == {"kept"}
+    far = dt.datetime.now() + dt.timedelta(days=400)
+    assert {r.dataset for r in stale_files(spark, folder, far).collect()} == {"kept.parquet", "plain.parquet"}

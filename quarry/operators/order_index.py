@@ -23,18 +23,20 @@ from quarry.sinks.fs import write_counted
 
 RANGE, PLACE = "quarry_range", "quarry_place"
 PAGE_ROWS = 4096  # rows that Parquet skips or reads together
+RANGE_ROWS = 500_000  # rows of a range, which one task sorts
 _PLACE_BITS = 33  # of monotonically_increasing_id: the partition above, the row below
 
 
 def build_order_index(df: DataFrame, keys: Sequence[str] | str, path: str, partitions: int | None = None,
                       file_rows: int = 5_000_000, page_rows: int = PAGE_ROWS, check_key: bool = True) -> str:
     """Write the ordered rows to ``path``/data and the index to ``path``/index.
-    ``keys`` must tell all rows apart (checked unless ``check_key`` is off)."""
+    ``keys`` must tell all rows apart (checked unless ``check_key`` is off).
+    Unless ``partitions`` says how many, the ranges grow in number with the rows."""
     names = _keys(keys)
     if check_key:
         verify_order_key(df, names)
     order = [F.col(k).desc_nulls_last() for k in names]
-    ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
+    ranged = df.repartitionByRange(partitions or max(1, -(-df.count() // RANGE_ROWS)), *order)
     at = F.monotonically_increasing_id()
     rows = ranged.sortWithinPartitions(*order).withColumn(PLACE, at) \
         .withColumn(RANGE, F.shiftright(PLACE, _PLACE_BITS).cast("int")) \
@@ -42,9 +44,12 @@ def build_order_index(df: DataFrame, keys: Sequence[str] | str, path: str, parti
     options = {"parquet.page.row.count.limit": str(page_rows), "maxRecordsPerFile": str(file_rows)}
     write_counted(rows, lambda d: d.write.mode("errorifexists").options(**options).parquet(f"{path}/data"))
     spark = df.sparkSession
-    stored = spark.read.parquet(f"{path}/data").withColumn("file", F.col("_metadata.file_path"))
+    stored = spark.read.parquet(f"{path}/data").select(RANGE, PLACE, *names, F.col("_metadata.file_path").alias("quarry_path"))
+    # the keys at a file's ends are read from the two rows there: the least of a struct would sort all rows
+    ends = stored.join(F.broadcast(_files(stored)), RANGE) \
+        .where((F.col(PLACE) == F.col("quarry_file.from_place")) | (F.col(PLACE) == F.col("quarry_file.to_place")))
     bounds = [f(F.struct(PLACE, *names)).alias(n) for f, n in ((F.min, "first_row"), (F.max, "last_row"))]
-    files = stored.groupBy("file", RANGE).agg(F.count(F.lit(1)).alias("n"), F.min(PLACE).alias("from_place"), *bounds)
+    files = ends.groupBy(RANGE, "quarry_file").agg(*bounds).select(RANGE, "quarry_file.*", "first_row", "last_row")
     # one row a file, so this window is as small as the listing of the files
     along = Window.orderBy(RANGE, "from_place").rowsBetween(Window.unboundedPreceding, -1)
     files.withColumn("before", F.coalesce(F.sum("n").over(along), F.lit(0))) \
@@ -54,6 +59,14 @@ def build_order_index(df: DataFrame, keys: Sequence[str] | str, path: str, parti
     return path
 
 
+def _files(stored: DataFrame) -> DataFrame:
+    """One row a file: its range and (file, n, from_place, to_place), summed
+    as plain numbers in one entry a file and task."""
+    return stored.groupBy(RANGE, "quarry_path") \
+        .agg(F.count(F.lit(1)).alias("n"), F.min(PLACE).alias("from_place"), F.max(PLACE).alias("to_place")) \
+        .select(RANGE, F.struct(F.col("quarry_path").alias("file"), "n", "from_place", "to_place").alias("quarry_file"))
+
+
 def read_index(spark: SparkSession, path: str) -> DataFrame:
     """(file, range, from_place, n, before, newest, oldest), one row a file."""
     return spark.read.parquet(f"{path}/index")

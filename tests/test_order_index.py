@@ -65,3 +65,23 @@ def test_ties_and_bad_pages_are_refused(spark):
     assert OI.indexed_page(spark, path, 1, 10).collect() == []
     with pytest.raises(ValueError):
         OI.indexed_page(spark, path, 0, 10)
+
+
+def test_ranges_grow_in_number_with_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(OI, "RANGE_ROWS", 100, raising=False)
+    df = spark.range(1000).select(F.col("id").alias("n"), F.lit("x").alias("file"))
+    path = OI.build_order_index(df, ["n", "file"], scratch_path(spark, "ordered"))
+    index = OI.read_index(spark, path).orderBy("before").collect()
+    assert len({r[OI.RANGE] for r in index}) == 10 and max(r["n"] for r in index) < 250
+    newest = 999
+    for r in index:  # no gap between a file's last row and the next one's first
+        assert (r["newest"]["n"], r["oldest"]["n"], r["before"]) == (newest, newest - r["n"] + 1, 999 - newest)
+        newest -= r["n"]
+    assert newest == -1
+    assert [tuple(r) for r in OI.indexed_page(spark, path, 7, 30).collect()] == [(n, "x") for n in range(819, 789, -1)]
+
+
+def test_the_index_sorts_no_rows(spark):
+    stored = spark.range(100).selectExpr(f"1 as {OI.RANGE}", f"id as {OI.PLACE}", "'a' as quarry_path")
+    plan = OI._files(stored)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "Sort" not in plan

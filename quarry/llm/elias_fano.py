@@ -11,7 +11,9 @@ from __future__ import annotations
 import numpy as np
 
 U = np.uint64
-BLOCK = 8  # words per directory entry
+BLOCK = 4  # words per directory entry, so that counts inside one fit a byte
+#: BIT[b, k]: the place of the k-th set bit of the byte b
+BIT = np.array([[*(i for i in range(8) if b >> i & 1), *[0] * (8 - b.bit_count())] for b in range(256)], np.uint8)
 
 
 def pack_bits(values: np.ndarray, width: int) -> np.ndarray:
@@ -32,7 +34,7 @@ def read_bits(words: np.ndarray, index: np.ndarray, width: int) -> np.ndarray:
     at = index.astype(U) * U(width)
     word, shift = (at >> U(6)).astype(np.int64), at & U(63)
     low = words[word] >> shift
-    high = np.where(shift > 0, words[word + 1] << (U(64) - np.maximum(shift, U(1))), U(0))
+    high = words[word + 1] << U(1) << (U(63) - shift)  # nothing of it at shift 0
     return (low | high) & U((1 << width) - 1)
 
 
@@ -63,52 +65,91 @@ class Sequence:
         """Position of the k-th (from 0) one or zero of the unary bits."""
         ranks = self.rank if ones else self.zero_rank
         block = np.searchsorted(ranks, k, side="right") - 1
-        left = k - ranks[block]
-        word = block * BLOCK
-        read = (lambda w: self.high[w]) if ones else (lambda w: ~self.high[w])
-        for _ in range(BLOCK - 1):
-            count = np.bitwise_count(read(word)).astype(np.int64)
-            on = left >= count
-            left, word = left - count * on, word + on
-        bits = read(word)
-        place = np.zeros(len(k), U)
-        for step in (32, 16, 8, 4, 2, 1):
-            count = np.bitwise_count(bits >> place & U((1 << step) - 1)).astype(np.int64)
-            on = left >= count
-            left, place = left - count * on, place + on.astype(U) * U(step)
-        return word * 64 + place.astype(np.int64)
+        left = (k - ranks[block]).astype(np.uint8)
+        words = self.high.reshape(-1, BLOCK)[block]
+        if not ones:
+            words = ~words
+        # byte i of the product: the set bits before word i of the block
+        before = (np.bitwise_count(words).view(np.uint32) * np.uint32(0x01010100)).view(np.uint8)
+        slot = np.bitwise_count((before <= left[:, None]).view(np.uint32).ravel()).astype(np.int64) - 1
+        at = np.arange(0, len(k) * BLOCK, BLOCK) + slot
+        word, left = words.ravel()[at], left - before.ravel()[at]
+        # and byte i of this one: those before byte i of the word
+        parts = word.view(np.uint8)
+        before = (np.bitwise_count(parts).view(U) * U(0x0101010101010100)).view(np.uint8).reshape(-1, 8)
+        byte = np.bitwise_count((before <= left[:, None]).view(U).ravel()).astype(np.int64) - 1
+        at = np.arange(0, len(k) * 8, 8) + byte
+        return (block * BLOCK + slot) * 64 + byte * 8 + BIT[parts[at], left - before.ravel()[at]]
+
+    def _rest(self, position: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bits of a word from a position on, and how many they are."""
+        shift = position & 63
+        return self.high[position >> 6] >> shift.astype(U), 64 - shift
 
     def access(self, index: np.ndarray) -> np.ndarray:
         """The values at the given places."""
         index = np.asarray(index, np.int64)
-        high = (self._select(index, True) - index).astype(U)
-        return (high << U(self.width) | read_bits(self.low, index, self.width)).astype(np.int64)
+        return self._value(index, self._select(index, True))
 
-    def successor(self, values: np.ndarray, first: np.ndarray | None = None, last: np.ndarray | None = None) -> np.ndarray:
-        """Place of the first element >= value, optionally inside [first, last)."""
-        values = np.asarray(values, np.int64)
+    def _value(self, index: np.ndarray, position: np.ndarray) -> np.ndarray:
+        return ((position - index).astype(U) << U(self.width) | read_bits(self.low, index, self.width)).astype(np.int64)
+
+    def access_two(self, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The values at the given places and at the places after them."""
+        index = np.asarray(index, np.int64)
+        position = self._select(index, True)
+        bits, _ = self._rest(position + 1)
+        after = position + 1 + np.bitwise_count(~bits & (bits - U(1)))  # the zeros below the next one
+        far = np.flatnonzero(bits == 0)
+        after[far] = self._select(index[far] + 1, True)
+        return self._value(index, position), self._value(index + 1, after)
+
+    def _bucket(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The places [begin, end) of the elements with a value's high bits."""
         bucket = values >> self.width
-        begin = np.where(bucket > 0, self._select(np.maximum(bucket - 1, 0), False) - np.maximum(bucket - 1, 0), 0)
-        end = self._select(bucket, False) - bucket  # elements with smaller or equal high bits
+        start = np.where(bucket > 0, self._select(np.maximum(bucket - 1, 0), False) + 1, 0)
+        bits, size = self._rest(start)
+        ones = np.bitwise_count(bits & ~(bits + U(1))).astype(np.int64)  # the ones below the next zero
+        begin = start - bucket
+        end = begin + ones
+        far = np.flatnonzero(ones == size)
+        end[far] = self._select(bucket[far], False) - bucket[far]
+        return begin, end
+
+    def _stretch(self, values: np.ndarray, first: np.ndarray | None, last: np.ndarray | None) -> tuple[np.ndarray, ...]:
+        """(begin, end, low bits): the bucket of each value inside [first, last)."""
+        begin, end = self._bucket(values)
         if first is not None:
             begin, end = np.clip(begin, first, last), np.clip(end, first, last)
-        wanted = values.astype(U) & U((1 << self.width) - 1)
+        return begin, end, values.astype(U) & U((1 << self.width) - 1)
+
+    def _search(self, begin: np.ndarray, end: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+        """Place of the first element of [begin, end) with no smaller low bits, else the end."""
+        out = np.maximum(begin, end)
         live = np.flatnonzero(begin < end)
+        begin, end, wanted = begin[live], end[live], wanted[live]
         while len(live):
-            middle = (begin[live] + end[live]) // 2
-            less = read_bits(self.low, middle, self.width) < wanted[live]
-            begin[live] = np.where(less, middle + 1, begin[live])
-            end[live] = np.where(less, end[live], middle)
-            live = live[begin[live] < end[live]]
-        return begin
+            middle = (begin + end) >> 1
+            less = read_bits(self.low, middle, self.width) < wanted
+            begin, end = np.where(less, middle + 1, begin), np.where(less, end, middle)
+            out[live] = end
+            on = np.flatnonzero(begin < end)
+            live, begin, end, wanted = live[on], begin[on], end[on], wanted[on]
+        return out
+
+    def successor(self, values: np.ndarray, first: np.ndarray | None = None, last: np.ndarray | None = None) -> np.ndarray:
+        """Place of the first element >= value, optionally inside [first, last)."""
+        return self._search(*self._stretch(np.asarray(values, np.int64), first, last))
 
     def find(self, values: np.ndarray, first: np.ndarray | None = None, last: np.ndarray | None = None) -> np.ndarray:
         """Place of each value, -1 where it does not occur."""
         values = np.asarray(values, np.int64)
-        if not self.n or not len(values):
-            return np.full(len(values), -1, np.int64)
-        place = self.successor(values, first, last)
-        inside = place < self.n
-        same = np.zeros(len(values), bool)
-        same[inside] = self.access(place[inside]) == values[inside]
-        return np.where(same, place, -1)
+        out = np.full(len(values), -1, np.int64)
+        if self.n and len(values):
+            begin, end, wanted = self._stretch(values, first, last)
+            inside = np.flatnonzero(begin < end)
+            begin, end, wanted = begin[inside], end[inside], wanted[inside]
+            place = self._search(begin, end - 1, wanted)  # if none before it, the last one is left
+            same = np.flatnonzero(read_bits(self.low, place, self.width) == wanted)  # the high bits agree
+            out[inside[same]] = place[same]
+        return out

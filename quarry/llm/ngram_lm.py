@@ -36,11 +36,12 @@ training rows every token is unknown; an empty table gives an empty result.
 from __future__ import annotations
 
 import math
-from collections import defaultdict
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -62,6 +63,7 @@ SMOOTHED = 1 << 19  # pairs smoothed at once
 END = b"\n"  # never a word
 
 LOW, STEPS = -24.0, 65535  # quantised log10 values: LOW .. 0
+KINDS = {"prob": np.uint16, "backoff": np.uint16, "count": np.int64}
 
 
 def quantise(log10: np.ndarray) -> np.ndarray:
@@ -77,22 +79,18 @@ def restore(codes: np.ndarray) -> np.ndarray:
 class Tokens:
     """Some texts as numbers into their distinct words; 0 is the end token."""
 
-    def __init__(self, texts: list[str]):
-        number: defaultdict[bytes, int] = defaultdict()
-        number.default_factory = number.__len__
-        number[END]
-        ids: list[int] = []
-        sizes = []
-        for text in texts:
-            before = len(ids)
-            ids.extend(map(number.__getitem__, text.encode().lower().split()))
-            ids.append(0)
-            sizes.append(len(ids) - before)
-        self.ids = np.array(ids, np.int64)
-        self.sizes = np.array(sizes, np.int64)
+    def __init__(self, texts: pa.Array):
+        runs = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+        words = runs.flatten()
+        filled = pc.binary_length(words).to_numpy(zero_copy_only=False) > 0  # blanks at the ends of a text leave empty runs
+        upto = np.concatenate(([0], np.cumsum(filled)))[np.concatenate(([0], np.cumsum(runs.value_lengths())))]
+        coded = words.filter(pa.array(filled)).dictionary_encode()
+        self.sizes = np.diff(upto) + 1
         self.starts = np.concatenate(([0], np.cumsum(self.sizes)))[:-1].astype(np.int64)
+        self.ids = np.insert(coded.indices.to_numpy().astype(np.int64) + 1, upto[1:], 0)
         # 62 bits of the hash: room for signed arithmetic
-        self.hashes = np.array([xxhash.xxh64_intdigest(w) >> 2 for w in number], np.int64)
+        spelt = [END, *coded.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False)]
+        self.hashes = (np.array([*map(xxhash.xxh64_intdigest, spelt)], np.uint64) >> np.uint64(2)).astype(np.int64)
 
     def contexts(self, numbers: np.ndarray, end: int) -> np.ndarray:
         """The number before each token; before the first of a text, the end."""
@@ -102,10 +100,10 @@ class Tokens:
         return before
 
 
-def chunks(texts: list[str]) -> Iterator[tuple[int, int]]:
+def chunks(texts: pa.Array) -> Iterator[tuple[int, int]]:
     low, size = 0, 0
-    for i, text in enumerate(texts):
-        size += len(text)
+    for i, length in enumerate(pc.binary_length(texts).to_pylist()):
+        size += length
         if size >= CHUNK_BYTES:
             yield low, i + 1
             low, size = i + 1, 0
@@ -171,30 +169,35 @@ class Trie:
             if cuts[s] < cuts[s + 1] and self.meta["counts"][level - 1][s]:
                 yield s, order[cuts[s]:cuts[s + 1]]
 
-    def words(self, hashes: np.ndarray) -> np.ndarray:
-        """Numbers of words, -1 where unknown."""
-        out = np.full(len(hashes), -1, np.int64)
+    def words(self, hashes: np.ndarray, columns: Sequence[str] = ()) -> list[np.ndarray]:
+        """Numbers of words, -1 where unknown, and their stored columns, 0 there."""
+        out = [np.full(len(hashes), -1, np.int64), *(np.zeros(len(hashes), KINDS[c]) for c in columns)]
         if self.vocabulary:
             for s, rows in self._by_shard(1, shard_of_hash(hashes, self.meta["shards"][0])):
-                found = self.shard(1, s)["keys"].find(hashes[rows])
-                out[rows] = np.where(found >= 0, found + self.meta["offsets"][0][s], -1)
+                self._fill(out, 1, s, rows, self.shard(1, s)["keys"].find(hashes[rows]), columns)
         return out
 
-    def nodes(self, level: int, context: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """Numbers of (context, word) nodes on a level, -1 where missing:
-        the successor search inside the context's stretch."""
-        out = np.full(len(context), -1, np.int64)
-        known = np.flatnonzero((context >= 0) & (word >= 0))
-        shards, keys = self.layout(level).place(context[known], word[known])
+    def nodes(self, level: int, context: np.ndarray, word: np.ndarray, columns: Sequence[str] = ()) -> list[np.ndarray]:
+        """Numbers of (context, word) nodes on a level, -1 where missing, by
+        the successor search inside the context's stretch, and their stored
+        columns, 0 where missing. All contexts and words are known."""
+        out = [np.full(len(context), -1, np.int64), *(np.zeros(len(context), KINDS[c]) for c in columns)]
+        shards, keys = self.layout(level).place(context, word)
         for s, rows in self._by_shard(level, shards):
             file = self.shard(level, s)
-            at = context[known[rows]] // int(file["pitch"][0])
-            first, last = file["pointers"].access(at), file["pointers"].access(at + 1)
+            first, last = file["pointers"].access_two(context[rows] // int(file["pitch"][0]))
             some = np.flatnonzero(first < last)
-            found = file["keys"].find(keys[rows[some]], first[some], last[some])
-            out[known[rows[some]]] = np.where(found >= 0, found + self.meta["offsets"][level - 1][s], -1)
+            rows = rows[some]
+            self._fill(out, level, s, rows, file["keys"].find(keys[rows], first[some], last[some]), columns)
         return out
 
+    def _fill(self, out: list[np.ndarray], level: int, shard: int, rows: np.ndarray, found: np.ndarray, columns: Sequence[str]) -> None:
+        hit = np.flatnonzero(found >= 0)
+        rows, found = rows[hit], found[hit]
+        out[0][rows] = found + self.meta["offsets"][level - 1][shard]
+        for values, name in zip(out[1:], columns):
+            values[rows] = self.shard(level, shard)[name][found]
+
     def read(self, level: int, name: str, nodes: np.ndarray) -> np.ndarray:
         """A stored column of the given nodes (all known)."""
         offsets = np.array(self.meta["offsets"][level - 1])
@@ -214,28 +217,18 @@ class Trie:
             context[rows], word[rows] = self.layout(level).pair(s, self.shard(level, s)["keys"].access(nodes[rows] - offsets[s]))
         return context, word
 
-    def log10(self, level: int, node: np.ndarray, context: np.ndarray, lower: np.ndarray) -> np.ndarray:
-        """log10 p of a level from its nodes, or back-off onto the lower order."""
-        out = lower.copy()
-        seen = np.flatnonzero(context >= 0)
-        out[seen] += restore(self.read(level - 1, "backoff", context[seen]))
-        found = np.flatnonzero(node >= 0)
-        out[found] = restore(self.read(level, "prob", node[found]))
-        return out
-
-    def unigram_log10(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(quantised, exact) log10 p of words; -1 is the unknown word."""
-        quantised = np.full(len(words), self.log_unknown)
-        exact = quantised.copy()
-        known = np.flatnonzero(words >= 0)
-        quantised[known] = restore(self.read(1, "prob", words[known]))
-        exact[known] = np.log10((self.read(1, "count", words[known]) + ADD) / (self.total + ADD * (self.vocabulary + 1)))
-        return quantised, exact
+    def unigrams(self, hashes: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(number, quantised log10 p, exact log10 p, back-off) of words by their hashes."""
+        words, prob, backoff, count = self.words(hashes, ("prob", "backoff", "count"))
+        known = words >= 0
+        exact = np.log10((count + ADD) / (self.total + ADD * (self.vocabulary + 1)))
+        return words, np.where(known, restore(prob), self.log_unknown), np.where(known, exact, self.log_unknown), backoff
 
 
 # --- training ------------------------------------------------------------------------------------
 
 COUNTED = "shard int, n int, keys binary, counts binary"
+COUNTED_TYPES = (pa.int32(), pa.int32(), pa.binary(), pa.binary())
 WRITTEN = "shard int, n long, total long"
 
 
@@ -252,7 +245,7 @@ class Counter:
         self.parts.append((codes, counts.astype(np.int32)))  # of one chunk
         self.held += len(codes)
 
-    def drain(self, least: int) -> Iterator[pd.DataFrame]:
+    def drain(self, least: int) -> Iterator[pa.RecordBatch]:
         if self.held <= least:
             return
         codes, counts = map(np.concatenate, zip(*self.parts))
@@ -265,7 +258,7 @@ class Counter:
             gaps = np.diff(codes[low:high], prepend=shards[low] * self.limit)
             rows.append((int(shards[low]), int(high - low), shared_files.pack_numbers(gaps),
                          shared_files.pack_numbers(counts[low:high])))
-        yield pd.DataFrame(rows, columns=["shard", "n", "keys", "counts"])
+        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), COUNTED_TYPES)], ["shard", "n", "keys", "counts"])
 
 
 def _summed(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -276,18 +269,18 @@ def _summed(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def _count_level(level: int, shards: int, folder: str, meta: dict):
-    def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = Trie(folder, meta) if level > 1 else None
         limit = trie.layout(level).contexts * trie.layout(level).range if trie else 0
         counter = Counter(lambda codes: codes // limit if limit else shard_of_hash(codes, shards), limit)
         for part in parts:
-            texts = part["text"].tolist()
+            texts = part.column("text")
             for low, high in chunks(texts):
                 tokens = Tokens(texts[low:high])
                 if level == 1:
                     counter.add(tokens.hashes, np.bincount(tokens.ids))
                 else:
-                    words = trie.words(tokens.hashes)
+                    words, = trie.words(tokens.hashes)
                     ids = words[tokens.ids]
                     context = ids_on(trie, tokens, ids, words[0], level - 1)
                     pairs = context >= 0  # a text shorter than the context has none
@@ -306,15 +299,23 @@ def ids_on(trie: Trie, tokens: Tokens, ids: np.ndarray, end: int, level: int) ->
         return node
     # the node that ends one token earlier, step by step; texts shorter than the context have no node
     context = ids_on(trie, tokens, ids, end, level - 1)
-    return tokens.contexts(nodes_of(trie, level, context, ids), -1)
-
-
-def nodes_of(trie: Trie, level: int, context: np.ndarray, word: np.ndarray) -> np.ndarray:
-    """Node lookups, each distinct pair once."""
-    code = (context + 1) * (trie.vocabulary + 1) + word + 1
-    distinct, back = np.unique(code, return_inverse=True)
-    found = trie.nodes(level, distinct // (trie.vocabulary + 1) - 1, distinct % (trie.vocabulary + 1) - 1)
-    return found[back]
+    return tokens.contexts(nodes_of(trie, level, context, ids)[0], -1)
+
+
+def nodes_of(trie: Trie, level: int, context: np.ndarray, word: np.ndarray, columns: Sequence[str] = ()) -> list[np.ndarray]:
+    """Node lookups, each distinct pair once, with the nodes' columns."""
+    known = np.flatnonzero((context >= 0) & (word >= 0))
+    code = context[known] * trie.vocabulary + word[known]
+    order = np.argsort(code)
+    code = code[order]
+    heads = np.ones(len(code), bool)
+    heads[1:] = code[1:] != code[:-1]
+    distinct, of = code[heads], np.cumsum(heads) - 1
+    out = []
+    for found, missing in zip(trie.nodes(level, *np.divmod(distinct, max(1, trie.vocabulary)), columns), [-1, *[0] * len(columns)]):
+        out.append(np.full(len(context), missing, found.dtype))
+        out[-1][known[order]] = found[of]
+    return out
 
 
 def words_of(trie: Trie, level: int, nodes: np.ndarray) -> list[np.ndarray]:
@@ -356,14 +357,18 @@ def _write_level(level: int, top: int, folder: str, meta: dict, prior: float):
 
     def smoothed(trie: Trie, layout: Layout, shard: int, keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
         context, word = layout.pair(shard, keys)
-        seen = trie.read(level - 1, "count", context)
-        lower = trie.unigram_log10(word)[0]
+        heads = np.flatnonzero(np.r_[True, context[1:] != context[:-1]])  # keys ascend by context
+        of = np.repeat(np.arange(len(heads)), np.diff(np.append(heads, len(context))))
+        context = context[heads]
+        seen = trie.read(level - 1, "count", context)[of]
+        lower = restore(trie.read(1, "prob", word))
         before = words_of(trie, level - 1, context)
         for size in range(1, level - 1):  # ever longer ends of the context
             short = before[-size]
             for step in range(1, size):
-                short = nodes_of(trie, step + 1, short, before[step - size])
-            lower = trie.log10(size + 1, nodes_of(trie, size + 1, short, word), short, lower)
+                short, = nodes_of(trie, step + 1, short, before[step - size])
+            node, prob = nodes_of(trie, size + 1, short[of], word, ("prob",))
+            lower = np.where(node >= 0, restore(prob), lower + restore(trie.read(size, "backoff", short))[of])
         return np.log10((counts + prior * 10 ** lower) / (seen + prior))
 
     return merge
@@ -393,7 +398,7 @@ def train(texts: DataFrame, order: int = ORDER, shards: int = SHARDS, prior: flo
         if level > 1:
             meta["shards"].append(max(shards, -(-meta["total"] // TOKENS_PER_SHARD)))
         number = meta["shards"][level - 1]
-        counted = texts.select("text").mapInPandas(_count_level(level, number, folder, dict(meta)), COUNTED)
+        counted = texts.select("text").mapInArrow(_count_level(level, number, folder, dict(meta)), COUNTED)
         # one row per shard reaches the driver
         written = {r.shard: r for r in counted.groupBy("shard").applyInPandas(
             _write_level(level, order, folder, dict(meta), prior), WRITTEN).collect()}
@@ -416,38 +421,37 @@ def train(texts: DataFrame, order: int = ORDER, shards: int = SHARDS, prior: flo
 SCORED = "n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def score_texts(trie: Trie, texts: list[str]) -> pd.DataFrame:
+def score_texts(trie: Trie, texts: pa.Array) -> list[np.ndarray]:
     tokens = Tokens(texts)
-    words = trie.words(tokens.hashes)
-    low, exact = trie.unigram_log10(words)
+    words, low, exact, backoff = trie.unigrams(tokens.hashes)
     ids = words[tokens.ids]
     log10 = low[tokens.ids]
-    end = int(words[0])
-    context = tokens.contexts(ids, end)
-    for level in range(2, len(trie.meta["sizes"]) + 1):
-        node = nodes_of(trie, level, context, ids)
-        log10 = trie.log10(level, node, context, log10)
-        context = tokens.contexts(node, -1)  # one word longer; texts shorter than it have none
+    context, weight = tokens.contexts(ids, int(words[0])), tokens.contexts(backoff[tokens.ids], int(backoff[0]))
+    top = len(trie.meta["sizes"])
+    for level in range(2, top + 1):
+        node, prob, *further = nodes_of(trie, level, context, ids, ("prob", "backoff") if level < top else ("prob",))
+        log10 = np.where(node >= 0, restore(prob), log10 + restore(weight))
+        if further:  # one word longer; texts shorter than it have none
+            context, weight = tokens.contexts(node, -1), tokens.contexts(further[0], 0)
     add = lambda x: np.add.reduceat(x, tokens.starts)
-    return pd.DataFrame({"n_tokens": tokens.sizes, "n_known": add((ids >= 0).astype(np.int64)), "train_tokens": trie.total,
-                         "base_score": add(exact[tokens.ids]), "score": add(log10)})
+    return [tokens.sizes, add((ids >= 0).astype(np.int64)), np.full(len(texts), trie.total), add(exact[tokens.ids]), add(log10)]
 
 
 def score(docs: DataFrame, folder: str, meta: dict) -> DataFrame:
     """The rows of ``docs`` (all columns but text) with their scores."""
     others = [f for f in docs.schema.fields if f.name != "text"]
+    names = [f.name for f in others] + [c.split()[0] for c in SCORED.split(", ")]
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = Trie(folder, meta)
         for part in parts:
-            texts = part["text"].tolist()
+            texts = part.column("text")
             for low, high in chunks(texts):
-                out = score_texts(trie, texts[low:high])
-                rest = part.iloc[low:high].drop(columns="text").reset_index(drop=True)
-                yield pd.concat([rest, out], axis=1)
+                rest = [part.column(n)[low:high] for n in names[:len(others)]]
+                yield pa.RecordBatch.from_arrays([*rest, *map(pa.array, score_texts(trie, texts[low:high]))], names)
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in others)
-    return docs.mapInPandas(run, f"{schema}, {SCORED}")
+    return docs.mapInArrow(run, f"{schema}, {SCORED}")
 
 
 def language_model_scores(df: DataFrame, id_column: str = "doc_id", text_column: str = "text", order: int = ORDER,

@@ -116,3 +116,36 @@ def test_default_model_scores_with_two_words_of_context(spark):
     for i, t in docs:
         assert out[i] == pytest.approx(trigram.score(t), abs=2e-3 * len(words_of(t)))
     assert sum(abs(out[i] - bigram.score(t)) > 1e-2 * len(words_of(t)) for i, t in docs) > 20
+
+
+def test_tokens_match_a_plain_split():
+    texts = ["", " ", "a", "\x0b A b\x0c\ta\r\n", "É é x y", "a " * 50, "\x1c\x1d z\x85"]
+    tokens = N.Tokens(N.pa.array(texts)[1:])  # a slice, as chunks are
+    names = {}
+    for t, low, size in zip(texts[1:], tokens.starts, tokens.sizes):
+        words = words_of(t)
+        assert size == len(words)
+        for w, i in zip(words, tokens.ids[low:low + size]):
+            assert names.setdefault(w, i) == i
+    assert names["</s>"] == 0 and len(set(names.values())) == len(names) == len(set(tokens.hashes.tolist()))
+
+
+def test_a_lookup_selects_about_once(monkeypatch):
+    values = np.unique(np.random.default_rng(1).integers(0, 10 ** 12, 20_000))
+    s = E.Sequence(E.encode(values, 10 ** 12))
+    asked, plain = [], E.Sequence._select
+    monkeypatch.setattr(E.Sequence, "_select", lambda self, k, ones: (asked.append(len(k)), plain(self, k, ones))[1])
+    assert (s.find(values) == np.arange(len(values))).all()
+    assert sum(asked) < 1.3 * len(values)  # once for the bucket, again only where it runs over a word
+
+
+@pytest.mark.parametrize("n,u", [(1, 1), (1000, 70), (1000, 10 ** 6), (3000, 3100)])
+def test_a_value_and_the_one_after(n, u):
+    values = np.sort(np.random.default_rng(n).integers(0, u, n + 1))
+    one, two = E.Sequence(E.encode(values, u)).access_two(np.arange(n))
+    assert (one == values[:-1]).all() and (two == values[1:]).all()
+
+
+def test_large_ids_beside_a_null_keep_their_value(spark):
+    df = spark.createDataFrame([(2 ** 53 + 1, "a b"), (None, "a"), (2 ** 60 + 3, None)], "doc_id long, text string")
+    assert {r.doc_id for r in N.language_model_scores(df).collect()} == {2 ** 53 + 1, None, 2 ** 60 + 3}

@@ -12,19 +12,21 @@ import numpy as np
 
 U = np.uint64
 BLOCK = 4  # words per directory entry, so that counts inside one fit a byte
+SLICE = 1 << 18  # values packed at once
 #: BIT[b, k]: the place of the k-th set bit of the byte b
 BIT = np.array([[*(i for i in range(8) if b >> i & 1), *[0] * (8 - b.bit_count())] for b in range(256)], np.uint8)
 
 
 def pack_bits(values: np.ndarray, width: int) -> np.ndarray:
-    """Values of ``width`` bits each, one after the other, in 64-bit words."""
+    """The low ``width`` bits of each value, one after the other, in 64-bit words."""
     words = np.zeros(len(values) * width // 64 + 2, U)
-    if width and len(values):
-        at = np.arange(len(values), dtype=U) * U(width)
+    for low in range(0, len(values) if width else 0, SLICE):
+        part = values[low:low + SLICE] & U((1 << width) - 1)
+        at = np.arange(low, low + len(part), dtype=U) * U(width)
         word, shift = (at >> U(6)).astype(np.int64), at & U(63)
-        np.bitwise_or.at(words, word, values << shift)
+        np.bitwise_or.at(words, word, part << shift)
         spill = shift > U(64 - width)
-        np.bitwise_or.at(words, word[spill] + 1, values[spill] >> (U(64) - shift[spill]))
+        np.bitwise_or.at(words, word[spill] + 1, part[spill] >> (U(64) - shift[spill]))
     return words
 
 
@@ -40,17 +42,18 @@ def read_bits(words: np.ndarray, index: np.ndarray, width: int) -> np.ndarray:
 
 def encode(values: np.ndarray, universe: int, name: str = "") -> dict[str, np.ndarray]:
     """The arrays of a sequence of ascending values below ``universe``."""
-    values = values.astype(U)
+    values = np.ascontiguousarray(values).astype(np.int64, copy=False).view(U)
     n = len(values)
     width = max(0, (universe // max(n, 1)).bit_length() - 1)
-    high = (values >> U(width)).astype(np.int64)
     size = n + (universe >> width) + 2
     words = np.zeros((size // 64 // BLOCK + 2) * BLOCK, U)
-    at = high + np.arange(n)
-    np.bitwise_or.at(words, at >> 6, U(1) << (at & 63).astype(U))
+    for first in range(0, n, SLICE):
+        high = (values[first:first + SLICE] >> U(width)).astype(np.int64)
+        at = high + np.arange(first, first + len(high))
+        np.bitwise_or.at(words, at >> 6, U(1) << (at & 63).astype(U))
     ones = np.bitwise_count(words).astype(np.int64).reshape(-1, BLOCK).sum(axis=1)
     rank = np.concatenate(([0], np.cumsum(ones)))
-    low = pack_bits(values & U((1 << width) - 1), width)
+    low = pack_bits(values, width)
     return {f"{name}meta": np.array([n, width, universe], np.int64), f"{name}low": low, f"{name}high": words,
             f"{name}rank": rank}
 

@@ -59,7 +59,7 @@ ADD = 0.1
 FOLDS = 10
 CHUNK_BYTES = 4 << 20  # text handled at once in a task
 FLUSH = 4 << 20  # distinct pairs a task holds before it hands them on
-SMOOTHED = 1 << 19  # pairs smoothed at once
+SMOOTHED = 1 << 18  # pairs smoothed at once
 END = b"\n"  # never a word
 
 LOW, STEPS = -24.0, 65535  # quantised log10 values: LOW .. 0
@@ -330,12 +330,18 @@ def words_of(trie: Trie, level: int, nodes: np.ndarray) -> list[np.ndarray]:
 def _write_level(level: int, top: int, folder: str, meta: dict, prior: float):
     def merge(rows: pd.DataFrame) -> pd.DataFrame:
         shard = int(rows["shard"].iloc[0])
-        keys = np.concatenate([np.cumsum(shared_files.unpack_numbers(k, n).astype(np.int64)) for k, n in zip(rows["keys"], rows["n"])])
-        counts = np.concatenate([shared_files.unpack_numbers(c, n).astype(np.int64) for c, n in zip(rows["counts"], rows["n"])])
+        ends = np.cumsum(rows["n"].to_numpy(np.int64))
+        keys, counts = np.empty(ends[-1], np.int64), np.empty(ends[-1], np.int64)
+        for k, c, n, end in zip(rows["keys"], rows["counts"], rows["n"], ends):
+            np.cumsum(shared_files.unpack_numbers(k, n).view(np.int64), out=keys[end - n:end])
+            counts[end - n:end] = shared_files.unpack_numbers(c, n)
         order = np.argsort(keys, kind="stable")  # merges the sorted parts
-        keys, counts = keys[order], counts[order]
+        keys = keys[order]
+        counts = counts[order]
+        del order
         heads = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
         keys, counts = keys[heads], np.add.reduceat(counts, heads)
+        del heads
         if level == 1:
             # probabilities follow when the totals are known: see finish()
             shared_files.save(f"{folder}/counts/{shard}", {"keys": keys, "count": counts})

@@ -28,19 +28,19 @@ def save(uri: str, arrays: dict[str, np.ndarray]) -> None:
     for name, array in arrays.items():
         array = np.ascontiguousarray(array)
         head[name] = (array.dtype.str, array.shape, at)
-        body = array.tobytes()
-        body += b"\0" * (-len(body) % 64)
-        parts.append(body)
-        at += len(body)
+        pad = -array.nbytes % 64
+        parts += [array.ravel().view(np.uint8), b"\0" * pad]
+        at += array.nbytes + pad
     text = json.dumps(head).encode()
     text += b" " * (-(len(text) + 8) % 64)
-    data = b"".join([len(text).to_bytes(8, "little"), text, *parts])
+    parts = [len(text).to_bytes(8, "little"), text, *parts]
     path = _local(uri)
     if path is not None:
         os.makedirs(os.path.dirname(path), exist_ok=True)
         beside = f"{path}.{uuid.uuid4().hex}"
         with open(beside, "wb") as out:
-            out.write(data)
+            for part in parts:
+                out.write(part)
         os.replace(beside, path)
         return
     from pyarrow import fs
@@ -48,7 +48,8 @@ def save(uri: str, arrays: dict[str, np.ndarray]) -> None:
     store.create_dir(os.path.dirname(place), recursive=True)
     beside = f"{place}.{uuid.uuid4().hex}"
     with store.open_output_stream(beside) as out:
-        out.write(data)
+        for part in parts:
+            out.write(part)
     store.move(beside, place)
 
 

@@ -2,8 +2,9 @@
 
 The low bits of each value are packed, the high bits are written in unary: value
 i sets bit (high + i). Everything is a flat array, so a sequence can be read
-straight out of a memory-mapped file. All operations take whole arrays of
-queries.
+straight out of a memory-mapped file. Pointers tell where the elements of every
+few buckets (equal high bits) begin, so a search goes to its bucket directly. All
+operations take whole arrays of queries.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ import numpy as np
 
 U = np.uint64
 BLOCK = 4  # words per directory entry, so that counts inside one fit a byte
+GROUP = 16  # buckets to a pointer: about a word of unary bits
 SLICE = 1 << 18  # values packed at once
 #: BIT[b, k]: the place of the k-th set bit of the byte b
 BIT = np.array([[*(i for i in range(8) if b >> i & 1), *[0] * (8 - b.bit_count())] for b in range(256)], np.uint8)
@@ -44,7 +46,7 @@ def encode(values: np.ndarray, universe: int, name: str = "") -> dict[str, np.nd
     """The arrays of a sequence of ascending values below ``universe``."""
     values = np.ascontiguousarray(values).astype(np.int64, copy=False).view(U)
     n = len(values)
-    width = max(0, (universe // max(n, 1)).bit_length() - 1)
+    width = max(0, (universe // max(n, 1)).bit_length() - 2)  # two to four buckets an element: few elements share one
     size = n + (universe >> width) + 2
     words = np.zeros((size // 64 // BLOCK + 2) * BLOCK, U)
     for first in range(0, n, SLICE):
@@ -54,14 +56,28 @@ def encode(values: np.ndarray, universe: int, name: str = "") -> dict[str, np.nd
     ones = np.bitwise_count(words).astype(np.int64).reshape(-1, BLOCK).sum(axis=1)
     rank = np.concatenate(([0], np.cumsum(ones)))
     low = pack_bits(values, width)
+    groups = np.arange((universe >> width) // GROUP + 1, dtype=U) * U(GROUP) << U(width)
+    begins = np.searchsorted(values, groups).astype(np.uint32 if n < 1 << 32 else np.int64)
     return {f"{name}meta": np.array([n, width, universe], np.int64), f"{name}low": low, f"{name}high": words,
-            f"{name}rank": rank}
+            f"{name}rank": rank, f"{name}begins": begins}
+
+
+def pick_bits(words: np.ndarray, k: np.ndarray) -> np.ndarray:
+    """Place of the k-th (from 0) set bit of each word; all words have as many."""
+    parts = words.view(np.uint8)
+    # byte i of the product: the set bits before byte i of the word
+    before = (np.bitwise_count(parts).view(U) * U(0x0101010101010100)).view(np.uint8)
+    # k + 128 - before keeps its top bit where before <= k
+    fits = (k.astype(U) * U(0x0101010101010101) + U(0x8080808080808080) - before.view(U)) & U(0x8080808080808080)
+    byte = np.bitwise_count(fits).astype(np.int64) - 1
+    at = np.arange(0, len(k) * 8, 8) + byte
+    return byte * 8 + BIT[parts[at], k - before[at]]
 
 
 class Sequence:
     def __init__(self, arrays: dict[str, np.ndarray], name: str = ""):
         self.n, self.width, self.universe = (int(x) for x in arrays[f"{name}meta"])
-        self.low, self.high, self.rank = arrays[f"{name}low"], arrays[f"{name}high"], arrays[f"{name}rank"]
+        self.low, self.high, self.rank, self.begins = (arrays[f"{name}{part}"] for part in ("low", "high", "rank", "begins"))
         self.zero_rank = np.arange(len(self.rank), dtype=np.int64) * (64 * BLOCK) - self.rank
 
     def _select(self, k: np.ndarray, ones: bool) -> np.ndarray:
@@ -77,12 +93,7 @@ class Sequence:
         slot = np.bitwise_count((before <= left[:, None]).view(np.uint32).ravel()).astype(np.int64) - 1
         at = np.arange(0, len(k) * BLOCK, BLOCK) + slot
         word, left = words.ravel()[at], left - before.ravel()[at]
-        # and byte i of this one: those before byte i of the word
-        parts = word.view(np.uint8)
-        before = (np.bitwise_count(parts).view(U) * U(0x0101010101010100)).view(np.uint8).reshape(-1, 8)
-        byte = np.bitwise_count((before <= left[:, None]).view(U).ravel()).astype(np.int64) - 1
-        at = np.arange(0, len(k) * 8, 8) + byte
-        return (block * BLOCK + slot) * 64 + byte * 8 + BIT[parts[at], left - before.ravel()[at]]
+        return (block * BLOCK + slot) * 64 + pick_bits(word, left)
 
     def _rest(self, position: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The bits of a word from a position on, and how many they are."""
@@ -107,15 +118,29 @@ class Sequence:
         after[far] = self._select(index[far] + 1, True)
         return self._value(index, position), self._value(index + 1, after)
 
+    def _word(self, position: np.ndarray) -> np.ndarray:
+        """The 64 unary bits from a position on."""
+        word, shift = position >> 6, (position & 63).astype(U)
+        return self.high[word] >> shift | self.high[word + 1] << U(1) << (U(63) - shift)
+
     def _bucket(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The places [begin, end) of the elements with a value's high bits."""
         bucket = values >> self.width
-        start = np.where(bucket > 0, self._select(np.maximum(bucket - 1, 0), False) + 1, 0)
-        bits, size = self._rest(start)
+        group = bucket // GROUP
+        first = self.begins[group] + group * GROUP  # the group's first bit
+        skip = bucket - group * GROUP
+        bits = self._word(first)
+        # the zero before the group, then its bits: the bucket follows the zero number ``skip``
+        zeros = ~(bits << U(1))
+        near = np.bitwise_count(zeros) > skip
+        start = first + pick_bits(zeros, np.where(near, skip, 0))
+        far = np.flatnonzero(~near)  # the group runs over a word
+        start[far] = self._select(bucket[far] - 1, False) + 1
+        bits = self._word(start)
         ones = np.bitwise_count(bits & ~(bits + U(1))).astype(np.int64)  # the ones below the next zero
         begin = start - bucket
         end = begin + ones
-        far = np.flatnonzero(ones == size)
+        far = np.flatnonzero(ones == 64)
         end[far] = self._select(bucket[far], False) - bucket[far]
         return begin, end
 

@@ -8,8 +8,8 @@ order:
   the hash, cut by the leading bits into shards of one sorted sequence.
 * Level k: distinct (context, word) pairs with counts, where a context is the
   number of its own node on level k - 1. Tasks count their part of the corpus
-  and hand on sorted, byte-packed pairs; the task of a shard merges them,
-  smooths the probabilities and writes one file.
+  and hand on sorted, byte-packed pairs; the task of a shard merges them and
+  writes one file.
 
 The shard of a pair comes from the leading parts of both numbers, so the
 successors of a very common context (and the contexts of a very common word)
@@ -17,16 +17,18 @@ are spread over all shards, while inside a shard the word of a context only
 takes ``1 / SHARDS`` of the numbers and needs fewer bits.
 
 A shard file holds the trie level in Elias-Fano form: the successors of all
-contexts as one monotone sequence (context * range + word), monotone pointers
-to where the successors of each few neighbouring contexts begin (so many that
-their number follows the entries), log10 probabilities and back-off weights
-quantised to 16 bits. Scoring tasks map the files into memory.
-A query goes to the pointers around its context and looks for the successor inside
-that stretch; what is not found backs off to the shorter context.
+contexts as one monotone sequence (context * range + word) with pointers to
+where the successors of each few neighbouring contexts, or with frequent ones of a
+part of their words, begin (so many that their number follows the entries), and
+the counts, a byte each and the large ones apart. Scoring tasks map the files into memory.
+A query goes to the pointer before its context and word and looks for the successor
+in the few entries there; what is not found backs off to the shorter context.
 
 Probabilities have a Dirichlet prior of the lower order:
 p(w | c) = (n(c w) + PRIOR p(w | c')) / (n(c) + PRIOR), and on the lowest
 level p(w) = (n(w) + 0.1) / (N + 0.1 (V + 1)); they sum to one with one unknown word.
+A task works them out of the counts it meets on its way up the levels; their
+logarithms, and those of the back-off weights, are rounded to 16 bits.
 
 Defined cases: a null text counts as empty (the end token alone); a null id is
 treated as the id ''; repeated rows are counted and scored one by one; without
@@ -36,7 +38,7 @@ training rows every token is unknown; an empty table gives an empty result.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -59,19 +61,14 @@ ADD = 0.1
 FOLDS = 10
 CHUNK_BYTES = 4 << 20  # text handled at once in a task
 FLUSH = 4 << 20  # distinct pairs a task holds before it hands them on
-SMOOTHED = 1 << 18  # pairs smoothed at once
 END = b"\n"  # never a word
 
-LOW, STEPS = -24.0, 65535  # quantised log10 values: LOW .. 0
-KINDS = {"prob": np.uint16, "backoff": np.uint16, "count": np.int64}
+LOW, STEPS = -24.0, 65535  # rounded log10 values: LOW .. 0
+LARGE = 255  # a count from here on is kept apart
 
 
-def quantise(log10: np.ndarray) -> np.ndarray:
-    return np.round((np.clip(log10, LOW, 0) / LOW) * STEPS).astype(np.uint16)
-
-
-def restore(codes: np.ndarray) -> np.ndarray:
-    return codes.astype(np.float64) / STEPS * LOW
+def rounded(log10: np.ndarray) -> np.ndarray:
+    return np.round((np.clip(log10, LOW, 0) / LOW) * STEPS) / STEPS * LOW
 
 
 # --- tokens --------------------------------------------------------------------------------------
@@ -117,6 +114,10 @@ def shard_of_hash(hashes: np.ndarray, shards: int) -> np.ndarray:
     return (hashes >> 30) * shards >> 32  # the leading 32 of 62 bits
 
 
+def first_hash(shard: int, shards: int) -> int:
+    return -(-(shard << 32) // shards) << 30
+
+
 class Layout:
     """Where the pairs of a level go: ``contexts`` numbers x ``words`` numbers."""
 
@@ -127,13 +128,17 @@ class Layout:
         self.contexts = contexts
         self.words = words
 
-    def place(self, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(shard, key): key = context * range + word inside its range."""
-        return (context // self.slab + word // self.range) % self.shards, context * self.range + word % self.range
+    @property
+    def limit(self) -> int:
+        """Above all keys of a shard."""
+        return self.contexts * self.range
 
-    def pair(self, shard: int, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        context = key // self.range
-        return context, (shard - context // self.slab) % self.shards * self.range + key % self.range
+    def place(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """shard * limit + key, where key = context * range + word inside its range."""
+        part = word // self.range
+        shard = context // self.slab + part
+        shard -= self.shards * (shard >= self.shards)
+        return shard * self.limit + context * self.range + (word - part * self.range)
 
 
 class Trie:
@@ -150,79 +155,49 @@ class Trie:
         if (level, shard) not in self.files:
             arrays = shared_files.load(f"{self.folder}/level{level}/{shard}")
             arrays["keys"] = elias_fano.Sequence(arrays, "key_")
-            if level > 1:
-                arrays["pointers"] = elias_fano.Sequence(arrays, "pointer_")
             self.files[level, shard] = arrays
         return self.files[level, shard]
 
     def layout(self, level: int) -> Layout:
         return Layout(self.meta["sizes"][level - 2], self.vocabulary, self.meta["shards"][level - 1])
 
-    def _by_shard(self, level: int, shards: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        number = len(self.meta["counts"][level - 1])
-        if number <= 1 << 16:
-            shards = shards.astype(np.uint16)  # sorted by counting
-        order = np.argsort(shards, kind="stable")
-        cuts = np.searchsorted(shards[order], np.arange(number))
-        cuts = np.append(cuts, len(shards))
-        for s in range(number):
-            if cuts[s] < cuts[s + 1] and self.meta["counts"][level - 1][s]:
-                yield s, order[cuts[s]:cuts[s + 1]]
-
-    def words(self, hashes: np.ndarray, columns: Sequence[str] = ()) -> list[np.ndarray]:
-        """Numbers of words, -1 where unknown, and their stored columns, 0 there."""
-        out = [np.full(len(hashes), -1, np.int64), *(np.zeros(len(hashes), KINDS[c]) for c in columns)]
-        if self.vocabulary:
-            for s, rows in self._by_shard(1, shard_of_hash(hashes, self.meta["shards"][0])):
-                self._fill(out, 1, s, rows, self.shard(1, s)["keys"].find(hashes[rows]), columns)
-        return out
-
-    def nodes(self, level: int, context: np.ndarray, word: np.ndarray, columns: Sequence[str] = ()) -> list[np.ndarray]:
-        """Numbers of (context, word) nodes on a level, -1 where missing, by
-        the successor search inside the context's stretch, and their stored
-        columns, 0 where missing. All contexts and words are known."""
-        out = [np.full(len(context), -1, np.int64), *(np.zeros(len(context), KINDS[c]) for c in columns)]
-        shards, keys = self.layout(level).place(context, word)
-        for s, rows in self._by_shard(level, shards):
-            file = self.shard(level, s)
-            first, last = file["pointers"].access_two(context[rows] // int(file["pitch"][0]))
-            some = np.flatnonzero(first < last)
-            rows = rows[some]
-            self._fill(out, level, s, rows, file["keys"].find(keys[rows], first[some], last[some]), columns)
-        return out
-
-    def _fill(self, out: list[np.ndarray], level: int, shard: int, rows: np.ndarray, found: np.ndarray, columns: Sequence[str]) -> None:
-        hit = np.flatnonzero(found >= 0)
-        rows, found = rows[hit], found[hit]
-        out[0][rows] = found + self.meta["offsets"][level - 1][shard]
-        for values, name in zip(out[1:], columns):
-            values[rows] = self.shard(level, shard)[name][found]
-
-    def read(self, level: int, name: str, nodes: np.ndarray) -> np.ndarray:
-        """A stored column of the given nodes (all known)."""
-        offsets = np.array(self.meta["offsets"][level - 1])
-        shards = np.searchsorted(offsets, nodes, side="right") - 1  # of equal offsets the last: empty shards come before
-        out = None
-        for s, rows in self._by_shard(level, shards):
-            got = self.shard(level, s)[name][nodes[rows] - offsets[s]]
-            out = np.zeros(len(nodes), got.dtype) if out is None else out
-            out[rows] = got
-        return np.zeros(len(nodes), np.uint16) if out is None else out
-
-    def pairs(self, level: int, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(context, word) of each node, read back out of its key."""
-        offsets = np.array(self.meta["offsets"][level - 1])
-        context, word = np.zeros(len(nodes), np.int64), np.zeros(len(nodes), np.int64)
-        for s, rows in self._by_shard(level, np.searchsorted(offsets, nodes, side="right") - 1):
-            context[rows], word[rows] = self.layout(level).pair(s, self.shard(level, s)["keys"].access(nodes[rows] - offsets[s]))
-        return context, word
-
-    def unigrams(self, hashes: np.ndarray) -> tuple[np.ndarray, ...]:
-        """(number, quantised log10 p, exact log10 p, back-off) of words by their hashes."""
-        words, prob, backoff, count = self.words(hashes, ("prob", "backoff", "count"))
-        known = words >= 0
-        exact = np.log10((count + ADD) / (self.total + ADD * (self.vocabulary + 1)))
-        return words, np.where(known, restore(prob), self.log_unknown), np.where(known, exact, self.log_unknown), backoff
+    def words(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of words, -1 where unknown, and their counts, 0 there."""
+        order = np.argsort(hashes)
+        words, counts = np.empty(len(hashes), np.int64), np.empty(len(hashes), np.int64)
+        words[order], counts[order] = self.nodes(1, hashes[order])
+        return words, counts
+
+    def nodes(self, level: int, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of nodes on a level, -1 where missing, and their counts, 0
+        there, by their ascending codes: hashes of words, or (context, word) as
+        in ``Layout.place``."""
+        nodes, counts = np.full(len(codes), -1, np.int64), np.zeros(len(codes), np.int64)
+        shards = self.meta["shards"][level - 1]
+        starts = [first_hash(s, shards) if level == 1 else s * self.layout(level).limit for s in range(shards + 1)]
+        cuts = np.searchsorted(codes, np.array(starts, np.int64))
+        for s, size in enumerate(self.meta["counts"][level - 1] if self.meta["sizes"] else []):
+            low, high = cuts[s], cuts[s + 1]
+            if size and low < high:
+                file = self.shard(level, s)
+                found = file["keys"].find(codes[low:high] - starts[s])
+                hit = np.flatnonzero(found >= 0)
+                found = found[hit]
+                nodes[low + hit] = found + self.meta["offsets"][level - 1][s]
+                counts[low + hit] = counts_at(file, found)
+        return nodes, counts
+
+
+def count_columns(counts: np.ndarray) -> dict[str, np.ndarray]:
+    large = np.flatnonzero(counts >= LARGE)
+    return {"count": np.minimum(counts, LARGE).astype(np.uint8), "large": large, "large_count": counts[large]}
+
+
+def counts_at(columns: dict[str, np.ndarray], places: np.ndarray) -> np.ndarray:
+    counts = columns["count"][places].astype(np.int64)
+    large = np.flatnonzero(counts == LARGE)
+    counts[large] = columns["large_count"][np.searchsorted(columns["large"], places[large])]
+    return counts
 
 
 # --- training ------------------------------------------------------------------------------------
@@ -271,7 +246,7 @@ def _summed(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarr
 def _count_level(level: int, shards: int, folder: str, meta: dict):
     def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = Trie(folder, meta) if level > 1 else None
-        limit = trie.layout(level).contexts * trie.layout(level).range if trie else 0
+        limit = trie.layout(level).limit if trie else 0
         counter = Counter(lambda codes: codes // limit if limit else shard_of_hash(codes, shards), limit)
         for part in parts:
             texts = part.column("text")
@@ -280,12 +255,11 @@ def _count_level(level: int, shards: int, folder: str, meta: dict):
                 if level == 1:
                     counter.add(tokens.hashes, np.bincount(tokens.ids))
                 else:
-                    words, = trie.words(tokens.hashes)
+                    words, _ = trie.words(tokens.hashes)
                     ids = words[tokens.ids]
                     context = ids_on(trie, tokens, ids, words[0], level - 1)
                     pairs = context >= 0  # a text shorter than the context has none
-                    s, keys = trie.layout(level).place(context[pairs], ids[pairs])
-                    counter.add(*np.unique(s * limit + keys, return_counts=True))
+                    counter.add(*np.unique(trie.layout(level).place(context[pairs], ids[pairs]), return_counts=True))
                 yield from counter.drain(FLUSH)
         yield from counter.drain(0)
 
@@ -302,32 +276,22 @@ def ids_on(trie: Trie, tokens: Tokens, ids: np.ndarray, end: int, level: int) ->
     return tokens.contexts(nodes_of(trie, level, context, ids)[0], -1)
 
 
-def nodes_of(trie: Trie, level: int, context: np.ndarray, word: np.ndarray, columns: Sequence[str] = ()) -> list[np.ndarray]:
-    """Node lookups, each distinct pair once, with the nodes' columns."""
+def nodes_of(trie: Trie, level: int, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Node lookups, each distinct pair once, with the nodes' counts."""
     known = np.flatnonzero((context >= 0) & (word >= 0))
-    code = context[known] * trie.vocabulary + word[known]
-    order = np.argsort(code)
-    code = code[order]
-    heads = np.ones(len(code), bool)
-    heads[1:] = code[1:] != code[:-1]
-    distinct, of = code[heads], np.cumsum(heads) - 1
-    out = []
-    for found, missing in zip(trie.nodes(level, *np.divmod(distinct, max(1, trie.vocabulary)), columns), [-1, *[0] * len(columns)]):
-        out.append(np.full(len(context), missing, found.dtype))
-        out[-1][known[order]] = found[of]
-    return out
-
-
-def words_of(trie: Trie, level: int, nodes: np.ndarray) -> list[np.ndarray]:
-    """The words of each node, read back out of the keys, first word first."""
-    out = []
-    for at in range(level, 1, -1):
-        nodes, word = trie.pairs(at, nodes)
-        out.append(word)
-    return [nodes, *reversed(out)]
-
-
-def _write_level(level: int, top: int, folder: str, meta: dict, prior: float):
+    codes = trie.layout(level).place(context[known], word[known])
+    order = np.argsort(codes)
+    codes, known = codes[order], known[order]
+    heads = np.ones(len(codes), bool)
+    heads[1:] = codes[1:] != codes[:-1]
+    found, seen = trie.nodes(level, codes[heads])
+    of = np.cumsum(heads) - 1
+    nodes, counts = np.full(len(context), -1, np.int64), np.zeros(len(context), np.int64)
+    nodes[known], counts[known] = found[of], seen[of]
+    return nodes, counts
+
+
+def _write_level(level: int, folder: str, meta: dict):
     def merge(rows: pd.DataFrame) -> pd.DataFrame:
         shard = int(rows["shard"].iloc[0])
         ends = np.cumsum(rows["n"].to_numpy(np.int64))
@@ -343,63 +307,22 @@ def _write_level(level: int, top: int, folder: str, meta: dict, prior: float):
         keys, counts = keys[heads], np.add.reduceat(counts, heads)
         del heads
         if level == 1:
-            # probabilities follow when the totals are known: see finish()
-            shared_files.save(f"{folder}/counts/{shard}", {"keys": keys, "count": counts})
+            low, high = (first_hash(s, meta["shards"][0]) for s in (shard, shard + 1))
+            keys -= low
+            limit = high - low
         else:
-            trie = Trie(folder, meta)
-            layout = trie.layout(level)
-            prob = np.empty(len(keys), np.uint16)
-            for low in range(0, len(keys), SMOOTHED):
-                prob[low:low + SMOOTHED] = quantise(smoothed(trie, layout, shard, keys[low:low + SMOOTHED], counts[low:low + SMOOTHED]))
-            pitch = max(1, 4 * layout.contexts // len(keys))  # contexts to a pointer
-            begins = np.searchsorted(keys, np.arange(-(-layout.contexts // pitch) + 1) * (pitch * layout.range))
-            shared_files.save(f"{folder}/level{level}/{shard}", {
-                **elias_fano.encode(keys, layout.contexts * layout.range, "key_"),
-                **elias_fano.encode(begins, len(keys) + 1, "pointer_"), "pitch": np.array([pitch]),
-                "prob": prob, **({} if level == top else {  # nothing backs off to the longest grams' successors
-                    "backoff": quantise(np.log10(prior / (counts + prior))),
-                    "count": counts.astype(np.uint32 if counts.max() < 1 << 32 else np.int64)})})
+            limit = Trie(folder, meta).layout(level).limit
+        shared_files.save(f"{folder}/level{level}/{shard}", {**elias_fano.encode(keys, limit, "key_"), **count_columns(counts)})
         return pd.DataFrame({"shard": [shard], "n": [len(keys)], "total": [int(counts.sum())]})
 
-    def smoothed(trie: Trie, layout: Layout, shard: int, keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        context, word = layout.pair(shard, keys)
-        heads = np.flatnonzero(np.r_[True, context[1:] != context[:-1]])  # keys ascend by context
-        of = np.repeat(np.arange(len(heads)), np.diff(np.append(heads, len(context))))
-        context = context[heads]
-        seen = trie.read(level - 1, "count", context)[of]
-        lower = restore(trie.read(1, "prob", word))
-        before = words_of(trie, level - 1, context)
-        for size in range(1, level - 1):  # ever longer ends of the context
-            short = before[-size]
-            for step in range(1, size):
-                short, = nodes_of(trie, step + 1, short, before[step - size])
-            node, prob = nodes_of(trie, size + 1, short[of], word, ("prob",))
-            lower = np.where(node >= 0, restore(prob), lower + restore(trie.read(size, "backoff", short))[of])
-        return np.log10((counts + prior * 10 ** lower) / (seen + prior))
-
     return merge
 
 
-def _finish_words(folder: str, total: int, vocabulary: int, prior: float):
-    def finish(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            for shard in part["shard"].tolist():
-                arrays = shared_files.load(f"{folder}/counts/{shard}")
-                counts = arrays["count"]
-                shared_files.save(f"{folder}/level1/{shard}", {
-                    **elias_fano.encode(arrays["keys"], 1 << 62, "key_"), "count": counts,
-                    "prob": quantise(np.log10((counts + ADD) / (total + ADD * (vocabulary + 1)))),
-                    "backoff": quantise(np.log10(prior / (counts + prior)))})
-            yield part
-
-    return finish
-
-
 def train(texts: DataFrame, order: int = ORDER, shards: int = SHARDS, prior: float = PRIOR) -> tuple[str, dict]:
     """Write the trie of ``texts.text`` to the shared folder: (folder, sizes)."""
     spark = texts.sparkSession
     folder = scratch_path(spark, "trie")
-    meta: dict = {"shards": [max(shards, -(-texts.count() // ROWS_PER_SHARD))], "total": 0, "sizes": [], "counts": [], "offsets": []}
+    meta: dict = {"shards": [max(shards, -(-texts.count() // ROWS_PER_SHARD))], "total": 0, "prior": prior, "sizes": [], "counts": [], "offsets": []}
     for level in range(1, order + 1):
         if level > 1:
             meta["shards"].append(max(shards, -(-meta["total"] // TOKENS_PER_SHARD)))
@@ -407,7 +330,7 @@ def train(texts: DataFrame, order: int = ORDER, shards: int = SHARDS, prior: flo
         counted = texts.select("text").mapInArrow(_count_level(level, number, folder, dict(meta)), COUNTED)
         # one row per shard reaches the driver
         written = {r.shard: r for r in counted.groupBy("shard").applyInPandas(
-            _write_level(level, order, folder, dict(meta), prior), WRITTEN).collect()}
+            _write_level(level, folder, dict(meta)), WRITTEN).collect()}
         if not written:
             break
         sizes = [written[s].n if s in written else 0 for s in range(number)]
@@ -416,9 +339,6 @@ def train(texts: DataFrame, order: int = ORDER, shards: int = SHARDS, prior: flo
         meta["sizes"].append(sum(sizes))
         if level == 1:
             meta["total"] = sum(r.total for r in written.values())
-            rows = spark.createDataFrame([(s,) for s in written], "shard int").repartition(number, "shard")
-            rows.mapInPandas(_finish_words(folder, meta["total"], meta["sizes"][0], prior), "shard int") \
-                .write.format("noop").mode("overwrite").save()
     return folder, meta
 
 
@@ -429,18 +349,24 @@ SCORED = "n_tokens long, n_known long, train_tokens long, base_score double, sco
 
 def score_texts(trie: Trie, texts: pa.Array) -> list[np.ndarray]:
     tokens = Tokens(texts)
-    words, low, exact, backoff = trie.unigrams(tokens.hashes)
+    words, counts = trie.words(tokens.hashes)
+    known = words >= 0
+    exact = np.where(known, np.log10((counts + ADD) / (trie.total + ADD * (trie.vocabulary + 1))), trie.log_unknown)
     ids = words[tokens.ids]
-    log10 = low[tokens.ids]
-    context, weight = tokens.contexts(ids, int(words[0])), tokens.contexts(backoff[tokens.ids], int(backoff[0]))
+    log10 = np.where(known, rounded(exact), trie.log_unknown)[tokens.ids]
+    prior = trie.meta["prior"]
+    context, seen = tokens.contexts(ids, int(words[0])), tokens.contexts(counts[tokens.ids], int(counts[0]))
     top = len(trie.meta["sizes"])
     for level in range(2, top + 1):
-        node, prob, *further = nodes_of(trie, level, context, ids, ("prob", "backoff") if level < top else ("prob",))
-        log10 = np.where(node >= 0, restore(prob), log10 + restore(weight))
-        if further:  # one word longer; texts shorter than it have none
-            context, weight = tokens.contexts(node, -1), tokens.contexts(further[0], 0)
+        node, count = nodes_of(trie, level, context, ids)
+        hit = np.flatnonzero(node >= 0)
+        found = rounded(np.log10((count[hit] + prior * 10 ** log10[hit]) / (seen[hit] + prior)))
+        log10 += rounded(np.log10(prior / (seen + prior)))
+        log10[hit] = found
+        if level < top:  # one word longer; texts shorter than it have none
+            context, seen = tokens.contexts(node, -1), tokens.contexts(count, 0)
     add = lambda x: np.add.reduceat(x, tokens.starts)
-    return [tokens.sizes, add((ids >= 0).astype(np.int64)), np.full(len(texts), trie.total), add(exact[tokens.ids]), add(log10)]
+    return [tokens.sizes, add(known[tokens.ids].astype(np.int64)), np.full(len(texts), trie.total), add(exact[tokens.ids]), add(log10)]
 
 
 def score(docs: DataFrame, folder: str, meta: dict) -> DataFrame:

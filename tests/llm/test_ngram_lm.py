@@ -149,3 +149,61 @@ def test_a_value_and_the_one_after(n, u):
 def test_large_ids_beside_a_null_keep_their_value(spark):
     df = spark.createDataFrame([(2 ** 53 + 1, "a b"), (None, "a"), (2 ** 60 + 3, None)], "doc_id long, text string")
     assert {r.doc_id for r in N.language_model_scores(df).collect()} == {2 ** 53 + 1, None, 2 ** 60 + 3}
+
+
+def test_a_lookup_goes_to_its_bucket_by_a_pointer(monkeypatch):
+    values = np.unique(np.random.default_rng(2).integers(0, 10 ** 12, 20_000))
+    s = E.Sequence(E.encode(values, 10 ** 12))
+    asked, plain = [], E.Sequence._select
+    monkeypatch.setattr(E.Sequence, "_select", lambda self, k, ones: (asked.append(len(k)), plain(self, k, ones))[1])
+    assert (s.find(values) == np.arange(len(values))).all()
+    assert sum(asked) < 0.01 * len(values)
+
+
+def test_crowded_buckets_are_searched():
+    rng = np.random.default_rng(3)
+    near = [start + rng.choice(1500, 700, replace=False) for start in (0, 10 ** 6, 10 ** 6 + 4000, 10 ** 9 - 1500)]
+    values = np.unique(np.concatenate([*near, rng.integers(0, 10 ** 9, 300)]))
+    s = E.Sequence(E.encode(values, 10 ** 9))
+    queries = np.concatenate((values, values[:-1] + 1, rng.integers(0, 10 ** 9, 1000)))
+    at = np.searchsorted(values, queries)
+    assert (s.successor(queries) == at).all()
+    hit = (at < len(values)) & (values[np.minimum(at, len(values) - 1)] == queries)
+    assert (s.find(queries) == np.where(hit, at, -1)).all()
+
+
+@pytest.mark.parametrize("shards", [1, 3, 16])
+def test_words_of_a_shard_spread_over_its_buckets(tmp_path, shards):
+    hashes = np.unique(np.random.default_rng(shards).integers(0, 1 << 62, 4000))
+    of = N.shard_of_hash(hashes, shards)
+    assert all(of[np.searchsorted(hashes, N.first_hash(s, shards))] == s for s in range(shards))
+    meta = {"shards": [shards], "total": 4000, "sizes": [len(hashes)], "prior": 1.0, "offsets": [np.searchsorted(of, range(shards)).tolist()],
+            "counts": [np.bincount(of, minlength=shards).tolist()]}
+    counts = np.where(np.arange(len(hashes)) % 7, 1, 10 ** 10)
+    for s in range(shards):
+        N._write_level(1, str(tmp_path), meta)(packed(s, hashes[of == s], counts[of == s]))
+    trie = N.Trie(str(tmp_path), meta)
+    asked = np.random.default_rng(4).permutation(np.concatenate((hashes, hashes + 1)))
+    words, seen = trie.words(asked)
+    at = np.searchsorted(hashes, asked)
+    known = hashes[np.minimum(at, len(hashes) - 1)] == asked
+    assert (words == np.where(known, at, -1)).all() and (seen == np.where(known, counts[np.minimum(at, len(hashes) - 1)], 0)).all()
+    for s in range(shards):
+        begin, end = trie.shard(1, s)["keys"]._bucket(hashes[of == s] - N.first_hash(s, shards))
+        assert (end - begin).mean() < 2
+
+
+def packed(shard, keys, counts):
+    gaps = np.diff(keys, prepend=0)
+    return N.pd.DataFrame({"shard": [shard], "n": [len(keys)], "keys": [shared_files.pack_numbers(gaps)],
+                           "counts": [shared_files.pack_numbers(counts)]})
+
+
+def test_a_level_is_written_without_lookups_in_lower_ones(tmp_path):
+    meta = {"shards": [2, 2], "total": 100, "sizes": [10], "prior": 1.0, "counts": [[5, 5]], "offsets": [[0, 5]]}
+    keys, counts = np.arange(0, 50, 7), np.array([1, 2, 254, 255, 256, 2 ** 40, 3, 1])
+    out = N._write_level(2, f"{tmp_path}/no_lower", meta)(packed(0, keys, counts))
+    assert out.total.tolist() == [counts.sum()]
+    file = shared_files.load(f"{tmp_path}/no_lower/level2/0")
+    assert file["count"].nbytes == len(keys)  # a byte each, the large ones apart
+    assert N.counts_at(file, np.arange(8)[::-1]).tolist() == counts[::-1].tolist()
